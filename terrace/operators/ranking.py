@@ -54,29 +54,27 @@ def number_rows(
     order: Sequence[Column],
     out: str = "rank",
     max_group_rows: int = 5_000_000,
-    slices: int | None = None,
 ) -> DataFrame:
-    """Row number within each group. `order` must be total for a repeatable result.
+    """Row number (long) within each group. `order` must be total for a repeatable result.
 
     A count per group decides the way. Where the largest group fits a task, a plain
     window does it. Beyond that the rows are cut into ordered slices by a range
     shuffle on (group, order), numbered within their slice, and moved up by the
     rows that the group has in earlier slices.
     """
-    biggest = df.groupBy(*by).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
-    if biggest <= max_group_rows:
-        return df.withColumn(out, F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
-    return _number_rows_sliced(df, by, order, out, slices)
+    sizes = df.groupBy(*by).agg(F.count("*").alias("n"))
+    biggest, total = sizes.agg(F.max("n"), F.sum("n")).first()
+    if (biggest or 0) <= max_group_rows:
+        w = Window.partitionBy(*by).orderBy(*order)
+        return df.withColumn(out, F.row_number().over(w).cast("long"))
+    return _number_rows_sliced(df, by, order, out, slices=-(-4 * total // max_group_rows))
 
 
 def _number_rows_sliced(
-    df: DataFrame, by: Sequence[str], order: Sequence[Column], out: str, slices: int | None
+    df: DataFrame, by: Sequence[str], order: Sequence[Column], out: str, slices: int
 ) -> DataFrame:
     spark = df.sparkSession
-    group = [F.col(c).asc() for c in by]
-    ranged = (
-        df.repartitionByRange(slices, *group, *order) if slices else df.repartitionByRange(*group, *order)
-    )
+    ranged = df.repartitionByRange(slices, *[F.col(c).asc() for c in by], *order)
     # The slice bounds come from a sample. Writing the slices fixes them: a task that
     # is run again later reads the same slices and does not cut new ones.
     path = scratch_dir(spark, "slices")
@@ -95,5 +93,5 @@ def _number_rows_sliced(
     )
     same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in by] + [F.col("_slice") == F.col("_at")]
     return numbered.join(offsets, same, "inner").select(
-        *df.columns, (F.col("_local") + F.col("_offset")).cast("int").alias(out)
+        *df.columns, (F.col("_local") + F.col("_offset")).alias(out)
     )
