@@ -46,10 +46,15 @@ def read_pages(
 
 
 def stream_pages(
-    spark: SparkSession, path: str, fields: StructType = RAW, multi_line: bool = True
+    spark: SparkSession,
+    path: str,
+    fields: StructType = RAW,
+    multi_line: bool = True,
+    **options: object,
 ) -> DataFrame:
     """As `read_pages`, as a stream of the files that arrive."""
     reader = spark.readStream.schema(_page_schema(fields)).option("columnNameOfCorruptRecord", _CORRUPT)
+    reader = reader.options(**options)
     return _with_page(reader.option("multiLine", multi_line).json(path), fields)
 
 
