@@ -78,8 +78,9 @@ def _number_rows_sliced(
     # The slice bounds come from a sample. Writing the slices fixes them: a task that
     # is run again later reads the same slices and does not cut new ones.
     path = scratch_dir(spark, "slices")
-    ranged.withColumn("_slice", F.spark_partition_id()).write.parquet(path)
-    cut = spark.read.schema(ranged.schema.add("_slice", "int")).parquet(path)
+    sliced = ranged.withColumn("_slice", F.spark_partition_id())
+    sliced.write.parquet(path)
+    cut = spark.read.schema(sliced.schema).parquet(path)
 
     w = Window.partitionBy(*by, "_slice").orderBy(*order)
     numbered = cut.withColumn("_local", F.row_number().over(w))

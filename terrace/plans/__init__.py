@@ -2,6 +2,7 @@
 
 from terrace.plans.kpi import (
     category_grain,
+    largest_first,
     popular_categories,
     share_within_state,
     states_for_category,
@@ -22,6 +23,7 @@ __all__ = [
     "Load",
     "TruncatedLoadError",
     "category_grain",
+    "largest_first",
     "load_bronze",
     "load_gold",
     "load_landing",

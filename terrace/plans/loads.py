@@ -66,8 +66,6 @@ def refine(df: DataFrame, salt: str = "") -> DataFrame:
 def load_landing(rows: DataFrame, layout: Layout, run_id: str) -> Load:
     """Store raw page records as columns, so that JSON is parsed once per run."""
     path = layout.run("landing", run_id)
-    if FAILED not in rows.columns:
-        rows = rows.withColumn(FAILED, F.lit(False))
     write_layer(rows, path)
     return Load(path)
 
@@ -145,8 +143,6 @@ def load_silver(
         metrics |= _one_row(clean.agg(*[F.count_if(c).alias(n) for n, c in rules.items()]))
     if on_fail == "raise":
         check_gate(metrics, limits)
-    if metrics["accepted"] == 0:
-        return Load(None, metrics)
 
     verdict = (
         F.when(rules["bad_postal"], "bad_postal")
@@ -156,7 +152,7 @@ def load_silver(
     rows = stamp(clean, schemas.SILVER_TS, ts).withColumn("verdict", verdict)
     path = layout.run("silver", run_id)
     write_layer(rows, path, by=["verdict", "state"], rebalance=not unique)
-    return Load(f"{path}/verdict=accepted", metrics)
+    return Load(f"{path}/verdict=accepted" if metrics["accepted"] else None, metrics)
 
 
 def load_gold(silver: DataFrame, layout: Layout, run_id: str, ts: datetime | None = None) -> Load:
@@ -186,7 +182,7 @@ def run_loads(
     """Landing, bronze, silver and gold in turn. A load that raises or has nothing to
     write stops the ones after it; layers published by earlier runs stay as they are."""
     done = {"landing": load_landing(pages, layout, run_id)}
-    landed = spark.read.schema(_landed_schema(pages)).parquet(done["landing"].path)
+    landed = read_layer(spark, done["landing"].path, pages.schema)
     done["bronze"] = load_bronze(
         landed, layout, run_id, listed_pages, total_pages, recency, tie_break, allow_truncated, ts
     )
@@ -200,7 +196,3 @@ def run_loads(
     done["gold"] = load_gold(silver, layout, run_id, ts)
     return done
 
-
-def _landed_schema(pages: DataFrame):
-    schema = pages.schema
-    return schema if FAILED in schema.names else schema.add(FAILED, "boolean")

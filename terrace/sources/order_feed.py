@@ -15,7 +15,7 @@ def _text(c: Column) -> Column:
 
 
 def order_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw records with `seq` (unique), `page` and `seen_at`."""
+    """Raw records with `seq` (unique), `page`, `page_failed` (never) and `seen_at`."""
 
     def table(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -53,4 +53,5 @@ def order_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(order % 4 != 0, F.concat(F.lit("http://e"), _text(customer), F.lit(".example"))).alias(
             "website_url"
         ),
+        F.lit(False).alias("page_failed"),
     )
