@@ -37,8 +37,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = op.parse_coords(order_feed(spark, sf_dir))
-    return op.latest_per_key(raw, ["id"], RECENCY, ())
+    return op.parse_coords(op.latest_per_key(order_feed(spark, sf_dir), ["id"], RECENCY, ()))
 
 
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,7 +45,7 @@ def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op.require_any(clean(spark, sf_dir), schemas.CONTACT_FIELDS).select(*FIELDS)
+    return plans.mask(op.require_any(clean(spark, sf_dir), schemas.CONTACT_FIELDS)).select(*FIELDS)
 
 
 def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -213,7 +212,7 @@ def flt_invalid_postal(spark, sf_dir):
 
 
 def flt_missing_all(spark, sf_dir):
-    return op.missing_all(clean(spark, sf_dir), schemas.CONTACT_FIELDS).select(*FIELDS)
+    return plans.mask(op.missing_all(clean(spark, sf_dir), schemas.CONTACT_FIELDS)).select(*FIELDS)
 
 
 # --- aggregates, quality and windows --------------------------------------------------
@@ -317,14 +316,12 @@ def flow_all(spark, sf_dir):
 
 
 def doc_upsert(spark, sf_dir):
-    """The first half of the pages, then the rest merged into it."""
-    raw = op.parse_coords(order_feed(spark, sf_dir))
+    """The first half of the pages, then the other half merged into it."""
+    raw = op.drop_null_key(order_feed(spark, sf_dir))
     half = raw.agg(F.max("page") / 2).scalar()
-    first = op.latest_per_key(raw.filter(F.col("page") <= half), ["id"], RECENCY, ())
-    rest = raw.filter(F.col("page") > half)
-    # The feed is not in time order: a merge may bring older records, so both sides meet.
-    merged = op.latest_per_key(first.unionByName(rest), ["id"], RECENCY, ())
-    return plans.refine(op.upsert(first, merged, ["id"], RECENCY, ())).select(*FIELDS)
+    old = op.latest_per_key(raw.filter(F.col("page") <= half), ["id"], RECENCY, ())
+    merged = op.upsert(old, raw.filter(F.col("page") > half), ["id"], RECENCY, ())
+    return plans.mask(plans.refine(merged)).select("seq", *FIELDS)
 
 
 def doc_enforce_schema(spark, sf_dir):

@@ -75,7 +75,6 @@ def _winners(source: str, ties: str, states: str) -> str:
 _RAW = f"SELECT seq, page, {FIELDS}, {REST} FROM raw"
 _TYPED = f"SELECT seq, {FIELDS}, {REST} FROM typed"
 _GOLD = f"SELECT {DIMS}, entity_count FROM gold"
-_CLEAN = f"SELECT {SILVER_COLUMNS} FROM clean"
 _SILVER = f"SELECT {SILVER_COLUMNS} FROM silver"
 _BRONZE = f"SELECT {FIELDS}, {REST} FROM bronze"
 _COPY = """SELECT id, name, category, street AS address_1, CAST(NULL AS VARCHAR) AS address_2,
@@ -138,7 +137,11 @@ _FEED_QUERIES = {
     "flow_silver": f"SELECT {SILVER_COLUMNS} FROM accepted",
     "flow_gold": f"SELECT {DIMS}, entity_count FROM accepted_gold",
     "flow_all": _total("state", source="accepted_gold"),
-    "doc_upsert": _CLEAN,
+    "doc_upsert": f"""SELECT seq, id, lower(name) AS name, lower(category) AS category, street,
+      lower(city) AS city, lower(state) AS state, postal_code, lower(country) AS country, longitude, latitude,
+      sha256(phone) AS phone, website_url FROM (SELECT *, row_number() OVER (PARTITION BY id
+        ORDER BY page > (SELECT max(page) / 2 FROM raw WHERE id IS NOT NULL) DESC, seen_at DESC, seq DESC) AS rn
+        FROM typed WHERE id IS NOT NULL) t WHERE rn = 1""",
     "doc_enforce_schema": f"""SELECT {FIELDS}, CAST(longitude AS VARCHAR) AS longitude,
       CAST(latitude AS VARCHAR) AS latitude, phone, website_url, CAST(NULL AS VARCHAR) AS updated_at,
       CAST(NULL AS VARCHAR) AS created_at FROM raw""",

@@ -15,6 +15,7 @@ from terrace.plans.loads import (
     load_gold,
     load_landing,
     load_silver,
+    mask,
     refine,
     run_loads,
 )
@@ -28,6 +29,7 @@ __all__ = [
     "load_gold",
     "load_landing",
     "load_silver",
+    "mask",
     "popular_categories",
     "refine",
     "run_loads",

@@ -19,7 +19,6 @@ from terrace.operators import (
     hash_col,
     latest_per_key,
     lower_cols,
-    parse_coords,
     project,
     quality_metrics,
     reconcile_keys,
@@ -51,16 +50,18 @@ def _one_row(df: DataFrame) -> dict:
     return df.first().asDict()
 
 
-def refine(df: DataFrame, salt: str = "") -> DataFrame:
-    """Bronze rows as silver wants them: no missing id, doubles, lower case, masked phone."""
-    return hash_col(
-        lower_cols(
-            cast_cols(drop_null_key(df, KEY), {c: "double" for c in schemas.COORDINATES}),
-            schemas.TEXT_FIELDS,
-        ),
-        "phone",
-        salt,
-    )
+def refine(df: DataFrame) -> DataFrame:
+    """Bronze rows as the silver checks want them: no missing id, doubles, lower case.
+
+    The phone is not masked yet: the checks only ask whether it is there, and a filter
+    above the mask would digest every number to find out.
+    """
+    typed = cast_cols(drop_null_key(df, KEY), {c: "double" for c in schemas.COORDINATES})
+    return lower_cols(typed, schemas.TEXT_FIELDS)
+
+
+def mask(df: DataFrame, salt: str = "") -> DataFrame:
+    return hash_col(df, "phone", salt)
 
 
 def load_landing(rows: DataFrame, layout: Layout, run_id: str) -> Load:
@@ -101,9 +102,8 @@ def load_bronze(
     if metrics["total"] == 0:
         return Load(None, metrics)
 
-    rows = parse_coords(kept, schemas.COORDINATES)
-    if metrics["dropped"]:
-        rows = latest_per_key(rows, KEY, recency, tie_break)
+    # Survivors are picked on the stored text; only they are parsed.
+    rows = latest_per_key(kept, KEY, recency, tie_break) if metrics["dropped"] else kept
     rows = stamp(project(rows, schemas.ENTITY), schemas.BRONZE_TS, ts)
     path = layout.run("bronze", run_id)
     write_layer(rows, path, by=["state"])
@@ -133,7 +133,7 @@ def load_silver(
     """
     if on_fail not in ("raise", "quarantine"):
         raise ValueError(f"on_fail must be raise or quarantine, not {on_fail}")
-    clean = refine(bronze, salt)
+    clean = refine(bronze)
     rules = entity_rules(patterns)
     rules["accepted"] = ~(rules["bad_postal"] | rules["no_contact"])
     metrics = _one_row(quality_metrics(clean, KEY, rules))
@@ -149,7 +149,7 @@ def load_silver(
         .when(rules["no_contact"], "no_contact")
         .otherwise("accepted")
     )
-    rows = stamp(clean, schemas.SILVER_TS, ts).withColumn("verdict", verdict)
+    rows = stamp(mask(clean.withColumn("verdict", verdict), salt), schemas.SILVER_TS, ts)
     path = layout.run("silver", run_id)
     write_layer(rows, path, by=["verdict", "state"], rebalance=not unique)
     return Load(f"{path}/verdict=accepted" if metrics["accepted"] else None, metrics)
