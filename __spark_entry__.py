@@ -297,8 +297,10 @@ def flow_silver(spark, sf_dir):
 
 
 def dq_quarantine(spark, sf_dir):
-    quarantine = _silver_load(spark, sf_dir).path.replace("verdict=accepted", "verdict=bad_postal")
-    return sources.read_layer(spark, quarantine, schemas.ENTITY)
+    rejected = schemas.struct_of(
+        f"verdict {schemas.ENTITY_FIELDS}", {f.name: f.dataType for f in schemas.ENTITY}
+    )
+    return sources.read_layer(spark, _silver_load(spark, sf_dir).quarantine, rejected)
 
 
 def flow_gold(spark, sf_dir):

@@ -120,7 +120,8 @@ _FEED_QUERIES = {
     "dq_metrics": "SELECT duplicate_keys, bad_postal, no_contact, postal_missing FROM metrics",
     "dq_gate": """SELECT *, bad_postal AS issues, bad_postal = 0 AS passed,
       CAST(CASE WHEN bad_postal = 0 THEN 1 ELSE 0 END AS INT) AS fl_quality FROM metrics""",
-    "dq_quarantine": f"SELECT {SILVER_COLUMNS} FROM flagged WHERE bad_postal",
+    "dq_quarantine": f"""SELECT CASE WHEN bad_postal THEN 'bad_postal' ELSE 'no_contact' END AS verdict,
+      {SILVER_COLUMNS} FROM flagged WHERE bad_postal OR no_contact""",
     "win_percent_of_partition": _share("gold", f"{DIMS}, entity_count"),
     "win_row_number": f"SELECT {DIMS}, entity_count, CAST(rank AS BIGINT) AS rank FROM ranked",
     "win_top1": f"SELECT {DIMS}, entity_count FROM ranked WHERE rank = 1",

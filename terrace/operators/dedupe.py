@@ -50,12 +50,14 @@ def upsert(
     keys: Sequence[str],
     recency: Sequence[str] = (),
     tie_break: Sequence[str] | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """`old` with the rows of `new` put in: a key in both takes the new row.
 
-    Both sides meet the join with one row per key, so no key is hot there. A NULL
-    key never matches; drop such rows first.
+    `new` is cut to its newest row per key first; `unique` says that it has one row
+    per key already. `old` is unique as the result of earlier upserts, so no key is
+    hot in the join. A NULL key never matches; drop such rows first.
     """
-    fresh = latest_per_key(new, keys, recency, tie_break)
+    fresh = new if unique else latest_per_key(new, keys, recency, tie_break)
     kept = old.join(fresh.select(*keys), list(keys), "left_anti").select(*old.columns)
     return kept.unionByName(fresh.select(*old.columns))

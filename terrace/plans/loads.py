@@ -24,6 +24,7 @@ from terrace.operators import (
     reconcile_keys,
     rollup_count,
     stamp,
+    upsert,
 )
 from terrace.operators.quality import DEFAULT_LIMITS
 from terrace.schemas import Layout
@@ -40,10 +41,12 @@ class TruncatedLoadError(RuntimeError):
 
 @dataclass(frozen=True)
 class Load:
-    """What a load did. `path` is None where there was nothing to write."""
+    """What a load did. `path` is None where there was nothing to write; `quarantine`
+    holds the rejected rows of a silver load, if it kept any."""
 
     path: str | None
     metrics: Mapping[str, int] = field(default_factory=dict)
+    quarantine: str | None = None
 
 
 def _one_row(df: DataFrame) -> dict:
@@ -118,24 +121,30 @@ def load_silver(
     limits: Mapping[str, int] = DEFAULT_LIMITS,
     on_fail: str = "raise",
     salt: str = "",
+    previous: DataFrame | None = None,
     ts: datetime | None = None,
 ) -> Load:
-    """Refined, checked and unique rows, stored by verdict and state.
+    """Refined, checked and unique rows with a contact, stored by state.
 
     The totals are measured on all rows before anything is removed. With
-    `on_fail="raise"` a broken limit raises and nothing is written; with
-    `"quarantine"` bad rows go to their own verdict folder. `accepted` rows are the
-    silver layer, `bad_postal` the quarantine and `no_contact` the audit of rows
-    without any contact.
+    `on_fail="raise"` a broken limit raises and nothing is written. With
+    `"quarantine"` rows with a bad postal code stay out of silver, and they and the
+    rows without contact are stored by their verdict next to it.
 
-    When the totals show no duplicate id, as after a bronze load, the rows are
-    written straight from the scan without any shuffle of whole rows.
+    `previous` is the silver of an earlier run to merge into: its rows stay unless
+    this run has the same id.
+
+    When the totals show no duplicate id, as after a bronze load, the rows go straight
+    from the scan to the files of their state, without any shuffle of whole rows.
     """
     if on_fail not in ("raise", "quarantine"):
         raise ValueError(f"on_fail must be raise or quarantine, not {on_fail}")
     clean = refine(bronze)
     rules = entity_rules(patterns)
-    rules["accepted"] = ~(rules["bad_postal"] | rules["no_contact"])
+    rejected = rules["no_contact"]
+    if on_fail == "quarantine":
+        rejected = rejected | rules["bad_postal"]
+    rules |= {"rejected": rejected, "accepted": ~rejected}
     metrics = _one_row(quality_metrics(clean, KEY, rules))
     unique = metrics["duplicate_keys"] == 0
     if not unique:
@@ -144,15 +153,21 @@ def load_silver(
     if on_fail == "raise":
         check_gate(metrics, limits)
 
-    verdict = (
-        F.when(rules["bad_postal"], "bad_postal")
-        .when(rules["no_contact"], "no_contact")
-        .otherwise("accepted")
-    )
-    rows = stamp(mask(clean.withColumn("verdict", verdict), salt), schemas.SILVER_TS, ts)
-    path = layout.run("silver", run_id)
-    write_layer(rows, path, by=["verdict", "state"], rebalance=not unique)
-    return Load(f"{path}/verdict=accepted" if metrics["accepted"] else None, metrics)
+    path = quarantine = None
+    if metrics["accepted"]:
+        path = layout.run("silver", run_id)
+        rows = stamp(mask(clean.filter(~rejected), salt), schemas.SILVER_TS, ts)
+        if previous is not None:
+            rows = upsert(previous, rows, KEY, unique=True)
+        write_layer(rows, path, by=["state"], rebalance=previous is not None or not unique)
+    if metrics["rejected"] and on_fail == "quarantine":
+        # A pass of its own: written along with silver, the few rejected rows of every
+        # task would end in as many tiny files.
+        quarantine = layout.run("quarantine", run_id)
+        verdict = F.when(rules["bad_postal"], "bad_postal").otherwise("no_contact")
+        rows = mask(clean.filter(rejected).withColumn("verdict", verdict), salt)
+        write_layer(stamp(rows, schemas.SILVER_TS, ts), quarantine, by=["verdict"])
+    return Load(path, metrics, quarantine)
 
 
 def load_gold(silver: DataFrame, layout: Layout, run_id: str, ts: datetime | None = None) -> Load:
@@ -177,22 +192,38 @@ def run_loads(
     limits: Mapping[str, int] = DEFAULT_LIMITS,
     on_fail: str = "raise",
     salt: str = "",
+    previous: DataFrame | None = None,
     ts: datetime | None = None,
 ) -> dict[str, Load]:
     """Landing, bronze, silver and gold in turn. A load that raises or has nothing to
     write stops the ones after it; layers published by earlier runs stay as they are."""
     done = {"landing": load_landing(pages, layout, run_id)}
-    landed = read_layer(spark, done["landing"].path, pages.schema)
     done["bronze"] = load_bronze(
-        landed, layout, run_id, listed_pages, total_pages, recency, tie_break, allow_truncated, ts
+        read_layer(spark, done["landing"].path, pages.schema),
+        layout,
+        run_id,
+        listed_pages=listed_pages,
+        total_pages=total_pages,
+        recency=recency,
+        tie_break=tie_break,
+        allow_truncated=allow_truncated,
+        ts=ts,
     )
     if done["bronze"].path is None:
         return done
-    bronze = read_layer(spark, done["bronze"].path, schemas.BRONZE)
-    done["silver"] = load_silver(bronze, layout, run_id, patterns, limits, on_fail, salt, ts)
+    done["silver"] = load_silver(
+        read_layer(spark, done["bronze"].path, schemas.BRONZE),
+        layout,
+        run_id,
+        patterns=patterns,
+        limits=limits,
+        on_fail=on_fail,
+        salt=salt,
+        previous=previous,
+        ts=ts,
+    )
     if done["silver"].path is None:
         return done
     silver = read_layer(spark, done["silver"].path, schemas.SILVER)
     done["gold"] = load_gold(silver, layout, run_id, ts)
     return done
-

@@ -16,6 +16,8 @@ def build_session(app: str, master: str | None = None, shuffle_partitions: int |
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        # Building a plan makes many small calls; noting the line of each is slow.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)

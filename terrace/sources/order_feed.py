@@ -4,54 +4,49 @@ have gaps and errors."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-PAGE_ROWS = 50
-
-
-def _text(c: Column) -> Column:
-    return c.cast("string")
+from pyspark.sql import DataFrame, SparkSession
+
+# The columns that the feed uses. A given schema spares a footer read per table.
+_TABLES = {
+    "orders": "o_orderkey LONG, o_custkey LONG, o_orderdate TIMESTAMP_NTZ",
+    "customer": "c_custkey LONG, c_nationkey INT, c_mktsegment STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "region": "r_regionkey INT, r_name STRING",
+}
+
+_RECORD = {
+    "seq": "o_orderkey",
+    "page": "o_orderkey DIV 50 + 1",
+    "seen_at": "o_orderdate",
+    "id": "CASE WHEN o_orderkey % 97 <> 0 THEN string(o_custkey) END",
+    "name": "'Chain_' || o_custkey % 3",
+    "category": "c_mktsegment",
+    "street": "c_nationkey || ' Main St'",
+    "city": "'City_' || o_custkey % 5",
+    "state": "n_name",
+    "postal_code": """CASE o_orderkey % 5
+        WHEN 0 THEN lpad(string(o_custkey), 5, '0')
+        WHEN 1 THEN lpad(string(o_custkey), 5, '0') || '-0001'
+        WHEN 2 THEN lpad(string(o_custkey), 5, '0') || '-'
+        WHEN 3 THEN 'X' || o_custkey END""",
+    "country": "CASE r_name WHEN 'AMERICA' THEN 'United States' ELSE r_name END",
+    "longitude": """CASE WHEN o_orderkey % 11 = 0 THEN '' WHEN o_orderkey % 13 = 0 THEN 'n/a'
+        ELSE '-' || o_orderkey % 180 || '.25' END""",
+    "latitude": "CASE WHEN o_orderkey % 11 <> 0 THEN o_orderkey % 90 || '.5' END",
+    "phone": "CASE WHEN o_orderkey % 3 <> 0 THEN '555' || lpad(string(o_custkey), 7, '0') END",
+    "website_url": "CASE WHEN o_orderkey % 4 <> 0 THEN 'http://e' || o_custkey || '.example' END",
+    "page_failed": "false",
+}
 
 
 def order_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw records with `seq` (unique), `page`, `page_failed` (never) and `seen_at`."""
-
-    def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-    joined = (
-        table("orders")
-        .join(table("customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    orders, customer, nation, region = (
+        spark.read.schema(schema).parquet(f"{sf_dir}/{name}.parquet") for name, schema in _TABLES.items()
     )
-    order, customer = F.col("o_orderkey"), F.col("o_custkey")
-    code = F.lpad(_text(customer), 5, "0")
-    return joined.select(
-        order.alias("seq"),
-        (F.floor(order / PAGE_ROWS) + 1).alias("page"),
-        F.col("o_orderdate").alias("seen_at"),
-        F.when(order % 97 != 0, _text(customer)).alias("id"),
-        F.concat(F.lit("Chain_"), _text(customer % 3)).alias("name"),
-        F.col("c_mktsegment").alias("category"),
-        F.concat(_text(F.col("c_nationkey")), F.lit(" Main St")).alias("street"),
-        F.concat(F.lit("City_"), _text(customer % 5)).alias("city"),
-        F.col("n_name").alias("state"),
-        F.when(order % 5 == 0, code)
-        .when(order % 5 == 1, F.concat(code, F.lit("-0001")))
-        .when(order % 5 == 2, F.concat(code, F.lit("-")))
-        .when(order % 5 == 3, F.concat(F.lit("X"), _text(customer)))
-        .alias("postal_code"),
-        F.when(F.col("r_name") == "AMERICA", "United States").otherwise(F.col("r_name")).alias("country"),
-        F.when(order % 11 == 0, "")
-        .when(order % 13 == 0, "n/a")
-        .otherwise(F.concat(F.lit("-"), _text(order % 180), F.lit(".25")))
-        .alias("longitude"),
-        F.when(order % 11 != 0, F.concat(_text(order % 90), F.lit(".5"))).alias("latitude"),
-        F.when(order % 3 != 0, F.concat(F.lit("555"), F.lpad(_text(customer), 7, "0"))).alias("phone"),
-        F.when(order % 4 != 0, F.concat(F.lit("http://e"), _text(customer), F.lit(".example"))).alias(
-            "website_url"
-        ),
-        F.lit(False).alias("page_failed"),
+    return (
+        orders.join(customer, orders.o_custkey == customer.c_custkey)
+        .join(nation, customer.c_nationkey == nation.n_nationkey)
+        .join(region, nation.n_regionkey == region.r_regionkey)
+        .selectExpr(*[f"{text} AS {name}" for name, text in _RECORD.items()])
     )

@@ -74,14 +74,14 @@ def test_chain(spark, pages, tmp_path):
         "bad_postal": 0,
         "no_contact": 1,
         "postal_missing": 0,
+        "rejected": 1,
         "accepted": 2,
     }
     silver = {r.id: r for r in _layer(spark, done["silver"], schemas.SILVER).collect()}
     assert set(silver) == {"1", "2"}
     assert (silver["1"].name, silver["1"].state, silver["2"].state) == ("chain a", "iowa", "ohio")
     assert silver["1"].phone.startswith("91a73fd8") and silver["2"].phone is None
-    audit = done["silver"].path.replace("accepted", "no_contact")
-    assert [r.id for r in sources.read_layer(spark, audit, schemas.SILVER).collect()] == ["3"]
+    assert done["silver"].quarantine is None
     gold = _layer(spark, done["gold"], schemas.GOLD)
     assert gold.agg(F.sum("entity_count")).first()[0] == 2
     assert gold.columns == schemas.GOLD.names
@@ -104,12 +104,12 @@ def test_quarantine_keeps_every_row(spark, pages, tmp_path):
     bad = [_record("2", postal_code="123"), _record("3", postal_code="9", phone=None)]
     folder = pages(1, [_record("1"), *bad, _record("4", phone=None), _record("5", postal_code=None)])
     done = _run(spark, folder, tmp_path / "lake", on_fail="quarantine")
-    path = done["silver"].path
-    found = {
-        v: sorted(r.id for r in sources.read_layer(spark, path.replace("accepted", v), schemas.SILVER).collect())
-        for v in ("accepted", "bad_postal", "no_contact")
-    }
-    assert found == {"accepted": ["1", "5"], "bad_postal": ["2", "3"], "no_contact": ["4"]}
+    silver = _layer(spark, done["silver"], schemas.SILVER).collect()
+    assert sorted(r.id for r in silver) == ["1", "5"]
+    kept_aside = spark.read.parquet(done["silver"].quarantine)
+    found = sorted((r.verdict, r.id) for r in kept_aside.collect())
+    assert found == [("bad_postal", "2"), ("bad_postal", "3"), ("no_contact", "4")]
+    assert all(len(r.phone) == 64 for r in kept_aside.filter("phone IS NOT NULL").collect())
     assert done["silver"].metrics["bad_postal"] == 2 and done["silver"].metrics["no_contact"] == 2
     assert done["silver"].metrics["postal_missing"] == 1
 
@@ -184,6 +184,20 @@ def test_silver_of_unique_bronze_needs_no_wide_shuffle(spark, pages, tmp_path):
     assert len(bronze) == len(silver) == 4
 
 
+def test_merge_into_the_previous_silver(spark, pages, tmp_path):
+    layout = Layout(str(tmp_path / "lake"))
+    folder = pages(1, [_record("1"), _record("2")])
+    first = _run(spark, folder, layout.root)["silver"]
+    folder = pages(1, [_record("2", city="Boone", state="Ohio"), _record("3")])
+    bronze = _run(spark, folder, layout.root, "r2")["bronze"]
+    again = _layer(spark, bronze, schemas.BRONZE)
+    for run_id, before in (("r3", first), ("r4", None)):
+        previous = _layer(spark, before or merged, schemas.SILVER)  # noqa: F821
+        merged = plans.load_silver(again, layout, run_id, previous=previous)
+        rows = _layer(spark, merged, schemas.SILVER).collect()
+        assert sorted((r.id, r.city) for r in rows) == [("1", "ames"), ("2", "boone"), ("3", "ames")]
+
+
 def test_fixed_stamp_reaches_all_layers(spark, pages, tmp_path):
     from datetime import datetime
 
