@@ -147,9 +147,9 @@ def snk_namespaces(spark, sf_dir):
     sinks.create_namespaces(spark)
     silver_path = f"{root}/silver"
     sinks.write_layer(silver(spark, sf_dir), silver_path, by=["state"])
-    sinks.publish_table(spark, "silver.entities", silver_path, schemas.ENTITY, by=["state"])
+    sinks.publish_table(spark, "silver.entities", "r1", silver_path, schemas.ENTITY, by=["state"])
     load = plans.load_gold(spark.table("silver.entities"), Layout(root), "r1")
-    sinks.publish_table(spark, "gold.entities_by_place", load.path, schemas.GOLD)
+    sinks.publish_table(spark, "gold.entities_by_place", "r1", load.path, schemas.GOLD)
     return spark.sql(
         """SELECT 'silver' AS namespace, count(*) AS entities FROM silver.entities
         UNION ALL

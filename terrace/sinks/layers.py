@@ -30,16 +30,24 @@ def create_namespaces(spark: SparkSession, names: Iterable[str] = ("silver", "go
 
 
 def publish_table(
-    spark: SparkSession, name: str, path: str, schema: StructType, by: Sequence[str] = ()
+    spark: SparkSession, name: str, run_id: str, path: str, schema: StructType, by: Sequence[str] = ()
 ) -> None:
-    """Point the catalog table `name` at a finished run. Only metadata is touched; the
-    run that was published before keeps its files."""
+    """Let the catalog name `name` show a finished run.
+
+    The run becomes the table `name__run_id` over its files, and the view `name` is
+    replaced to read it. The replacement is one catalog update: a reader sees the old
+    run or the new one, never none. Earlier runs keep their tables and files.
+    """
+    table = f"{name}__{run_id}"
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-    partitioning = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in by)})" if by else ""
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet{partitioning} LOCATION '{path}'")
+    partitioning = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in by)})" if by else ""
+    location = path.replace("'", "\\'")
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet {partitioning} LOCATION '{location}'")
     if by:
-        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    names = ", ".join(f"`{f.name}`" for f in schema)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {names} FROM {table}")
 
 
 def compact(

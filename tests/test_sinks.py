@@ -23,8 +23,10 @@ def test_partition_values_stay_text(spark, tmp_path):
     assert _rows(sources.read_layer(spark, path, SCHEMA)) == [("1", "01"), ("2", "1"), ("3", None), ("4", None)]
     sinks.create_namespaces(spark)
     sinks.create_namespaces(spark)
-    sinks.publish_table(spark, "silver.sink_test", path, SCHEMA, by=["state"])
-    assert _rows(spark.table("spark_catalog.silver.sink_test").select("id", "state"))[0] == ("1", "01")
+    sinks.publish_table(spark, "silver.sink_test", "r1", path, SCHEMA, by=["state"])
+    assert _rows(spark.table("spark_catalog.silver.sink_test"))[0] == ("1", "01")
+    one = spark.table("silver.sink_test").filter("state = '01'")
+    assert "PartitionFilters: [isnotnull(state" in one._jdf.queryExecution().executedPlan().toString()
 
 
 def test_publish_moves_to_the_new_run_and_keeps_the_old_files(spark, tmp_path):
@@ -32,9 +34,9 @@ def test_publish_moves_to_the_new_run_and_keeps_the_old_files(spark, tmp_path):
     for run, n in (("r1", 3), ("r2", 5)):
         path = str(tmp_path / run)
         sinks.write_layer(spark.range(n).toDF("id"), path)
-        sinks.publish_table(spark, "gold.run_test", path, spark.range(1).toDF("id").schema)
+        sinks.publish_table(spark, "gold.run_test", run, path, spark.range(1).toDF("id").schema)
         assert spark.sql("SELECT count(*) FROM gold.run_test").first()[0] == n
-    assert spark.read.parquet(str(tmp_path / "r1")).count() == 3
+    assert spark.table("gold.run_test__r1").count() == 3
 
 
 def test_one_file_per_small_partition(spark, tmp_path):
@@ -109,7 +111,7 @@ def test_sql_on_published_gold_equals_the_kpis(spark, tmp_path):
     path = str(tmp_path / "gold")
     sinks.write_layer(gold, path)
     sinks.create_namespaces(spark)
-    sinks.publish_table(spark, "gold.kpi_test", path, gold.schema)
+    sinks.publish_table(spark, "gold.kpi_test", "r1", path, gold.schema)
     table = spark.table("gold.kpi_test")
     by_state = spark.sql("SELECT state, sum(entity_count) n FROM gold.kpi_test GROUP BY state ORDER BY n DESC")
     assert by_state.collect() == plans.total_by(table, "state", out="n").collect()
