@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from terrace.functions import percentage
 from terrace.session import scratch_dir
 
+_GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
+
 
 def with_group_total(df: DataFrame, by: Sequence[str], measure: str, out: str) -> DataFrame:
     """Each row with the total of `measure` over its group.
@@ -42,8 +44,13 @@ def top_n(df: DataFrame, by: Sequence[str], order: Sequence[Column], n: int = 1)
     """The first `n` rows of each group.
 
     Planned as WindowGroupLimit before and after the shuffle, so a task sends at
-    most `n` rows per group. `order` must be total for a repeatable result.
+    most `n` rows per group. Spark does that up to a limit of `n`; beyond it the rows
+    are numbered the way that splits hot groups. `order` must be total for a
+    repeatable result.
     """
+    limit = int(df.sparkSession.conf.get(_GROUP_LIMIT, "1000"))
+    if n > limit:
+        return number_rows(df, by, order, "_nth").filter(F.col("_nth") <= n).drop("_nth")
     w = Window.partitionBy(*by).orderBy(*order)
     return df.withColumn("_nth", F.row_number().over(w)).filter(F.col("_nth") <= n).drop("_nth")
 

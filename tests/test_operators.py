@@ -191,7 +191,7 @@ def test_sliced_row_numbers_split_the_hot_group(spark, measures):
 
 def test_top_n(measures):
     rows, df = measures
-    for n in (1, 3):
+    for n in (1, 3, 1000, 1001):
         expected = sorted((r for g in _groups(rows).values() for r in g[:n]), key=repr)
         assert _rows(op.top_n(df, ["state"], order(), n)) == expected
 

@@ -1,6 +1,7 @@
 """Every registered query against its DuckDB text, on whole tables."""
 
 import math
+import os
 from decimal import Decimal
 
 import duckdb
@@ -12,7 +13,7 @@ TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
-SF_DIR = "/root/testdata/sf0.01"
+SF_DIR = os.environ.get("SIDE_BY_SIDE_SF_DIR", "/root/testdata/sf0.01")
 
 
 def _plain(value):
