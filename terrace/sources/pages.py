@@ -74,25 +74,27 @@ def page_boundary(pages: DataFrame, total_pages: int | None = 10) -> DataFrame:
     from 1; the boundary is the first one that is absent or failed, at most
     `total_pages + 1`. With `total_pages=None` all pages seen are wanted.
 
-    A page is the first missing one after the prefix when its predecessor is good and
-    it is not, so an anti join of good pages with their successors finds it; the page
-    numbers are combined on the map side and never gathered in one place.
+    Every page seen marks itself and, if it is good, the page after it. A page that
+    follows a good one and is not good itself is a gap, and the first gap is the
+    boundary. That takes one pass over the records, combined on the map side, and no
+    join; the page numbers are never gathered in one place.
     """
     wanted = F.col(PAGE).between(1, total_pages) if total_pages else F.col(PAGE) >= 1
-    seen = pages.filter(wanted).groupBy(PAGE).agg(F.max(FAILED).alias(FAILED))
-    good = seen.filter(~F.col(FAILED)).select(PAGE)
-    spark = pages.sparkSession
-    successors = good.select((F.col(PAGE) + 1).alias(PAGE)).union(spark.range(1, 2, 1, 1).toDF(PAGE))
-    first_gap = successors.join(good, PAGE, "left_anti").agg(F.min(PAGE)).scalar()
-    last_wanted = F.lit(total_pages).cast("long") if total_pages else F.coalesce(F.max(PAGE), F.lit(0))
-    return (
-        seen.agg(last_wanted.alias("_last"))
-        .select(first_gap.alias("boundary"), "_last")
-        .select(
-            "boundary",
-            (F.col("boundary") - 1).alias("pages_read"),
-            (F.col("boundary") <= F.col("_last")).alias("truncated"),
-        )
+    seen = pages.filter(wanted).groupBy(PAGE).agg((~F.max(FAILED)).alias("good"))
+    marks = seen.selectExpr(
+        f"""stack(2, {PAGE}, good, false, {PAGE}, {PAGE} + 1, false, good, CAST(NULL AS LONG))
+        AS ({PAGE}, good, next, seen)"""
+    )
+    start = pages.sparkSession.range(1, 2, 1, 1).selectExpr("id", "false", "true", "cast(null AS long)")
+    per_page = marks.union(start).groupBy(PAGE).agg(
+        F.max("good").alias("good"), F.max("next").alias("next"), F.max("seen").alias("seen")
+    )
+    gap = F.when(F.col("next") & ~F.col("good"), F.col(PAGE))
+    last = F.lit(total_pages).cast("long") if total_pages else F.coalesce(F.max("seen"), F.lit(0))
+    return per_page.agg(F.min(gap).alias("boundary"), last.alias("_last")).select(
+        "boundary",
+        (F.col("boundary") - 1).alias("pages_read"),
+        (F.col("boundary") <= F.col("_last")).alias("truncated"),
     )
 
 
