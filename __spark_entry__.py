@@ -73,9 +73,9 @@ def src_page_report(spark, sf_dir):
 
 
 def _write_page_files(spark, sf_dir, label) -> str:
-    """The whole feed as JSON page files: 64 pages, one folder each."""
+    """The whole feed as JSON page files: up to 64 pages, one folder each."""
     path = f"{scratch_dir(spark, label)}/pages"
-    raw = order_feed(spark, sf_dir).select(*FIELDS, (F.col("page") % 64 + 1).alias("page"))
+    raw = order_feed(spark, sf_dir).select(*FIELDS, ((F.col("page") - 1) % 64 + 1).alias("page"))
     raw.hint("rebalance", "page").write.partitionBy("page").json(path)
     return path
 
