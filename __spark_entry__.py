@@ -21,6 +21,15 @@ from terrace.session import scratch_dir  # noqa: E402
 from terrace.sources.order_feed import order_feed  # noqa: E402
 from terrace.streaming import land_new_pages  # noqa: E402
 
+try:
+    import corpus_pipeline  # noqa: F401
+    from terrace.llm import registry as llm_registry
+except ModuleNotFoundError as gone:
+    # Only the absence of the subpackage itself is allowed.
+    if gone.name not in {"corpus_pipeline", "terrace.llm"}:
+        raise
+    llm_registry = None
+
 SF_DIR = "/root/testdata/sf0.001"
 FIELDS = schemas.RAW.names
 # In this feed `seen_at` and then the unique `seq` say which record of an id is newest.
@@ -401,8 +410,8 @@ def queries() -> dict[str, Query]:
         "doc_enforce_schema": doc_enforce_schema,
         "doc_incremental": doc_incremental,
         "doc_postal_by_country": doc_postal_by_country,
-    }
+    } | (llm_registry.QUERIES if llm_registry else {})
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(TEXTS)
+    return dict(TEXTS) | (llm_registry.SQL if llm_registry else {})
