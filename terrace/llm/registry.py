@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import linededup, packing, quality, toxicity
+from terrace.llm import linededup, packing, quality, toxicity, warc
+from terrace.session import scratch_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +17,12 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_dir(spark, "warc")
+    warc.write_warc(table(spark, sf_dir, "pages"), root)
+    return warc.read_warc(spark, root).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -32,12 +39,19 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op7_warc": op7_warc,
     "op8_toxicity": op8_toxicity,
     "op9_line_dedup": op9_line_dedup,
     "op10_packing": op10_packing,
 }
 
 SQL: dict[str, str] = {
+    "op7_warc": """WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS digest FROM pages),
+first AS (SELECT digest, min(page_id) AS low FROM p WHERE n >= 100 GROUP BY digest)
+SELECT page_id, n AS payload_bytes, p.digest AS payload_digest,
+    CASE WHEN page_id <> low THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN page_id <> low THEN low END AS refers_to
+FROM p LEFT JOIN first USING (digest)""",
     "op9_line_dedup": r"""WITH lines AS (
     SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS k FROM documents),
