@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import linededup, packing, quality, toxicity, warc
+from terrace.llm import linededup, packing, quality, toxicity, vafile, warc
 from terrace.session import scratch_dir
 
 
@@ -17,6 +17,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vafile.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "warc")
     warc.write_warc(table(spark, sf_dir, "pages"), root)
@@ -39,6 +43,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op2_top_k": op2_top_k,
     "op7_warc": op7_warc,
     "op8_toxicity": op8_toxicity,
     "op9_line_dedup": op9_line_dedup,
@@ -46,6 +51,13 @@ QUERIES = {
 }
 
 SQL: dict[str, str] = {
+    "op2_top_k": """WITH v AS (SELECT DISTINCT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS v
+    FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len([x for x in embedding if x IS NULL OR isnan(x) OR isinf(x)]) = 0),
+pairs AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM pairs)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20""",
     "op7_warc": """WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS digest FROM pages),
 first AS (SELECT digest, min(page_id) AS low FROM p WHERE n >= 100 GROUP BY digest)
 SELECT page_id, n AS payload_bytes, p.digest AS payload_digest,
