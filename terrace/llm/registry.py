@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import language, linededup, packing, quality, toxicity, vafile, warc
+from terrace.llm import decontam, language, linededup, packing, quality, toxicity, vafile, warc
 from terrace.session import scratch_dir
 
 
@@ -25,6 +25,10 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "warc")
     warc.write_warc(table(spark, sf_dir, "pages"), root)
@@ -49,6 +53,7 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op2_top_k": op2_top_k,
     "op3_language": op3_language,
+    "op4_decontamination": op4_decontamination,
     "op7_warc": op7_warc,
     "op8_toxicity": op8_toxicity,
     "op9_line_dedup": op9_line_dedup,
