@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import decontam, language, linededup, packing, quality, toxicity, vafile, warc
+from terrace.llm import decontam, language, linededup, packing, quality, suffix, toxicity, vafile, warc
 from terrace.session import scratch_dir
 
 
@@ -29,6 +29,18 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = suffix.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return rows.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "warc")
     warc.write_warc(table(spark, sf_dir, "pages"), root)
@@ -54,6 +66,7 @@ QUERIES = {
     "op2_top_k": op2_top_k,
     "op3_language": op3_language,
     "op4_decontamination": op4_decontamination,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op7_warc": op7_warc,
     "op8_toxicity": op8_toxicity,
     "op9_line_dedup": op9_line_dedup,
