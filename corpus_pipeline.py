@@ -1,9 +1,64 @@
-"""The corpus pipeline: stages over `documents`, each written and read again."""
+"""The corpus pipeline: toxicity, line dedup, near-dedup, decontamination, packing.
+
+Each stage takes all documents that its predecessor kept and is written as Parquet before
+the next one reads it. All stages but the last return the columns of `documents`; `n_chars`
+follows a text that lost lines. A document whose lines all go stays as an empty one.
+"""
 
 from __future__ import annotations
 
-from terrace.llm import packing
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from terrace.llm import decontam, linededup, neardup, packing, toxicity
+from terrace.llm.common import stored
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    return toxicity.drop_toxic(docs, _table(spark, sf_dir, "labels"))
+
+
+def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated lines go, but for one holder of each."""
+    kept = linededup.drop_repeated_lines(docs)
+    changed = F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return kept.withColumn("n_chars", changed).select(*docs.columns)
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays."""
+    return neardup.keep_one(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontam.drop_contaminated(docs, _table(spark, sf_dir, "benchmark"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the remaining documents in sequences."""
+    return packing.pack(docs)
+
 
 STAGES = [
-    ("packing", lambda spark, docs, sf_dir: packing.pack(docs)),
+    ("toxicity", drop_toxic),
+    ("line_dedup", drop_lines),
+    ("near_dedup", drop_copies),
+    ("decontamination", drop_contaminated),
+    ("packing", pack),
 ]
+
+# Classifier, sampling and alignment are beyond SQL; the tests compare with plain Python.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        rows = stored(stage(spark, rows, sf_dir), f"pipeline-{name}")
+    return rows

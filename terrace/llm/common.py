@@ -40,12 +40,26 @@ def row_key(text: str = "text") -> Column:
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")), F.col(text).isNull())
 
 
+def fresh(names: list[str], wanted: str) -> str:
+    """`wanted`, with underscores added until no column has that name."""
+    while wanted.lower() in {n.lower() for n in names}:
+        wanted += "_"
+    return wanted
+
+
+def _column(batch: pa.RecordBatch, name: str) -> pa.Array:
+    """A column, or with `outer.inner` a field of a struct column."""
+    outer, _, inner = name.partition(".")
+    column = batch.column(batch.schema.get_field_index(outer))
+    return column.field(inner) if inner else column
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most `most` bytes of text, or one row."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        column = batch.column(batch.schema.get_field_index(text))
+        column = _column(batch, text)
         sizes = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
         start = 0
         while start < batch.num_rows:
@@ -57,7 +71,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = SL
 
 def texts_of(batch: pa.RecordBatch, text: str = "text") -> list[str]:
     """The texts of a batch; NULL is empty."""
-    return [t or "" for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
+    return [t or "" for t in _column(batch, text).to_pylist()]
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from terrace.llm.common import mixed, powers, slices, texts_of
+from terrace.llm.common import fresh, mixed, powers, slices, texts_of
 
 Q = 12
 BUDGET = 0.05
@@ -175,39 +175,35 @@ def indexes(benchmark: DataFrame, block_chars: int) -> Iterator[Broadcast]:
         yield benchmark.sparkSession.sparkContext.broadcast(Index([tuple(r) for r in rows], Q, BUDGET))
 
 
-def with_matches(docs: DataFrame, index: Broadcast) -> DataFrame:
-    """A struct `row` with all columns of the documents, and `matches` with the items of
+def with_matches(docs: DataFrame, index: Broadcast, name: str) -> DataFrame:
+    """All columns of the documents, and as column `name` the matches with the items of
     one block."""
-    names = ("item_id", "edits", "start", "end")
-    match = StructType([StructField(name, LongType()) for name in names])
-    arrow_type = pa.list_(pa.struct([(name, pa.int64()) for name in names]))
+    fields = ("item_id", "edits", "start", "end")
+    match = StructType([StructField(field, LongType()) for field in fields])
+    arrow_type = pa.list_(pa.struct([(field, pa.int64()) for field in fields]))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = index.value.items
         for batch in slices(batches):
             found = [index.value.matches(normalised(text)) for text in texts_of(batch)]
-            out = [[dict(zip(names, (items[i][0], *m))) for i, *m in own] for own in found]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, arrow_type)], ["row", "matches"])
+            out = [[dict(zip(fields, (items[i][0], *m))) for i, *m in own] for own in found]
+            yield batch.append_column(name, pa.array(out, arrow_type))
 
-    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
-    schema = StructType().add("row", docs.schema).add("matches", ArrayType(match))
-    return docs.select(row, F.col("text")).mapInArrow(find, schema)
+    return docs.mapInArrow(find, StructType([*docs.schema, StructField(name, ArrayType(match))]))
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """doc_id, item_id, edits, start, end of every retained and verified region; places
     are those in the normalised text."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    found = [
-        with_matches(docs, index).select(F.col("row.doc_id").alias("doc_id"), F.explode("matches").alias("m"))
-        for index in indexes(benchmark, block_chars)
-    ]
-    return reduce(DataFrame.unionByName, found).select("doc_id", "m.*")
+    parts = [with_matches(docs, index, "found").select("doc_id", F.explode("found").alias("m")) for index in indexes(benchmark, block_chars)]
+    return reduce(DataFrame.unionByName, parts).select("doc_id", "m.*")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The documents, all columns, that hold no item. Each block of items filters what the
     earlier ones left."""
+    found = fresh(docs.columns, "found")
     for index in indexes(benchmark, block_chars):
-        docs = with_matches(docs, index).filter(F.size("matches") == 0).select("row.*")
+        docs = with_matches(docs, index, found).filter(F.size(found) == 0).drop(found)
     return docs

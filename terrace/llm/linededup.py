@@ -83,9 +83,8 @@ class PerfectHash:
 
     @staticmethod
     def spots(h1: np.ndarray, h2: np.ndarray, level: int, size: int) -> np.ndarray:
-        with np.errstate(over="ignore"):
-            salt = np.uint64(level + 1) * ODD
-            return (mixed(h1 ^ mixed(h2 + salt)) % np.uint64(size)).astype(np.int64)
+        salt = np.uint64((level + 1) * int(ODD) % (1 << 64))
+        return (mixed(h1 ^ mixed(h2 + salt)) % np.uint64(size)).astype(np.int64)
 
     @classmethod
     def of(cls, h1: np.ndarray, h2: np.ndarray, spread: float = 1.5) -> PerfectHash:
@@ -190,18 +189,18 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5)
     # Own names, as the input may have columns of any name.
     own = F.struct(*(F.col(f"`{c}`") for c in names)).alias("row")
     rows = docs.select(own, F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), row_key().alias("key"))
-    joined = rows.join(gone, ["id", "key"], "left").select(F.col("row.text").alias("text"), "lines", "row")
+    joined = rows.join(gone, ["id", "key"], "left").select("row", "lines")
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, "row.text"):
             texts, n_lines, n_dropped = [], [], []
-            for text, lost in zip(texts_of(batch), batch.column(1).to_pylist()):
+            for text, lost in zip(texts_of(batch, "row.text"), batch.column(1).to_pylist()):
                 lines = text.split("\n")
                 lost = set(lost or ())
                 n_lines.append(len(lines))
                 n_dropped.append(len(lost))
                 texts.append("\n".join(x for k, x in enumerate(lines) if k not in lost) if lost else text)
-            row = batch.column(2)
+            row = batch.column(0)
             columns = [pa.array(texts, pa.string()) if c == "text" else row.field(c) for c in names]
             yield pa.RecordBatch.from_arrays([pa.StructArray.from_arrays(columns, names), pa.array(n_lines), pa.array(n_dropped)], ["row", "n_lines", "n_dropped"])
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import decontam, language, linededup, packing, quality, suffix, toxicity, vafile, warc
+import corpus_pipeline
+from terrace.llm import decontam, language, linededup, neardup, packing, quality, suffix, toxicity, vafile, warc
 from terrace.session import scratch_dir
 
 
@@ -41,6 +42,10 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.classes(table(spark, sf_dir, "documents"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "warc")
     warc.write_warc(table(spark, sf_dir, "pages"), root)
@@ -62,11 +67,13 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
     "op1_quality": op1_quality,
     "op2_top_k": op2_top_k,
     "op3_language": op3_language,
     "op4_decontamination": op4_decontamination,
     "op5_suffix_dedup": op5_suffix_dedup,
+    "op6_near_dedup": op6_near_dedup,
     "op7_warc": op7_warc,
     "op8_toxicity": op8_toxicity,
     "op9_line_dedup": op9_line_dedup,

@@ -30,9 +30,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructType
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from terrace.llm.common import held_out, slices, texts_of
+from terrace.llm.common import fresh, held_out, slices, texts_of
 
 FOLDS, HELD_OUT, THRESHOLD = 4, 2, 0.3
 WORD = re.compile(r"[^\W\d_]+")
@@ -200,34 +200,25 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", prior: float
     return Model(wanted[best], weights[:-1] * scale, float(weights[-1] * scale + shift))
 
 
-def with_scores(docs: DataFrame, model: Model) -> DataFrame:
-    """A struct `row` with all columns of the documents, and `score`."""
+def with_scores(docs: DataFrame, model: Model, name: str) -> DataFrame:
+    """All columns of the documents, and their score as column `name`."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup = Lookup(model.features)
         for batch in slices(batches):
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.scores(lookup, texts_of(batch)))], ["row", "score"])
+            yield batch.append_column(name, pa.array(model.scores(lookup, texts_of(batch))))
 
-    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
-    schema = StructType().add("row", docs.schema).add("score", DoubleType())
-    return docs.select(row, F.col("text")).mapInArrow(score, schema)
+    return docs.mapInArrow(score, StructType([*docs.schema, StructField(name, DoubleType())]))
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> DataFrame:
     """doc_id, held_out, score, predicted of every document."""
-    model = train(docs, labels, label)
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lookup = Lookup(model.features)
-        for batch in slices(batches):
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.scores(lookup, texts_of(batch)))], ["doc_id", "score"])
-
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    scored = rows.mapInArrow(score, "doc_id long, score double")
+    scored = with_scores(rows, train(docs, labels, label), "score").drop("text")
     return scored.select("doc_id", held_out("doc_id", FOLDS, HELD_OUT).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, label: str = "toxic") -> DataFrame:
     """The documents, all columns, whose score is below the threshold."""
-    scored = with_scores(docs, train(docs, labels, label))
-    return scored.filter(F.col("score") < threshold).select("row.*")
+    score = fresh(docs.columns, "score")
+    return with_scores(docs, train(docs, labels, label), score).filter(F.col(score) < threshold).drop(score)
