@@ -177,12 +177,25 @@ def write_warc(pages: DataFrame, root: str, min_revisit: int = 100, roll_bytes:
     return spark.read.schema(MANIFEST).parquet(f"{root}/_manifest")
 
 
+def _members(data: bytes, step: int = 1 << 16) -> Iterator[bytes]:
+    """The contents of the gzip members, fed in small pieces so that what follows a member
+    is not copied over and over."""
+    view, at = memoryview(data), 0
+    while at < len(data):
+        inflate, parts = zlib.decompressobj(31), []
+        while not inflate.eof:
+            if at >= len(data):
+                raise ValueError("the archive breaks off inside a record")
+            piece = view[at : at + step]
+            parts.append(inflate.decompress(piece))
+            at += len(piece)
+        at -= len(inflate.unused_data)
+        yield b"".join(parts)
+
+
 def parse_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """(headers, block) of every record; sizes and block digests are verified."""
-    while data:
-        inflate = zlib.decompressobj(31)
-        record = inflate.decompress(data) + inflate.flush()
-        data = inflate.unused_data
+    for record in _members(data):
         head, _, rest = record.partition(b"\r\n\r\n")
         version, *lines = head.decode().split("\r\n")
         fields = dict(line.split(": ", 1) for line in lines)
