@@ -36,6 +36,7 @@ LONGEST = 24
 FLOOR = 1e-12
 CACHED = 400_000
 START = "▁"
+CODE_BITS = 21
 
 
 def default_vocabulary() -> str:
@@ -44,21 +45,42 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+@dataclass
+class Trie:
+    """The vocabulary's lower-case letter pieces. `keys` are the sorted transitions
+    (node << CODE_BITS | code point) to `nodes`; `piece` is a node's piece or -1. The number
+    of pieces also stands for the unknown one."""
+
+    keys: np.ndarray
+    nodes: np.ndarray
+    piece: np.ndarray
+    unknown: int
+
+    def step(self, node: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """The next node, or -1."""
+        key = node << CODE_BITS | code
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.nodes[at], -1)
+
+
 @functools.cache
-def pieces(path: str) -> tuple[dict[str, int], int]:
-    """Numbers of the vocabulary's lower-case letter pieces, with -1 for strings that only
-    begin one; and the number of pieces, which also stands for the unknown one."""
+def pieces(path: str) -> Trie:
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     known = [model.id_to_piece(k) for k in range(model.get_piece_size()) if not (model.is_control(k) or model.is_unknown(k) or model.is_byte(k))]
     known = [p for p in known if p == START or (p.removeprefix(START).isalpha() and p == p.lower())]
-    tree = {}
-    for p in known:
-        for n in range(1, len(p)):
-            tree.setdefault(p[:n], -1)
-    tree.update({p: k for k, p in enumerate(known)})
-    return tree, len(known)
+    node_of, piece = {"": 0}, [-1]
+    moves = {}
+    for number, text in enumerate(known):
+        for n in range(1, len(text) + 1):
+            if text[:n] not in node_of:
+                node_of[text[:n]] = len(piece)
+                piece.append(-1)
+                moves[node_of[text[: n - 1]] << CODE_BITS | ord(text[n - 1])] = node_of[text[:n]]
+        piece[node_of[text]] = number
+    keys = np.array(sorted(moves), np.int64)
+    return Trie(keys, np.array([moves[k] for k in keys.tolist()]), np.array(piece), len(known))
 
 
 def words_of(text: str) -> list[str]:
@@ -73,73 +95,77 @@ def parts_of(word: str) -> list[str]:
 
 
 class Lattice:
-    """All segmentations of many words: arcs (word, start, end, piece)."""
-
-    def __init__(self, words: list[str], tree: dict[str, int], unknown: int):
-        arcs = []
-        add, get = arcs.append, tree.get
-        for w, word in enumerate(words):
-            s = START + word
-            n = len(s)
-            for i in range(n):
-                base = (w << 10) | (i << 5)
-                for j in range(i + 1, n + 1):
-                    piece = get(s[i:j])
-                    if piece is None:
-                        if j == i + 1:
-                            add(((base | j) << 20) | unknown)
-                        break
-                    if piece >= 0:
-                        add(((base | j) << 20) | piece)
-                    elif j == i + 1:
-                        add(((base | j) << 20) | unknown)
-        packed = np.array(arcs, np.int64)
-        self.piece = packed & ((1 << 20) - 1)
-        self.end = (packed >> 20) & 31
-        self.start = (packed >> 25) & 31
-        self.word = packed >> 30
-        self.n_words = len(words)
-        self.lengths = np.array([len(w) + 1 for w in words])
+    """All segmentations of many words: arcs (word, start, end, piece). The places of all
+    words walk the trie together, one letter at a time."""
 
-    def _by(self, position: np.ndarray) -> list[np.ndarray]:
-        """Arc numbers by position, sorted by word within each."""
-        order = np.lexsort((self.word, position))
-        cuts = np.searchsorted(position[order], np.arange(LONGEST + 3))
-        return [order[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+    def __init__(self, words: list[str], trie: Trie):
+        self.n_words = len(words)
+        self.lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
+        codes = np.frombuffer((START + START.join(words)).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+        word = np.repeat(np.arange(self.n_words), self.lengths)
+        inside = np.arange(len(codes)) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
+        at, node = np.arange(len(codes)), np.zeros(len(codes), np.int64)
+        starts, ends, found = [], [], []
+        for size in range(1, LONGEST + 2):
+            node = trie.step(node, codes[at + size - 1])
+            piece = trie.piece[node]
+            piece[node < 0] = -1
+            if size == 1:
+                # Every letter is at least the unknown piece.
+                piece[piece < 0] = trie.unknown
+            hit = piece >= 0
+            starts.append(at[hit])
+            ends.append(inside[at[hit]] + size)
+            found.append(piece[hit])
+            go = (node >= 0) & (inside[at] + size < self.lengths[word[at]])
+            at, node = at[go], node[go]
+            if not len(at):
+                break
+        at = np.concatenate(starts)
+        # Sorted by word; the sorts by position below keep that order.
+        word = word[at]
+        order = np.argsort(word.astype(np.uint16) if self.n_words <= 1 << 16 else word, kind="stable")
+        at, self.word = at[order], word[order]
+        self.start = inside[at]
+        self.end, self.piece = np.concatenate(ends)[order], np.concatenate(found)[order]
+
+    def _sums(self, near: np.ndarray, far: np.ndarray, out: np.ndarray, p: np.ndarray, backward: bool = False) -> np.ndarray:
+        """Adds up `out` (positions * words, k) over the arcs, from place `far` to `near`."""
+        order = np.argsort(near.astype(np.uint8), kind="stable")
+        cuts = np.searchsorted(near[order], np.arange(LONGEST + 3))
+        groups = [order[a:b] for a, b in zip(cuts[:-1], cuts[1:]) if a < b]
+        for arcs in groups[::-1] if backward else groups:
+            words = self.word[arcs]
+            first = np.flatnonzero(np.concatenate([[True], words[1:] != words[:-1]]))
+            values = out.take(far[arcs] * self.n_words + words, axis=0) * p.take(arcs, axis=0)
+            out[near[arcs[0]] * self.n_words + words[first]] = np.add.reduceat(values, first, axis=0)
+        return out
 
     def forward(self, p: np.ndarray) -> np.ndarray:
-        """Sums (words, positions, k) over the ways from the start; `p` is (arcs, k)."""
-        alpha = np.zeros((self.n_words, LONGEST + 2, p.shape[1]))
-        alpha[:, 0] = 1
-        for arcs in self._by(self.end)[1:]:
-            if len(arcs):
-                self._add(alpha, arcs, self.end, alpha[self.word[arcs], self.start[arcs]] * p[arcs])
-        return alpha
+        """Sums (positions * words, k) over the ways from the start; `p` is (arcs, k)."""
+        alpha = np.zeros(((LONGEST + 2) * self.n_words, p.shape[1]))
+        alpha[: self.n_words] = 1
+        return self._sums(self.end, self.start, alpha, p)
 
     def backward(self, p: np.ndarray) -> np.ndarray:
-        beta = np.zeros((self.n_words, LONGEST + 2, p.shape[1]))
-        beta[np.arange(self.n_words), self.lengths] = 1
-        for arcs in self._by(self.start)[::-1]:
-            if len(arcs):
-                self._add(beta, arcs, self.start, beta[self.word[arcs], self.end[arcs]] * p[arcs])
-        return beta
-
-    def _add(self, out: np.ndarray, arcs: np.ndarray, position: np.ndarray, values: np.ndarray) -> None:
-        words = self.word[arcs]
-        first = np.flatnonzero(np.concatenate([[True], words[1:] != words[:-1]]))
-        out[words[first], position[arcs[0]]] += np.add.reduceat(values, first, axis=0)
+        beta = np.zeros(((LONGEST + 2) * self.n_words, p.shape[1]))
+        beta[self._last()] = 1
+        return self._sums(self.start, self.end, beta, p, backward=True)
+
+    def _last(self) -> np.ndarray:
+        return self.lengths * self.n_words + np.arange(self.n_words)
 
     def log_totals(self, probabilities: np.ndarray) -> np.ndarray:
         """Log probability of each word in each language; `probabilities` is (languages, pieces)."""
-        alpha = self.forward(probabilities.T[self.piece])
-        return np.log(alpha[np.arange(self.n_words), self.lengths])
+        return np.log(self.forward(probabilities.T.take(self.piece, axis=0))[self._last()])
 
     def expected(self, probabilities: np.ndarray, language: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Expected uses (languages, pieces) when word w occurs counts[w] times in language[w]."""
         p = probabilities[language[self.word], self.piece][:, None]
-        alpha, beta = self.forward(p), self.backward(p)
-        total = alpha[np.arange(self.n_words), self.lengths, 0]
-        use = counts[self.word] * alpha[self.word, self.start, 0] * p[:, 0] * beta[self.word, self.end, 0] / total[self.word]
+        alpha, beta = self.forward(p)[:, 0], self.backward(p)[:, 0]
+        total = alpha[self._last()]
+        use = alpha[self.start * self.n_words + self.word] * p[:, 0] * beta[self.end * self.n_words + self.word]
+        use *= (counts / total)[self.word]
         width = probabilities.shape[1]
         return np.bincount(language[self.word] * width + self.piece, use, probabilities.size).reshape(probabilities.shape)
 
@@ -178,7 +204,7 @@ class Model:
 def train(docs: DataFrame, vocabulary: str | None = None, rounds: int = 2, smoothing: float = 0.1) -> Model:
     """Learns from doc_id, text and lang of the rows outside the held-out fold."""
     path = vocabulary or default_vocabulary()
-    unknown = pieces(path)[1]
+    unknown = pieces(path).unknown
     known = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id", FOLDS, HELD_OUT))
     languages, sizes = zip(*known.groupBy("lang").count().orderBy("lang").collect()) if known.limit(1).count() else ((), ())
     place = {lang: k for k, lang in enumerate(languages)}
@@ -190,12 +216,11 @@ def train(docs: DataFrame, vocabulary: str | None = None, rounds: int = 2, smoot
 
         def expected(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             total = np.zeros(shared.value.shape)
-            tree, unknown = pieces(path)
             for batch in batches:
                 for start in range(0, batch.num_rows, 20_000):
                     part = batch.slice(start, 20_000)
                     language = np.array([place[x] for x in part.column(0).to_pylist()])
-                    total += Lattice(part.column(1).to_pylist(), tree, unknown).expected(shared.value, language, part.column(2).to_numpy())
+                    total += Lattice(part.column(1).to_pylist(), pieces(path)).expected(shared.value, language, part.column(2).to_numpy())
             at = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total.ravel()[at])], ["at", "n"])
 
@@ -213,7 +238,7 @@ class Scorer:
 
     def __init__(self, model: Model):
         self.model = model
-        self.tree, self.unknown = pieces(model.vocabulary)
+        self.trie = pieces(model.vocabulary)
         self._forget()
 
     def _forget(self) -> None:
@@ -233,7 +258,7 @@ class Scorer:
             out = np.zeros((len(own), self.table.shape[1]))
             if flat:
                 owner = np.repeat(np.arange(len(own)), [len(ps) for ps in parts])
-                np.add.at(out, owner, Lattice(flat, self.tree, self.unknown).log_totals(self.model.probabilities))
+                np.add.at(out, owner, Lattice(flat, self.trie).log_totals(self.model.probabilities))
             tables.append(out)
         for w in new:
             self.rows[w] = len(self.rows)
