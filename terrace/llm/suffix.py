@@ -23,7 +23,6 @@ row. Other columns are not read. A document must fit in memory.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,29 +36,38 @@ from terrace.llm.common import mixed, powers, row_key, slices, stored
 LENGTH = 200
 GRAM = 32
 GROUP = 4_096
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 BASES = (0x9E6C63D0676A9A99, 0xD1342543DE82EF95)
 NO_ID = -(1 << 63)
 ANCHORS = "id long, key long, start int, n int, anchor long, segment long"
 SPANS = "id long, key long, start long, stop long"
 
 
-@functools.lru_cache(maxsize=4)
-def _tables(base: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A random value per byte, powers of the base and of its inverse modulo 2^64."""
-    values = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(base))
-    return values, powers(base, size), powers(pow(base, -1, 1 << 64), size)
+_TABLES: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_LARGEST_TABLE = 1 << 21
+
+
+def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse modulo 2^64. One table per base is kept, of
+    bounded size; an unusually long text gets its own."""
+    if base not in _TABLES or len(_TABLES[base][0]) < size:
+        size = max(size, 1 << 16)
+        made = powers(base, size), powers(pow(base, -1, 1 << 64), size)
+        if size > _LARGEST_TABLE:
+            return made
+        _TABLES[base] = made
+    return _TABLES[base]
 
 
 class PrefixHash:
     """Polynomial hashes of all parts of a buffer."""
 
     def __init__(self, data: np.ndarray, base: int = BASES[0]):
-        # Sizes are rounded up so that few tables are made.
-        size = 1 << max(16, int(len(data)).bit_length())
-        values, power, self.inverse = _tables(base, size)
+        power, self.inverse = _powers(base, 1 << int(len(data)).bit_length())
+        values = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(base))[data]
+        values *= power[: len(data)]
         self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(values[data] * power[: len(data)], out=self.sums[1:])
+        np.cumsum(values, out=self.sums[1:])
 
     def of(self, start: np.ndarray, size) -> np.ndarray:
         return (self.sums[start + size] - self.sums[start]) * self.inverse[start]
@@ -115,7 +123,7 @@ def _buffer(batch: pa.RecordBatch, place: int) -> tuple[np.ndarray, np.ndarray]:
 
 def anchors(docs: DataFrame, length: int) -> DataFrame:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, most=CHUNK):
             data, bounds = _buffer(batch, 2)
             document, start, n, anchor, segment = segments_of(data, bounds, length)
             take = pa.array(document)
@@ -332,24 +340,24 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, group: int = GROUP) ->
                 ["anchor", "id", "key", "start", "n", "single", "bytes", "hot"],
             )
 
+    # Rows equal in id and text give their segments twice, but no segment of theirs is single.
     schema = "anchor long, id long, key long, start int, n int, single boolean, bytes binary, hot boolean"
-    # Rows equal in id and text are one here.
-    texts = docs.join(wanted, ["id", "key"]).select("id", "key", "text", "wanted").mapInArrow(cut, schema)
-    segments = stored(texts.dropDuplicates(["anchor", "id", "key", "start"]), "segment-bytes")
+    segments = docs.join(wanted, ["id", "key"]).select("id", "key", "text", "wanted").mapInArrow(cut, schema)
     parts = segments.filter("NOT hot").drop("hot").repartition("anchor").sortWithinPartitions("anchor")
-    fine = parts.mapInArrow(lambda batches: compared(batches, length), SPANS)
-    hot = _hot_spans(segments.filter("hot").drop("hot"), length)
-    return same.unionByName(copies).unionByName(fine).unionByName(hot)
+    spans = same.unionByName(copies).unionByName(parts.mapInArrow(lambda batches: compared(batches, length), SPANS))
+    if sizes.filter(F.col("group_size") > group).limit(1).count():
+        spans = spans.unionByName(_hot_spans(segments.filter("hot").drop("hot"), length))
+    return spans
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc_id, n_bytes, spans (start, stop of the maximal removed parts) and kept, the
     remaining bytes concatenated."""
+    # The same rows are shuffled by id for their segments and for their spans: Spark reuses
+    # the one exchange, as both joins stand in one plan.
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), row_key().alias("key"), "text")
     spans = repeated_spans(rows, length).groupBy("id", "key").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    own = own.select("doc_id", F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), row_key().alias("key"), "text")
-    joined = own.join(spans, ["id", "key"], "left").select("doc_id", "text", "spans")
+    joined = rows.join(spans, ["id", "key"], "left").select("id", "text", "spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -366,6 +374,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 spans.append([{"start": a, "stop": b} for a, b in zip(first.tolist(), stop.tolist())])
                 kept.append(text[~gone].tobytes())
             kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(bounds)), pa.array(spans, kind), pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "spans", "kept"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(bounds)), pa.array(spans, kind), pa.array(kept, pa.binary())], ["id", "n_bytes", "spans", "kept"])
 
-    return joined.mapInArrow(cut, "doc_id long, n_bytes long, spans array<struct<start: long, stop: long>>, kept binary")
+    out = joined.mapInArrow(cut, "id long, n_bytes long, spans array<struct<start: long, stop: long>>, kept binary")
+    return out.select(F.when(F.col("id") != NO_ID, F.col("id")).alias("doc_id"), "n_bytes", "spans", "kept")
