@@ -4,18 +4,20 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
+from pyspark.sql.types import LongType, TimestampNTZType
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from oracle_texts import TEXTS  # noqa: E402
 from terrace import operators as op  # noqa: E402
 from terrace import plans, schemas, sinks, sources  # noqa: E402
-from terrace.functions import POSTAL_US, coordinate_malformed, masked  # noqa: E402
+from terrace.functions import POSTAL_US, any_present, coordinate_malformed, masked  # noqa: E402
 from terrace.schemas import GOLD_DIMS, Layout  # noqa: E402
 from terrace.session import scratch_dir  # noqa: E402
 from terrace.sources.order_feed import order_feed  # noqa: E402
@@ -73,18 +75,17 @@ def _pages_with_a_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def src_page_prefix(spark, sf_dir):
     rows = _pages_with_a_loss(spark, sf_dir)
-    boundary = sources.page_boundary(rows, total_pages=None)
-    return sources.keep_page_prefix(rows, boundary).select("seq", "page", *FIELDS)
+    return sources.keep_page_prefix(rows, sources.page_boundary(rows)).select("seq", "page", *FIELDS)
 
 
 def src_page_report(spark, sf_dir):
-    return sources.page_boundary(_pages_with_a_loss(spark, sf_dir), total_pages=None)
+    return sources.page_boundary(_pages_with_a_loss(spark, sf_dir))
 
 
 def _write_page_files(spark, sf_dir, label) -> str:
-    """The whole feed as JSON page files: up to 64 pages, one folder each."""
+    """The whole feed as JSON page files under their page numbers, one folder each."""
     path = f"{scratch_dir(spark, label)}/pages"
-    raw = order_feed(spark, sf_dir).select(*FIELDS, ((F.col("page") - 1) % 64 + 1).alias("page"))
+    raw = order_feed(spark, sf_dir).select(*FIELDS, "page")
     raw.hint("rebalance", "page").write.partitionBy("page").json(path)
     return path
 
@@ -95,8 +96,8 @@ def src_page_files(spark, sf_dir):
     landing = plans.load_landing(rows, Layout(scratch_dir(spark, "page-files")), "r1")
     rows = sources.read_layer(spark, landing.path, rows.schema)
     pages = rows.select("page", "page_failed").unionByName(sources.list_pages(spark, path))
-    boundary = sources.page_boundary(pages, total_pages=None)
-    return sources.keep_page_prefix(rows, boundary).select(*FIELDS)
+    boundary = sources.page_boundary(pages)
+    return sources.keep_page_prefix(rows, boundary).select("page", *FIELDS)
 
 
 def src_json_map(spark, sf_dir):
@@ -173,6 +174,14 @@ def snk_compact(spark, sf_dir):
     return sources.read_layer(spark, f"{root}/v2", schemas.ENTITY)
 
 
+def snk_compact_hot(spark, sf_dir):
+    """Without clustering columns: a hash of the rows splits a hot folder."""
+    root = scratch_dir(spark, "compact")
+    sinks.write_layer(silver(spark, sf_dir), f"{root}/v1", by=["state"])
+    sinks.compact(spark, f"{root}/v1", f"{root}/v2", schemas.ENTITY, ["state"], file_bytes=16 * 1024)
+    return sources.read_layer(spark, f"{root}/v2", schemas.ENTITY)
+
+
 # --- projections and filters ----------------------------------------------------------
 
 
@@ -208,7 +217,7 @@ def prj_load_stamp(spark, sf_dir):
 
 
 def flt_drop_null_key(spark, sf_dir):
-    return op.drop_null_key(order_feed(spark, sf_dir)).select("seq", *FIELDS[:8])
+    return op.drop_null_key(order_feed(spark, sf_dir)).select("seq", *FIELDS)
 
 
 def flt_equality(spark, sf_dir):
@@ -240,10 +249,16 @@ def agg_reconcile(spark, sf_dir):
 
 
 def agg_reconcile_frames(spark, sf_dir):
-    rows = clean(spark, sf_dir)
+    path = scratch_dir(spark, "clean")
+    sinks.write_layer(clean(spark, sf_dir), path)
+    rows = spark.read.parquet(path)
     return op.reconcile(rows, op.require_any(rows, schemas.CONTACT_FIELDS))
 
 
+def agg_reconcile_rule(spark, sf_dir):
+    return op.reconcile_rule(clean(spark, sf_dir), any_present(schemas.CONTACT_FIELDS))
+
+
 def dq_metrics(spark, sf_dir):
     raw = op.lower_cols(order_feed(spark, sf_dir), ["country"])
     return op.quality_metrics(raw, ["id"], op.entity_rules(), RECENCY)
@@ -253,6 +268,11 @@ def dq_gate(spark, sf_dir):
     return op.gate(dq_metrics(spark, sf_dir))
 
 
+def dq_gate_strict(spark, sf_dir):
+    limits = {"duplicate_keys": 0, "bad_postal": 100, "no_contact": 10_000_000}
+    return op.gate(dq_metrics(spark, sf_dir), limits)
+
+
 def win_percent_of_partition(spark, sf_dir):
     return op.percent_of_group(gold(spark, sf_dir), ["state"], "entity_count")
 
@@ -276,7 +296,6 @@ def _loads(spark, sf_dir) -> dict[str, plans.Load]:
         order_feed(spark, sf_dir),
         Layout(scratch_dir(spark, "lake")),
         "r1",
-        total_pages=None,
         recency=RECENCY,
         tie_break=(),
         on_fail="quarantine",
@@ -288,7 +307,7 @@ def flow_bronze(spark, sf_dir):
     raw = order_feed(spark, sf_dir)
     landing = plans.load_landing(raw, layout, "r1")
     landed = sources.read_layer(spark, landing.path, raw.schema)
-    load = plans.load_bronze(landed, layout, "r1", None, None, RECENCY, ())
+    load = plans.load_bronze(landed, layout, "r1", recency=RECENCY, tie_break=())
     return sources.read_layer(spark, load.path, schemas.ENTITY)
 
 
@@ -323,15 +342,111 @@ def flow_all(spark, sf_dir):
     return plans.total_by(sources.read_layer(spark, path, schemas.GOLD), "state")
 
 
+def _land_and_load(spark, sf_dir, layout, run_id, pages, half, **options):
+    """Writes the page files of one half of the feed, lands what is new and loads it."""
+    entity = replace(schemas.Entity(), recency={"seen_at": TimestampNTZType(), "seq": LongType()})
+    raw = order_feed(spark, sf_dir).filter(half).select(*entity.fields, "seen_at", "seq", "page")
+    raw.hint("rebalance", "page").write.mode("append").partitionBy("page").json(pages)
+    landed = land_new_pages(
+        spark, pages, layout.layer("incoming"), f"{layout.root}/mark", entity.read_fields, False, run_id=run_id
+    )
+    rows = spark.read.parquet(landed).drop("batch")
+    return plans.run_loads(
+        spark, rows, layout, run_id, tie_break=(), on_fail="quarantine", incremental=True, entity=entity, **options
+    )
+
+
+def flow_incremental(spark, sf_dir):
+    """Two batches of page files, landed by a stream and merged into a bucketed silver."""
+    layout = Layout(scratch_dir(spark, "incremental"))
+    pages = f"{layout.root}/pages"
+    half = order_feed(spark, sf_dir).agg(F.floor(F.max("page") / 2).cast("long")).first()[0]
+    _land_and_load(spark, sf_dir, layout, "r1", pages, F.col("page") <= half)
+    done = _land_and_load(
+        spark, sf_dir, layout, "r2", pages, F.col("page") > half, first_page=half + 1, previous_run="r1"
+    )
+    return plans.read_silver(spark, done["silver"], "r2").select(*FIELDS)
+
+
+# A second entity table under names of its own.
+PARTS = schemas.Entity(
+    fields=("part_no", "name", "type", "size", "price", "brand"),
+    key=("part_no",),
+    text=("name", "type"),
+    contact=("brand",),
+    coordinates=("price",),
+    masked=("brand",),
+    dims=("type", "name"),
+    partition="type",
+    country="type",
+    postal="size",
+    source={"part_no": "p_partkey", "name": "p_name", "type": "p_type", "size": "p_size", "price": "p_retailprice", "brand": "p_brand"},
+)
+PART_SIZES = {"economy": "^[1-3]?[0-9]$"}
+
+
+def flow_second_entity(spark, sf_dir):
+    parts = spark.read.parquet(f"{sf_dir}/part.parquet")
+    rows = parts.select(
+        *[F.col(c).cast("string").alias(c) for c in PARTS.source.values()],
+        F.expr("p_partkey DIV 100 + 1").alias("page"),
+        F.lit(False).alias("page_failed"),
+    )
+    layout = Layout(scratch_dir(spark, "parts"))
+    done = plans.run_loads(spark, rows, layout, "r1", patterns=PART_SIZES, on_fail="quarantine", entity=PARTS)
+    return sources.read_layer(spark, done["gold"].path, PARTS.gold).drop(schemas.GOLD_TS)
+
+
+# --- KPI queries as SQL over the published gold table ---------------------------------
+
+PUBLISHED = "gold.entities_of_run"
+KPI_SQL = {
+    "sql_kpi_1": """SELECT state, sum(entity_count) AS total_entities FROM {t}
+        GROUP BY state ORDER BY total_entities DESC, state""",
+    "sql_kpi_2": """SELECT category, sum(entity_count) AS total_entities FROM {t}
+        GROUP BY category ORDER BY total_entities DESC, category""",
+    "sql_kpi_3": """SELECT state, sum(entity_count) AS total_entities FROM {t} WHERE category = 'building'
+        GROUP BY state ORDER BY total_entities DESC, state""",
+    "sql_kpi_4": """WITH totals AS (SELECT state, sum(entity_count) AS total FROM {t} GROUP BY state)
+        SELECT g.state, category, name, country, city, entity_count,
+            CAST(round(entity_count * 100.0 / total, 2) AS DOUBLE) AS percentage
+        FROM {t} AS g JOIN totals ON g.state <=> totals.state ORDER BY g.state, percentage DESC""",
+    "sql_kpi_5": """WITH ranked AS (SELECT *, row_number() OVER (PARTITION BY state
+            ORDER BY entity_count DESC, category, name, country, city) AS place FROM {t})
+        SELECT category AS most_popular_category, sum(entity_count) AS total FROM ranked
+        WHERE place = 1 GROUP BY category ORDER BY total DESC""",
+}
+
+
+def _sql_kpi(name: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        layout = Layout(scratch_dir(spark, "published"))
+        plans.run_loads(
+            spark,
+            order_feed(spark, sf_dir),
+            layout,
+            # A run id with dashes, and one that no earlier call has published.
+            f"run-{uuid.uuid4().hex[:12]}",
+            recency=RECENCY,
+            tie_break=(),
+            on_fail="quarantine",
+            publish={"gold": PUBLISHED},
+        )
+        return spark.sql(KPI_SQL[name].format(t=PUBLISHED))
+
+    return query
+
+
 # --- described but not coded by the reference ------------------------------------------
 
 
 def doc_upsert(spark, sf_dir):
-    """The first half of the pages, then the other half merged into it."""
+    """The second half of the pages, then the first half delivered late: the newest record
+    of an id survives, whichever came last."""
     raw = op.drop_null_key(order_feed(spark, sf_dir))
     half = raw.agg(F.max("page") / 2).scalar()
-    old = op.latest_per_key(raw.filter(F.col("page") <= half), ["id"], RECENCY, ())
-    merged = op.upsert(old, raw.filter(F.col("page") > half), ["id"], RECENCY, ())
+    old = op.latest_per_key(raw.filter(F.col("page") > half), ["id"], RECENCY, ())
+    merged = op.upsert(old, raw.filter(F.col("page") <= half), ["id"], RECENCY, ())
     return plans.mask(plans.refine(merged)).select("seq", *FIELDS)
 
 
@@ -340,9 +455,12 @@ def doc_enforce_schema(spark, sf_dir):
 
 
 def doc_incremental(spark, sf_dir):
+    """Every second row at the last loaded stamp comes late."""
     raw = order_feed(spark, sf_dir)
-    loaded = raw.filter(F.col("seen_at") < F.lit("1997-01-01").cast("timestamp_ntz"))
-    return sources.newer_than(raw, loaded, "seen_at").select("seq", "id", "state")
+    before = raw.filter(F.col("seen_at") < F.lit("1997-01-01").cast("timestamp_ntz"))
+    mark = before.agg(F.max("seen_at")).scalar()
+    loaded = before.filter((F.col("seen_at") < mark) | (F.col("seq") % 2 == 0))
+    return sources.newer_than(raw, loaded, "seen_at", ["seq"]).select("seq", "id", "state")
 
 
 def doc_postal_by_country(spark, sf_dir):
@@ -369,6 +487,7 @@ def queries() -> dict[str, Query]:
         "snk_landing_roundtrip": snk_landing_roundtrip,
         "snk_namespaces": snk_namespaces,
         "snk_compact": snk_compact,
+        "snk_compact_hot": snk_compact_hot,
         "prj_fixed_fields": prj_fixed_fields,
         "prj_parse_coords": prj_parse_coords,
         "prj_cast_double": prj_cast_double,
@@ -385,8 +504,10 @@ def queries() -> dict[str, Query]:
         "agg_gold_rollup": gold,
         "agg_reconcile": agg_reconcile,
         "agg_reconcile_frames": agg_reconcile_frames,
+        "agg_reconcile_rule": agg_reconcile_rule,
         "dq_metrics": dq_metrics,
         "dq_gate": dq_gate,
+        "dq_gate_strict": dq_gate_strict,
         "dq_quarantine": dq_quarantine,
         "win_percent_of_partition": win_percent_of_partition,
         "win_row_number": win_row_number,
@@ -406,6 +527,9 @@ def queries() -> dict[str, Query]:
         "flow_silver": flow_silver,
         "flow_gold": flow_gold,
         "flow_all": flow_all,
+        "flow_incremental": flow_incremental,
+        "flow_second_entity": flow_second_entity,
+        **{name: _sql_kpi(name) for name in KPI_SQL},
         "doc_upsert": doc_upsert,
         "doc_enforce_schema": doc_enforce_schema,
         "doc_incremental": doc_incremental,

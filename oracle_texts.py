@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+# Fixed value: accepted postal codes of the United States.
 POSTAL = "^[0-9]{5}(-[0-9]{4})?$|^[0-9]{5}-?$"
 FIELDS = "id, name, category, street, city, state, postal_code, country"
 REST = "longitude, latitude, phone, website_url"
@@ -85,8 +86,9 @@ _LOST_PAGE = "(SELECT CAST(max(page) * 9 // 10 AS BIGINT) FROM raw)"
 _FEED_QUERIES = {
     "src_page_prefix": f"SELECT seq, page, {FIELDS}, {REST} FROM raw WHERE page < {_LOST_PAGE}",
     "src_page_report": f"""SELECT {_LOST_PAGE} AS boundary, {_LOST_PAGE} - 1 AS pages_read,
-      {_LOST_PAGE} <= (SELECT max(page) FROM raw) AS truncated""",
-    "src_page_files": f"SELECT {FIELDS}, {REST} FROM raw",
+      {_LOST_PAGE} <= (SELECT max(page) FROM raw) AS broken,
+      {_LOST_PAGE} <= (SELECT max(page) FROM raw) AS truncated, CAST(0 AS BIGINT) AS unnumbered""",
+    "src_page_files": f"SELECT page, {FIELDS}, {REST} FROM raw",
     "src_typed_schema": _TYPED,
     "src_layer_scan": _BRONZE,
     "stream_landing": f"SELECT {FIELDS}, {REST} FROM raw",
@@ -96,6 +98,7 @@ _FEED_QUERIES = {
     "snk_namespaces": """SELECT 'silver' AS namespace, CAST(count(*) AS BIGINT) AS entities FROM silver
       UNION ALL SELECT 'gold' AS namespace, CAST(sum(entity_count) AS BIGINT) AS entities FROM gold""",
     "snk_compact": _SILVER,
+    "snk_compact_hot": _SILVER,
     "prj_fixed_fields": f"SELECT {FIELDS}, {REST}, CAST(NULL AS VARCHAR) AS updated_at FROM raw",
     "prj_parse_coords": """SELECT seq, longitude, latitude, longitude_malformed FROM (SELECT t.seq, t.longitude,
       t.latitude, r.longitude = 'n/a' AS longitude_malformed FROM typed t JOIN raw r ON t.seq = r.seq) x""",
@@ -104,7 +107,7 @@ _FEED_QUERIES = {
       lower(state) AS state, lower(country) AS country FROM raw""",
     "prj_sha256_mask": "SELECT seq, sha256(phone) AS phone, sha256('pepper' || phone) AS salted FROM raw",
     "prj_load_stamp": "SELECT CAST(count(*) AS BIGINT) AS stamped, CAST(1 AS BIGINT) AS stamps FROM raw",
-    "flt_drop_null_key": f"SELECT seq, {FIELDS} FROM raw WHERE id IS NOT NULL",
+    "flt_drop_null_key": f"SELECT seq, {FIELDS}, {REST} FROM raw WHERE id IS NOT NULL",
     "flt_equality": "SELECT seq, id, state, country FROM raw WHERE country = 'United States'",
     "flt_invalid_postal": "SELECT id, postal_code, country FROM flagged WHERE bad_postal",
     "flt_require_any": _SILVER,
@@ -117,9 +120,16 @@ _FEED_QUERIES = {
     "agg_reconcile_frames": """SELECT *, total - kept AS dropped FROM (SELECT
       (SELECT CAST(count(*) AS BIGINT) FROM clean) AS total,
       (SELECT CAST(count(*) AS BIGINT) FROM silver) AS kept) t""",
+    "agg_reconcile_rule": """SELECT *, total - kept AS dropped FROM (SELECT
+      (SELECT CAST(count(*) AS BIGINT) FROM clean) AS total,
+      (SELECT CAST(count(*) AS BIGINT) FROM silver) AS kept) t""",
     "dq_metrics": "SELECT duplicate_keys, bad_postal, no_contact, postal_missing FROM metrics",
     "dq_gate": """SELECT *, bad_postal AS issues, bad_postal = 0 AS passed,
       CAST(CASE WHEN bad_postal = 0 THEN 1 ELSE 0 END AS INT) AS fl_quality FROM metrics""",
+    "dq_gate_strict": """SELECT duplicate_keys, bad_postal, no_contact, postal_missing,
+      duplicate_keys + bad_postal + no_contact AS issues, passed,
+      CAST(CASE WHEN passed THEN 1 ELSE 0 END AS INT) AS fl_quality FROM (SELECT *, duplicate_keys <= 0
+        AND bad_postal <= 100 AND no_contact <= 10000000 AS passed FROM metrics) t""",
     "dq_quarantine": f"""SELECT CASE WHEN bad_postal THEN 'bad_postal' ELSE 'no_contact' END AS verdict,
       {SILVER_COLUMNS} FROM flagged WHERE bad_postal OR no_contact""",
     "win_percent_of_partition": _share("gold", f"{DIMS}, entity_count"),
@@ -138,16 +148,24 @@ _FEED_QUERIES = {
     "flow_silver": f"SELECT {SILVER_COLUMNS} FROM accepted",
     "flow_gold": f"SELECT {DIMS}, entity_count FROM accepted_gold",
     "flow_all": _total("state", source="accepted_gold"),
-    "doc_upsert": f"""SELECT seq, id, lower(name) AS name, lower(category) AS category, street,
+    "flow_incremental": f"SELECT {SILVER_COLUMNS} FROM accepted",
+    "flow_second_entity": """SELECT lower(p_type) AS type, lower(p_name) AS name, CAST(count(*) AS BIGINT) AS entity_count
+      FROM part WHERE NOT (lower(p_type) = 'economy' AND NOT regexp_matches(CAST(p_size AS VARCHAR), '^[1-3]?[0-9]$'))
+      GROUP BY ALL""",
+    "sql_kpi_1": _total("state", source="accepted_gold"),
+    "sql_kpi_2": _total("category", source="accepted_gold"),
+    "sql_kpi_3": _total("state", source="accepted_gold", where="WHERE category = 'building'"),
+    "sql_kpi_4": _share("accepted_gold", "state, category, name, country, city, entity_count"),
+    "sql_kpi_5": _winners("accepted_gold", "category, name, country, city", ""),
+    "doc_upsert": """SELECT seq, id, lower(name) AS name, lower(category) AS category, street,
       lower(city) AS city, lower(state) AS state, postal_code, lower(country) AS country, longitude, latitude,
-      sha256(phone) AS phone, website_url FROM (SELECT *, row_number() OVER (PARTITION BY id
-        ORDER BY page > (SELECT max(page) / 2 FROM raw WHERE id IS NOT NULL) DESC, seen_at DESC, seq DESC) AS rn
-        FROM typed WHERE id IS NOT NULL) t WHERE rn = 1""",
+      sha256(phone) AS phone, website_url FROM bronze WHERE id IS NOT NULL""",
     "doc_enforce_schema": f"""SELECT {FIELDS}, CAST(longitude AS VARCHAR) AS longitude,
       CAST(latitude AS VARCHAR) AS latitude, phone, website_url, CAST(NULL AS VARCHAR) AS updated_at,
       CAST(NULL AS VARCHAR) AS created_at FROM raw""",
-    "doc_incremental": """SELECT seq, id, state FROM raw WHERE seen_at > (SELECT max(seen_at) FROM raw
-      WHERE seen_at < TIMESTAMP '1997-01-01 00:00:00')""",
+    "doc_incremental": """SELECT seq, id, state FROM raw WHERE (seen_at, seq) NOT IN (SELECT (seen_at, seq) FROM raw
+      WHERE seen_at < (SELECT max(seen_at) FROM raw WHERE seen_at < TIMESTAMP '1997-01-01 00:00:00')
+      OR seen_at < TIMESTAMP '1997-01-01 00:00:00' AND seq % 2 = 0)""",
     "doc_postal_by_country": f"""SELECT id, country, postal_code FROM clean
       WHERE (country = 'united states' AND NOT regexp_matches(postal_code, '{POSTAL}'))
       OR (country = 'europe' AND NOT regexp_matches(postal_code, '^[0-9]{{5}}$'))

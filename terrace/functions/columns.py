@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 POSTAL_US = {"united states": "^[0-9]{5}(-[0-9]{4})?$|^[0-9]{5}-?$"}
 
 
+_LITERAL_PATTERNS = 8
+
+
 def coordinate(name: str) -> Column:
     """Text to double; blank and malformed text both become NULL."""
     return F.col(name).try_cast("double")
@@ -23,7 +26,12 @@ def coordinate_malformed(name: str) -> Column:
 
 
 def masked(name: str, salt: str = "") -> Column:
-    """SHA-256 hex digest; NULL stays NULL. A salt makes short values unguessable."""
+    """SHA-256 hex digest; NULL stays NULL. A salt makes short values unguessable.
+
+    The salt is a literal of the plan, so it shows in `explain` and in event logs. Set
+    `spark.sql.redaction.string.regex` to a pattern that matches it, or keep those logs as
+    close as the salt.
+    """
     value = F.concat(F.lit(salt), F.col(name)) if salt else F.col(name)
     return F.sha2(value, 256)
 
@@ -45,9 +53,14 @@ def bad_postal(
     """True where a code breaks the pattern of its country.
 
     A missing code, a missing country and a country without a pattern are not
-    flagged. The patterns are literals, so each is compiled once per task and no
-    join is needed.
+    flagged. A few patterns are literals, compiled once per task. A longer table is one
+    map literal, so that the generated code does not grow with it; `rlike` keeps the
+    pattern it used last, which suits rows stored by country.
     """
+    if len(patterns) > _LITERAL_PATTERNS:
+        pairs = [F.lit(x) for pair in patterns.items() for x in pair]
+        own = F.element_at(F.create_map(*pairs), F.col(country))
+        return F.coalesce(~F.rlike(F.col(postal), own), F.lit(False))
     flag = F.lit(False)
     for name, pattern in patterns.items():
         flag = flag | ((F.col(country) == name) & ~F.col(postal).rlike(pattern))

@@ -23,6 +23,8 @@ from terrace.operators.quality import (
     quality_metrics,
     reconcile,
     reconcile_keys,
+    reconcile_rule,
+    require_known,
 )
 from terrace.operators.ranking import number_rows, percent_of_group, top_n, with_group_total
 from terrace.operators.rollup import rollup_count, sum_by
@@ -49,7 +51,9 @@ __all__ = [
     "quality_metrics",
     "reconcile",
     "reconcile_keys",
+    "reconcile_rule",
     "require_any",
+    "require_known",
     "rollup_count",
     "stamp",
     "sum_by",

@@ -50,14 +50,16 @@ def upsert(
     keys: Sequence[str],
     recency: Sequence[str] = (),
     tie_break: Sequence[str] | None = None,
-    unique: bool = False,
 ) -> DataFrame:
-    """`old` with the rows of `new` put in: a key in both takes the new row.
+    """The newest row of each key over both sides; a row of `new` wins a tie in `recency`.
 
-    `new` is cut to its newest row per key first; `unique` says that it has one row
-    per key already. `old` is unique as the result of earlier upserts, so no key is
-    hot in the join. A NULL key never matches; drop such rows first.
+    A record that is delivered late so never replaces a newer one. Without `recency` the
+    rows of `new` replace those of `old`. A NULL key counts as one key; drop such rows
+    first. The whole of `old` is shuffled: see `merge_buckets` for a stored layer of which
+    only the touched part is rewritten.
     """
-    fresh = new if unique else latest_per_key(new, keys, recency, tie_break)
-    kept = old.join(fresh.select(*keys), list(keys), "left_anti").select(*old.columns)
-    return kept.unionByName(fresh.select(*old.columns))
+    columns = old.columns
+    both = old.withColumn("_new", F.lit(0)).unionByName(new.select(*columns).withColumn("_new", F.lit(1)))
+    if tie_break is None:
+        tie_break = [c for c in columns if c not in keys and c not in recency]
+    return latest_per_key(both, keys, [*recency, "_new"], tie_break).select(*columns)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrace.functions import POSTAL_US, any_present, bad_postal
+from terrace.operators.dedupe import latest_per_key
 from terrace.schemas import CONTACT_FIELDS
 
 # Only bad postal codes stop a load by default. Duplicates and rows without contact
@@ -24,8 +25,15 @@ class QualityGateError(RuntimeError):
         super().__init__(f"quality gate failed: {broken}")
 
 
+def reconcile_rule(df: DataFrame, keep: Column) -> DataFrame:
+    """One row: how many rows a filter keeps and drops, in one pass and without it."""
+    kept = F.count_if(keep)
+    return df.agg(F.count("*").alias("total"), kept.alias("kept"), (F.count("*") - kept).alias("dropped"))
+
+
 def reconcile(before: DataFrame, after: DataFrame) -> DataFrame:
-    """One row: total, kept and dropped row counts of a step."""
+    """One row: total, kept and dropped row counts of a step between two stored frames.
+    A frame that is not stored would be computed twice; see `reconcile_rule`."""
     total = before.agg(F.count("*").alias("total"), F.lit(0).cast("long").alias("kept"))
     kept = after.agg(F.lit(0).cast("long").alias("total"), F.count("*").alias("kept"))
     return (
@@ -56,13 +64,16 @@ def reconcile_keys(df: DataFrame, keys: Sequence[str], counts: Mapping[str, Colu
 
 
 def entity_rules(
-    patterns: Mapping[str, str] = POSTAL_US, contacts: Sequence[str] = CONTACT_FIELDS
+    patterns: Mapping[str, str] = POSTAL_US,
+    contacts: Sequence[str] = CONTACT_FIELDS,
+    country: str = "country",
+    postal: str = "postal_code",
 ) -> dict[str, Column]:
     """Row predicates of the silver checks, on rows with lower-cased country."""
     return {
-        "bad_postal": bad_postal(patterns),
+        "bad_postal": bad_postal(patterns, country, postal),
         "no_contact": ~any_present(contacts),
-        "postal_missing": F.col("postal_code").isNull(),
+        "postal_missing": F.col(postal).isNull(),
     }
 
 
@@ -77,32 +88,34 @@ def quality_metrics(
 
     `duplicate_keys` counts keys with several rows (NULL is one key). Every rule is
     counted over rows with a complete key. With `recency` a rule looks only at the
-    newest row of each key, else at all rows. Either way it is one pass with one
-    shuffle of keys and flags, combined on the map side.
+    newest row of each key, else at all rows. Only keys, flags and recency columns are
+    shuffled; the copies are counted by a hash aggregate with a map-side combine, the
+    newest rows picked with a group limit before the shuffle.
     """
     names = list(rules)
-    flagged = df.select("*", *[rules[n].cast("long").alias(f"_{n}") for n in names])
+    if recency and tie_break is None:
+        tie_break = [c for c in df.columns if c not in keys and c not in recency]
+    order = [*recency, *(tie_break or ())] if recency else []
+    flagged = df.select(*keys, *order, *[rules[n].cast("long").alias(f"_{n}") for n in names])
     copies = F.count("*").alias("_copies")
-    if recency:
-        order = [F.col(c) for c in recency]
-        if tie_break is None:
-            tie_break = [c for c in df.columns if c not in keys and c not in recency]
-        order += [F.col(c) for c in tie_break]
-        newest = F.max_by(F.struct(*[F.col(f"_{n}") for n in names]), F.struct(*order))
-        per_key = (
-            flagged.groupBy(*keys)
-            .agg(copies, newest.alias("_newest"))
-            .select(*keys, "_copies", *[F.col(f"_newest._{n}").alias(f"_{n}") for n in names])
-        )
-    else:
-        per_key = flagged.groupBy(*keys).agg(copies, *[F.sum(f"_{n}").alias(f"_{n}") for n in names])
     keyed = F.lit(True)
     for key in keys:
         keyed = keyed & F.col(key).isNotNull()
-    return per_key.agg(
-        F.count_if(F.col("_copies") > 1).alias("duplicate_keys"),
-        *[F.coalesce(F.sum(F.when(keyed, F.col(f"_{n}"))), F.lit(0)).alias(n) for n in names],
-    )
+    sums = [F.coalesce(F.sum(F.when(keyed, F.col(f"_{n}"))), F.lit(0)).alias(n) for n in names]
+    duplicates = F.count_if(F.col("_copies") > 1).alias("duplicate_keys")
+    if not recency:
+        per_key = flagged.groupBy(*keys).agg(copies, *[F.sum(f"_{n}").alias(f"_{n}") for n in names])
+        return per_key.agg(duplicates, *sums)
+    counted = flagged.groupBy(*keys).agg(copies).agg(duplicates, *[F.lit(0).cast("long").alias(n) for n in names])
+    newest = latest_per_key(flagged, keys, order, ()).agg(F.lit(0).cast("long").alias("duplicate_keys"), *sums)
+    return counted.unionByName(newest).agg(*[F.sum(c).alias(c) for c in ("duplicate_keys", *names)])
+
+
+def require_known(limits: Mapping[str, int], known: Iterable[str]) -> None:
+    """Refuse limits on totals that a load does not measure, before any job runs."""
+    unknown = sorted(set(limits) - set(known))
+    if unknown:
+        raise ValueError(f"no such total: {', '.join(unknown)}; there are {', '.join(sorted(known))}")
 
 
 def gate(metrics: DataFrame, limits: Mapping[str, int] = DEFAULT_LIMITS) -> DataFrame:

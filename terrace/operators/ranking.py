@@ -44,43 +44,29 @@ def top_n(df: DataFrame, by: Sequence[str], order: Sequence[Column], n: int = 1)
     """The first `n` rows of each group.
 
     Planned as WindowGroupLimit before and after the shuffle, so a task sends at
-    most `n` rows per group. Spark does that up to a limit of `n`; beyond it the rows
-    are numbered the way that splits hot groups. `order` must be total for a
-    repeatable result.
+    most `n` rows per group. Spark does that up to a limit of `n`; a larger one is
+    refused, as whole groups would meet in a task: `number_rows` splits them. `order`
+    must be total for a repeatable result.
     """
     limit = int(df.sparkSession.conf.get(_GROUP_LIMIT, "1000"))
     if n > limit:
-        return number_rows(df, by, order, "_nth").filter(F.col("_nth") <= n).drop("_nth")
+        raise ValueError(f"n is over {_GROUP_LIMIT}={limit}; use number_rows")
     w = Window.partitionBy(*by).orderBy(*order)
     return df.withColumn("_nth", F.row_number().over(w)).filter(F.col("_nth") <= n).drop("_nth")
 
 
 def number_rows(
-    df: DataFrame,
-    by: Sequence[str],
-    order: Sequence[Column],
-    out: str = "rank",
-    max_group_rows: int = 5_000_000,
+    df: DataFrame, by: Sequence[str], order: Sequence[Column], out: str = "rank", slices: int | None = None
 ) -> DataFrame:
     """Row number (long) within each group. `order` must be total for a repeatable result.
 
-    A count per group decides the way. Where the largest group fits a task, a plain
-    window does it. Beyond that the rows are cut into ordered slices by a range
-    shuffle on (group, order), numbered within their slice, and moved up by the
-    rows that the group has in earlier slices.
+    The rows are cut into ordered slices by a range shuffle on (group, order), so that a
+    large group spreads over several, and stored. They are then numbered within their
+    slice and moved up by the rows that the group has in earlier slices. The upstream is
+    computed once; the sizes are taken from the stored slices.
     """
-    sizes = df.groupBy(*by).agg(F.count("*").alias("n"))
-    biggest, total = sizes.agg(F.max("n"), F.sum("n")).first()
-    if (biggest or 0) <= max_group_rows:
-        w = Window.partitionBy(*by).orderBy(*order)
-        return df.withColumn(out, F.row_number().over(w).cast("long"))
-    return _number_rows_sliced(df, by, order, out, slices=-(-4 * total // max_group_rows))
-
-
-def _number_rows_sliced(
-    df: DataFrame, by: Sequence[str], order: Sequence[Column], out: str, slices: int
-) -> DataFrame:
     spark = df.sparkSession
+    slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(slices, *[F.col(c).asc() for c in by], *order)
     # The slice bounds come from a sample. Writing the slices fixes them: a task that
     # is run again later reads the same slices and does not cut new ones.

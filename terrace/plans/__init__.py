@@ -11,11 +11,14 @@ from terrace.plans.kpi import (
 from terrace.plans.loads import (
     Load,
     TruncatedLoadError,
+    UnnumberedPageError,
     load_bronze,
     load_gold,
     load_landing,
     load_silver,
     mask,
+    read_silver,
+    record_metrics,
     refine,
     run_loads,
 )
@@ -23,6 +26,7 @@ from terrace.plans.loads import (
 __all__ = [
     "Load",
     "TruncatedLoadError",
+    "UnnumberedPageError",
     "category_grain",
     "largest_first",
     "load_bronze",
@@ -31,6 +35,8 @@ __all__ = [
     "load_silver",
     "mask",
     "popular_categories",
+    "read_silver",
+    "record_metrics",
     "refine",
     "run_loads",
     "share_within_state",

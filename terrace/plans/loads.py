@@ -6,12 +6,13 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from terrace import schemas
 from terrace.functions import POSTAL_US, coordinate_malformed
 from terrace.operators import (
+    QualityGateError,
     cast_cols,
     check_gate,
     drop_null_key,
@@ -20,57 +21,70 @@ from terrace.operators import (
     latest_per_key,
     lower_cols,
     project,
-    quality_metrics,
     reconcile_keys,
+    require_known,
     rollup_count,
     stamp,
-    upsert,
 )
 from terrace.operators.quality import DEFAULT_LIMITS
-from terrace.schemas import Layout
-from terrace.sinks import write_layer
+from terrace.schemas import Entity, Layout
+from terrace.session import remove
+from terrace.sinks import compact, create_namespaces, merge_buckets, publish_table, read_buckets, write_layer
 from terrace.sources import page_boundary, read_layer
 from terrace.sources.pages import FAILED, PAGE
 
-KEY = ("id",)
+ENTITY = Entity()
+# Totals that only the bronze load can measure, as later layers no longer show them.
+BRONZE_TOTALS = ("duplicate_keys", "coord_malformed")
+RULES = ("bad_postal", "no_contact", "postal_missing")
+ACCEPTED = "accepted"
 
 
 class TruncatedLoadError(RuntimeError):
     """A wanted page is missing or failed; nothing was replaced."""
 
 
+class UnnumberedPageError(RuntimeError):
+    """Page files without a page number were found; nothing was replaced."""
+
+
 @dataclass(frozen=True)
 class Load:
     """What a load did. `path` is None where there was nothing to write; `quarantine`
-    holds the rejected rows of a silver load, if it kept any."""
+    holds the rejected rows of a silver load, if it kept any; `buckets` are those that an
+    incremental silver load wrote."""
 
     path: str | None
     metrics: Mapping[str, int] = field(default_factory=dict)
     quarantine: str | None = None
+    buckets: Sequence[int] | None = None
 
 
 def _one_row(df: DataFrame) -> dict:
     return df.first().asDict()
 
 
-def refine(df: DataFrame) -> DataFrame:
-    """Bronze rows as the silver checks want them: no missing id, doubles, lower case.
+def refine(df: DataFrame, entity: Entity = ENTITY) -> DataFrame:
+    """Bronze rows as the silver checks want them: no missing key, doubles, lower case.
 
     The phone is not masked yet: the checks only ask whether it is there, and a filter
     above the mask would digest every number to find out.
     """
-    typed = cast_cols(drop_null_key(df, KEY), {c: "double" for c in schemas.COORDINATES})
-    return lower_cols(typed, schemas.TEXT_FIELDS)
+    typed = cast_cols(drop_null_key(df, entity.key), {c: "double" for c in entity.coordinates})
+    return lower_cols(typed, entity.text)
 
 
-def mask(df: DataFrame, salt: str = "") -> DataFrame:
-    return hash_col(df, "phone", salt)
+def mask(df: DataFrame, salt: str = "", entity: Entity = ENTITY) -> DataFrame:
+    for name in entity.masked:
+        df = hash_col(df, name, salt)
+    return df
 
 
-def load_landing(rows: DataFrame, layout: Layout, run_id: str) -> Load:
-    """Store raw page records as columns, so that JSON is parsed once per run."""
+def load_landing(rows: DataFrame, layout: Layout, run_id: str, entity: Entity = ENTITY) -> Load:
+    """Store raw page records under the entity's column names, so that JSON is parsed once
+    per run. Columns beside the entity's (page, page_failed, recency) are kept."""
     path = layout.run("landing", run_id)
-    write_layer(rows, path)
+    write_layer(entity.renamed(rows), path)
     return Load(path)
 
 
@@ -79,151 +93,290 @@ def load_bronze(
     layout: Layout,
     run_id: str,
     listed_pages: DataFrame | None = None,
-    total_pages: int | None = 10,
-    recency: Sequence[str] = (PAGE,),
+    total_pages: int | None = None,
+    recency: Sequence[str] | None = None,
     tie_break: Sequence[str] | None = None,
     allow_truncated: bool = False,
+    allow_unnumbered: bool = False,
+    first_page: int = 1,
     ts: datetime | None = None,
+    entity: Entity = ENTITY,
 ) -> Load:
-    """The newest record of each id from the unbroken prefix of landed pages.
+    """The newest record of each key from the unbroken prefix of landed pages.
 
     `landed` holds text records with `page` and `page_failed`; `listed_pages` adds
-    the pages without records. Two narrow passes over the stored columns come first:
-    the page boundary, and the counts per id. The second tells whether the wide
-    dedupe shuffle is needed at all.
+    the pages without records. Narrow passes over the stored columns come first: the page
+    boundary, what lies beyond it, and the counts per key. Rows without a page number stop
+    the load unless `allow_unnumbered` loads them too. `recency` is the entity's own, or
+    the page. An incremental run starts at its `first_page`.
     """
+    recency = recency or tuple(entity.recency) or (PAGE,)
     pages = landed.select(PAGE, FAILED)
     if listed_pages is not None:
         pages = pages.unionByName(listed_pages)
-    metrics = _one_row(page_boundary(pages, total_pages))
-    if metrics["truncated"] and not allow_truncated:
+    metrics = _one_row(page_boundary(pages, total_pages, first_page))
+    if metrics["unnumbered"] and not allow_unnumbered:
+        raise UnnumberedPageError(f"{metrics['unnumbered']} records or files without a page number")
+    if metrics["broken"] and not allow_truncated:
         raise TruncatedLoadError(f"page {metrics['boundary']} is missing or failed")
 
-    kept = landed.filter(F.col(PAGE) < metrics["boundary"])
-    malformed = coordinate_malformed("longitude") | coordinate_malformed("latitude")
-    metrics |= _one_row(reconcile_keys(kept, KEY, {"coord_malformed": malformed}))
+    beyond = F.col(PAGE) >= metrics["boundary"]
+    left = landed.filter(beyond).groupBy(PAGE).agg(F.count("*").alias("n"))
+    metrics |= _one_row(left.agg(F.count("*").alias("pages_left_out"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows_left_out")))
+    wanted = F.col(PAGE).between(first_page, metrics["boundary"] - 1)
+    kept = landed.filter(wanted | F.col(PAGE).isNull())
+    kept = kept.withColumns({c: F.col(c).try_cast(t) for c, t in entity.recency.items()})
+    malformed = F.lit(False)
+    for name in entity.coordinates:
+        malformed = malformed | coordinate_malformed(name)
+    counts = {"coord_malformed": malformed, "blank_partition": F.col(entity.partition) == ""}
+    # Files store a blank partition value like a missing one, so it is counted here.
+    metrics |= _one_row(reconcile_keys(kept, entity.key, counts | {f"_{c}": F.col(c).isNotNull() for c in entity.fields}))
+    filled = [metrics.pop(f"_{c}") for c in entity.fields]
+    metrics["empty_fields"] = sum(n == 0 for n in filled)
     if metrics["total"] == 0:
         return Load(None, metrics)
 
     # Survivors are picked on the stored text; only they are parsed.
-    rows = latest_per_key(kept, KEY, recency, tie_break) if metrics["dropped"] else kept
-    rows = stamp(project(rows, schemas.ENTITY), schemas.BRONZE_TS, ts)
+    rows = latest_per_key(kept, entity.key, recency, tie_break)
     path = layout.run("bronze", run_id)
-    write_layer(rows, path, by=["state"])
+    write_layer(stamp(project(rows, entity.plain), schemas.BRONZE_TS, ts), path, by=[entity.partition])
     return Load(path, metrics)
 
 
+def _limits(limits: Mapping[str, int] | None, on_fail: str, known: Sequence[str]) -> Mapping[str, int]:
+    """Limits that the caller sets always hold. The default one is for `raise` only:
+    quarantine takes bad postal codes out instead."""
+    if on_fail not in ("raise", "quarantine"):
+        raise ValueError(f"on_fail must be raise or quarantine, not {on_fail}")
+    if limits is None:
+        return DEFAULT_LIMITS if on_fail == "raise" else {}
+    require_known(limits, known)
+    return limits
+
+
 def load_silver(
     bronze: DataFrame,
     layout: Layout,
     run_id: str,
     patterns: Mapping[str, str] = POSTAL_US,
-    limits: Mapping[str, int] = DEFAULT_LIMITS,
+    limits: Mapping[str, int] | None = None,
     on_fail: str = "raise",
     salt: str = "",
-    previous: DataFrame | None = None,
+    earlier: Mapping[str, int] | None = None,
+    incremental: bool = False,
+    previous_run: str | None = None,
+    rejected_updates: str = "remove",
+    buckets: int = 256,
+    file_bytes: int = 512 * 1024 * 1024,
     ts: datetime | None = None,
+    entity: Entity = ENTITY,
 ) -> Load:
-    """Refined, checked and unique rows with a contact, stored by state.
-
-    The totals are measured on all rows before anything is removed. With
-    `on_fail="raise"` a broken limit raises and nothing is written. With
-    `"quarantine"` rows with a bad postal code stay out of silver, and they and the
-    rows without contact are stored by their verdict next to it.
-
-    `previous` is the silver of an earlier run to merge into: its rows stay unless
-    this run has the same id.
-
-    When the totals show no duplicate id, as after a bronze load, the rows go straight
-    from the scan to the files of their state, without any shuffle of whole rows.
+    """Refined, checked and unique rows with a contact.
+
+    One wide dedupe writes the rows with their verdict to a staging folder and counts the
+    rules on the way. Then the gate looks at the totals: those, the repeated keys of this
+    input, and the totals of `earlier`, the metrics of the bronze load. A broken limit
+    raises and nothing is written. With `on_fail="quarantine"` rows with a bad postal code
+    stay out of silver, and they and the rows without contact are stored by their verdict
+    next to it; limits that are set still raise.
+
+    Silver is the staged rows compacted into one sorted layer by the partition column. With
+    `incremental` it is a bucketed layer instead, into which the rows are merged by recency
+    (the entity's, else the bronze stamp) on top of `previous_run`. A key whose newest
+    record is rejected is removed, or keeps its earlier row with `rejected_updates="keep"`.
     """
-    if on_fail not in ("raise", "quarantine"):
-        raise ValueError(f"on_fail must be raise or quarantine, not {on_fail}")
-    clean = refine(bronze)
-    rules = entity_rules(patterns)
-    rejected = rules["no_contact"]
+    known = [*RULES, "duplicate_keys", *(earlier or {}).keys() & set(BRONZE_TOTALS)]
+    limits = _limits(limits, on_fail, known)
+    if rejected_updates not in ("remove", "keep"):
+        raise ValueError(f"rejected_updates must be remove or keep, not {rejected_updates}")
+    spark = bronze.sparkSession
+    clean = refine(bronze, entity)
+    rules = entity_rules(patterns, entity.contact, entity.country, entity.postal)
+    verdict = F.when(rules["no_contact"], "no_contact").otherwise(ACCEPTED)
     if on_fail == "quarantine":
-        rejected = rejected | rules["bad_postal"]
-    rules |= {"rejected": rejected, "accepted": ~rejected}
-    metrics = _one_row(quality_metrics(clean, KEY, rules))
-    unique = metrics["duplicate_keys"] == 0
-    if not unique:
-        clean = latest_per_key(clean, KEY, (schemas.BRONZE_TS,))
-        metrics |= _one_row(clean.agg(*[F.count_if(c).alias(n) for n, c in rules.items()]))
-    if on_fail == "raise":
+        verdict = F.when(rules["bad_postal"], "bad_postal").otherwise(verdict)
+    recency = tuple(entity.recency) or (schemas.BRONZE_TS,)
+
+    copies = clean.groupBy(*entity.key).agg(F.count("*").alias("n")).agg(F.count_if(F.col("n") > 1).alias("duplicate_keys"))
+    metrics = _one_row(copies)
+    # Gates the totals that are known before the wide step.
+    for name in BRONZE_TOTALS:
+        if earlier and name in earlier:
+            metrics[name] = metrics.get(name, 0) + earlier[name]
+    check_gate(metrics, {k: v for k, v in limits.items() if k in metrics})
+
+    seen = Observation(f"silver-{run_id}")
+    newest = latest_per_key(clean, entity.key, recency).withColumn("verdict", verdict)
+    counted = [F.count_if(c).alias(n) for n, c in rules.items()]
+    observed = newest.observe(seen, *counted, F.count_if(F.col("verdict") == ACCEPTED).alias(ACCEPTED), F.count_if(F.col("verdict") != ACCEPTED).alias("rejected"))
+    stage = layout.run("staging", run_id)
+    staged = stamp(mask(observed, salt, entity), schemas.SILVER_TS, ts)
+    write_layer(staged.select(*entity.silver.names, "verdict"), stage, by=["verdict"])
+    try:
+        metrics |= {k: v or 0 for k, v in seen.get.items()}
         check_gate(metrics, limits)
+        return _store_silver(spark, stage, metrics, layout, run_id, on_fail, incremental, previous_run, rejected_updates, recency, buckets, file_bytes, entity)
+    finally:
+        remove(spark, stage)
 
-    path = quarantine = None
-    if metrics["accepted"]:
-        path = layout.run("silver", run_id)
-        rows = stamp(mask(clean.filter(~rejected), salt), schemas.SILVER_TS, ts)
-        if previous is not None:
-            rows = upsert(previous, rows, KEY, unique=True)
-        write_layer(rows, path, by=["state"], rebalance=previous is not None or not unique)
+
+def _store_silver(
+    spark: SparkSession,
+    stage: str,
+    metrics: Mapping[str, int],
+    layout: Layout,
+    run_id: str,
+    on_fail: str,
+    incremental: bool,
+    previous_run: str | None,
+    rejected_updates: str,
+    recency: Sequence[str],
+    buckets: int,
+    file_bytes: int,
+    entity: Entity,
+) -> Load:
+    """Silver and quarantine from the staged rows."""
+    with_verdict = schemas.StructType([*entity.silver.fields, *schemas.struct_of("verdict").fields])
+    staged = read_layer(spark, stage, with_verdict)
+    quarantine = path = written = None
     if metrics["rejected"] and on_fail == "quarantine":
-        # A pass of its own: written along with silver, the few rejected rows of every
-        # task would end in as many tiny files.
         quarantine = layout.run("quarantine", run_id)
-        verdict = F.when(rules["bad_postal"], "bad_postal").otherwise("no_contact")
-        rows = mask(clean.filter(rejected).withColumn("verdict", verdict), salt)
-        write_layer(stamp(rows, schemas.SILVER_TS, ts), quarantine, by=["verdict"])
-    return Load(path, metrics, quarantine)
+        write_layer(staged.filter(F.col("verdict") != ACCEPTED), quarantine, by=["verdict"])
+    if incremental:
+        path = layout.layer("silver_buckets")
+        if rejected_updates == "keep":
+            staged = staged.filter(F.col("verdict") == ACCEPTED)
+        gone = F.col("verdict") != ACCEPTED
+        written = merge_buckets(staged, path, run_id, entity.silver, entity.key, recency, previous_run, buckets, gone)
+    elif metrics[ACCEPTED]:
+        path = layout.run("silver", run_id)
+        compact(spark, f"{stage}/verdict={ACCEPTED}", path, entity.silver, [entity.partition], entity.key, file_bytes)
+    return Load(path, metrics, quarantine, written)
 
 
-def load_gold(silver: DataFrame, layout: Layout, run_id: str, ts: datetime | None = None) -> Load:
-    """Entities per name, category and place. Runs lie side by side under `run_id`."""
-    rows = stamp(rollup_count(silver, schemas.GOLD_DIMS, "id"), schemas.GOLD_TS, ts)
-    path = layout.run("gold", run_id)
-    write_layer(rows, path)
+def load_gold(
+    silver: DataFrame,
+    layout: Layout,
+    run_id: str,
+    ts: datetime | None = None,
+    file_bytes: int = 512 * 1024 * 1024,
+    entity: Entity = ENTITY,
+) -> Load:
+    """Entities per name, category and place, compacted and sorted by these columns. Runs
+    lie side by side under `run_id`."""
+    rows = stamp(rollup_count(silver, entity.dims, entity.key[0]), schemas.GOLD_TS, ts)
+    stage, path = layout.run("staging_gold", run_id), layout.run("gold", run_id)
+    write_layer(rows, stage)
+    try:
+        compact(silver.sparkSession, stage, path, entity.gold, (), entity.dims, file_bytes)
+    finally:
+        remove(silver.sparkSession, stage)
     return Load(path)
 
 
+def record_metrics(spark: SparkSession, done: Mapping[str, Load], layout: Layout, run_id: str, stopped: str = "") -> str:
+    """Store the totals of a run's loads as rows (load, metric, value, stopped)."""
+    rows = [(load, name, int(value), stopped) for load, own in done.items() for name, value in own.metrics.items()]
+    path = layout.run("metrics", run_id)
+    frame = spark.createDataFrame(rows or [("none", "none", 0, stopped)], "load string, metric string, value long, stopped string")
+    write_layer(frame.coalesce(1), path)
+    return path
+
+
 def run_loads(
     spark: SparkSession,
     pages: DataFrame,
     layout: Layout,
     run_id: str,
     listed_pages: DataFrame | None = None,
-    total_pages: int | None = 10,
-    recency: Sequence[str] = (PAGE,),
+    total_pages: int | None = None,
+    recency: Sequence[str] | None = None,
     tie_break: Sequence[str] | None = None,
     allow_truncated: bool = False,
+    allow_unnumbered: bool = False,
+    first_page: int = 1,
     patterns: Mapping[str, str] = POSTAL_US,
-    limits: Mapping[str, int] = DEFAULT_LIMITS,
+    limits: Mapping[str, int] | None = None,
     on_fail: str = "raise",
     salt: str = "",
-    previous: DataFrame | None = None,
+    incremental: bool = False,
+    previous_run: str | None = None,
+    rejected_updates: str = "remove",
+    publish: Mapping[str, str] | None = None,
     ts: datetime | None = None,
+    entity: Entity = ENTITY,
 ) -> dict[str, Load]:
     """Landing, bronze, silver and gold in turn. A load that raises or has nothing to
-    write stops the ones after it; layers published by earlier runs stay as they are."""
-    done = {"landing": load_landing(pages, layout, run_id)}
-    done["bronze"] = load_bronze(
-        read_layer(spark, done["landing"].path, pages.schema),
-        layout,
-        run_id,
-        listed_pages=listed_pages,
-        total_pages=total_pages,
-        recency=recency,
-        tie_break=tie_break,
-        allow_truncated=allow_truncated,
-        ts=ts,
-    )
-    if done["bronze"].path is None:
-        return done
-    done["silver"] = load_silver(
-        read_layer(spark, done["bronze"].path, schemas.BRONZE),
-        layout,
-        run_id,
-        patterns=patterns,
-        limits=limits,
-        on_fail=on_fail,
-        salt=salt,
-        previous=previous,
-        ts=ts,
-    )
-    if done["silver"].path is None:
-        return done
-    silver = read_layer(spark, done["silver"].path, schemas.SILVER)
-    done["gold"] = load_gold(silver, layout, run_id, ts)
+    write stops the ones after it; layers published by earlier runs stay as they are.
+
+    `limits` may name any total of the bronze and silver loads; unknown names are refused
+    before a job runs. `publish` maps `silver` and `gold` to catalog names that are moved
+    to this run at the end (a bucketed silver is not published, as its folders belong to
+    many runs). The totals are stored whether or not the run is stopped.
+    """
+    _limits(limits, on_fail, [*RULES, *BRONZE_TOTALS])
+    if publish and set(publish) - {"silver", "gold"}:
+        raise ValueError("only silver and gold can be published")
+    done: dict[str, Load] = {}
+    try:
+        done["landing"] = load_landing(pages, layout, run_id, entity)
+        landed = read_layer(spark, done["landing"].path, entity.renamed(pages).schema)
+        done["bronze"] = load_bronze(
+            landed,
+            layout,
+            run_id,
+            listed_pages=listed_pages,
+            total_pages=total_pages,
+            recency=recency,
+            tie_break=tie_break,
+            allow_truncated=allow_truncated,
+            allow_unnumbered=allow_unnumbered,
+            first_page=first_page,
+            ts=ts,
+            entity=entity,
+        )
+        if done["bronze"].path is not None:
+            done["silver"] = load_silver(
+                read_layer(spark, done["bronze"].path, entity.bronze),
+                layout,
+                run_id,
+                patterns=patterns,
+                limits=limits,
+                on_fail=on_fail,
+                salt=salt,
+                earlier=done["bronze"].metrics,
+                incremental=incremental,
+                previous_run=previous_run,
+                rejected_updates=rejected_updates,
+                ts=ts,
+                entity=entity,
+            )
+        if "silver" in done and done["silver"].path is not None:
+            done["gold"] = load_gold(read_silver(spark, done["silver"], run_id, entity), layout, run_id, ts, entity=entity)
+    except Exception as why:
+        if isinstance(why, QualityGateError):
+            done["silver"] = Load(None, why.metrics)
+        record_metrics(spark, done, layout, run_id, f"{type(why).__name__}: {why}"[:1000])
+        raise
+    record_metrics(spark, done, layout, run_id)
+    _publish(spark, done, run_id, publish or {}, entity)
     return done
+
+
+def read_silver(spark: SparkSession, load: Load, run_id: str, entity: Entity = ENTITY) -> DataFrame:
+    """The silver that a load stored, bucketed or not."""
+    if load.buckets is not None:
+        return read_buckets(spark, load.path, run_id, entity.silver)
+    return read_layer(spark, load.path, entity.silver)
+
+
+def _publish(spark: SparkSession, done: Mapping[str, Load], run_id: str, names: Mapping[str, str], entity: Entity) -> None:
+    by = {"silver": [entity.partition], "gold": []}
+    schema = {"silver": entity.silver, "gold": entity.gold}
+    for layer, name in names.items():
+        load = done.get(layer)
+        if load is None or load.path is None or load.buckets is not None:
+            continue
+        create_namespaces(spark, [name.rpartition(".")[0]] if "." in name else [])
+        publish_table(spark, name, run_id, load.path, schema[layer], by[layer])

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, field
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DataType,
     DoubleType,
@@ -54,6 +57,65 @@ GOLD = struct_of(
 )
 
 
+@dataclass(frozen=True)
+class Entity:
+    """What the loads must know of an entity table.
+
+    `source` maps a column to the name of its source field, where they differ.
+    `recency` names further columns, with types, that all layers but gold keep: the
+    larger they are, in this order, the newer is the record.
+    """
+
+    fields: tuple[str, ...] = tuple(ENTITY_FIELDS.split())
+    key: tuple[str, ...] = ("id",)
+    text: tuple[str, ...] = TEXT_FIELDS
+    contact: tuple[str, ...] = CONTACT_FIELDS
+    coordinates: tuple[str, ...] = COORDINATES
+    masked: tuple[str, ...] = ("phone",)
+    dims: tuple[str, ...] = GOLD_DIMS
+    partition: str = "state"
+    country: str = "country"
+    postal: str = "postal_code"
+    source: Mapping[str, str] = field(default_factory=dict)
+    recency: Mapping[str, DataType] = field(default_factory=dict)
+
+    def _struct(self, **stamps: DataType) -> StructType:
+        types = {c: DoubleType() for c in self.coordinates} | dict(self.recency) | stamps
+        return struct_of(" ".join([*self.fields, *self.recency, *stamps]), types)
+
+    @property
+    def read_fields(self) -> StructType:
+        """The source's own names, all as text."""
+        return struct_of(" ".join(self.source.get(c, c) for c in [*self.fields, *self.recency]))
+
+    @property
+    def plain(self) -> StructType:
+        return self._struct()
+
+    @property
+    def bronze(self) -> StructType:
+        return self._struct(**{BRONZE_TS: TimestampType()})
+
+    @property
+    def silver(self) -> StructType:
+        return self._struct(**{BRONZE_TS: TimestampType(), SILVER_TS: TimestampType()})
+
+    @property
+    def gold(self) -> StructType:
+        types = {"entity_count": LongType(), GOLD_TS: TimestampType()}
+        return struct_of(" ".join([*self.dims, *types]), types)
+
+    def renamed(self, rows: DataFrame) -> DataFrame:
+        """Source names to column names; other columns stay. A field that the source
+        lacks is an error, not a column of NULLs."""
+        wanted = [self.source.get(c, c) for c in [*self.fields, *self.recency]]
+        absent = [c for c in wanted if c not in rows.columns]
+        if absent:
+            raise ValueError(f"the source has no field {', '.join(absent)}")
+        named = {self.source.get(c, c): c for c in [*self.fields, *self.recency]}
+        return rows.select(*[F.col(f"`{c}`").alias(named.get(c, c)) for c in rows.columns])
+
+
 @dataclass(frozen=True)
 class Layout:
     """All storage paths of a lake. A run never overwrites another run's folder."""

@@ -38,3 +38,10 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     if spark.conf.get("spark.master", "").startswith("local"):
         return tempfile.mkdtemp(prefix=f"terrace-{label}-")
     raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that a job made for itself and has read to the end."""
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -1,5 +1,15 @@
-"""Writers: layer runs, namespaces, published tables and compaction."""
+"""Parquet layers, catalog tables and bucketed merges."""
 
-from terrace.sinks.layers import compact, create_namespaces, publish_table, write_layer
+from terrace.sinks.buckets import manifest, merge_buckets, read_buckets
+from terrace.sinks.layers import compact, create_namespaces, publish_table, quoted, write_layer
 
-__all__ = ["compact", "create_namespaces", "publish_table", "write_layer"]
+__all__ = [
+    "compact",
+    "create_namespaces",
+    "manifest",
+    "merge_buckets",
+    "publish_table",
+    "quoted",
+    "read_buckets",
+    "write_layer",
+]

@@ -11,12 +11,15 @@ from terrace.schemas import RAW
 PAGE = "page"
 FAILED = "page_failed"
 _CORRUPT = "_corrupt_record"
-# `page-0007.json`, `page_7.json` and the folder form `page=7/...` all name page 7.
-_PAGE_IN_PATH = r".*page[-_=](\d+)"
+# `page-0007.json`, `page_7.json` and the folder form `page=7/...` all name page 7. Other
+# parts of the path do not count.
+_PAGE_IN_FILE = r"page[-_=](\d+)[^/]*$"
+_PAGE_FOLDER = r".*/page=(\d+)/"
 
 
 def _page_of(path: Column) -> Column:
-    return F.regexp_extract(path, _PAGE_IN_PATH, 1).try_cast("long")
+    in_file = F.regexp_extract(path, _PAGE_IN_FILE, 1).try_cast("long")
+    return F.coalesce(in_file, F.regexp_extract(path, _PAGE_FOLDER, 1).try_cast("long"))
 
 
 def _page_schema(fields: StructType) -> StructType:
@@ -39,7 +42,10 @@ def read_pages(
     A page is a JSON array, or one object per line with `multi_line=False` (such
     files can be split among tasks). Fields are read as text: a quoted number under
     a numeric field would silently turn NULL. Missing fields are NULL, unknown ones
-    are dropped, and text that is no JSON marks its row in `page_failed`.
+    are dropped, and text that is no JSON marks its row in `page_failed`. `page` is
+    NULL where neither the file nor its `page=` folder is numbered.
+
+    A JSON array is parsed by one task; large pages belong into the other form.
     """
     reader = spark.read.schema(_page_schema(fields)).option("columnNameOfCorruptRecord", _CORRUPT)
     return _with_page(reader.option("multiLine", multi_line).json(path), fields)
@@ -67,11 +73,13 @@ def list_pages(spark: SparkSession, path: str) -> DataFrame:
     return files.select(_page_of(F.col("path")).alias(PAGE), F.lit(False).alias(FAILED))
 
 
-def page_boundary(pages: DataFrame, total_pages: int | None = 10) -> DataFrame:
-    """One row: the first page not to load, and whether wanted pages are lost by that.
+def page_boundary(pages: DataFrame, total_pages: int | None = None, first_page: int = 1) -> DataFrame:
+    """One row on the pages: `boundary`, the first page not to load; `pages_read`;
+    `broken`, whether that page is wanted but missing or failed; `truncated`, whether it
+    is or pages beyond it were seen; `unnumbered`, the rows without a page number.
 
     `pages` has a row per record or per page (`page`, `page_failed`). Pages count
-    from 1; the boundary is the first one that is absent or failed, at most
+    from `first_page`; the boundary is the first one that is absent or failed, at most
     `total_pages + 1`. With `total_pages=None` all pages seen are wanted.
 
     Every page seen marks itself and, if it is good, the page after it. A page that
@@ -79,22 +87,36 @@ def page_boundary(pages: DataFrame, total_pages: int | None = 10) -> DataFrame:
     boundary. That takes one pass over the records, combined on the map side, and no
     join; the page numbers are never gathered in one place.
     """
-    wanted = F.col(PAGE).between(1, total_pages) if total_pages else F.col(PAGE) >= 1
-    seen = pages.filter(wanted).groupBy(PAGE).agg((~F.max(FAILED)).alias("good"))
+    wanted = F.col(PAGE).between(first_page, total_pages) if total_pages else F.col(PAGE) >= first_page
+    seen = pages.groupBy(PAGE).agg(F.max(FAILED).alias("failed"), F.count("*").alias("n"))
+    seen = seen.select(PAGE, (wanted & ~F.col("failed")).alias("good"), (F.col(PAGE) >= first_page).alias("counts"), "n")
     marks = seen.selectExpr(
-        f"""stack(2, {PAGE}, good, false, {PAGE}, {PAGE} + 1, false, good, CAST(NULL AS LONG))
-        AS ({PAGE}, good, next, seen)"""
+        f"""stack(2, {PAGE}, good, false, if(counts, {PAGE}, NULL), if({PAGE} IS NULL, n, 0L),
+            {PAGE} + 1, false, good, CAST(NULL AS LONG), 0L)
+        AS ({PAGE}, good, next, seen, unnumbered)"""
     )
-    start = pages.sparkSession.range(1, 2, 1, 1).selectExpr("id", "false", "true", "cast(null AS long)")
+    start = pages.sparkSession.range(first_page, first_page + 1, 1, 1).selectExpr("id", "false", "true", "cast(null AS long)", "0L")
     per_page = marks.union(start).groupBy(PAGE).agg(
-        F.max("good").alias("good"), F.max("next").alias("next"), F.max("seen").alias("seen")
+        F.max("good").alias("good"),
+        F.max("next").alias("next"),
+        F.max("seen").alias("seen"),
+        F.sum("unnumbered").alias("unnumbered"),
     )
-    gap = F.when(F.col("next") & ~F.col("good"), F.col(PAGE))
-    last = F.lit(total_pages).cast("long") if total_pages else F.coalesce(F.max("seen"), F.lit(0))
-    return per_page.agg(F.min(gap).alias("boundary"), last.alias("_last")).select(
+    # Pages below the first follow nothing and are followed by nothing.
+    gap = F.when(F.col("next") & ~F.coalesce("good", F.lit(False)) & (F.col(PAGE) >= first_page), F.col(PAGE))
+    last = F.coalesce(F.max("seen"), F.lit(0))
+    wanted_last = F.lit(total_pages).cast("long") if total_pages else last
+    return per_page.agg(
+        F.min(gap).alias("boundary"),
+        last.alias("_last"),
+        wanted_last.alias("_wanted"),
+        F.sum("unnumbered").alias("unnumbered"),
+    ).select(
         "boundary",
-        (F.col("boundary") - 1).alias("pages_read"),
-        (F.col("boundary") <= F.col("_last")).alias("truncated"),
+        (F.col("boundary") - first_page).alias("pages_read"),
+        (F.col("boundary") <= F.col("_wanted")).alias("broken"),
+        (F.col("boundary") <= F.greatest("_wanted", "_last")).alias("truncated"),
+        "unnumbered",
     )
 
 

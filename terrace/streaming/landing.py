@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from terrace.schemas import RAW
@@ -17,19 +17,27 @@ def land_new_pages(
     fields: StructType = RAW,
     multi_line: bool = True,
     max_files_per_batch: int | None = None,
-) -> None:
-    """Append the new page files under `pages` to the landing table, then stop.
+    run_id: str | None = None,
+) -> str:
+    """Add the new page files under `pages` to the landing table, then stop; returns where.
 
-    The checkpoint and the file sink's log make a batch that is run again after a
-    failure land once. `checkpoint` must be on shared storage.
+    With `run_id` the new rows go to a folder of their own below `landing`, one per batch,
+    so that a load can take just what this run brought. A batch that is run again after a
+    failure writes its folder anew; repeat a failed run under its own id. Without `run_id`
+    the rows are appended to `landing` itself, and the file sink's log makes each batch
+    land once. `checkpoint` must be on shared storage.
     """
     reader_limit = {} if max_files_per_batch is None else {"maxFilesPerTrigger": max_files_per_batch}
     rows = stream_pages(spark, pages, fields, multi_line, **reader_limit)
-    query = (
-        rows.writeStream.format("parquet")
-        .option("checkpointLocation", checkpoint)
-        .option("path", landing)
-        .trigger(availableNow=True)
-        .start()
-    )
+    writer = rows.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    if run_id is None:
+        query, target = writer.format("parquet").option("path", landing).start(), landing
+    else:
+        target = f"{landing.rstrip('/')}/run_id={run_id}"
+
+        def put(batch: DataFrame, number: int) -> None:
+            batch.write.mode("overwrite").parquet(f"{target}/batch={number}")
+
+        query = writer.foreachBatch(put).start()
     query.awaitTermination()
+    return target

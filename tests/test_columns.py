@@ -42,6 +42,14 @@ def test_bad_postal_per_country(spark):
     assert _values(df, bad_postal(patterns)) == [False, True, True]
 
 
+def test_a_long_pattern_table_gives_the_same_flags(spark):
+    codes = [("D02", "c3"), ("12345", "c3"), ("123", "c190"), ("1", "elsewhere"), (None, "c1"), ("1", None)]
+    df = spark.createDataFrame(codes, "postal_code string, country string")
+    table = {f"c{k}": "^[0-9]{5}$" if k > 100 else "^[A-Z][0-9]{2}$" for k in range(200)}
+    few = {k: table[k] for k in ("c1", "c3", "c190")}
+    assert _values(df, bad_postal(table)) == _values(df, bad_postal(few)) == [False, True, True, False, False, False]
+
+
 def test_coordinates(spark):
     texts = ["35.1", "", None, "abc", " 2 ", "nan", "0", "  ", "-97.46818222"]
     df = spark.createDataFrame([(t,) for t in texts], "c string")

@@ -17,7 +17,7 @@ def done(spark, tmp_path_factory):
     feed = order_feed(spark, SF_DIR)
     layout = Layout(str(tmp_path_factory.mktemp("lake")))
     return plans.run_loads(
-        spark, feed, layout, "r1", total_pages=None, recency=registry.RECENCY, tie_break=(), on_fail="quarantine"
+        spark, feed, layout, "r1", recency=registry.RECENCY, tie_break=(), on_fail="quarantine"
     )
 
 
@@ -70,7 +70,6 @@ def test_same_run_twice_gives_the_same_rows(spark, done, tmp_path):
         order_feed(spark, SF_DIR).repartition(7, "seen_at"),
         Layout(str(tmp_path)),
         "r2",
-        total_pages=None,
         recency=registry.RECENCY,
         tie_break=(),
         on_fail="quarantine",

@@ -44,7 +44,7 @@ def pages(tmp_path):
 def _run(spark, folder, root, run_id="r1", **options):
     rows = sources.read_pages(spark, folder)
     listed = sources.list_pages(spark, folder)
-    return plans.run_loads(spark, rows, Layout(str(root)), run_id, listed, **{"total_pages": None, **options})
+    return plans.run_loads(spark, rows, Layout(str(root)), run_id, listed, **options)
 
 
 def _layer(spark, load, schema):
@@ -59,18 +59,26 @@ def test_chain(spark, pages, tmp_path):
     assert done["bronze"].metrics == {
         "boundary": 4,
         "pages_read": 3,
+        "broken": False,
         "truncated": False,
+        "unnumbered": 0,
+        "pages_left_out": 0,
+        "rows_left_out": 0,
         "total": 5,
         "kept": 4,
         "dropped": 1,
         "duplicate_keys": 1,
         "coord_malformed": 1,
+        "blank_partition": 0,
+        "empty_fields": 1,
     }
     bronze = {r.id: r for r in _layer(spark, done["bronze"], schemas.BRONZE).collect()}
     assert len(bronze) == 4 and bronze["1"].city == "Boone" and bronze["1"].longitude is None
     assert bronze["2"].longitude == -93.5 and bronze["2"].ts_load_timestamp is not None
     assert done["silver"].metrics == {
-        "duplicate_keys": 0,
+        # The bronze load resolved these two; the gate still sees them.
+        "duplicate_keys": 1,
+        "coord_malformed": 1,
         "bad_postal": 0,
         "no_contact": 1,
         "postal_missing": 0,
@@ -118,12 +126,48 @@ def test_limits_and_options(spark, pages, tmp_path):
     folder = pages(1, [_record("1"), _record("2", phone=None)])
     with pytest.raises(QualityGateError, match="no_contact=1"):
         _run(spark, folder, tmp_path / "a", limits={"no_contact": 0})
+    with pytest.raises(QualityGateError, match="no_contact=1"):
+        _run(spark, folder, tmp_path / "q", limits={"no_contact": 0}, on_fail="quarantine")
+    with pytest.raises(ValueError, match="no such total: coord_bad"):
+        _run(spark, folder, tmp_path / "u", limits={"coord_bad": 0})
+    assert not os.path.exists(tmp_path / "u")
     with pytest.raises(ValueError, match="on_fail"):
         _run(spark, folder, tmp_path / "b", on_fail="ignore")
     with pytest.raises(QualityGateError):
         _run(spark, folder, tmp_path / "c", patterns={"united states": "^[A-Z]$"})
 
 
+def test_bronze_totals_reach_the_gate(spark, pages, tmp_path):
+    folder = pages(1, [_record("1"), _record("1", longitude="n/a"), _record("2")])
+    for name in ("duplicate_keys", "coord_malformed"):
+        for on_fail in ("raise", "quarantine"):
+            lake = tmp_path / f"{name}-{on_fail}"
+            with pytest.raises(QualityGateError, match=f"{name}=1"):
+                _run(spark, folder, lake, limits={name: 0}, on_fail=on_fail)
+            assert not os.path.exists(lake / "silver") and not os.path.exists(lake / "gold")
+            stored = {(r.load, r.metric): r.value for r in spark.read.parquet(str(lake / "metrics")).collect()}
+            assert stored["silver", name] == stored["bronze", name] == 1
+        assert "gold" in _run(spark, folder, tmp_path / f"{name}-ok", limits={name: 1})
+
+
+def test_thirteen_pages_are_thirteen_pages(spark, pages, tmp_path):
+    for number in range(1, 14):
+        folder = pages(number, [_record(str(number))])
+    done = _run(spark, folder, tmp_path / "lake")
+    assert done["bronze"].metrics["pages_read"] == done["bronze"].metrics["kept"] == 13
+    some = _run(spark, folder, tmp_path / "some", total_pages=10)["bronze"].metrics
+    assert (some["kept"], some["pages_left_out"], some["rows_left_out"], some["truncated"]) == (10, 3, 3, True)
+
+
+def test_unnumbered_pages_are_refused(spark, pages, tmp_path):
+    folder = pages(1, [_record("1")])
+    (tmp_path / "pages" / "extra.json").write_text(json.dumps([_record("2"), _record("3")]))
+    with pytest.raises(plans.UnnumberedPageError, match="3 records or files"):
+        _run(spark, folder, tmp_path / "lake")
+    done = _run(spark, folder, tmp_path / "all", allow_unnumbered=True)
+    assert done["bronze"].metrics["kept"] == 3
+
+
 def test_truncated_load_is_refused(spark, pages, tmp_path):
     pages(1, [_record("1")])
     folder = pages(3, [_record("3")])
@@ -133,6 +177,7 @@ def test_truncated_load_is_refused(spark, pages, tmp_path):
     done = _run(spark, folder, tmp_path / "lake", "r2", allow_truncated=True)
     assert [r.id for r in _layer(spark, done["bronze"], schemas.BRONZE).collect()] == ["1"]
     assert done["bronze"].metrics["truncated"] is True
+    assert done["bronze"].metrics["pages_left_out"] == done["bronze"].metrics["rows_left_out"] == 1
 
 
 def test_failed_page_cuts_the_load(spark, pages, tmp_path):
@@ -175,27 +220,97 @@ def test_foreign_bronze_with_duplicates(spark, tmp_path):
     assert sorted((r.id, r.name) for r in found) == [("1", "b"), ("2", "a")]
 
 
-def test_silver_of_unique_bronze_needs_no_wide_shuffle(spark, pages, tmp_path):
-    """One file per bronze file: each was written by the task that scanned it."""
+def test_silver_is_one_file_per_state_however_bronze_is_stored(spark, pages, tmp_path):
     folder = pages(1, [_record(str(i), state=f"s{i % 4}") for i in range(40)])
     done = _run(spark, folder, tmp_path / "lake")
-    bronze = glob.glob(f"{done['bronze'].path}/*/*.parquet")
-    silver = glob.glob(f"{done['silver'].path}/*/*.parquet")
-    assert len(bronze) == len(silver) == 4
+    assert len(glob.glob(f"{done['silver'].path}/*/*.parquet")) == 4
+    foreign = sources.read_layer(spark, done["bronze"].path, schemas.BRONZE).repartition(8)
+    load = plans.load_silver(foreign, Layout(str(tmp_path / "other")), "r1")
+    assert len(glob.glob(f"{load.path}/*/*.parquet")) == 4
+    assert not os.path.exists(tmp_path / "other" / "staging" / "run_id=r1")
+
+
+def test_one_wide_dedupe_per_silver_load(spark, tmp_path, monkeypatch):
+    """The window over whole rows stands in one write; silver and quarantine read its result."""
+    from terrace.plans import loads
+
+    written = []
+    plain = loads.write_layer
+    monkeypatch.setattr(loads, "write_layer", lambda df, path, *a, **k: (written.append((path, df._jdf.queryExecution().executedPlan().toString())), plain(df, path, *a, **k)))
+    bronze = spark.createDataFrame([_record("1"), _record("1", city="B"), _record("2", phone=None)], schemas.RAW)
+    from terrace.operators import project
+
+    load = plans.load_silver(project(bronze, schemas.BRONZE), Layout(str(tmp_path)), "r1", on_fail="quarantine")
+    assert load.metrics["duplicate_keys"] == 1 and load.quarantine
+    assert [("staging" in path, "Window" in plan) for path, plan in written] == [(True, True), (False, False)]
+
+
+def test_incremental_loads_equal_one_load(spark, pages, tmp_path):
+    """Late, rejected and repeated records in three batches against all at once."""
+    from dataclasses import replace
+
+    from pyspark.sql.types import LongType
+
+    entity = replace(schemas.Entity(), recency={"seen": LongType()})
+    batches = [
+        [_record("1", seen="1"), _record("2", seen="5"), _record("3", seen="9"), _record("6", phone=None, seen="9")],
+        [_record("1", city="Boone", seen="2"), _record("2", city="late", seen="4"), _record("6", seen="8")],
+        [_record("3", phone=None, seen="10"), _record("1", phone=None, seen="1"), _record("5", seen="1")],
+    ]
+
+    def load(records, run_id, **options):
+        rows = spark.createDataFrame([{**r, "street": "s", "page": options.get("first_page", 1), "page_failed": False} for r in records],
+            "id string, name string, category string, street string, city string, state string, postal_code string, "
+            "country string, longitude string, latitude string, phone string, website_url string, seen string, page long, page_failed boolean")
+        return plans.run_loads(spark, rows, Layout(str(tmp_path / "lake")), run_id, entity=entity, tie_break=(), **options)
+
+    columns = [*schemas.ENTITY.names, "seen"]
+    previous = None
+    for number, records in enumerate(batches, 1):
+        done = load(records, f"r{number}", incremental=True, previous_run=previous, first_page=number)
+        previous = f"r{number}"
+    merged = plans.read_silver(spark, done["silver"], previous, entity).select(columns).collect()
+    whole = load([r for b in batches for r in b], "whole")
+    at_once = sources.read_layer(spark, whole["silver"].path, entity.silver).select(columns).collect()
+    assert sorted(merged, key=repr) == sorted(at_once, key=repr)
+    assert sorted((r.id, r.city) for r in merged) == [("1", "boone"), ("2", "ames"), ("5", "ames")]
+    kept = load(batches[2], "kept", incremental=True, previous_run="r2", first_page=3, rejected_updates="keep")
+    assert sorted(r.id for r in plans.read_silver(spark, kept["silver"], "kept", entity).collect()) == ["1", "2", "3", "5"]
+
+
+def test_an_entity_under_other_names(spark, tmp_path):
+    entity = schemas.Entity(
+        fields=("code", "title", "kind", "region", "price", "mail"),
+        key=("code",),
+        text=("title", "kind"),
+        contact=("mail",),
+        coordinates=("price",),
+        masked=("mail",),
+        dims=("kind", "region"),
+        partition="region",
+        country="kind",
+        postal="code",
+        source={"title": "item_title", "kind": "item_kind"},
+    )
+    rows = [("1", "A", "Tool", "n", "2.5", "m", 1, False), ("2", "B", "TOOL", "n", "x", None, 1, False)]
+    pages = spark.createDataFrame(rows, "code string, item_title string, item_kind string, region string, price string, mail string, page long, page_failed boolean")
+    done = plans.run_loads(spark, pages, Layout(str(tmp_path)), "r1", entity=entity)
+    gold = sources.read_layer(spark, done["gold"].path, entity.gold).drop(schemas.GOLD_TS).collect()
+    assert [tuple(r) for r in gold] == [("tool", "n", 1)]
+    assert done["bronze"].metrics["coord_malformed"] == 1
+    with pytest.raises(ValueError, match="no field item_kind"):
+        plans.run_loads(spark, pages.drop("item_kind"), Layout(str(tmp_path)), "r2", entity=entity)
 
 
-def test_merge_into_the_previous_silver(spark, pages, tmp_path):
-    layout = Layout(str(tmp_path / "lake"))
+def test_published_gold_is_the_run(spark, pages, tmp_path):
     folder = pages(1, [_record("1"), _record("2")])
-    first = _run(spark, folder, layout.root)["silver"]
-    folder = pages(1, [_record("2", city="Boone", state="Ohio"), _record("3")])
-    bronze = _run(spark, folder, layout.root, "r2")["bronze"]
-    again = _layer(spark, bronze, schemas.BRONZE)
-    for run_id, before in (("r3", first), ("r4", None)):
-        previous = _layer(spark, before or merged, schemas.SILVER)  # noqa: F821
-        merged = plans.load_silver(again, layout, run_id, previous=previous)
-        rows = _layer(spark, merged, schemas.SILVER).collect()
-        assert sorted((r.id, r.city) for r in rows) == [("1", "ames"), ("2", "boone"), ("3", "ames")]
+    names = {"silver": "silver.load_test", "gold": "gold.load_test"}
+    _run(spark, folder, tmp_path / "lake", "2026-12-04", publish=names)
+    assert spark.table("silver.load_test").count() == 2
+    assert spark.sql("SELECT sum(entity_count) FROM gold.load_test").first()[0] == 2
+    pages(1, [_record("3")])
+    _run(spark, folder, tmp_path / "lake", "2026-12-05", publish=names)
+    assert spark.table("silver.load_test").count() == 1
 
 
 def test_fixed_stamp_reaches_all_layers(spark, pages, tmp_path):

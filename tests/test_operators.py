@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from terrace import operators as op
 from terrace import schemas
-from terrace.operators.ranking import _number_rows_sliced
 
 
 def _rows(df):
@@ -110,11 +109,14 @@ def test_counts_match_brute_force(spark, rows):
 
 
 def test_upsert(spark):
-    old = spark.createDataFrame([("1", 5, 0), ("2", 5, 0)], SCHEMA)
-    new = spark.createDataFrame([("2", 1, 9), ("2", 2, 8), ("3", 1, 7)], SCHEMA)
+    old = spark.createDataFrame([("1", 5, 0), ("2", 1, 0), ("4", 2, 0)], SCHEMA)
+    new = spark.createDataFrame([("1", 4, 9), ("2", 1, 9), ("2", 2, 8), ("3", 1, 7), ("4", 2, -1)], SCHEMA)
     once = op.upsert(old, new, ["id"], ["seen"])
-    assert _rows(once) == [("1", 5, 0), ("2", 2, 8), ("3", 1, 7)]
+    # A late record does not replace a newer one; in a tie the new row wins.
+    assert _rows(once) == [("1", 5, 0), ("2", 2, 8), ("3", 1, 7), ("4", 2, -1)]
     assert _rows(op.upsert(once, new, ["id"], ["seen"])) == _rows(once)
+    replaced = op.upsert(old, new.filter("id = '1'"), ["id"])
+    assert _rows(replaced) == [("1", 4, 9), ("2", 1, 0), ("4", 2, 0)]
 
 
 def test_hot_key_is_cut_down_before_the_shuffle(spark):
@@ -143,6 +145,24 @@ def test_gate(spark):
     assert caught.value.metrics == row
 
 
+def test_metrics_and_reconciliation_are_one_pass(spark, tmp_path):
+    """No sort aggregate; each plan scans its input as often as it has shuffles."""
+    spark.createDataFrame([("a", 1, 0), ("a", 2, 1), ("b", 1, 0)], SCHEMA).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    plan = lambda out: out._jdf.queryExecution().executedPlan().toString()
+    metrics = plan(op.quality_metrics(df, ["id"], {"zero": F.col("payload") == 0}, ["seen"]))
+    assert "SortAggregate" not in metrics and "WindowGroupLimit" in metrics
+    rule = op.reconcile_rule(df, F.col("payload") == 0)
+    assert tuple(rule.first()) == (3, 2, 1)
+    assert plan(op.reconcile_rule(df, F.col("payload") == 0)).count("FileScan") == 1
+
+
+def test_unknown_limits_are_refused():
+    op.require_known({"bad_postal": 0}, ["bad_postal"])
+    with pytest.raises(ValueError, match="no such total: typo"):
+        op.require_known({"typo": 0}, ["bad_postal"])
+
+
 # --- windows --------------------------------------------------------------------------
 
 
@@ -172,17 +192,17 @@ def _ranks(rows):
     return sorted(ranked, key=repr)
 
 
-@pytest.mark.parametrize("max_group_rows", [5_000_000, 100])
-def test_row_numbers_of_a_hot_group(spark, measures, max_group_rows):
+@pytest.mark.parametrize("slices", [None, 1, 30])
+def test_row_numbers_of_a_hot_group(spark, measures, slices):
     rows, df = measures
-    out = op.number_rows(df, ["state"], order(), max_group_rows=max_group_rows)
+    out = op.number_rows(df, ["state"], order(), slices=slices)
     assert out.schema["rank"].dataType.simpleString() == "bigint"
     assert _rows(out) == _ranks(rows)
 
 
 def test_sliced_row_numbers_split_the_hot_group(spark, measures):
     rows, df = measures
-    out = _number_rows_sliced(df, ["state"], order(), "rank", slices=12)
+    out = op.number_rows(df, ["state"], order(), slices=12)
     assert _rows(out) == _ranks(rows)
     path = out.inputFiles()[0].rsplit("/", 1)[0]
     hot = spark.read.parquet(path).filter("state = 'hot'")
@@ -191,9 +211,11 @@ def test_sliced_row_numbers_split_the_hot_group(spark, measures):
 
 def test_top_n(measures):
     rows, df = measures
-    for n in (1, 3, 1000, 1001):
+    for n in (1, 3, 1000):
         expected = sorted((r for g in _groups(rows).values() for r in g[:n]), key=repr)
         assert _rows(op.top_n(df, ["state"], order(), n)) == expected
+    with pytest.raises(ValueError, match="number_rows"):
+        op.top_n(df, ["state"], order(), 1001)
 
 
 def test_share_of_group_with_and_without_broadcast(spark, measures):

@@ -39,6 +39,57 @@ def test_publish_moves_to_the_new_run_and_keeps_the_old_files(spark, tmp_path):
     assert spark.table("gold.run_test__r1").count() == 3
 
 
+def test_publishing_again_leaves_the_table_under_the_view(spark, tmp_path):
+    sinks.create_namespaces(spark)
+    schema = spark.range(1).toDF("id").schema
+    for run in ("2026-12-04", "2026-12-05", "2026-12-04"):
+        path = str(tmp_path / run)
+        if not glob.glob(path):
+            sinks.write_layer(spark.range(int(run[-1])).toDF("id"), path)
+        sinks.publish_table(spark, "gold.dated_test", run, path, schema)
+        assert spark.table("gold.dated_test").count() == int(run[-1])
+    assert spark.table("gold.dated_test__2026_x2d_12_x2d_05").count() == 5
+
+
+def test_a_run_id_is_used_once(spark, tmp_path):
+    sinks.write_layer(spark.range(3), str(tmp_path / "t"))
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        sinks.write_layer(spark.range(4), str(tmp_path / "t"))
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 3
+
+
+def test_compaction_splits_a_hot_folder_without_clustering(spark, tmp_path):
+    df = spark.range(20_000, numPartitions=8).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("id"),
+        F.when(F.col("id") % 10 > 0, "hot").otherwise((F.col("id") % 7).cast("string")).alias("state"),
+    )
+    source, target = str(tmp_path / "a"), str(tmp_path / "b")
+    sinks.write_layer(df, source, by=["state"])
+    assert sinks.compact(spark, source, target, SCHEMA, ["state"], file_bytes=100_000) > 8
+    assert len(glob.glob(f"{target}/state=hot/*.parquet")) > 5
+    assert sources.read_layer(spark, target, SCHEMA).exceptAll(df).isEmpty()
+
+
+def test_a_merge_rewrites_only_the_touched_buckets(spark, tmp_path):
+    root, schema = str(tmp_path / "store"), schemas.struct_of("id state seen")
+    rows = lambda *r: spark.createDataFrame(list(r), schema)
+    first = rows(*[(str(i), "a", "2") for i in range(200)])
+    assert len(sinks.merge_buckets(first, root, "r1", schema, ["id"], ["seen"], buckets=32)) == 32
+    batch = rows(("5", "late", "1"), ("6", "newer", "3"), ("7", "bad", "3"), ("new", "a", "1"))
+    gone = F.col("state") == "bad"
+    touched = sinks.merge_buckets(batch, root, "r2", schema, ["id"], ["seen"], "r1", gone=gone)
+    held = sinks.manifest(spark, root, "r2")
+    assert 1 <= len(touched) <= 4 and {b for b, r in held.items() if r == "r2"} == set(touched)
+    assert len(glob.glob(f"{root}/data/run_id=r2/_bucket=*")) == len(touched)
+    found = {r.id: r.state for r in sinks.read_buckets(spark, root, "r2", schema).collect()}
+    assert len(found) == 200 and "7" not in found
+    assert (found["5"], found["6"], found["new"]) == ("a", "newer", "a")
+    # An older record of a removed key does not bring it back.
+    sinks.merge_buckets(rows(("7", "old", "2")), root, "r3", schema, ["id"], ["seen"], "r2")
+    assert "7" not in {r.id for r in sinks.read_buckets(spark, root, "r3", schema).collect()}
+    assert sinks.read_buckets(spark, root, "r1", schema).count() == 200
+
+
 def test_one_file_per_small_partition(spark, tmp_path):
     df = spark.range(1000, numPartitions=8).select(
         F.col("id").cast("string").alias("id"), (F.col("id") % 10).cast("string").alias("state")

@@ -72,7 +72,7 @@ def test_no_files(spark, folder):
         ([(1, False), (2, False), (4, False)], None, (3, 2, True)),
         ([(1, False), (2, False), (3, False)], 3, (4, 3, False)),
         ([(1, False), (2, False), (3, False)], None, (4, 3, False)),
-        ([(1, False), (2, False), (3, False)], 2, (3, 2, False)),
+        ([(1, False), (2, False), (3, False)], 2, (3, 2, False, True)),
         ([(1, False), (2, False), (3, False)], 10, (4, 3, True)),
         ([(1, False), (2, False), (2, True), (3, False)], None, (2, 1, True)),
         ([(1, True), (2, False)], None, (1, 0, True)),
@@ -85,14 +85,29 @@ def test_no_files(spark, folder):
 def test_page_boundary(spark, pages, total, expected):
     df = spark.createDataFrame(pages, "page long, page_failed boolean")
     boundary = sources.page_boundary(df, total)
-    assert tuple(boundary.first()) == expected
+    # boundary, pages read, broken, truncated, rows without a number
+    wanted = expected if len(expected) == 4 else (*expected, expected[2])
+    assert tuple(boundary.first()) == (*wanted, 0)
     kept = sources.keep_page_prefix(df, boundary)
     assert sorted(r.page for r in kept.collect()) == sorted(p for p, _ in pages if p < expected[0])
 
 
-def test_default_is_ten_pages(spark):
-    df = spark.createDataFrame([(p, False) for p in range(1, 13)], "page long, page_failed boolean")
-    assert tuple(sources.page_boundary(df).first()) == (11, 10, False)
+def test_all_pages_by_default_and_a_later_first_page(spark):
+    df = spark.createDataFrame([(p, False) for p in [None, *range(1, 14)]], "page long, page_failed boolean")
+    assert tuple(sources.page_boundary(df).first()) == (14, 13, False, False, 1)
+    assert tuple(sources.page_boundary(df, first_page=5).first()) == (14, 9, False, False, 1)
+    assert tuple(sources.page_boundary(df, first_page=15).first()) == (15, 0, False, False, 1)
+
+
+def test_numbers_are_taken_from_the_file_or_its_page_folder_only(spark, folder):
+    _page(folder, 1, [_record("a")])
+    (folder / "extra.json").write_text(json.dumps([_record("b")]))
+    other = folder / "in"
+    (other / "page=7").mkdir(parents=True)
+    (other / "page=7" / "part-3.json").write_text(json.dumps([_record("c")]))
+    rows = sources.read_pages(spark, f"{folder}/*.json").unionByName(sources.read_pages(spark, str(other)))
+    assert {(r.id, r.page) for r in rows.collect()} == {("a", 1), ("b", None), ("c", 7)}
+    assert {r.page for r in sources.list_pages(spark, str(folder)).collect()} == {1, 7, None}
 
 
 def test_path_steps():
@@ -124,10 +139,22 @@ def test_copy_mapping_has_the_sixteen_fields(spark, folder):
 
 
 def test_newer_than(spark):
-    source = spark.range(10).selectExpr("id", "timestamp_seconds(id) AS ts")
-    done = source.filter("id <= 6")
-    assert sorted(r.id for r in sources.newer_than(source, done, "ts").collect()) == [7, 8, 9]
-    assert sources.newer_than(source, done.limit(0), "ts").count() == 10
+    source = spark.range(10).selectExpr("id", "timestamp_seconds(id DIV 2) AS ts")
+    source = source.unionByName(spark.createDataFrame([(10, None), (11, None)], source.schema))
+    # Row 7 has the mark's own stamp and came late; row 10 has no stamp and is known.
+    done = source.filter("id <= 6 OR id = 10")
+    new = sources.newer_than(source, done, "ts", ["id"])
+    assert sorted(r.id for r in new.collect()) == [7, 8, 9, 11]
+    assert sources.newer_than(source, done.limit(0), "ts", ["id"]).count() == 12
+
+
+def test_a_landing_run_has_a_folder_of_its_own(spark, folder, tmp_path):
+    landing, mark = str(tmp_path / "landing"), str(tmp_path / "mark")
+    _page(folder, 1, [_record("a")])
+    first = land_new_pages(spark, str(folder), landing, mark, run_id="r1")
+    _page(folder, 2, [_record("b")])
+    second = land_new_pages(spark, str(folder), landing, mark, run_id="r2")
+    assert [[r.id for r in spark.read.parquet(p).collect()] for p in (first, second)] == [["a"], ["b"]]
 
 
 def test_streamed_landing_takes_each_file_once(spark, folder, tmp_path):
