@@ -76,9 +76,12 @@ def texts_of(batch: pa.RecordBatch, text: str = "text") -> list[str]:
 
 def mixed(x: np.ndarray) -> np.ndarray:
     """Well mixed 64-bit values (the finaliser of splitmix64)."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> np.uint64(30))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def powers(base: int, n: int) -> np.ndarray:
@@ -86,3 +89,19 @@ def powers(base: int, n: int) -> np.ndarray:
     out = np.full(n, base, np.uint64)
     out[:1] = 1
     return np.multiply.accumulate(out)
+
+
+_TABLES: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_LARGEST_TABLE = 1 << 21
+
+
+def power_tables(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse modulo 2^64. One table per base is kept, of
+    bounded size; an unusually long text gets its own."""
+    if base not in _TABLES or len(_TABLES[base][0]) < size:
+        size = max(size, 1 << 16)
+        made = powers(base, size), powers(pow(base, -1, 1 << 64), size)
+        if size > _LARGEST_TABLE:
+            return made
+        _TABLES[base] = made
+    return _TABLES[base]

@@ -22,46 +22,67 @@ fit in memory.
 
 from __future__ import annotations
 
-import re
+import functools
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.common import ODD, mixed, powers, row_key, slices, stored, texts_of
+from terrace.llm.common import ODD, mixed, power_tables, powers, row_key, slices, stored, texts_of
 from terrace.llm.components import components
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS, LEADERS, ROUNDS = 12, 3, 3, 3
 TABLE_BITS, IDF_SHARE = 20, 0.3
-WORD = re.compile(r"\w+")
+WORD_BASE, SHINGLE_BASE = 0x8CB92BA72F3D8DD7, 0xA24BAED4963EE407
+TEXT_BASES = (0xC2B2AE3D27D4EB4F, 0x9FB21C651E98DF25)
 NO_ID = -(1 << 63)
 PAIRS_PER_TASK = 2_000
 
 
-def words_of(text: str) -> list[str]:
-    return WORD.findall(text.lower())
+@functools.cache
+def _code_tables() -> tuple[np.ndarray, np.ndarray]:
+    """By code point: whether it belongs to a word (as `\\w` has it), and a random value."""
+    codes = range(sys.maxunicode + 1)
+    in_word = np.fromiter((c == 95 or chr(c).isalnum() for c in codes), bool, len(codes))
+    return in_word, mixed(np.arange(len(codes), dtype=np.uint64) * ODD + ODD)
+
+
+def _spans_hash(values: np.ndarray, start: np.ndarray, stop: np.ndarray, base: int) -> np.ndarray:
+    """Polynomial hashes of parts of `values`."""
+    power, inverse = power_tables(base, 1 << int(len(values)).bit_length())
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * power[: len(values)], out=sums[1:])
+    return mixed((sums[stop] - sums[start]) * inverse[start])
 
 
 class Shingles:
-    """Distinct shingles of many texts: owner (text number), hash and count, sorted."""
-
-    def __init__(self, texts: list[str]):
-        words = [words_of(t) for t in texts]
-        sizes = np.array([len(w) for w in words], np.int64)
-        place: dict[str, int] = {}
-        flat = np.fromiter((place.setdefault(w, len(place)) for own in words for w in own), np.int64, sizes.sum())
-        hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in place), np.uint64, len(place))[flat]
-        self.digests = [xxhash.xxh3_128_digest(" ".join(own)) if own else b"" for own in words]
+    """Distinct shingles of many texts: owner (text number), hash and count, sorted; and a
+    128-bit digest of each text's words, empty without a word."""
+
+    def __init__(self, texts: list[str], with_digests: bool = True):
+        in_word, values = _code_tables()
+        lowered = [t.lower() for t in texts]
+        codes = np.frombuffer("".join(f"{t}\n" for t in lowered).encode("utf-32-le", "surrogatepass"), "<u4")
+        edges = np.flatnonzero(np.diff(in_word[codes].view(np.int8), prepend=np.int8(0)))
+        start, stop = edges[::2], edges[1::2]
+        hashes = _spans_hash(values[codes], start, stop, WORD_BASE)
+        ends = np.cumsum([len(t) + 1 for t in lowered])
+        last = np.searchsorted(start, ends)
+        first = np.concatenate([[0], last[:-1]])
+        sizes = last - first
+        if with_digests:
+            both = np.stack([_spans_hash(hashes, first, last, base) ^ mixed(sizes.astype(np.uint64)) for base in TEXT_BASES], 1)
+            data = both.astype("<u8").tobytes()
+            self.digests = [data[16 * k : 16 * k + 16] if n else b"" for k, n in enumerate(sizes.tolist())]
         # Texts shorter than a shingle are filled up with a word that no text has.
         fill = np.maximum(SHINGLE - sizes, 0) * (sizes > 0)
         if fill.any():
-            ends = np.cumsum(sizes)
-            hashes = np.insert(hashes, np.repeat(ends, fill), ODD)
+            hashes = np.insert(hashes, np.repeat(last, fill), ODD)
             sizes = sizes + fill
         n = len(hashes) - SHINGLE + 1
         owner = np.repeat(np.arange(len(texts)), sizes)
@@ -69,11 +90,14 @@ class Shingles:
             self.owner, self.hash, self.count = (np.zeros(0, t) for t in (np.int64, np.uint64, np.int64))
             return
         rolled = np.zeros(n, np.uint64)
-        for k, weight in enumerate(powers(0xA24BAED4963EE407, SHINGLE)):
+        for k, weight in enumerate(powers(SHINGLE_BASE, SHINGLE)):
             rolled += hashes[k : k + n] * weight
         whole = owner[:n] == owner[SHINGLE - 1 :]
         owner, rolled = owner[:n][whole], mixed(rolled[whole])
-        order = np.lexsort((rolled, owner))
+        order = np.argsort(rolled)
+        # Owners are small numbers, which a stable radix sort puts in order.
+        by_owner = owner[order].astype(np.uint16) if len(texts) <= 1 << 16 else owner[order]
+        order = order[np.argsort(by_owner, kind="stable")]
         owner, rolled = owner[order], rolled[order]
         first = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (rolled[1:] != rolled[:-1])]) if len(owner) else np.zeros(0, bool))
         self.owner, self.hash = owner[first], rolled[first]
@@ -99,7 +123,7 @@ def document_frequencies(docs: DataFrame, parts: int = 64) -> tuple[np.ndarray,
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, n = np.zeros(width, np.int64), 0
         for batch in slices(batches):
-            own = Shingles(texts_of(batch))
+            own = Shingles(texts_of(batch), with_digests=False)
             table += np.bincount((own.hash >> np.uint64(64 - TABLE_BITS)).astype(np.int64), minlength=width)
             n += len(np.unique(own.owner))
         if n:
@@ -127,31 +151,40 @@ def document_frequencies(docs: DataFrame, parts: int = 64) -> tuple[np.ndarray,
     return out.ravel(), n
 
 
+@functools.cache
+def _gamma_quantiles() -> tuple[np.ndarray, np.ndarray]:
+    """65,536 quantiles of Gamma(2, 1), whose distribution is 1 - (1 + x) exp(-x), by
+    bisection; and their logarithms."""
+    share = (np.arange(1 << 16) + 0.5) / (1 << 16)
+    low, high = np.zeros(1 << 16), np.full(1 << 16, 40.0)
+    for _ in range(60):
+        middle = (low + high) / 2
+        below = 1 - (1 + middle) * np.exp(-middle) < share
+        low, high = np.where(below, middle, low), np.where(below, high, middle)
+    return low.astype(np.float32), np.log(low).astype(np.float32)
+
+
 def samples(shingles: Shingles, weights: np.ndarray, n_texts: int) -> np.ndarray:
     """Sample hashes (texts, BANDS * ROWS) by improved consistent weighted sampling: of the
-    shingles the one with the smallest ln a, together with its step t."""
+    shingles the one with the smallest ln a, together with its step t. r and c are drawn
+    from Gamma(2, 1) by quantile, beta is uniform; all three from one hash."""
     out = np.zeros((n_texts, BANDS * ROWS), np.uint64)
     if not len(weights):
         return out
     first = np.flatnonzero(np.concatenate([[True], shingles.owner[1:] != shingles.owner[:-1]]))
     texts, sizes = shingles.owner[first], np.diff(np.append(first, len(weights)))
     log_weight = np.log(weights).astype(np.float32)
-    low = np.uint64((1 << 21) - 1)
-
-    def uniform(h: np.ndarray, shift: int) -> np.ndarray:
-        return (((h >> np.uint64(shift)) & low).astype(np.float32) + np.float32(0.5)) * np.float32(2.0**-21)
-
+    gamma, log_gamma = _gamma_quantiles()
     for k in range(BANDS * ROWS):
-        h1 = mixed(shingles.hash ^ np.uint64((2 * k + 1) * int(ODD) % (1 << 64)))
-        h2 = mixed(h1 + ODD)
-        # r and c are Gamma(2, 1), beta is uniform.
-        r = -np.log(uniform(h1, 0) * uniform(h1, 21))
-        log_c = np.log(-np.log(uniform(h2, 0) * uniform(h2, 21)))
-        beta = uniform(h1, 42)
+        h = mixed(shingles.hash ^ np.uint64((2 * k + 1) * int(ODD) % (1 << 64)))
+        r = gamma[h.astype(np.uint16)]
+        log_c = log_gamma[(h >> np.uint64(16)).astype(np.uint16)]
+        beta = (h >> np.uint64(40)).astype(np.float32)
+        beta *= np.float32(2.0**-24)
         t = np.floor(log_weight / r + beta)
-        log_a = log_c - r * (t - beta) - r
-        least = np.repeat(np.minimum.reduceat(log_a, first), sizes)
-        hit = np.flatnonzero(log_a == least)
+        # ln a = ln c - ln y - r, where ln y = r * (t - beta).
+        log_c -= r * (t - beta + np.float32(1))
+        hit = np.flatnonzero(log_c == np.repeat(np.minimum.reduceat(log_c, first), sizes))
         owner = shingles.owner[hit]
         hit = hit[np.concatenate([[True], owner[1:] != owner[:-1]])]
         out[texts, k] = mixed(shingles.hash[hit] ^ mixed(t[hit].astype(np.int64).view(np.uint64) + np.uint64(k)))
@@ -170,7 +203,7 @@ def signatures(docs: DataFrame, idf: Broadcast) -> DataFrame:
             for row in range(ROWS):
                 bands = mixed(bands * ODD + drawn[:, :, row])
             starts = pa.array(np.arange(0, bands.size + 1, BANDS), pa.int32())
-            total = np.bincount(own.owner, weights, batch.num_rows)
+            total = np.bincount(own.owner, weights, batch.num_rows).astype(float)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(own.digests, pa.binary()), pa.array(total), pa.ListArray.from_arrays(starts, pa.array(bands.view(np.int64).ravel()))],
                 ["id", "key", "node", "weight", "bands"],
@@ -204,7 +237,7 @@ def verified(pairs: DataFrame, texts: DataFrame, idf: Broadcast, threshold: floa
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         leader, at = None, None
         for batch in slices(batches, most=1 << 19):
-            shingles = Shingles(texts_of(batch))
+            shingles = Shingles(texts_of(batch), with_digests=False)
             weights = shingles.weights(idf.value)
             cuts = np.searchsorted(shingles.owner, np.arange(batch.num_rows + 1))
             found = []

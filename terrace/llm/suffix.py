@@ -31,7 +31,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.common import mixed, powers, row_key, slices, stored
+from terrace.llm.common import mixed, power_tables, row_key, slices, stored
 
 LENGTH = 200
 GRAM = 32
@@ -43,27 +43,11 @@ ANCHORS = "id long, key long, start int, n int, anchor long, segment long"
 SPANS = "id long, key long, start long, stop long"
 
 
-_TABLES: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-_LARGEST_TABLE = 1 << 21
-
-
-def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2^64. One table per base is kept, of
-    bounded size; an unusually long text gets its own."""
-    if base not in _TABLES or len(_TABLES[base][0]) < size:
-        size = max(size, 1 << 16)
-        made = powers(base, size), powers(pow(base, -1, 1 << 64), size)
-        if size > _LARGEST_TABLE:
-            return made
-        _TABLES[base] = made
-    return _TABLES[base]
-
-
 class PrefixHash:
     """Polynomial hashes of all parts of a buffer."""
 
     def __init__(self, data: np.ndarray, base: int = BASES[0]):
-        power, self.inverse = _powers(base, 1 << int(len(data)).bit_length())
+        power, self.inverse = power_tables(base, 1 << int(len(data)).bit_length())
         values = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(base))[data]
         values *= power[: len(data)]
         self.sums = np.zeros(len(data) + 1, np.uint64)
