@@ -3,7 +3,8 @@
 Training takes at most `max_toxic` confirmed toxic documents and at most `max_unlabelled`
 documents whose labels are not looked at, all outside the held-out fold and chosen by a
 hash of the id. Features are words and their prefixes, hashed. Those frequent in the toxic
-sample are candidates; those that set it apart from the unlabelled sample are kept. A
+sample are candidates; those whose share there leads that in the unlabelled sample by some
+standard errors are kept. A
 linear model is trained on the class-prior-corrected risk
 
     prior * R+(toxic) + max(0, R-(unlabelled) - prior * R-(toxic))
@@ -70,36 +71,41 @@ class Lookup:
         return sorted(found)
 
 
-def nnpu_weights(toxic: np.ndarray, unlabelled: np.ndarray, prior: float, epochs: int = 60, rate: float = 0.02, decay: float = 1e-4) -> np.ndarray:
-    """Weights and, last, the bias. Rows are dense feature vectors."""
+def sigmoid(margin: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(margin, -60, 60)))
+
+
+def nnpu_weights(toxic: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 2_000, rate: float = 0.02, decay: float = 1e-4) -> np.ndarray:
+    """Weights and, last, the bias. Rows are dense feature vectors. Every step takes the
+    next 300 toxic and 500 unlabelled rows of shuffled rounds; the rate falls to zero."""
     random = np.random.default_rng(7)
     n = toxic.shape[1]
     weights, m1, m2 = np.zeros(n + 1), np.zeros(n + 1), np.zeros(n + 1)
-    batches = max(1, len(unlabelled) // 500)
-
-    def slope(margin: np.ndarray) -> np.ndarray:
-        """Derivative of sigmoid(margin)."""
-        s = 1 / (1 + np.exp(-np.clip(margin, -60, 60)))
-        return s * (1 - s), s
-
-    step = 0
-    for _ in range(epochs):
-        parts = zip(np.array_split(random.permutation(len(toxic)), batches), np.array_split(random.permutation(len(unlabelled)), batches))
-        for p, u in parts:
-            if not len(p) or not len(u):
-                continue
-            xp, xu = toxic[p], unlabelled[u]
-            dp, sp = slope(xp @ weights[:-1] + weights[-1])
-            du, su = slope(xu @ weights[:-1] + weights[-1])
-            # R+ = mean sigmoid(-margin); R- = mean sigmoid(margin).
-            gp = np.append(dp @ xp, dp.sum()) / len(p)
-            negative = np.append(du @ xu, du.sum()) / len(u) - prior * gp
-            gradient = -prior * gp + negative if su.mean() - prior * sp.mean() >= 0 else -negative
-            gradient[:-1] += decay * weights[:-1]
-            step += 1
-            m1 = 0.9 * m1 + 0.1 * gradient
-            m2 = 0.999 * m2 + 0.001 * gradient**2
-            weights -= rate * (m1 / (1 - 0.9**step)) / (np.sqrt(m2 / (1 - 0.999**step)) + 1e-8)
+
+    def shuffled(rows: np.ndarray, size: int) -> Iterator[np.ndarray]:
+        while True:
+            order = random.permutation(len(rows))
+            for k in range(0, len(rows), size):
+                yield rows[order[k : k + size]]
+
+    def slope(margin: np.ndarray, rows: np.ndarray, sign: int) -> np.ndarray:
+        """Gradient of the mean sigmoid(sign * margin)."""
+        s = sigmoid(margin)
+        s = sign * s * (1 - s)
+        return np.append(s @ rows, s.sum()) / len(rows)
+
+    for step, xp, xu in zip(range(1, steps + 1), shuffled(toxic, 300), shuffled(unlabelled, 500)):
+        mp, mu = xp @ weights[:-1] + weights[-1], xu @ weights[:-1] + weights[-1]
+        negative = slope(mu, xu, 1) - prior * slope(mp, xp, 1)
+        # R- of the non-toxic rows, as the difference of two means, must not be negative.
+        if sigmoid(mu).mean() - prior * sigmoid(mp).mean() >= 0:
+            gradient = prior * slope(mp, xp, -1) + negative
+        else:
+            gradient = -negative
+        gradient[:-1] += decay * weights[:-1]
+        m1 = 0.9 * m1 + 0.1 * gradient
+        m2 = 0.999 * m2 + 0.001 * gradient**2
+        weights -= rate * (1 - step / steps) * (m1 / (1 - 0.9**step)) / (np.sqrt(m2 / (1 - 0.999**step)) + 1e-8)
     return weights
 
 
@@ -140,7 +146,7 @@ def _sample(docs: DataFrame, labels: DataFrame, label: str, max_toxic: int, max_
     return toxic.unionByName(unlabelled)
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", prior: float | None = None, max_toxic: int = MAX_TOXIC, max_unlabelled: int = MAX_UNLABELLED, candidates: int = 20_000, kept: int = 1_024) -> Model:
+def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", prior: float | None = None, max_toxic: int = MAX_TOXIC, max_unlabelled: int = MAX_UNLABELLED, candidates: int = 20_000, kept: int = 1_024, least_lead: float = 2.0) -> Model:
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     if prior is None:
@@ -183,7 +189,11 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", prior: float
         n[c] = len(own)
         shares[c] = np.bincount(np.concatenate(own), minlength=len(wanted)) / n[c]
     error = sum(np.maximum(shares[c] * (1 - shares[c]), 1 / n[c]) / n[c] for c in (True, False))
-    best = np.sort(np.argsort(-(shares[True] - shares[False]) / np.sqrt(error), kind="stable")[:kept])
+    lead = (shares[True] - shares[False]) / np.sqrt(error)
+    order = np.argsort(-lead, kind="stable")[:kept]
+    best = np.sort(order[lead[order] >= least_lead])
+    if not len(best):
+        return flat
     place = np.full(len(wanted), -1)
     place[best] = np.arange(len(best))
 
