@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -105,3 +107,27 @@ def power_tables(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
             return made
         _TABLES[base] = made
     return _TABLES[base]
+
+
+@functools.cache
+def code_values() -> np.ndarray:
+    """A random value for every code point."""
+    return mixed(np.arange(sys.maxunicode + 1, dtype=np.uint64) * ODD + ODD)
+
+
+def code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+
+
+def span_hashes(values: np.ndarray, start: np.ndarray, stop: np.ndarray, base: int) -> np.ndarray:
+    """Polynomial hashes of parts of `values`."""
+    power, inverse = power_tables(base, 1 << int(len(values)).bit_length())
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * power[: len(values)], out=sums[1:])
+    return mixed((sums[stop] - sums[start]) * inverse[start])
+
+
+def runs_of(inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(start, stop) of the runs of true flags; the last flag must be false."""
+    edges = np.flatnonzero(np.diff(inside.view(np.int8), prepend=np.int8(0)))
+    return edges[::2], edges[1::2]

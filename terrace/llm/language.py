@@ -7,7 +7,8 @@ are fitted by expectation-maximisation over the counts of all words of the train
 the forward-backward algorithm spreads each word's count over its segmentations.
 
 Words are runs of letters, lower-cased; runs of over `LONGEST` letters are scored as
-consecutive parts. A letter that no piece covers is one unknown piece.
+consecutive parts. Words are found and told apart by 64-bit hashes, a slice of texts at a
+time. A letter that no piece covers is one unknown piece.
 
 Defined results: a NULL text or one without a letter is `und` with score 0, as is every
 text when nothing could be learned. Rows without a language or id are scored but not
@@ -18,9 +19,9 @@ read. The number of languages times the vocabulary must fit the driver.
 from __future__ import annotations
 
 import functools
-import re
+import sys
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,10 +29,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.common import held_out, slices, stored, texts_of
+from terrace.llm.common import code_points, code_values, held_out, mixed, runs_of, slices, span_hashes, stored, texts_of
 
 FOLDS, HELD_OUT = 4, 2
-WORD = re.compile(r"[^\W\d_]+")
+WORD_BASE = 0xB5297A4D3C2F1E67
 LONGEST = 24
 FLOOR = 1e-12
 CACHED = 400_000
@@ -83,27 +84,60 @@ def pieces(path: str) -> Trie:
     return Trie(keys, np.array([moves[k] for k in keys.tolist()]), np.array(piece), len(known))
 
 
-def words_of(text: str) -> list[str]:
-    return WORD.findall(text.lower())
+@functools.cache
+def _letters() -> np.ndarray:
+    return np.fromiter((chr(c).isalpha() for c in range(sys.maxunicode + 1)), bool, sys.maxunicode + 1)
 
 
-def parts_of(word: str) -> list[str]:
-    """The scored parts of a run: letters only, at most LONGEST of them."""
-    if not word.isalpha():
-        word = "".join(filter(str.isalpha, word))
-    return [word[k : k + LONGEST] for k in range(0, len(word), LONGEST)]
+@dataclass
+class Words:
+    """The words of many texts: owner (text number), start, stop and hash, in order."""
+
+    joined: str
+    codes: np.ndarray
+    owner: np.ndarray
+    start: np.ndarray
+    stop: np.ndarray
+    hash: np.ndarray
+
+    @classmethod
+    def of(cls, texts: list[str]) -> Words:
+        lowered = [f"{t.lower()}\n" for t in texts]
+        joined = "".join(lowered)
+        codes = code_points(joined)
+        start, stop = runs_of(_letters()[codes])
+        owner = np.searchsorted(np.cumsum([len(t) for t in lowered]), start, "right")
+        parts = -(-(stop - start) // LONGEST)
+        if (parts > 1).any():
+            inside = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+            owner = np.repeat(owner, parts)
+            start = np.repeat(start, parts) + inside * LONGEST
+            stop = np.minimum(start + LONGEST, np.repeat(stop, parts))
+        return cls(joined, codes, owner, start, stop, span_hashes(code_values()[codes], start, stop, WORD_BASE))
+
+    def letters(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The code points of some words one after another, and their lengths."""
+        sizes = (self.stop - self.start)[which]
+        at = np.repeat(self.start[which] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+        return self.codes[at], sizes
 
 
 class Lattice:
     """All segmentations of many words: arcs (word, start, end, piece). The places of all
-    words walk the trie together, one letter at a time."""
+    words walk the trie together, one letter at a time. Words are given by their letters,
+    one after another, and sizes."""
+
+    @classmethod
+    def of(cls, words: list[str], trie: Trie) -> Lattice:
+        return cls(code_points("".join(words)), np.fromiter(map(len, words), np.int64, len(words)), trie)
 
-    def __init__(self, words: list[str], trie: Trie):
-        self.n_words = len(words)
-        self.lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
-        codes = np.frombuffer((START + START.join(words)).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+    def __init__(self, letters: np.ndarray, sizes: np.ndarray, trie: Trie):
+        self.n_words = len(sizes)
+        self.lengths = sizes + 1
         word = np.repeat(np.arange(self.n_words), self.lengths)
-        inside = np.arange(len(codes)) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
+        inside = np.arange(len(word)) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
+        codes = np.full(len(word), ord(START), np.int64)
+        codes[inside > 0] = letters
         at, node = np.arange(len(codes)), np.zeros(len(codes), np.int64)
         starts, ends, found = [], [], []
         for size in range(1, LONGEST + 2):
@@ -181,10 +215,13 @@ def word_counts(docs: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(words, pa.string()), pa.array(list(counts.values()), pa.int64())], ["lang", "word", "n"])
 
         for batch in slices(batches):
-            for lang, text in zip(batch.column(0).to_pylist(), texts_of(batch)):
-                for word, n in Counter(words_of(text)).items():
-                    for part in parts_of(word):
-                        counts[lang, part] += n
+            words = Words.of(texts_of(batch))
+            langs, of_text = np.unique(np.array(batch.column(0).to_pylist(), object), return_inverse=True)
+            own = of_text[words.owner]
+            apart = words.hash ^ mixed(own.astype(np.uint64))
+            _, first, n = np.unique(apart, return_index=True, return_counts=True)
+            for lang, a, b, times in zip(own[first].tolist(), words.start[first].tolist(), words.stop[first].tolist(), n.tolist()):
+                counts[langs[lang], words.joined[a:b]] += times
             if len(counts) > CACHED:
                 yield rows()
                 counts.clear()
@@ -220,7 +257,7 @@ def train(docs: DataFrame, vocabulary: str | None = None, rounds: int = 2, smoot
                 for start in range(0, batch.num_rows, 20_000):
                     part = batch.slice(start, 20_000)
                     language = np.array([place[x] for x in part.column(0).to_pylist()])
-                    total += Lattice(part.column(1).to_pylist(), pieces(path)).expected(shared.value, language, part.column(2).to_numpy())
+                    total += Lattice.of(part.column(1).to_pylist(), pieces(path)).expected(shared.value, language, part.column(2).to_numpy())
             at = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total.ravel()[at])], ["at", "n"])
 
@@ -234,50 +271,48 @@ def train(docs: DataFrame, vocabulary: str | None = None, rounds: int = 2, smoot
 
 
 class Scorer:
-    """Log probabilities of words by language; the words met last are remembered."""
+    """Log probabilities of words by language; the words met last are remembered, as sorted
+    hashes and a row for each."""
 
     def __init__(self, model: Model):
-        self.model = model
-        self.trie = pieces(model.vocabulary)
+        self.model, self.trie = model, pieces(model.vocabulary)
         self._forget()
 
     def _forget(self) -> None:
-        self.rows: dict[str, int] = {}
+        self.known = np.zeros(0, np.uint64)
         self.table = np.zeros((0, len(self.model.languages)))
 
-    def _learn(self, words: Iterable[str]) -> None:
-        new = [w for w in words if w not in self.rows]
-        if len(self.rows) + len(new) > max(20_000, CACHED * 4 // max(4, len(self.model.languages))):
+    def _rows(self, words: Words, hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """The table's rows of distinct words, each with a place where it occurs."""
+        at = np.minimum(np.searchsorted(self.known, hashes), max(len(self.known) - 1, 0))
+        new = self.known[at] != hashes if len(self.known) else np.ones(len(hashes), bool)
+        if len(self.known) + new.sum() > max(20_000, CACHED * 4 // max(4, len(self.model.languages))):
             self._forget()
-            new = list(words)
-        tables = [self.table]
-        for start in range(0, len(new), 20_000):
-            own = new[start : start + 20_000]
-            parts = [parts_of(w) for w in own]
-            flat = [p for ps in parts for p in ps]
-            out = np.zeros((len(own), self.table.shape[1]))
-            if flat:
-                owner = np.repeat(np.arange(len(own)), [len(ps) for ps in parts])
-                np.add.at(out, owner, Lattice(flat, self.trie).log_totals(self.model.probabilities))
-            tables.append(out)
-        for w in new:
-            self.rows[w] = len(self.rows)
-        self.table = np.concatenate(tables)
+            new = np.ones(len(hashes), bool)
+        places, totals = first[new], [self.table]
+        for k in range(0, len(places), 20_000):
+            lattice = Lattice(*words.letters(places[k : k + 20_000]), self.trie)
+            totals.append(lattice.log_totals(self.model.probabilities))
+        known = np.concatenate([self.known, hashes[new]])
+        order = np.argsort(known, kind="stable")
+        self.known, self.table = known[order], np.concatenate(totals)[order]
+        return np.searchsorted(self.known, hashes)
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
-        words = [words_of(t) for t in texts]
-        self._learn(set().union(*words))
-        languages, scores = [], np.zeros(len(texts))
-        for k, own in enumerate(words):
-            total = self.table[[self.rows[w] for w in own]].sum(0) if own else np.zeros(0)
-            # A word without letters adds exactly nothing.
-            if not total.any():
-                languages.append("und")
-                continue
-            total = total + self.model.log_prior
-            best = int(total.argmax())
-            languages.append(self.model.languages[best])
-            scores[k] = 1 / np.exp(total - total[best]).sum()
+        languages, scores = ["und"] * len(texts), np.zeros(len(texts))
+        if not self.model.languages:
+            return languages, scores
+        words = Words.of(texts)
+        hashes, first, inverse = np.unique(words.hash, return_index=True, return_inverse=True)
+        if not len(hashes):
+            return languages, scores
+        rows = self._rows(words, hashes, first)[inverse]
+        begin = np.flatnonzero(np.concatenate([[True], words.owner[1:] != words.owner[:-1]]))
+        total = np.add.reduceat(self.table[rows], begin, axis=0) + self.model.log_prior
+        best = total.argmax(1)
+        for text, k, row in zip(words.owner[begin].tolist(), best.tolist(), total):
+            languages[text] = self.model.languages[k]
+            scores[text] = 1 / np.exp(row - row[k]).sum()
         return languages, scores
 
 

@@ -32,7 +32,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.common import ODD, mixed, power_tables, powers, row_key, slices, stored, texts_of
+from terrace.llm.common import ODD, code_points, code_values, mixed, powers, row_key, runs_of, slices, span_hashes, stored, texts_of
 from terrace.llm.components import components
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -45,19 +45,9 @@ PAIRS_PER_TASK = 2_000
 
 
 @functools.cache
-def _code_tables() -> tuple[np.ndarray, np.ndarray]:
-    """By code point: whether it belongs to a word (as `\\w` has it), and a random value."""
-    codes = range(sys.maxunicode + 1)
-    in_word = np.fromiter((c == 95 or chr(c).isalnum() for c in codes), bool, len(codes))
-    return in_word, mixed(np.arange(len(codes), dtype=np.uint64) * ODD + ODD)
-
-
-def _spans_hash(values: np.ndarray, start: np.ndarray, stop: np.ndarray, base: int) -> np.ndarray:
-    """Polynomial hashes of parts of `values`."""
-    power, inverse = power_tables(base, 1 << int(len(values)).bit_length())
-    sums = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * power[: len(values)], out=sums[1:])
-    return mixed((sums[stop] - sums[start]) * inverse[start])
+def _in_word() -> np.ndarray:
+    """Whether a code point belongs to a word, as `\\w` has it."""
+    return np.fromiter((c == 95 or chr(c).isalnum() for c in range(sys.maxunicode + 1)), bool, sys.maxunicode + 1)
 
 
 class Shingles:
@@ -65,18 +55,16 @@ class Shingles:
     128-bit digest of each text's words, empty without a word."""
 
     def __init__(self, texts: list[str], with_digests: bool = True):
-        in_word, values = _code_tables()
         lowered = [t.lower() for t in texts]
-        codes = np.frombuffer("".join(f"{t}\n" for t in lowered).encode("utf-32-le", "surrogatepass"), "<u4")
-        edges = np.flatnonzero(np.diff(in_word[codes].view(np.int8), prepend=np.int8(0)))
-        start, stop = edges[::2], edges[1::2]
-        hashes = _spans_hash(values[codes], start, stop, WORD_BASE)
+        codes = code_points("".join(f"{t}\n" for t in lowered))
+        start, stop = runs_of(_in_word()[codes])
+        hashes = span_hashes(code_values()[codes], start, stop, WORD_BASE)
         ends = np.cumsum([len(t) + 1 for t in lowered])
         last = np.searchsorted(start, ends)
         first = np.concatenate([[0], last[:-1]])
         sizes = last - first
         if with_digests:
-            both = np.stack([_spans_hash(hashes, first, last, base) ^ mixed(sizes.astype(np.uint64)) for base in TEXT_BASES], 1)
+            both = np.stack([span_hashes(hashes, first, last, base) ^ mixed(sizes.astype(np.uint64)) for base in TEXT_BASES], 1)
             data = both.astype("<u8").tobytes()
             self.digests = [data[16 * k : 16 * k + 16] if n else b"" for k, n in enumerate(sizes.tolist())]
         # Texts shorter than a shingle are filled up with a word that no text has.

@@ -1,7 +1,5 @@
 """Quality, toxicity and language: held-out accuracy, the numerical core, odd input."""
 
-import itertools
-
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -137,7 +135,7 @@ def test_forward_sums_all_segmentations_and_backward_their_uses():
     words = ["hello", "der", "ñandú", "東京", "x", "segment"]
     random = np.random.default_rng(3)
     p = random.dirichlet(np.ones(trie.unknown + 1), size=2)
-    lattice = language.Lattice(words, trie)
+    lattice = language.Lattice.of(words, trie)
     totals = lattice.log_totals(p)
     language_of, counts = np.array([0, 1, 0, 1, 0, 1]), np.arange(1.0, 7.0)
     expected = np.zeros_like(p)
@@ -157,10 +155,16 @@ def test_scores_do_not_depend_on_what_was_met_before():
     trie = language.pieces(language.default_vocabulary())
     p = np.random.default_rng(4).dirichlet(np.ones(trie.unknown + 1), size=2)
     model = language.Model(language.default_vocabulary(), ["a", "b"], np.log([0.5, 0.5]), p)
-    texts = ["one two two", "½ ²", "", "x" * 100, "Three THREE one"]
+    texts = ["one two two", "½ ²", "", "x" * 100, "Three THREE one", "7" * 10]
     together = language.Scorer(model).predict(texts)
     scorer = language.Scorer(model)
     apart = [scorer.predict([t]) for t in texts]
     assert together[0] == [a[0][0] for a in apart] and np.allclose(together[1], [a[1][0] for a in apart])
-    assert together[0][1:3] == ["und", "und"]
-    assert list(itertools.chain(*(language.parts_of(w) for w in ["ab1c", "²"]))) == ["abc"]
+    assert [k for k, lang in enumerate(together[0]) if lang == "und"] == [1, 2, 5]
+
+
+def test_words_are_runs_of_letters_in_bounded_parts():
+    words = language.Words.of(["Ab1c_d", "", "²", "é" * 50 + " x"])
+    found = [(int(o), words.joined[a:b]) for o, a, b in zip(words.owner, words.start, words.stop)]
+    assert found == [(0, "ab"), (0, "c"), (0, "d"), (3, "é" * 24), (3, "é" * 24), (3, "éé"), (3, "x")]
+    assert words.hash[3] == words.hash[4] != words.hash[5]
