@@ -35,8 +35,9 @@ from terrace.llm.common import mixed, power_tables, row_key, slices, stored
 
 LENGTH = 200
 GRAM = 32
-GROUP = 4_096
-CHUNK = 1 << 20
+GROUP = 1_024
+# Bytes of text handled at a time; the arrays made of them take some hundred times as much.
+CHUNK = 1 << 18
 BASES = (0x9E6C63D0676A9A99, 0xD1342543DE82EF95)
 NO_ID = -(1 << 63)
 ANCHORS = "id long, key long, start int, n int, anchor long, segment long"
@@ -311,7 +312,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, group: int = GROUP) ->
     wanted = wanted.groupBy("id", "key").agg(F.collect_list(F.struct("anchor", "start", "n", "single", "hot")).alias("wanted"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, most=1 << 19):
+        for batch in slices(batches, most=CHUNK):
             data, bounds = _buffer(batch, 2)
             asked = batch.column(3)
             flat, owner = asked.flatten(), np.repeat(np.arange(batch.num_rows), asked.value_lengths().to_numpy(zero_copy_only=False))
@@ -344,7 +345,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     joined = rows.join(spans, ["id", "key"], "left").select("id", "text", "spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, most=CHUNK):
             data, bounds = _buffer(batch, 1)
             kept, spans = [], []
             for k, own in enumerate(batch.column(2)):
