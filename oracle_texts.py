@@ -87,7 +87,8 @@ _FEED_QUERIES = {
     "src_page_prefix": f"SELECT seq, page, {FIELDS}, {REST} FROM raw WHERE page < {_LOST_PAGE}",
     "src_page_report": f"""SELECT {_LOST_PAGE} AS boundary, {_LOST_PAGE} - 1 AS pages_read,
       {_LOST_PAGE} <= (SELECT max(page) FROM raw) AS broken,
-      {_LOST_PAGE} <= (SELECT max(page) FROM raw) AS truncated, CAST(0 AS BIGINT) AS unnumbered""",
+      {_LOST_PAGE} <= (SELECT max(page) FROM raw) AS truncated, CAST(0 AS BIGINT) AS unnumbered,
+      CAST(0 AS BIGINT) AS skipped""",
     "src_page_files": f"SELECT page, {FIELDS}, {REST} FROM raw",
     "src_typed_schema": _TYPED,
     "src_layer_scan": _BRONZE,

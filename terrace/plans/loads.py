@@ -120,27 +120,34 @@ def load_bronze(
     if metrics["broken"] and not allow_truncated:
         raise TruncatedLoadError(f"page {metrics['boundary']} is missing or failed")
 
-    beyond = F.col(PAGE) >= metrics["boundary"]
-    left = landed.filter(beyond).groupBy(PAGE).agg(F.count("*").alias("n"))
-    metrics |= _one_row(left.agg(F.count("*").alias("pages_left_out"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows_left_out")))
+    if metrics["skipped"] and not allow_truncated:
+        raise TruncatedLoadError(f"{metrics['skipped']} records or files on pages before page {first_page}")
+
+    metrics |= {"pages_left_out": 0, "rows_left_out": 0}
+    if metrics["truncated"]:
+        left = landed.filter(F.col(PAGE) >= metrics["boundary"]).groupBy(PAGE).agg(F.count("*").alias("n"))
+        metrics |= _one_row(left.agg(F.count("*").alias("pages_left_out"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows_left_out")))
     wanted = F.col(PAGE).between(first_page, metrics["boundary"] - 1)
     kept = landed.filter(wanted | F.col(PAGE).isNull())
     kept = kept.withColumns({c: F.col(c).try_cast(t) for c, t in entity.recency.items()})
     malformed = F.lit(False)
     for name in entity.coordinates:
         malformed = malformed | coordinate_malformed(name)
-    counts = {"coord_malformed": malformed, "blank_partition": F.col(entity.partition) == ""}
-    # Files store a blank partition value like a missing one, so it is counted here.
-    metrics |= _one_row(reconcile_keys(kept, entity.key, counts | {f"_{c}": F.col(c).isNotNull() for c in entity.fields}))
-    filled = [metrics.pop(f"_{c}") for c in entity.fields]
-    metrics["empty_fields"] = sum(n == 0 for n in filled)
+    metrics |= _one_row(reconcile_keys(kept, entity.key, {"coord_malformed": malformed}))
     if metrics["total"] == 0:
         return Load(None, metrics)
 
-    # Survivors are picked on the stored text; only they are parsed.
+    # Survivors are picked on the stored text; only they are parsed. Files store a blank
+    # partition value like a missing one, and a field that the source spells otherwise is
+    # empty in every row, so both are counted as the rows are written.
     rows = latest_per_key(kept, entity.key, recency, tie_break)
+    seen = Observation(f"bronze-{run_id}")
+    blank = F.count_if(F.col(entity.partition) == "").alias("blank_partition")
+    rows = rows.observe(seen, blank, *[F.count(c).alias(f"_{c}") for c in entity.fields])
     path = layout.run("bronze", run_id)
     write_layer(stamp(project(rows, entity.plain), schemas.BRONZE_TS, ts), path, by=[entity.partition])
+    metrics["blank_partition"] = seen.get["blank_partition"]
+    metrics["empty_fields"] = sum(seen.get[f"_{c}"] == 0 for c in entity.fields)
     return Load(path, metrics)
 
 

@@ -40,8 +40,18 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder that a job made for itself and has read to the end."""
-    jvm = spark._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    files, target = _hadoop_path(spark, path)
+    files.delete(target, True)
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder, as the file system reports them."""
+    files, target = _hadoop_path(spark, path)
+    return files.getContentSummary(target).getLength()

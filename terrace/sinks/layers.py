@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from terrace.session import stored_bytes
+
 
 def write_layer(
     df: DataFrame, path: str, by: Sequence[str] = (), rebalance: bool = True, mode: str = "errorifexists"
@@ -78,14 +80,7 @@ def compact(
     so that min/max statistics can skip row groups. Without `cluster_by` a hash of the
     other columns splits a hot folder.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.parquet")
-        .load(source)
-    )
-    stored = files.agg(F.sum("length")).first()[0] or 0
-    slices = max(1, -(-stored // file_bytes))
+    slices = max(1, -(-stored_bytes(spark, source) // file_bytes))
     df = spark.read.schema(schema).parquet(source).select(*schema.names)
     rest = [F.xxhash64(*[c for c in schema.names if c not in by])] if by and not cluster_by else []
     order = [*by, *cluster_by, *rest]

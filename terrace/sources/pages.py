@@ -76,7 +76,8 @@ def list_pages(spark: SparkSession, path: str) -> DataFrame:
 def page_boundary(pages: DataFrame, total_pages: int | None = None, first_page: int = 1) -> DataFrame:
     """One row on the pages: `boundary`, the first page not to load; `pages_read`;
     `broken`, whether that page is wanted but missing or failed; `truncated`, whether it
-    is or pages beyond it were seen; `unnumbered`, the rows without a page number.
+    is or pages beyond it were seen; `unnumbered`, the rows without a page number;
+    `skipped`, the rows of pages before the first.
 
     `pages` has a row per record or per page (`page`, `page_failed`). Pages count
     from `first_page`; the boundary is the first one that is absent or failed, at most
@@ -89,18 +90,19 @@ def page_boundary(pages: DataFrame, total_pages: int | None = None, first_page:
     """
     wanted = F.col(PAGE).between(first_page, total_pages) if total_pages else F.col(PAGE) >= first_page
     seen = pages.groupBy(PAGE).agg(F.max(FAILED).alias("failed"), F.count("*").alias("n"))
-    seen = seen.select(PAGE, (wanted & ~F.col("failed")).alias("good"), (F.col(PAGE) >= first_page).alias("counts"), "n")
+    seen = seen.select(PAGE, (wanted & ~F.col("failed")).alias("good"), F.coalesce(F.col(PAGE) >= first_page, F.lit(False)).alias("counts"), "n")
     marks = seen.selectExpr(
-        f"""stack(2, {PAGE}, good, false, if(counts, {PAGE}, NULL), if({PAGE} IS NULL, n, 0L),
-            {PAGE} + 1, false, good, CAST(NULL AS LONG), 0L)
-        AS ({PAGE}, good, next, seen, unnumbered)"""
+        f"""stack(2, {PAGE}, good, false, if(counts, {PAGE}, NULL), if({PAGE} IS NULL, n, 0L), if(counts, 0L, n),
+            {PAGE} + 1, false, good, CAST(NULL AS LONG), 0L, 0L)
+        AS ({PAGE}, good, next, seen, unnumbered, skipped)"""
     )
-    start = pages.sparkSession.range(first_page, first_page + 1, 1, 1).selectExpr("id", "false", "true", "cast(null AS long)", "0L")
+    start = pages.sparkSession.range(first_page, first_page + 1, 1, 1).selectExpr("id", "false", "true", "cast(null AS long)", "0L", "0L")
     per_page = marks.union(start).groupBy(PAGE).agg(
         F.max("good").alias("good"),
         F.max("next").alias("next"),
         F.max("seen").alias("seen"),
         F.sum("unnumbered").alias("unnumbered"),
+        F.sum("skipped").alias("skipped"),
     )
     # Pages below the first follow nothing and are followed by nothing.
     gap = F.when(F.col("next") & ~F.coalesce("good", F.lit(False)) & (F.col(PAGE) >= first_page), F.col(PAGE))
@@ -111,12 +113,15 @@ def page_boundary(pages: DataFrame, total_pages: int | None = None, first_page:
         last.alias("_last"),
         wanted_last.alias("_wanted"),
         F.sum("unnumbered").alias("unnumbered"),
+        # A NULL page counts as unnumbered only.
+        F.sum(F.when(F.col(PAGE).isNotNull(), F.col("skipped")).otherwise(0)).alias("skipped"),
     ).select(
         "boundary",
         (F.col("boundary") - first_page).alias("pages_read"),
         (F.col("boundary") <= F.col("_wanted")).alias("broken"),
         (F.col("boundary") <= F.greatest("_wanted", "_last")).alias("truncated"),
         "unnumbered",
+        "skipped",
     )
 
 

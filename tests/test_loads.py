@@ -62,6 +62,7 @@ def test_chain(spark, pages, tmp_path):
         "broken": False,
         "truncated": False,
         "unnumbered": 0,
+        "skipped": 0,
         "pages_left_out": 0,
         "rows_left_out": 0,
         "total": 5,
@@ -159,6 +160,15 @@ def test_thirteen_pages_are_thirteen_pages(spark, pages, tmp_path):
     assert (some["kept"], some["pages_left_out"], some["rows_left_out"], some["truncated"]) == (10, 3, 3, True)
 
 
+def test_a_page_before_the_first_is_refused(spark, pages, tmp_path):
+    pages(0, [_record("0")])
+    folder = pages(1, [_record("1")])
+    with pytest.raises(plans.TruncatedLoadError, match="2 records or files on pages before page 1"):
+        _run(spark, folder, tmp_path / "lake")
+    done = _run(spark, folder, tmp_path / "zero", first_page=0)
+    assert done["bronze"].metrics["kept"] == 2
+
+
 def test_unnumbered_pages_are_refused(spark, pages, tmp_path):
     folder = pages(1, [_record("1")])
     (tmp_path / "pages" / "extra.json").write_text(json.dumps([_record("2"), _record("3")]))

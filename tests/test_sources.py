@@ -87,16 +87,16 @@ def test_page_boundary(spark, pages, total, expected):
     boundary = sources.page_boundary(df, total)
     # boundary, pages read, broken, truncated, rows without a number
     wanted = expected if len(expected) == 4 else (*expected, expected[2])
-    assert tuple(boundary.first()) == (*wanted, 0)
+    assert tuple(boundary.first()) == (*wanted, 0, sum(p < 1 for p, _ in pages))
     kept = sources.keep_page_prefix(df, boundary)
     assert sorted(r.page for r in kept.collect()) == sorted(p for p, _ in pages if p < expected[0])
 
 
 def test_all_pages_by_default_and_a_later_first_page(spark):
     df = spark.createDataFrame([(p, False) for p in [None, *range(1, 14)]], "page long, page_failed boolean")
-    assert tuple(sources.page_boundary(df).first()) == (14, 13, False, False, 1)
-    assert tuple(sources.page_boundary(df, first_page=5).first()) == (14, 9, False, False, 1)
-    assert tuple(sources.page_boundary(df, first_page=15).first()) == (15, 0, False, False, 1)
+    assert tuple(sources.page_boundary(df).first()) == (14, 13, False, False, 1, 0)
+    assert tuple(sources.page_boundary(df, first_page=5).first()) == (14, 9, False, False, 1, 4)
+    assert tuple(sources.page_boundary(df, first_page=15).first()) == (15, 0, False, False, 1, 13)
 
 
 def test_numbers_are_taken_from_the_file_or_its_page_folder_only(spark, folder):
