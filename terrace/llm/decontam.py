@@ -34,7 +34,8 @@ from terrace.llm.common import fresh, mixed, powers, slices, texts_of
 
 Q = 12
 BUDGET = 0.05
-BLOCK_CHARS = 8 << 20
+# The index of a block takes some 20 bytes a character.
+BLOCK_CHARS = 4 << 20
 BASE = 0x2545F4914F6CDD1D
 FILTER_BITS = 22
 GAP = re.compile(r"[\W_]+")
@@ -77,8 +78,8 @@ class Index:
         all_ = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
         order = np.argsort(all_, kind="stable")
         self.hashes = all_[order]
-        self.item = np.repeat(np.arange(len(hashes)), [len(h) for h in hashes])[order]
-        self.place = np.concatenate([np.arange(len(h)) for h in hashes])[order] if hashes else np.zeros(0, np.int64)
+        self.item = np.repeat(np.arange(len(hashes), dtype=np.int32), [len(h) for h in hashes])[order]
+        self.place = np.concatenate([np.arange(len(h), dtype=np.int32) for h in hashes])[order] if hashes else np.zeros(0, np.int32)
         self.filter = np.zeros(1 << FILTER_BITS, bool)
         self.filter[(self.hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
         # Items without a q-gram can only be found as whole words.
