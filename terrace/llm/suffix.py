@@ -35,7 +35,7 @@ from terrace.llm.common import mixed, power_tables, row_key, slices, stored
 
 LENGTH = 200
 GRAM = 32
-GROUP = 1_024
+GROUP = 20_000
 # Bytes of text handled at a time; the arrays made of them take some hundred times as much.
 CHUNK = 1 << 18
 BASES = (0x9E6C63D0676A9A99, 0xD1342543DE82EF95)
@@ -45,17 +45,21 @@ SPANS = "id long, key long, start long, stop long"
 
 
 class PrefixHash:
-    """Polynomial hashes of all parts of a buffer."""
+    """Polynomial hashes of all parts of a buffer. `place` numbers the bytes from 0 anew
+    in every part that hashes stay within, so that few powers are needed."""
 
-    def __init__(self, data: np.ndarray, base: int = BASES[0]):
-        power, self.inverse = power_tables(base, 1 << int(len(data)).bit_length())
+    def __init__(self, data: np.ndarray, base: int = BASES[0], place: np.ndarray | None = None):
+        most = len(data) if place is None else int(place.max(initial=0)) + 1
+        power, self.inverse = power_tables(base, 1 << most.bit_length())
+        self.place = place
         values = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(base))[data]
-        values *= power[: len(data)]
+        values *= power[: len(data)] if place is None else power[place]
         self.sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(values, out=self.sums[1:])
 
     def of(self, start: np.ndarray, size) -> np.ndarray:
-        return (self.sums[start + size] - self.sums[start]) * self.inverse[start]
+        place = start if self.place is None else self.place[start]
+        return (self.sums[start + size] - self.sums[start]) * self.inverse[place]
 
 
 def sliding_minimum(x: np.ndarray, width: int) -> np.ndarray:
@@ -123,8 +127,8 @@ def anchors(docs: DataFrame, length: int) -> DataFrame:
 class SuffixSorter:
     """Sorts windows of a buffer that agree in their first bytes, by hashed comparison."""
 
-    def __init__(self, data: np.ndarray, length: int):
-        self.data, self.length, self.hashes = data, length, PrefixHash(data)
+    def __init__(self, data: np.ndarray, length: int, place: np.ndarray | None = None):
+        self.data, self.length, self.hashes = data, length, PrefixHash(data, place=place)
 
     def less(self, a: np.ndarray, b: np.ndarray, or_equal: np.ndarray) -> np.ndarray:
         """Whether window a sorts before window b (or is equal to it, where asked for)."""
@@ -172,33 +176,44 @@ class SuffixSorter:
             starts, width = merged, width * 2
         return starts
 
-    def repeated(self, starts: np.ndarray) -> np.ndarray:
-        """Which windows are equal to another one of them."""
-        words = np.zeros(max(0, len(self.data) - 7), np.uint64)
-        for k in range(8):
-            words = (words << np.uint64(8)) | self.data[k : k + len(words)]
-        keys = [words[starts + k] for k in (0, 8, 16)]
+    def _key(self, starts: np.ndarray, offset: int) -> np.ndarray:
+        """Eight bytes from an offset, as a number that sorts like them."""
+        out = np.zeros(len(starts), np.uint64)
+        for k in range(offset, offset + 8):
+            out = (out << np.uint64(8)) | self.data[starts + k]
+        return out
+
+    def repeated(self, starts: np.ndarray, most: int = 200_000) -> np.ndarray:
+        """Which windows are equal to another one of them. Windows that agree in their first
+        24 bytes are a bucket; buckets are sorted together up to `most` windows."""
+        keys = [self._key(starts, k) for k in (0, 8, 16)]
         order = np.lexsort(keys[::-1])
         new = np.concatenate([[True], np.any([k[order[1:]] != k[order[:-1]] for k in keys], axis=0)])
+        del keys
         bucket = np.cumsum(new)
         alone = np.bincount(bucket)[bucket] == 1
         order, bucket = order[~alone], bucket[~alone]
         out = np.zeros(len(starts), bool)
-        if not len(order):
-            return out
-        back = np.full(len(self.data) + 1, -1)
-        back[starts] = np.arange(len(starts))
-        suffixes = self.merge_sorted(starts[order], bucket)
+        first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else bucket
+        ends = np.append(first[1:], len(bucket))
+        k = 0
+        while k < len(first):
+            stop = max(k + 1, int(np.searchsorted(ends, first[k] + most, "right")))
+            part = slice(first[k], ends[stop - 1])
+            out[order[part]] = self._repeated_in(starts[order[part]], bucket[part])
+            k = stop
+        return out
+
+    def _repeated_in(self, starts: np.ndarray, bucket: np.ndarray) -> np.ndarray:
+        """The same for whole buckets that are neighbours in the input."""
+        suffixes = self.merge_sorted(starts, bucket)
         same = (bucket[1:] == bucket[:-1]) & (self.hashes.of(suffixes[1:], self.length) == self.hashes.of(suffixes[:-1], self.length))
         pairs = np.flatnonzero(same)
+        window = np.arange(self.length)
         broken = set()
-        for k in range(0, len(pairs), 16_384):
-            part = pairs[k : k + 16_384]
-            a, b = suffixes[part], suffixes[part + 1]
-            equal = np.ones(len(part), bool)
-            for offset in range(0, self.length, 8):
-                offset = min(offset, self.length - 8)
-                equal &= words[a + offset] == words[b + offset]
+        for k in range(0, len(pairs), 8_192):
+            part = pairs[k : k + 8_192]
+            equal = (self.data[suffixes[part, None] + window] == self.data[suffixes[part + 1, None] + window]).all(1)
             broken.update(bucket[part[~equal]].tolist())
         hit = np.zeros(len(suffixes), bool)
         hit[1:] |= same
@@ -208,7 +223,10 @@ class SuffixSorter:
             own = np.flatnonzero(bucket == b)
             texts = [self.data[s : s + self.length].tobytes() for s in suffixes[own]]
             hit[own] = [texts.count(t) > 1 for t in texts]
-        out[back[suffixes[hit]]] = True
+        # Back to the order of the input: starts are unique.
+        ordered = np.argsort(starts)
+        out = np.zeros(len(starts), bool)
+        out[ordered[np.searchsorted(starts[ordered], suffixes)]] = hit
         return out
 
 
@@ -229,7 +247,8 @@ def compared(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
         begin = np.cumsum([0, *map(len, rows)])[:-1]
         n = part["n"].to_numpy().astype(np.int64)
         starts = np.repeat(begin, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        flags = SuffixSorter(data, length).repeated(starts)
+        place = np.arange(len(data)) - np.repeat(begin, n - 1 + length)
+        flags = SuffixSorter(data, length, place).repeated(starts)
         # Neighbouring segments must not run together: a false flag between them.
         spaced = np.zeros(len(flags) + len(n), bool)
         owner = np.repeat(np.arange(len(n)), n)
