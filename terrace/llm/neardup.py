@@ -8,11 +8,14 @@ sampling and in verification alike.
 
 Texts with equal words are one class from the start. Each class draws BANDS * ROWS
 consistent weighted samples; classes that agree in all samples of a band meet in a bucket.
-In a bucket every member is paired with a few leaders, drawn by hash, so pairs grow with
-the members. A pair counts if its weighted Jaccard similarity, computed from both texts, is
-at least the threshold. Classes linked directly or over others are one group. Further
-rounds draw new leaders where a bucket still holds several groups and pair only classes of
-different groups.
+In a bucket every member is paired with a few leaders, those that meet most classes of other
+groups over all bands. A pair counts if its weighted Jaccard similarity, computed from both
+texts, is at least the threshold. Classes linked directly or over others are one group.
+Further rounds take new leaders where a bucket still holds several groups. After them all
+pairs of classes of different groups that are left in a bucket are looked at, block against
+block, so every pair that meets in a bucket is in one group or has been tried: by its weights,
+by its samples (a pair at the threshold has fewer agreeing ones than asked for once in 10^9),
+and else by its texts.
 
 Defined results: a text without a word is a group of its own. Repeated rows and equal texts
 are one group. Rows without an id take part; a group's id is its smallest doc_id, NULL if
@@ -23,6 +26,7 @@ fit in memory.
 from __future__ import annotations
 
 import functools
+import math
 import sys
 from collections.abc import Iterator
 
@@ -42,6 +46,7 @@ WORD_BASE, SHINGLE_BASE = 0x8CB92BA72F3D8DD7, 0xA24BAED4963EE407
 TEXT_BASES = (0xC2B2AE3D27D4EB4F, 0x9FB21C651E98DF25)
 NO_ID = -(1 << 63)
 PAIRS_PER_TASK = 2_000
+BLOCK, BLOCK_BYTES, MISSED = 1_024, 1 << 20, 1e-9
 
 
 @functools.cache
@@ -180,39 +185,141 @@ def samples(shingles: Shingles, weights: np.ndarray, n_texts: int) -> np.ndarray
 
 
 def signatures(docs: DataFrame, idf: Broadcast) -> DataFrame:
-    """id, key, node (digest of the words; empty without a word), weight, bands."""
+    """id, key, node (digest of the words; empty without a word), weight, bands, samples (16
+    bits of each)."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             own = Shingles(texts_of(batch))
             weights = own.weights(idf.value)
-            drawn = samples(own, weights, batch.num_rows).reshape(-1, BANDS, ROWS)
+            drawn = samples(own, weights, batch.num_rows)
+            data, size = drawn.astype("<u2").tobytes(), 2 * BANDS * ROWS
+            short = [data[size * k : size * (k + 1)] for k in range(batch.num_rows)]
+            drawn = drawn.reshape(-1, BANDS, ROWS)
             bands = np.zeros(drawn.shape[:2], np.uint64)
             for row in range(ROWS):
                 bands = mixed(bands * ODD + drawn[:, :, row])
             starts = pa.array(np.arange(0, bands.size + 1, BANDS), pa.int32())
             total = np.bincount(own.owner, weights, batch.num_rows).astype(float)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(own.digests, pa.binary()), pa.array(total), pa.ListArray.from_arrays(starts, pa.array(bands.view(np.int64).ravel()))],
-                ["id", "key", "node", "weight", "bands"],
+                [batch.column(0), batch.column(1), pa.array(own.digests, pa.binary()), pa.array(total), pa.ListArray.from_arrays(starts, pa.array(bands.view(np.int64).ravel())), pa.array(short, pa.binary())],
+                ["id", "key", "node", "weight", "bands", "samples"],
             )
 
-    return docs.mapInArrow(sign, "id long, key long, node binary, weight double, bands array<long>")
+    return docs.mapInArrow(sign, "id long, key long, node binary, weight double, bands array<long>, samples binary")
 
 
-def leader_pairs(members: DataFrame, turn: int, threshold: float) -> DataFrame:
-    """(a, b): each member (band, value, node, weight, label) with the bucket's leaders of
-    other labels whose weight allows the threshold. Leaders are drawn anew each turn."""
-    drawn = [F.min(F.struct(F.xxhash64("node", F.lit(turn * LEADERS + k)).alias("draw"), "node", "weight", "label")) for k in range(LEADERS)]
-    buckets = members.groupBy("band", "value").agg(F.array_distinct(F.array(*drawn)).alias("leaders"), F.min("label").alias("low"), F.max("label").alias("high"))
-    buckets = buckets.filter("low <> high").select("band", "value", "leaders")
+def still_open(members: DataFrame) -> DataFrame:
+    """The members (band, value, node, weight, label) of buckets with several labels, and how
+    many `others` of other labels each meets there."""
+    kinds = members.groupBy("band", "value", "label").agg(F.count("*").alias("own"))
+    sizes = kinds.groupBy("band", "value").agg(F.sum("own").alias("size"), F.count("*").alias("labels")).filter("labels > 1")
+    others = kinds.join(sizes, ["band", "value"]).select("band", "value", "label", (F.col("size") - F.col("own")).alias("others"))
+    return members.join(others, ["band", "value", "label"]).select("band", "value", "node", "weight", "label", "others")
+
+
+def leaders_of(members: DataFrame, turn: int) -> DataFrame:
+    """band, value, leaders: the bucket is dealt into LEADERS parts, anew each turn, and of
+    each part that member leads which meets most classes of other labels over all bands. The
+    text that others were made from agrees with more of them than they do with each other."""
+    nodes = members.groupBy("node").agg(
+        F.any_value("weight").alias("weight"), F.any_value("label").alias("label"), F.sum("others").alias("met"), F.collect_list(F.struct("band", "value")).alias("buckets")
+    )
+    scored = nodes.select("node", "weight", "label", "met", F.explode("buckets").alias("bucket")).select("bucket.*", "node", "weight", "label", "met")
+    draw = F.xxhash64("node", "band", "value", F.lit(turn))
+    best = F.struct("met", draw.alias("draw"), "node", "weight", "label")
+    drawn = [F.max(F.when(F.pmod(draw, F.lit(LEADERS)) == k, best)) for k in range(LEADERS)]
+    return scored.groupBy("band", "value").agg(F.array_compact(F.array(*drawn)).alias("leaders"))
+
+
+def leader_pairs(members: DataFrame, leaders: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): each member with the bucket's leaders of other labels whose weight allows the
+    threshold."""
     # A bucket may hold most classes: AQE splits that side of the join.
-    pairs = members.join(buckets, ["band", "value"]).select("node", "weight", "label", F.explode("leaders").alias("leader"))
+    pairs = members.join(leaders, ["band", "value"]).select("node", "weight", "label", F.explode("leaders").alias("leader"))
     near = F.least("weight", "leader.weight") >= F.lit(threshold - 1e-9) * F.greatest("weight", "leader.weight")
     pairs = pairs.filter((F.col("label") != F.col("leader.label")) & near)
     return pairs.select(F.least("node", "leader.node").alias("a"), F.greatest("node", "leader.node").alias("b")).distinct()
 
 
+def fewest_agreeing(threshold: float, n: int = BANDS * ROWS) -> int:
+    """The most agreeing samples that can be asked for, so that a pair at the threshold has
+    fewer with a probability of at most MISSED."""
+    below = np.cumsum([math.comb(n, k) * threshold**k * (1 - threshold) ** (n - k) for k in range(n + 1)])
+    return int(np.searchsorted(below, MISSED, "right"))
+
+
+def remaining_links(members: DataFrame, signed: DataFrame, texts: DataFrame, idf: Broadcast, threshold: float) -> DataFrame:
+    """Links (a, b) that join what all pairs of members of a bucket with different labels
+    join. A large bucket is cut into blocks and each block meets each: no task gets a whole
+    bucket, and pairs are compared where they meet instead of becoming rows."""
+    least = fewest_agreeing(threshold)
+    own = signed.select("node", "samples").join(members.select("node").distinct(), "node").dropDuplicates(["node"]).join(texts, "node")
+    rows = members.select("band", "value", "node", "label").join(own, "node")
+    rows = stored(rows, "remaining")
+    blocks = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum(F.octet_length("text")) / BLOCK_BYTES)).cast("int")
+    sizes = rows.groupBy("band", "value").agg(blocks.alias("blocks"))
+    rows = rows.join(sizes, ["band", "value"]).withColumn("mine", F.pmod(F.xxhash64("node", "band"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("band", "value", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "mine", "node", "label", "samples", "text")
+    rows = rows.repartition("band", "value", "low", "high").sortWithinPartitions("band", "value", "low", "high")
+
+    def linked(table: pa.Table) -> pa.RecordBatch:
+        low, high, mine = (table[c].to_numpy() for c in ("low", "high", "mine"))
+        left, right = np.flatnonzero(mine == low), np.flatnonzero(mine == high)
+        # Classes of one group so far have one number; links join numbers.
+        group = table["label"].combine_chunks().dictionary_encode().indices.to_numpy().copy()
+        drawn = np.frombuffer(b"".join(table["samples"].to_pylist()), "<u2").reshape(len(table), -1).T.copy()
+        shingles = Shingles(table["text"].to_pylist(), with_digests=False)
+        weights = shingles.weights(idf.value)
+        cuts = np.searchsorted(shingles.owner, np.arange(len(table) + 1))
+        total = np.bincount(shingles.owner, weights, len(table))
+        kinds, code = np.unique(shingles.hash, return_inverse=True)
+        dense, a, b = np.zeros(len(kinds)), [], []
+        for row in left.tolist():
+            with_row = right[right > row] if low[0] == high[0] else right
+            fits = group[with_row] != group[row]
+            fits &= np.minimum(total[with_row], total[row]) >= (threshold - 1e-9) * np.maximum(total[with_row], total[row])
+            with_row = with_row[fits]
+            with_row = with_row[(drawn[:, with_row] == drawn[:, row, None]).sum(0) >= least]
+            if not len(with_row):
+                continue
+            sizes = cuts[with_row + 1] - cuts[with_row]
+            first = np.cumsum(sizes) - sizes
+            entry = np.repeat(cuts[with_row] - first, sizes) + np.arange(sizes.sum())
+            part = slice(cuts[row], cuts[row + 1])
+            dense[code[part]] = weights[part]
+            shared = np.add.reduceat(np.minimum(dense[code[entry]], weights[entry]), first)
+            dense[code[part]] = 0
+            near = shared >= (threshold - 1e-9) * (total[row] + total[with_row] - shared)
+            for k in with_row[near].tolist():
+                if group[k] != group[row]:
+                    group[group == group[k]] = group[row]
+                    a.append(row)
+                    b.append(k)
+        node = table["node"].combine_chunks()
+        return pa.RecordBatch.from_arrays([node.take(pa.array(x, pa.int64())) for x in (a, b)], ["a", "b"])
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        at = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in range(4)], 1)
+            cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1).tolist(), len(key)]
+            for start, stop in zip(cuts, cuts[1:]):
+                if held and at != tuple(key[start]):
+                    yield linked(pa.Table.from_batches(held))
+                    held = []
+                at = tuple(key[start])
+                held.append(batch.slice(start, stop - start))
+        if held:
+            yield linked(pa.Table.from_batches(held))
+
+    return rows.mapInArrow(link, "a binary, b binary")
+
+
 def verified(pairs: DataFrame, texts: DataFrame, idf: Broadcast, threshold: float) -> DataFrame:
     """The pairs (a, b) that reach the threshold. Texts (node, text) of all b of an a go to
     a's text; an a with many pairs is copied for every PAIRS_PER_TASK of them."""
@@ -260,26 +367,36 @@ def groups(docs: DataFrame, threshold: float = THRESHOLD, rounds: int = ROUNDS)
         F.min(F.struct("id", "key")).alias("one"), F.any_value("weight").alias("weight"), F.any_value("bands").alias("bands")
     )
     members = nodes.select("node", "one", "weight", F.posexplode("bands").alias("band", "value"))
-    shared = members.groupBy("band", "value").agg(F.count("*").alias("n")).filter("n > 1").select("band", "value")
+    shared = members.groupBy("band", "value").agg(F.count("*").alias("n")).filter("n > 1").select("band", "value", (F.col("n") - 1).alias("others"))
     members = stored(members.join(shared, ["band", "value"]), "buckets")
     # The text of one document of each class that meets another one.
     ones = members.groupBy("node").agg(F.any_value("one").alias("one")).select("node", "one.*")
     texts = stored(docs.join(ones, ["id", "key"]).select("node", "text").dropDuplicates(["node"]), "class-texts")
-    members = members.drop("one")
-    labelled, tested, links = members.withColumn("label", F.col("node")), None, None
-    for turn in range(rounds):
-        pairs = leader_pairs(labelled, turn, threshold)
-        pairs = stored(pairs.join(tested, ["a", "b"], "left_anti") if tested is not None else pairs, "pairs")
-        if not pairs.limit(1).count():
+    rest, tested, links, labels = members.drop("one").withColumn("label", F.col("node")), None, None, None
+    for turn in range(rounds + 1):
+        if not rest.limit(1).count():
             break
-        found = stored(verified(pairs, texts, idf, threshold), "verified")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        links = found if links is None else links.unionByName(found)
-        labels = components(links)
-        labelled = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        if turn == rounds:
+            found = stored(remaining_links(rest, signed, texts, idf, threshold), "verified")
+        else:
+            leaders = stored(leaders_of(rest, turn), "leaders")
+            pairs = leader_pairs(rest, leaders, threshold)
+            pairs = stored(pairs.join(tested, ["a", "b"], "left_anti") if tested is not None else pairs, "pairs")
+            tested = pairs if tested is None else tested.unionByName(pairs)
+            found = stored(verified(pairs, texts, idf, threshold), "verified")
+        if found.limit(1).count():
+            links = found if links is None else links.unionByName(found)
+            labels = components(links)
+        if turn < rounds:
+            # Leaders have met their whole bucket.
+            led = leaders.select("band", "value", F.explode("leaders.node").alias("node"))
+            rest = rest.join(led, ["band", "value", "node"], "left_anti").drop("others")
+            if labels is not None:
+                rest = rest.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+            rest = stored(still_open(rest), "buckets")
     node = F.when(F.octet_length("node") > 0, F.col("node"))
     rows = signed.select("id", "key", node.alias("node"))
-    if links is None:
+    if labels is None:
         return rows.withColumnRenamed("node", "group")
     return rows.join(labels, "node", "left").select("id", "key", F.coalesce("label", "node").alias("group"))
 

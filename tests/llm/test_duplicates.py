@@ -229,6 +229,43 @@ def test_a_large_group_of_near_copies_is_one_class(spark):
     assert all(got[k] == 0 for k in range(400)) and all(got[1000 + k] == 1000 + k for k in range(100))
 
 
+def star(random, n, edits, name):
+    """A text of 300 words and copies of it, each with words of its own in `edits` places."""
+    base = [f"{name}{k}" for k in random.integers(0, 5000, 300)]
+    out = [" ".join(base)]
+    for k in range(n):
+        own = list(base)
+        for at in random.choice(300, edits, replace=False):
+            own[at] = f"{name}new{k}x{at}"
+        out.append(" ".join(own))
+    return out
+
+
+def test_copies_that_are_close_to_their_original_only(spark):
+    random = np.random.default_rng(11)
+    rows = list(enumerate(star(random, 1000, 5, "w")))
+    random.shuffle(rows)
+    docs = spark.createDataFrame([(int(k), t) for k, t in rows], "doc_id long, text string")
+    got = dict(map(tuple, neardup.classes(docs).collect()))
+    want = dict(zip((k for k, _ in rows), brute_groups(rows)))
+    assert sum(got[k] != want[k] for k in want) <= 1  # none of the bands meets: 0.02 % of the pairs
+
+
+def test_every_pair_of_a_bucket_is_tried(spark, monkeypatch):
+    """Without leaders, and with buckets of many blocks, the groups are those of brute force."""
+    random = np.random.default_rng(12)
+    rows = list(enumerate(t for k in range(4) for t in star(random, 60, 4, f"s{k}_")))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = Counter((d, c) for (d, _), c in zip(rows, brute_groups(rows)))
+    for block in (neardup.BLOCK, 8):
+        monkeypatch.setattr(neardup, "BLOCK", block)
+        found = neardup.groups(neardup.keyed(docs), rounds=0).collect()
+        least = {}
+        for r in found:
+            least[r.group] = min(least.get(r.group, r.id), r.id)
+        assert Counter((r.id, least[r.group]) for r in found) == want
+
+
 def test_one_of_each_group_stays(spark, odd, none):
     kept = neardup.keep_one(odd)
     assert kept.columns == odd.columns
