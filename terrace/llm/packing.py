@@ -31,19 +31,31 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 @functools.cache
 def encoding(path: str):
-    """The byte-level BPE of a rank file; strings of special tokens are ordinary text."""
+    """The byte-level BPE of a rank file, with the added tokens of the JSON file of the same
+    name, if there is one: `ids_of` gives the ids that the JSON file as loaded gives."""
     import base64
+    import json
+    import os
 
     import public_tokenizers
     import tiktoken
 
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+    added = {}
+    if os.path.exists(whole := f"{os.path.splitext(path)[0]}.json"):
+        with open(whole, encoding="utf-8") as file:
+            added = {token["content"]: token["id"] for token in json.load(file)["added_tokens"]}
     return tiktoken.Encoding(
-        "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+        "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added
     )
 
 
+def ids_of(encoder, text: str) -> list[int]:
+    """The text's ids; an added token that stands in the text is one id."""
+    return encoder.encode(text, allowed_special="all")
+
+
 def default_vocabulary() -> str:
     """The ranks of byte_bpe_50k.json; a test checks that both give the same ids."""
     import public_tokenizers
@@ -66,7 +78,7 @@ def token_pieces(docs: DataFrame, vocabulary: str | None = None, limit: int = LI
         for batch in slices(batches):
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), texts_of(batch)):
-                ids = np.array([*encoder.encode_ordinary(text), END_ID], "<u4")
+                ids = np.array([*ids_of(encoder, text), END_ID], "<u4")
                 for k, (start, length) in enumerate(cut(len(ids), limit)):
                     rows.append((doc_id, k, start, length, zlib.crc32(ids[start : start + length].tobytes())))
             types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())

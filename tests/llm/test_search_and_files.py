@@ -153,6 +153,22 @@ def test_ids_are_those_of_the_json_vocabulary(spark, tokenizer, odd):
         assert encoder.encode_ordinary(text) == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_added_tokens_are_those_of_the_json_vocabulary_as_loaded(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    loaded = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [f"a {end} b", end, end + end, f"two  {end}\n x", f"it's{end}'s", "<|endoftext|", f"<|{end}|> <|other|>", "no such token", f"{end} word" * 900]
+    rows = packing.token_pieces(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    want = []
+    for k, text in enumerate(texts):
+        ids = [*loaded.encode(text, add_special_tokens=False).ids, 0]
+        assert (50256 in ids) == (end in text)
+        want += [(k, n, start, size, zlib.crc32(np.array(ids[start : start + size], "<u4").tobytes())) for n, (start, size) in enumerate(packing.cut(len(ids)))]
+    assert sorted(map(tuple, rows)) == want
+
+
 def test_pieces_and_places(spark, tokenizer, odd, none):
     texts = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
     for docs in (odd, texts):
