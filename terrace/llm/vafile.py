@@ -72,7 +72,7 @@ class Block:
         rows, ids, scores = [], [], []
         for q in range(len(queries)):
             row = bounds[q]
-            first = min(max(step, k), len(row))
+            first = min(max(step, k + 1), len(row))
             order = np.argpartition(-row, first - 1)[:first] if first < len(row) else np.arange(len(row))
             order = order[np.isfinite(row[order])]
             exact = self.v[order] @ queries[q]

@@ -54,6 +54,17 @@ def test_bounds_hold_and_most_vectors_are_not_read(spark):
     assert (bounds >= tenth[:, None]).mean() < 0.2
 
 
+@pytest.mark.parametrize("k", [20, 63, 64, 200, 1999, 3000])
+def test_a_block_gives_the_best_scores_for_any_k(k):
+    random = np.random.default_rng(7)
+    v = np.floor(64 * random.normal(0, 0.15, (2000, 16))).astype(np.int64)
+    rows, ids, scores = vafile.Block(np.arange(2000), v).best(np.arange(5), v[:5], k)
+    for q in range(5):
+        exact = v @ v[q]
+        want = [c for c in np.lexsort((np.arange(2000), -exact)) if c != q][:k]
+        assert ids[rows == q].tolist() == want and scores[rows == q].tolist() == exact[want].tolist()
+
+
 def test_large_components(spark):
     rows = [(0, [1e6, -1e6]), (1, [1e6, 1e6]), (2, [-1e6, 1e6])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
