@@ -6,7 +6,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from terrace.llm import decontam, language, linededup, neardup, packing, quality, suffix, toxicity, vafile, warc
+from terrace.llm import (
+    decontam,
+    language,
+    lexical,
+    linededup,
+    merkle,
+    neardup,
+    packing,
+    projected,
+    quality,
+    suffix,
+    toxicity,
+    vafile,
+    warc,
+)
 from terrace.session import scratch_dir
 
 
@@ -66,6 +80,20 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op11_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projected.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of all documents against their manifest, some of them tampered with since."""
+    rows = merkle.verified(table(spark, sf_dir, "documents"), {"text": merkle.tampered_text()})
+    return rows.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"), "folded_root", "verified")
+
+
 QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op1_quality": op1_quality,
@@ -78,6 +106,9 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_line_dedup": op9_line_dedup,
     "op10_packing": op10_packing,
+    "op11_nearest": op11_nearest,
+    "op12_lexical": op12_lexical,
+    "op13_merkle": op13_merkle,
 }
 
 SQL: dict[str, str] = {
@@ -105,4 +136,60 @@ marked AS (SELECT keyed.*, hot.key IS NOT NULL AND doc_id <> hot.last AS gone FR
 SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (gone) AS BIGINT) AS n_dropped,
     sha256(coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id""",
+    "op12_lexical": r"""WITH cut AS MATERIALIZED (SELECT row_number() OVER () AS k, doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+tf AS (SELECT k, doc_id, term, count(*) AS tf FROM cut GROUP BY ALL),
+sizes AS (SELECT k, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY k),
+totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sizes),
+weights AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM tf, totals GROUP BY term),
+item AS MATERIALIZED (SELECT row_number() OVER () AS i, item_id, text FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+asked AS (SELECT DISTINCT i, item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM item),
+scored AS (SELECT i, item_id, k, doc_id,
+    CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // terms)))) AS BIGINT) AS score
+    FROM asked JOIN tf USING (term) JOIN weights USING (term) JOIN sizes USING (k), totals GROUP BY ALL),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50""",
+    "op13_merkle": """WITH RECURSIVE crc AS (SELECT DISTINCT doc_id, xor(4294967295::BIGINT, list_reduce(
+        list_prepend(4294967295::BIGINT, [CAST(ascii(c) AS BIGINT) for c in string_split(CAST(doc_id AS VARCHAR), '')]),
+        lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda x, i: xor(x >> 1, (x & 1) * 3988292384)))) AS crc
+    FROM documents WHERE doc_id IS NOT NULL),
+held AS (SELECT d.*, CASE WHEN crc % 5 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+    ELSE text END AS now FROM documents d LEFT JOIN crc USING (doc_id)),
+parts AS (SELECT doc_id, source, text, now,
+    coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+    || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head FROM held),
+leaves AS (SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    sha256(head || coalesce(strlen(now) || ':' || now, '-')) AS claimed FROM parts),
+placed AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY source NULLS FIRST, doc_id NULLS FIRST, leaf, claimed) AS k,
+    dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, count(*) OVER (PARTITION BY source) AS n,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, claimed) - 1 AS place FROM leaves),
+up AS (SELECT tree, 0 AS height, place, leaf AS digest, n FROM placed
+    UNION ALL SELECT tree, height + 1, place // 16, sha256(string_agg(digest, '' ORDER BY place)), (max(n) + 15) // 16
+    FROM up WHERE n > 1 GROUP BY tree, height, place // 16),
+sides AS (SELECT *, coalesce(string_agg(digest, '') OVER (PARTITION BY tree, height, place // 16 ORDER BY place
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+    coalesce(string_agg(digest, '') OVER (PARTITION BY tree, height, place // 16 ORDER BY place
+        ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM up),
+fold AS (SELECT k, tree, 0 AS height, place, claimed AS at, '' AS seen FROM placed
+    UNION ALL SELECT k, f.tree, f.height + 1, f.place // 16, sha256(l || at || r), seen || l || r
+    FROM fold f JOIN sides s ON f.tree = s.tree AND f.height = s.height AND f.place = s.place WHERE n > 1),
+subroots AS (SELECT tree AS place, digest AS subroot FROM up WHERE n = 1),
+top AS (SELECT 0 AS height, place, subroot AS digest, count(*) OVER () AS n FROM subroots
+    UNION ALL SELECT height + 1, place // 16, sha256(string_agg(digest, '' ORDER BY place)), (max(n) + 15) // 16
+    FROM top WHERE n > 1 GROUP BY height, place // 16),
+top_sides AS (SELECT *, coalesce(string_agg(digest, '') OVER (PARTITION BY height, place // 16 ORDER BY place
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+    coalesce(string_agg(digest, '') OVER (PARTITION BY height, place // 16 ORDER BY place
+        ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM top),
+top_fold AS (SELECT k, 0 AS height, f.tree AS place, at, seen FROM fold f JOIN sides s
+        ON f.tree = s.tree AND f.height = s.height AND f.place = s.place WHERE s.n = 1
+    UNION ALL SELECT k, f.height + 1, f.place // 16, sha256(l || at || r), seen || l || r
+    FROM top_fold f JOIN top_sides s ON f.height = s.height AND f.place = s.place WHERE n > 1),
+ends AS (SELECT k, at, seen FROM top_fold f JOIN top s ON f.height = s.height AND f.place = s.place WHERE n = 1)
+SELECT p.doc_id, p.leaf, s.subroot, t.digest AS root, sha256(e.seen) AS proof_sha256, e.at AS folded_root, e.at = t.digest AS verified
+FROM placed p JOIN ends e USING (k) JOIN subroots s ON s.place = p.tree, (SELECT digest FROM top WHERE n = 1) t""",
 }
