@@ -174,8 +174,8 @@ sides AS (SELECT *, coalesce(string_agg(digest, '') OVER (PARTITION BY tree, hei
         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
     coalesce(string_agg(digest, '') OVER (PARTITION BY tree, height, place // 16 ORDER BY place
         ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM up),
-fold AS (SELECT k, tree, 0 AS height, place, claimed AS at, '' AS seen FROM placed
-    UNION ALL SELECT k, f.tree, f.height + 1, f.place // 16, sha256(l || at || r), seen || l || r
+fold AS (SELECT k, tree, 0 AS height, place, claimed AS cur, '' AS seen FROM placed
+    UNION ALL SELECT k, f.tree, f.height + 1, f.place // 16, sha256(l || cur || r), seen || l || r
     FROM fold f JOIN sides s ON f.tree = s.tree AND f.height = s.height AND f.place = s.place WHERE n > 1),
 subroots AS (SELECT tree AS place, digest AS subroot FROM up WHERE n = 1),
 top AS (SELECT 0 AS height, place, subroot AS digest, count(*) OVER () AS n FROM subroots
@@ -185,11 +185,11 @@ top_sides AS (SELECT *, coalesce(string_agg(digest, '') OVER (PARTITION BY heigh
         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
     coalesce(string_agg(digest, '') OVER (PARTITION BY height, place // 16 ORDER BY place
         ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM top),
-top_fold AS (SELECT k, 0 AS height, f.tree AS place, at, seen FROM fold f JOIN sides s
+top_fold AS (SELECT k, 0 AS height, f.tree AS place, cur, seen FROM fold f JOIN sides s
         ON f.tree = s.tree AND f.height = s.height AND f.place = s.place WHERE s.n = 1
-    UNION ALL SELECT k, f.height + 1, f.place // 16, sha256(l || at || r), seen || l || r
+    UNION ALL SELECT k, f.height + 1, f.place // 16, sha256(l || cur || r), seen || l || r
     FROM top_fold f JOIN top_sides s ON f.height = s.height AND f.place = s.place WHERE n > 1),
-ends AS (SELECT k, at, seen FROM top_fold f JOIN top s ON f.height = s.height AND f.place = s.place WHERE n = 1)
-SELECT p.doc_id, p.leaf, s.subroot, t.digest AS root, sha256(e.seen) AS proof_sha256, e.at AS folded_root, e.at = t.digest AS verified
+ends AS (SELECT k, cur, seen FROM top_fold f JOIN top s ON f.height = s.height AND f.place = s.place WHERE n = 1)
+SELECT p.doc_id, p.leaf, s.subroot, t.digest AS root, sha256(e.seen) AS proof_sha256, e.cur AS folded_root, e.cur = t.digest AS verified
 FROM placed p JOIN ends e USING (k) JOIN subroots s ON s.place = p.tree, (SELECT digest FROM top WHERE n = 1) t""",
 }
