@@ -147,8 +147,8 @@ def proofs(manifest: Manifest, requests: DataFrame) -> DataFrame:
     siblings before and after each node from the leaf up."""
     tops = manifest.roots.withColumn("path", F.expr(NO_PATH))
     trees = manifest.trees.select(F.lit(0).cast("long").alias("tree"), F.col("tree").alias("rank"), "n", "subroot")
-    root = manifest.roots.select(F.col("tree").alias("_top"), F.col("digest").alias("root"))
-    above = descend(manifest.top, tops, trees).join(root, F.col("tree") == F.col("_top"))
+    root = manifest.roots.select("digest").scalar()
+    above = descend(manifest.top, tops, trees).withColumn("root", root)
     above = stored(above.select(F.col("rank").alias("tree"), "n", F.col("found").alias("digest"), "path", "root"), "merkle-top-paths")
     below = descend(manifest.subtrees, above.drop("root"), requests)
     known = above.select("tree", F.col("digest").alias("subroot"), "root")
