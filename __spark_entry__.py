@@ -21,7 +21,8 @@ from terrace.functions import POSTAL_US, any_present, coordinate_malformed, mask
 from terrace.schemas import GOLD_DIMS, Layout  # noqa: E402
 from terrace.session import scratch_dir  # noqa: E402
 from terrace.sources.order_feed import order_feed  # noqa: E402
-from terrace.streaming import land_new_pages  # noqa: E402
+from terrace.sources.pages import stream_pages  # noqa: E402
+from terrace.streaming import land_new_pages, recency_columns, stream_upserts  # noqa: E402
 
 try:
     import corpus_pipeline  # noqa: F401
@@ -128,6 +129,21 @@ def stream_landing(spark, sf_dir):
     return sources.read_layer(spark, landing, schemas.RAW)
 
 
+def stream_upsert(spark, sf_dir):
+    """The newest record of each id from a stream of page files: micro-batches out of order, pages
+    that are delivered twice, and a restart halfway."""
+    work = scratch_dir(spark, "stream-upsert")
+    typed = schemas.StructType([*schemas.RAW.fields, *schemas.struct_of("seen_at seq", SEEN_ENTITY.recency).fields])
+    layer = sinks.BucketLayer(f"{work}/layer", typed, ("id",), ("seen_at", "seq"))
+    last = _last_page(spark, sf_dir)
+    for late, part in enumerate((F.col("page") > last // 2, F.col("page") <= last * 2 // 3)):
+        _put_pages(spark, sf_dir, f"{work}/pages/delivery={late}", part)
+        rows = stream_pages(spark, f"{work}/pages", SEEN_ENTITY.read_fields, False, maxFilesPerTrigger=max(1, last // 3))
+        rows = rows.withColumns(recency_columns(layer)).select(*typed.names)
+        stream_upserts(spark, rows, layer, f"{work}/checkpoint", "feed")
+    return layer.read(spark).select("seq", *FIELDS)
+
+
 # --- sinks ----------------------------------------------------------------------------
 
 
@@ -182,6 +198,14 @@ def snk_compact_hot(spark, sf_dir):
     return sources.read_layer(spark, f"{root}/v2", schemas.ENTITY)
 
 
+def snk_zorder(spark, sf_dir):
+    """Clustered by three columns alike, in many small files."""
+    root = scratch_dir(spark, "zorder")
+    sinks.write_layer(silver(spark, sf_dir), f"{root}/v1", by=["state"])
+    sinks.zorder(spark, f"{root}/v1", f"{root}/v2", schemas.ENTITY, ["category", "city", "id"], ["state"], file_bytes=64 * 1024)
+    return sources.read_layer(spark, f"{root}/v2", schemas.ENTITY)
+
+
 # --- projections and filters ----------------------------------------------------------
 
 
@@ -273,6 +297,16 @@ def dq_gate_strict(spark, sf_dir):
     return op.gate(dq_metrics(spark, sf_dir), limits)
 
 
+def dq_gate_history(spark, sf_dir):
+    """Monthly totals of the feed, each against the twelve months before it."""
+    raw = op.lower_cols(order_feed(spark, sf_dir), ["country"])
+    flags = {n: F.count_if(c) for n, c in op.entity_rules().items()} | {"total": F.count("*")}
+    months = raw.groupBy(F.date_format("seen_at", "yyyy-MM").alias("run")).agg(*[c.alias(n) for n, c in flags.items()])
+    totals = months.unpivot(["run"], list(flags), "metric", "value")
+    bounded = op.with_bounds(totals, op.DriftRule(runs=12, factor=3.0, share=0.05, least=5.0, falls=True))
+    return bounded.select("run", "metric", "value", "earlier", "median", "drifted")
+
+
 def win_percent_of_partition(spark, sf_dir):
     return op.percent_of_group(gold(spark, sf_dir), ["state"], "entity_count")
 
@@ -344,15 +378,13 @@ def flow_all(spark, sf_dir):
 
 def _land_and_load(spark, sf_dir, layout, run_id, pages, half, **options):
     """Writes the page files of one half of the feed, lands what is new and loads it."""
-    entity = replace(schemas.Entity(), recency={"seen_at": TimestampNTZType(), "seq": LongType()})
-    raw = order_feed(spark, sf_dir).filter(half).select(*entity.fields, "seen_at", "seq", "page")
-    raw.hint("rebalance", "page").write.mode("append").partitionBy("page").json(pages)
+    _put_pages(spark, sf_dir, pages, half)
     landed = land_new_pages(
-        spark, pages, layout.layer("incoming"), f"{layout.root}/mark", entity.read_fields, False, run_id=run_id
+        spark, pages, layout.layer("incoming"), f"{layout.root}/mark", SEEN_ENTITY.read_fields, False, run_id=run_id
     )
     rows = spark.read.parquet(landed).drop("batch")
     return plans.run_loads(
-        spark, rows, layout, run_id, tie_break=(), on_fail="quarantine", incremental=True, entity=entity, **options
+        spark, rows, layout, run_id, tie_break=(), on_fail="quarantine", incremental=True, entity=SEEN_ENTITY, **options
     )
 
 
@@ -365,7 +397,81 @@ def flow_incremental(spark, sf_dir):
     done = _land_and_load(
         spark, sf_dir, layout, "r2", pages, F.col("page") > half, first_page=half + 1, previous_run="r1"
     )
-    return plans.read_silver(spark, done["silver"], "r2").select(*FIELDS)
+    return plans.read_silver(spark, done["silver"], entity=SEEN_ENTITY).select(*FIELDS)
+
+
+# The feed's records with the columns that say which one is newer.
+SEEN_ENTITY = replace(schemas.Entity(), recency={"seen_at": TimestampNTZType(), "seq": LongType()})
+
+
+def _put_pages(spark, sf_dir, pages, chosen, mode="append"):
+    """The chosen pages of the feed as JSON page files, one folder a page."""
+    raw = order_feed(spark, sf_dir).filter(chosen).select(*SEEN_ENTITY.fields, "seen_at", "seq", "page")
+    raw.hint("rebalance", "page").write.mode(mode).partitionBy("page").json(pages)
+
+
+def _load_new(spark, layout, run_id, **options):
+    return plans.load_new_pages(
+        spark, f"{layout.root}/pages", layout, run_id, False, entity=SEEN_ENTITY, tie_break=(), on_fail="quarantine", **options
+    )
+
+
+def _last_page(spark, sf_dir) -> int:
+    return order_feed(spark, sf_dir).agg(F.max("page")).first()[0]
+
+
+def flow_gold_delta(spark, sf_dir):
+    """Gold kept up to date by signed changes over three batches. Records come out of order, and
+    keys leave silver when their newest record is rejected."""
+    layout = Layout(scratch_dir(spark, "gold-delta"))
+    last = _last_page(spark, sf_dir)
+    for number in range(3):
+        part = F.col("page").between(last * number // 3 + 1, last * (number + 1) // 3)
+        _put_pages(spark, sf_dir, f"{layout.root}/pages", part)
+        done = _load_new(spark, layout, f"r{number}")
+    return plans.read_gold(spark, done["gold"], SEEN_ENTITY).drop(schemas.GOLD_TS)
+
+
+def flow_rerun(spark, sf_dir):
+    """Half the pages, then the rest with one page broken: the gate stops that run, it is repeated
+    under its id, and the page that is repaired later is loaded alone."""
+    layout = Layout(scratch_dir(spark, "rerun"))
+    pages, last = f"{layout.root}/pages", _last_page(spark, sf_dir)
+    half, broken = last // 2, last * 3 // 4
+    _put_pages(spark, sf_dir, pages, F.col("page") <= half)
+    _load_new(spark, layout, "r1")
+    _put_pages(spark, sf_dir, pages, (F.col("page") > half) & (F.col("page") != broken))
+    spark.createDataFrame([('{"id": "1", ',)], "value string").write.text(f"{pages}/page={broken}")
+    try:
+        _load_new(spark, layout, "r2", limits={"no_contact": 0}, skip_failed=True)
+    except op.QualityGateError:
+        _load_new(spark, layout, "r2", skip_failed=True)
+    repaired = order_feed(spark, sf_dir).filter(F.col("page") == broken)
+    repaired.select(*SEEN_ENTITY.fields, "seen_at", "seq").write.mode("overwrite").json(f"{pages}/page={broken}")
+    done = _load_new(spark, layout, "r3")
+    return plans.read_silver(spark, done["silver"], entity=SEEN_ENTITY).select(*FIELDS)
+
+
+def _three_runs(spark, sf_dir, label) -> sinks.BucketLayer:
+    """A silver layer of three daily runs."""
+    layout = Layout(scratch_dir(spark, label))
+    last = _last_page(spark, sf_dir)
+    for number in range(3):
+        _put_pages(spark, sf_dir, f"{layout.root}/pages", F.col("page").between(last * number // 3 + 1, last * (number + 1) // 3))
+        _load_new(spark, layout, f"r{number + 1}")
+    return plans.silver_layer(layout, SEEN_ENTITY)
+
+
+def doc_changes(spark, sf_dir):
+    """What the last of three runs inserted, updated and deleted in silver."""
+    changes = _three_runs(spark, sf_dir, "changes").changes(spark, "r2", "r3", [c for c in FIELDS if c != "id"])
+    pair = [F.col(f"{side}.{c}").alias(f"{c}_{side}") for c in ("postal_code", "longitude") for side in ("before", "after")]
+    return changes.select("id", "change", F.array_join("changed", ",").alias("changed"), *pair)
+
+
+def doc_history(spark, sf_dir):
+    """Every state of every entity over three runs."""
+    return _three_runs(spark, sf_dir, "history").history(spark, columns=["id", "postal_code", "longitude", "phone"])
 
 
 # A second entity table under names of its own.
@@ -482,12 +588,14 @@ def queries() -> dict[str, Query]:
         "src_typed_schema": src_typed_schema,
         "src_layer_scan": src_layer_scan,
         "stream_landing": stream_landing,
+        "stream_upsert": stream_upsert,
         "snk_partitioned_roundtrip": snk_partitioned_roundtrip,
         "snk_gold_roundtrip": snk_gold_roundtrip,
         "snk_landing_roundtrip": snk_landing_roundtrip,
         "snk_namespaces": snk_namespaces,
         "snk_compact": snk_compact,
         "snk_compact_hot": snk_compact_hot,
+        "snk_zorder": snk_zorder,
         "prj_fixed_fields": prj_fixed_fields,
         "prj_parse_coords": prj_parse_coords,
         "prj_cast_double": prj_cast_double,
@@ -509,6 +617,7 @@ def queries() -> dict[str, Query]:
         "dq_gate": dq_gate,
         "dq_gate_strict": dq_gate_strict,
         "dq_quarantine": dq_quarantine,
+        "dq_gate_history": dq_gate_history,
         "win_percent_of_partition": win_percent_of_partition,
         "win_row_number": win_row_number,
         "win_top1": win_top1,
@@ -529,11 +638,15 @@ def queries() -> dict[str, Query]:
         "flow_all": flow_all,
         "flow_incremental": flow_incremental,
         "flow_second_entity": flow_second_entity,
+        "flow_gold_delta": flow_gold_delta,
+        "flow_rerun": flow_rerun,
         **{name: _sql_kpi(name) for name in KPI_SQL},
         "doc_upsert": doc_upsert,
         "doc_enforce_schema": doc_enforce_schema,
         "doc_incremental": doc_incremental,
         "doc_postal_by_country": doc_postal_by_country,
+        "doc_changes": doc_changes,
+        "doc_history": doc_history,
     } | (llm_registry.QUERIES if llm_registry else {})
 
 

@@ -73,6 +73,19 @@ def _winners(source: str, ties: str, states: str) -> str:
         FROM {source}) t WHERE rn = 1 GROUP BY category"""
 
 
+def _after_run(number: int) -> str:
+    """What silver holds after the first `number` of three batches of pages."""
+    pages = f"page <= (SELECT max(page) FROM raw) * {number} // 3"
+    return f"""accepted_{number} AS (SELECT id, lower(name) AS name, lower(category) AS category, street, lower(city) AS city,
+      lower(state) AS state, postal_code, lower(country) AS country, longitude, latitude, sha256(phone) AS phone, website_url
+      FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY seen_at DESC, seq DESC) AS rn FROM typed WHERE {pages}) t
+      WHERE rn = 1 AND id IS NOT NULL AND (phone IS NOT NULL OR website_url IS NOT NULL)
+      AND NOT coalesce(lower(country) = 'united states' AND NOT regexp_matches(postal_code, '{POSTAL}'), FALSE))"""
+
+
+_OTHER = [c.strip() for c in SILVER_COLUMNS.split(",") if c.strip() != "id"]
+_CHANGED = ", ".join(f"CASE WHEN b.{c} IS DISTINCT FROM a.{c} THEN '{c}' END" for c in _OTHER)
+
 _RAW = f"SELECT seq, page, {FIELDS}, {REST} FROM raw"
 _TYPED = f"SELECT seq, {FIELDS}, {REST} FROM typed"
 _GOLD = f"SELECT {DIMS}, entity_count FROM gold"
@@ -100,6 +113,7 @@ _FEED_QUERIES = {
       UNION ALL SELECT 'gold' AS namespace, CAST(sum(entity_count) AS BIGINT) AS entities FROM gold""",
     "snk_compact": _SILVER,
     "snk_compact_hot": _SILVER,
+    "snk_zorder": _SILVER,
     "prj_fixed_fields": f"SELECT {FIELDS}, {REST}, CAST(NULL AS VARCHAR) AS updated_at FROM raw",
     "prj_parse_coords": """SELECT seq, longitude, latitude, longitude_malformed FROM (SELECT t.seq, t.longitude,
       t.latitude, r.longitude = 'n/a' AS longitude_malformed FROM typed t JOIN raw r ON t.seq = r.seq) x""",
@@ -133,6 +147,20 @@ _FEED_QUERIES = {
         AND bad_postal <= 100 AND no_contact <= 10000000 AS passed FROM metrics) t""",
     "dq_quarantine": f"""SELECT CASE WHEN bad_postal THEN 'bad_postal' ELSE 'no_contact' END AS verdict,
       {SILVER_COLUMNS} FROM flagged WHERE bad_postal OR no_contact""",
+    "dq_gate_history": f""", rules AS (SELECT strftime(seen_at, '%Y-%m') AS run,
+        coalesce(lower(country) = 'united states' AND NOT regexp_matches(postal_code, '{POSTAL}'), FALSE) AS bad_postal,
+        phone IS NULL AND website_url IS NULL AS no_contact, postal_code IS NULL AS postal_missing FROM raw),
+      months AS (SELECT run, count(*) FILTER (bad_postal) AS bad_postal, count(*) FILTER (no_contact) AS no_contact,
+        count(*) FILTER (postal_missing) AS postal_missing, count(*) AS total FROM rules GROUP BY run),
+      totals AS (SELECT run, metric, CAST(value AS BIGINT) AS value FROM (UNPIVOT months
+        ON bad_postal, no_contact, postal_missing, total INTO NAME metric VALUE value) t),
+      held AS (SELECT *, coalesce(list(CAST(value AS DOUBLE)) OVER (PARTITION BY metric ORDER BY run
+        ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING), []) AS held FROM totals),
+      middle AS (SELECT *, list_median(held) AS median FROM held),
+      spread AS (SELECT *, 1.4826 * list_median([abs(x - median) for x in held]) AS spread FROM middle),
+      room AS (SELECT *, greatest(CAST(3 * spread AS DOUBLE), CAST(0.05 * abs(median) AS DOUBLE), CAST(5 AS DOUBLE)) AS room FROM spread)
+      SELECT run, metric, value, CAST(len(held) AS INTEGER) AS earlier, median,
+        len(held) >= 5 AND (value > median + room OR value < median - room) AS drifted FROM room""",
     "win_percent_of_partition": _share("gold", f"{DIMS}, entity_count"),
     "win_row_number": f"SELECT {DIMS}, entity_count, CAST(rank AS BIGINT) AS rank FROM ranked",
     "win_top1": f"SELECT {DIMS}, entity_count FROM ranked WHERE rank = 1",
@@ -153,6 +181,24 @@ _FEED_QUERIES = {
     "flow_second_entity": """SELECT lower(p_type) AS type, lower(p_name) AS name, CAST(count(*) AS BIGINT) AS entity_count
       FROM part WHERE NOT (lower(p_type) = 'economy' AND NOT regexp_matches(CAST(p_size AS VARCHAR), '^[1-3]?[0-9]$'))
       GROUP BY ALL""",
+    "flow_gold_delta": f"SELECT {DIMS}, entity_count FROM accepted_gold",
+    "flow_rerun": f"SELECT {SILVER_COLUMNS} FROM accepted",
+    "stream_upsert": f"SELECT seq, {FIELDS}, {REST} FROM (SELECT *, row_number() OVER (PARTITION BY id"
+    " ORDER BY seen_at DESC, seq DESC) AS rn FROM raw WHERE id IS NOT NULL) t WHERE rn = 1",
+    "doc_changes": f""", {_after_run(2)}, {_after_run(3)}
+      SELECT * FROM (SELECT coalesce(b.id, a.id) AS id,
+        CASE WHEN b.id IS NULL THEN 'inserted' WHEN a.id IS NULL THEN 'deleted' ELSE 'updated' END AS change,
+        array_to_string([x for x in [{_CHANGED}] if x IS NOT NULL], ',') AS changed,
+        b.postal_code AS postal_code_before, a.postal_code AS postal_code_after,
+        b.longitude AS longitude_before, a.longitude AS longitude_after
+        FROM accepted_2 b FULL JOIN accepted_3 a ON b.id = a.id) t WHERE change <> 'updated' OR changed <> ''""",
+    "doc_history": f""", {_after_run(1)}, {_after_run(2)}, {_after_run(3)},
+      states AS (SELECT 1 AS run, * FROM accepted_1 UNION ALL SELECT 2, * FROM accepted_2 UNION ALL SELECT 3, * FROM accepted_3),
+      islands AS (SELECT id, postal_code, longitude, phone, run,
+        run - row_number() OVER (PARTITION BY id, postal_code, longitude, phone ORDER BY run) AS island FROM states)
+      SELECT id, postal_code, longitude, phone, CAST(min(run) AS INTEGER) AS valid_from,
+        CAST(CASE WHEN max(run) < 3 THEN max(run) + 1 END AS INTEGER) AS valid_to
+      FROM islands GROUP BY id, postal_code, longitude, phone, island""",
     "sql_kpi_1": _total("state", source="accepted_gold"),
     "sql_kpi_2": _total("category", source="accepted_gold"),
     "sql_kpi_3": _total("state", source="accepted_gold", where="WHERE category = 'building'"),

@@ -1,5 +1,6 @@
 """DataFrame operators of the layers."""
 
+from terrace.operators.changes import row_changes, row_digest, row_history, rows_as_of
 from terrace.operators.cleanse import (
     cast_cols,
     drop_null_key,
@@ -15,6 +16,7 @@ from terrace.operators.cleanse import (
     stamp,
 )
 from terrace.operators.dedupe import duplicate_keys, latest_per_key, upsert
+from terrace.operators.drift import DriftRule, with_bounds
 from terrace.operators.quality import (
     QualityGateError,
     check_gate,
@@ -27,9 +29,10 @@ from terrace.operators.quality import (
     require_known,
 )
 from terrace.operators.ranking import number_rows, percent_of_group, top_n, with_group_total
-from terrace.operators.rollup import rollup_count, sum_by
+from terrace.operators.rollup import rollup_count, signed_changes, sum_by
 
 __all__ = [
+    "DriftRule",
     "QualityGateError",
     "cast_cols",
     "check_gate",
@@ -55,9 +58,15 @@ __all__ = [
     "require_any",
     "require_known",
     "rollup_count",
+    "row_changes",
+    "row_digest",
+    "row_history",
+    "rows_as_of",
+    "signed_changes",
     "stamp",
     "sum_by",
     "top_n",
     "upsert",
+    "with_bounds",
     "with_group_total",
 ]

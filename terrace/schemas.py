@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
+    BooleanType,
     DataType,
     DoubleType,
     LongType,

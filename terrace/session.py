@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -55,3 +57,19 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
     """Bytes of all files below a folder, as the file system reports them."""
     files, target = _hadoop_path(spark, path)
     return files.getContentSummary(target).getLength()
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, target = _hadoop_path(spark, path)
+    return files.exists(target)
+
+
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A session setting for the jobs within, put back afterwards."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)

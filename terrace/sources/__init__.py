@@ -2,11 +2,12 @@
 
 from terrace.sources.json_map import COPY_MAPPING, map_json, mapping_schema, read_mapped_json
 from terrace.sources.layers import newer_than, read_layer
-from terrace.sources.pages import keep_page_prefix, list_pages, page_boundary, read_pages, stream_pages
+from terrace.sources.pages import keep_page_prefix, list_page_files, list_pages, page_boundary, read_pages, stream_pages
 
 __all__ = [
     "COPY_MAPPING",
     "keep_page_prefix",
+    "list_page_files",
     "list_pages",
     "map_json",
     "mapping_schema",

@@ -35,7 +35,7 @@ def _with_page(df: DataFrame, fields: StructType) -> DataFrame:
 
 
 def read_pages(
-    spark: SparkSession, path: str, fields: StructType = RAW, multi_line: bool = True
+    spark: SparkSession, path: str | list[str], fields: StructType = RAW, multi_line: bool = True
 ) -> DataFrame:
     """Records of all page files with their page number.
 
@@ -73,6 +73,14 @@ def list_pages(spark: SparkSession, path: str) -> DataFrame:
     return files.select(_page_of(F.col("path")).alias(PAGE), F.lit(False).alias(FAILED))
 
 
+def list_page_files(spark: SparkSession, path: str) -> DataFrame:
+    """file, length, modified and page of the files there; no content is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.select(
+        F.col("path").alias("file"), "length", F.col("modificationTime").alias("modified"), _page_of(F.col("path")).alias("page")
+    )
+
+
 def page_boundary(pages: DataFrame, total_pages: int | None = None, first_page: int = 1) -> DataFrame:
     """One row on the pages: `boundary`, the first page not to load; `pages_read`;
     `broken`, whether that page is wanted but missing or failed; `truncated`, whether it

@@ -1,0 +1,176 @@
+"""The keyed layer of deltas: merges, folds, lookups and what they write and read."""
+
+import glob
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from terrace import operators as op
+from terrace import schemas
+from terrace.sinks import BucketLayer, StaleBaseError
+
+SCHEMA = schemas.struct_of("id state seen")
+
+
+def is_bad():
+    return F.col("state") == "bad"
+
+
+
+def rows(spark, *records):
+    return spark.createDataFrame(list(records), SCHEMA)
+
+
+def layer_at(path, **options):
+    return BucketLayer(str(path), SCHEMA, ("id",), ("seen",), **options)
+
+
+def found(spark, layer, run_id=None):
+    return {r.id: r.state for r in layer.read(spark, run_id).collect()}
+
+
+def size_of(folder):
+    return sum(os.path.getsize(p) for p in glob.glob(f"{folder}/**/*.parquet", recursive=True))
+
+
+def test_a_merge_stores_its_batch_alone(spark, tmp_path):
+    layer = layer_at(tmp_path)
+    layer.merge(rows(spark, *[(str(i), "a", "2") for i in range(200)]), "r1", buckets=32)
+    batch = rows(spark, ("5", "late", "1"), ("6", "newer", "3"), ("6", "older", "2"), ("7", "bad", "3"), ("new", "a", "1"))
+    merge = layer.merge(batch, "r2", gone=is_bad())
+    assert merge.previous == "r1" and 1 <= len(merge.touched) <= 4
+    assert layer.delta(spark, "r2").count() == 4
+    got = found(spark, layer)
+    assert len(got) == 200 and "7" not in got
+    assert (got["5"], got["6"], got["new"]) == ("a", "newer", "a")
+    # An older record of a removed key does not bring it back, a newer one does.
+    layer.merge(rows(spark, ("7", "old", "2")), "r3")
+    assert "7" not in found(spark, layer)
+    layer.merge(rows(spark, ("7", "back", "4")), "r4")
+    assert found(spark, layer)["7"] == "back"
+    assert len(found(spark, layer, "r1")) == 200 and found(spark, layer, "r1")["7"] == "a"
+
+
+def test_the_newest_run_is_the_base(spark, tmp_path):
+    layer = layer_at(tmp_path)
+    layer.merge(rows(spark, *[(str(i), "a", "1") for i in range(300)]), "r1")
+    layer.merge(rows(spark, *[(f"x{i}", "a", "1") for i in range(5)]), "r2")
+    assert layer.read(spark).count() == 305
+    with pytest.raises(StaleBaseError, match="run r2 lies on r1 already"):
+        layer.merge(rows(spark, ("y", "a", "1")), "r3", previous_run="r1")
+    with pytest.raises(StaleBaseError, match="no run r9"):
+        layer.merge(rows(spark, ("y", "a", "1")), "r3", previous_run="r9")
+    with pytest.raises(ValueError, match="used once"):
+        layer.merge(rows(spark, ("y", "a", "1")), "r2")
+    layer.merge(rows(spark, ("y", "a", "1")), "branch", previous_run="r1", branch=True)
+    assert layer.read(spark, "branch").count() == 301
+    layer.merge(rows(spark, ("z", "a", "1")), "anew", fresh=True)
+    assert found(spark, layer, "anew") == {"z": "a"}
+    assert layer_at(tmp_path / "none").read(spark).count() == 0
+
+
+def test_a_merge_that_was_stopped_is_not_there(spark, tmp_path):
+    layer = layer_at(tmp_path)
+    layer.merge(rows(spark, ("1", "a", "1")), "r1")
+    # Files of a merge without its last row, as a lost driver leaves them.
+    rows(spark, ("1", "half", "9")).write.parquet(f"{tmp_path}/delta/run_id=r2/_of=1/_bucket=0")
+    assert found(spark, layer) == {"1": "a"}
+    assert layer.merge(rows(spark, ("2", "a", "1")), "r3").previous == "r1"
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_merges_folds_and_splits_equal_the_upsert(spark, tmp_path, seed):
+    draw = random.Random(seed)
+    layer = layer_at(tmp_path, fold_after=2, bucket_bytes=9_000)
+    newest, folds, widths = {}, 0, set()
+    for number in range(1, 8):
+        batch = [(str(draw.randrange(900)), draw.choice(["a", "b", "bad"]), f"{draw.randrange(9999):04}") for _ in range(draw.choice([9, 400]))]
+        merge = layer.merge(rows(spark, *batch).repartition(3), f"r{number}", gone=is_bad())
+        folds += len(merge.folded)
+        widths |= {e.of for e in layer.entries(spark, f"r{number}")}
+        best = {}
+        for key, state, seen in batch:
+            best[key] = max(best.get(key, ("", "")), (seen, state))
+        for key, (seen, state) in best.items():
+            if seen >= newest.get(key, ("",))[0]:
+                newest[key] = seen, state
+        assert found(spark, layer) == {k: s for k, (_, s) in newest.items() if s != "bad"}
+    assert folds and len(widths) > 1
+    # Every key lies in one bucket of the widths in use.
+    entries = {(e.of, e.bucket) for e in layer.entries(spark, "r7")}
+    assert sum(1 / of for of, _ in entries) == 1
+
+
+def test_marks_expire_with_the_folds(spark, tmp_path):
+    layer = layer_at(tmp_path, fold_after=1, keep_marks=2)
+    layer.merge(rows(spark, *[(str(i), "a", "1") for i in range(100)]), "r1")
+    layer.merge(rows(spark, ("1", "bad", "5")), "r2", gone=is_bad())
+    layer.merge(rows(spark, ("2", "b", "5")), "r3")
+    marks = lambda run: [e for e in layer.entries(spark, run) if e.kind == "base"][0].n
+    assert marks("r3") == 100 and len(found(spark, layer)) == 99
+    layer.merge(rows(spark, ("3", "b", "5")), "r4")
+    layer.merge(rows(spark, ("4", "b", "5")), "r5")
+    assert marks("r5") == 99 and len(found(spark, layer)) == 99
+
+
+def test_few_random_keys_write_few_bytes(spark, tmp_path):
+    schema = schemas.struct_of("id name phone seen")
+    layer = BucketLayer(str(tmp_path), schema, ("id",), ("seen",), bucket_bytes=8 << 20)
+    whole = spark.range(1_000_000, numPartitions=8).select(
+        F.col("id").cast("string"), F.sha2(F.col("id").cast("string"), 256).alias("name"), F.lit("p").alias("phone"), F.lit("1").alias("seen")
+    )
+    stored = str(tmp_path / "rows")
+    whole.write.parquet(stored)
+    layer.merge(spark.read.parquet(stored), "r1")
+    assert len(layer.entries(spark, "r1")) >= 8
+    batch = whole.filter(F.xxhash64("id") % 1000 == 0).withColumns({"name": F.lit("new"), "seen": F.lit("2")}).persist()
+    layer.merge(batch, "r2")
+    assert 800 < batch.count() < 1200
+    assert size_of(f"{tmp_path}/delta/run_id=r2") < 0.01 * size_of(f"{tmp_path}/base/run_id=r1")
+    expected = op.upsert(whole, batch, ["id"], ["seen"])
+    assert layer.read(spark).exceptAll(expected).isEmpty() and layer.read(spark).count() == 1_000_000
+    batch.unpersist()
+
+
+def test_a_lookup_opens_few_buckets_and_row_groups(spark, tmp_path):
+    schema = schemas.struct_of("id name seen")
+    layer = BucketLayer(str(tmp_path), schema, ("id",), ("seen",))
+    whole = spark.range(200_000, numPartitions=4).select(F.format_string("%08d", F.col("id") * 7).alias("id"), F.lit("n").alias("name"), F.lit("1").alias("seen"))
+    spark.conf.set("parquet.block.size", str(64 * 1024))
+    try:
+        layer.merge(whole, "r1", buckets=16)
+    finally:
+        spark.conf.unset("parquet.block.size")
+    # Five keys: at most five of the 16 buckets.
+    wanted = spark.createDataFrame([(f"{7 * i:08}",) for i in (3, 500, 77_777, 150_000)] + [("00000001",)], "id string")
+    entries = layer.entries(spark, "r1")
+    slots = {(e.of, e.bucket): e.of for e in entries}
+    touched = layer._placed(wanted, slots).select("_of", "_bucket").distinct().count()
+    assert touched <= 5
+    got = layer.lookup(spark, "r1", wanted)
+    assert sorted(r.id for r in got.collect()) == [f"{7 * i:08}" for i in (3, 500, 77_777, 150_000)]
+    # The list of keys reaches the scan, which leaves out row groups.
+    scan = layer._scan(spark, entries).filter(F.col("id").isin([r.id for r in wanted.collect()]))
+    assert scan.count() == 4
+    plan = scan._jdf.queryExecution().executedPlan()
+    plan = plan.executedPlan() if "Adaptive" in plan.nodeName() else plan
+    leaves = plan.collectLeaves()
+    read = sum(leaves.apply(k).metrics().apply("numOutputRows").value() for k in range(leaves.size()))
+    assert read < 100_000
+    assert layer.lookup(spark, None, wanted).count() == 0
+
+
+def test_a_layer_of_counts_adds_up(spark, tmp_path):
+    schema = schemas.struct_of("state city n", {"n": schemas.LongType()})
+    layer = BucketLayer(str(tmp_path), schema, ("state", "city"), sums=("n",), fold_after=1)
+    add = lambda run, *r: layer.merge(spark.createDataFrame(list(r), schema), run)
+    add("r1", ("a", "x", 3), ("a", None, 2), (None, None, 1), ("b", "x", 5))
+    add("r2", ("a", "x", -3), ("a", None, 1), ("c", "y", 4))
+    assert sorted(layer.read(spark).collect(), key=repr) == sorted([("a", None, 3), (None, None, 1), ("b", "x", 5), ("c", "y", 4)], key=repr)
+    add("r3", (None, None, -1), ("b", "x", 1))
+    add("r4", ("b", "x", 1))
+    assert sorted(layer.read(spark).collect(), key=repr) == sorted([("a", None, 3), ("b", "x", 7), ("c", "y", 4)], key=repr)
+    assert add("r5").touched == []
+    assert layer.read(spark).count() == 3

@@ -1,0 +1,163 @@
+"""Change feed, row history, the gate against history and streamed upserts."""
+
+import json
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from terrace import operators as op
+from terrace import plans, schemas
+from terrace.operators.drift import DriftRule
+from terrace.schemas import Layout
+from terrace.sinks import BucketLayer, StaleBaseError
+from terrace.sources.pages import stream_pages
+from terrace.streaming import recency_columns, stream_upserts
+from test_loads import _record, pages  # noqa: F401
+
+SCHEMA = schemas.struct_of("id state seen")
+
+
+def is_bad():
+    return F.col("state") == "bad"
+
+
+
+def test_changes_of_two_frames(spark):
+    schema = "id string, part int, a string, b string, stamp int"
+    before = spark.createDataFrame([("1", 1, "x", None, 1), ("2", 1, "x", "y", 1), ("3", 1, None, "q", 1), (None, 1, "n", "n", 1), ("5", 2, "s", "s", 1)], schema)
+    after = spark.createDataFrame([("1", 1, "x", None, 2), ("2", 1, "z", "y", 2), ("3", 1, "q", None, 2), (None, 1, "n", "m", 2), ("6", 1, "s", "s", 2)], schema)
+    got = {(r.id, r.part): (r.change, r.changed, r.before and tuple(r.before), r.after and tuple(r.after)) for r in op.row_changes(before, after, ["id", "part"], ["a", "b"]).collect()}
+    assert got == {
+        ("2", 1): ("updated", ["a"], ("x", "y"), ("z", "y")),
+        # A value that moves to the next column is a change although the values are the same.
+        ("3", 1): ("updated", ["a", "b"], (None, "q"), ("q", None)),
+        (None, 1): ("updated", ["b"], ("n", "n"), ("n", "m")),
+        ("5", 2): ("deleted", ["a", "b"], ("s", "s"), None),
+        ("6", 1): ("inserted", ["a", "b"], None, ("s", "s")),
+    }
+    assert op.row_changes(before, before, ["id", "part"]).isEmpty()
+    assert op.row_changes(before.limit(0), after, ["id", "part"]).count() == 5
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_changes_and_history_of_a_layer_rebuild_every_run(spark, tmp_path, seed):
+    draw = random.Random(seed)
+    layer = BucketLayer(str(tmp_path), SCHEMA, ("id",), ("seen",), fold_after=2, bucket_bytes=5_000)
+    states = [{}]
+    for number in range(1, 7):
+        batch = [(str(draw.randrange(60)), draw.choice(["a", "b", "bad"]), f"{draw.randrange(300):04}") for _ in range(40)]
+        layer.merge(spark.createDataFrame(batch, SCHEMA), f"r{number}", gone=is_bad())
+        states.append({r.id: r.state for r in layer.read(spark).collect()})
+    history = layer.history(spark, columns=["state"]).persist()
+    for number, want in enumerate(states):
+        assert {r.id: r.state for r in op.rows_as_of(history, number).collect()} == want
+    # Neighbouring states of a key differ or have a gap between them.
+    for key, own in {k: [r for r in history.collect() if r.id == k] for k in {r.id for r in history.collect()}}.items():
+        own.sort(key=lambda r: r.valid_from)
+        assert all(a.valid_to <= b.valid_from and (a.valid_to < b.valid_from or a.state != b.state) for a, b in zip(own, own[1:]))
+    for a, b in ((1, 2), (2, 6), (5, 6)):
+        changes = {r.id: (r.change, r.before and r.before.state, r.after and r.after.state) for r in layer.changes(spark, f"r{a}", f"r{b}", ["state"]).collect()}
+        old, new = states[a], states[b]
+        want = {k: ("inserted" if k not in old else "deleted" if k not in new else "updated", old.get(k), new.get(k)) for k in {*old, *new} if old.get(k) != new.get(k)}
+        assert changes == want
+    with pytest.raises(StaleBaseError, match="does not lie on"):
+        layer.changes(spark, "r6", "r2")
+    assert layer.changes(spark, "r3", "r3").isEmpty()
+
+
+# --- the gate against history ---------------------------------------------------------
+
+
+def test_bounds_follow_the_runs_before(spark):
+    values = [100, 104, 98, 101, 99, 103, 1000, 100, 97]
+    totals = spark.createDataFrame([(k, "m", v) for k, v in enumerate(values)] + [(0, "few", 5)], "run int, metric string, value long")
+    rows = {r.run: r for r in op.with_bounds(totals, DriftRule(runs=6, share=0.1, least=1)).filter("metric = 'm'").collect()}
+    assert [k for k in rows if rows[k].drifted] == [6]
+    assert rows[4].high is None and rows[5].high is not None and rows[5].median == 100.0
+    assert rows[6].median == 100.5 and rows[8].earlier == 6
+    both = op.with_bounds(spark.createDataFrame([(k, "m", 100) for k in range(9)] + [(9, "m", 20)], totals.schema), DriftRule(falls=True))
+    assert both.filter("drifted").count() == 1
+    assert op.with_bounds(totals.limit(0), DriftRule()).isEmpty()
+
+
+def test_a_tenfold_jump_stops_the_load_and_quiet_runs_pass(spark, pages, tmp_path):  # noqa: F811
+    lake, draw = Layout(str(tmp_path / "lake")), random.Random(1)
+    # Quiet runs, as their stored totals.
+    from terrace.plans.loads import Load, record_metrics
+    from terrace.plans.runs import finish_run
+
+    for number in range(12):
+        done = {"bronze": Load(None, {"total": 100 + draw.randrange(20)}), "silver": Load(None, {"no_contact": 3 + draw.randrange(4)})}
+        bounds = plans.bounds_for_next(spark, lake)
+        assert all(low <= done[load].metrics[m] <= high for load, own in bounds.items() for m, (low, high) in own.items())
+        record_metrics(spark, done, lake, f"q{number}")
+        finish_run(spark, lake, f"q{number}", f"q{number}", None, False)
+    # A stopped attempt does not count.
+    record_metrics(spark, {"silver": Load(None, {"no_contact": 900})}, lake, "q11-attempt2", "stopped")
+    folder = pages(1, [_record(str(i), phone=None if i < 50 else "555") for i in range(110)])
+    load = lambda run, **o: plans.load_new_pages(spark, folder, lake, run, **o)
+    with pytest.raises(plans.DriftError, match=r"no_contact=50 \(history -inf to"):
+        load("jump", history=plans.HistoryGate())
+    pages(1, [_record(str(i), phone=None if i < 5 else "555") for i in range(11)])
+    with pytest.raises(plans.DriftError, match="total=11"):
+        load("fall", history=plans.HistoryGate())
+    pages(1, [_record(str(i), phone=None if i < 5 else "555") for i in range(110)])
+    assert "gold" in load("quiet", history=plans.HistoryGate())
+
+
+# --- streamed upserts -----------------------------------------------------------------
+
+
+def test_streamed_batches_in_any_order_equal_one_merge(spark, tmp_path):
+    draw = random.Random(7)
+    schema = schemas.struct_of("id state seen", {"seen": schemas.LongType()})
+    records = [(str(draw.randrange(40)), draw.choice(["a", "b", "bad"]), seen) for seen in range(300)]
+    draw.shuffle(records)
+    folder = tmp_path / "pages"
+    folder.mkdir()
+    layer = BucketLayer(str(tmp_path / "layer"), schema, ("id",), ("seen",), fold_after=3)
+
+    def put(number, rows):
+        (folder / f"page-{number}.json").write_text("\n".join(json.dumps(dict(zip(schema.names, map(str, r)))) for r in rows) + "\n")
+
+    def run():
+        rows = stream_pages(spark, str(folder), schemas.struct_of("id state seen"), False, maxFilesPerTrigger=1)
+        rows = rows.withColumns(recency_columns(layer)).select(*schema.names)
+        return stream_upserts(spark, rows, layer, str(tmp_path / "checkpoint"), "s", is_bad())
+
+    for k in range(3):
+        put(k, records[50 * k : 50 * k + 50])
+    assert len(run()) == 3
+    # After a restart only new files are taken; page 6 repeats what pages 0 and 3 brought.
+    for k in range(3, 6):
+        put(k, records[50 * k : 50 * k + 50])
+    put(6, records[:20] + records[150:170])
+    assert 3 <= len(run()) <= 4
+    assert run() == []
+    newest = {}
+    for key, state, seen in records:
+        newest[key] = max(newest.get(key, (-1, "")), (seen, state))
+    assert {r.id: (r.seen, r.state) for r in layer.read(spark).collect()} == {k: v for k, v in newest.items() if v[1] != "bad"}
+
+
+def test_a_repeated_batch_is_merged_once(spark, tmp_path, monkeypatch):
+    schema = schemas.struct_of("id state seen")
+    folder = tmp_path / "pages"
+    folder.mkdir()
+    (folder / "page-1.json").write_text('{"id": "1", "state": "a", "seen": "1"}\n{"state": "no key", "seen": "1"}\n')
+    layer = BucketLayer(str(tmp_path / "layer"), schema, ("id",), ("seen",))
+    rows = lambda: stream_pages(spark, str(folder), schema, False).select(*schema.names)
+    plain = BucketLayer.merge
+
+    def merged_then_lost(self, *a, **k):
+        plain(self, *a, **k)
+        raise RuntimeError("lost after the merge")
+
+    monkeypatch.setattr(BucketLayer, "merge", merged_then_lost)
+    with pytest.raises(Exception, match="lost after the merge"):
+        stream_upserts(spark, rows(), layer, str(tmp_path / "c"), "s")
+    monkeypatch.setattr(BucketLayer, "merge", plain)
+    stream_upserts(spark, rows(), layer, str(tmp_path / "c"), "s")
+    assert [r.run_id for r in layer.runs(spark)] == ["s-000000000"]
+    assert layer.read(spark).count() == 1

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from terrace import plans, schemas, sources
 from terrace.operators import QualityGateError
 from terrace.schemas import Layout
+from terrace.sinks import StaleBaseError
 
 
 def _record(key, **fields):
@@ -284,7 +285,9 @@ def test_incremental_loads_equal_one_load(spark, pages, tmp_path):
     at_once = sources.read_layer(spark, whole["silver"].path, entity.silver).select(columns).collect()
     assert sorted(merged, key=repr) == sorted(at_once, key=repr)
     assert sorted((r.id, r.city) for r in merged) == [("1", "boone"), ("2", "ames"), ("5", "ames")]
-    kept = load(batches[2], "kept", incremental=True, previous_run="r2", first_page=3, rejected_updates="keep")
+    with pytest.raises(StaleBaseError, match="run r3 lies on r2 already"):
+        load(batches[2], "kept", incremental=True, previous_run="r2", first_page=3)
+    kept = load(batches[2], "kept", incremental=True, previous_run="r2", branch=True, first_page=3, rejected_updates="keep")
     assert sorted(r.id for r in plans.read_silver(spark, kept["silver"], "kept", entity).collect()) == ["1", "2", "3", "5"]
 
 
@@ -332,3 +335,162 @@ def test_fixed_stamp_reaches_all_layers(spark, pages, tmp_path):
     assert text(done["gold"], schemas.GOLD, schemas.GOLD_TS) == "2024-01-02 03:04:05"
     assert text(done["silver"], schemas.SILVER, schemas.SILVER_TS) == "2024-01-02 03:04:05"
     assert text(done["bronze"], schemas.BRONZE, schemas.BRONZE_TS) == "2024-01-02 03:04:05"
+
+
+# --- runs that are stopped, repeated and merged ---------------------------------------
+
+
+def _daily(spark, folder, root, run_id, **options):
+    return plans.load_new_pages(spark, folder, Layout(str(root)), run_id, **options)
+
+
+def _cities(spark, load):
+    return {r.id: r.city for r in plans.read_silver(spark, load).collect()}
+
+
+def test_a_stopped_run_is_repeated_under_its_id_and_under_another(spark, pages, tmp_path):
+    lake = tmp_path / "lake"
+    folder = pages(1, [_record("1"), _record("2")])
+    _daily(spark, folder, lake, "r1")
+    pages(2, [_record("3"), _record("4", postal_code="bad")])
+    for _ in range(2):
+        with pytest.raises(QualityGateError, match="bad_postal=1"):
+            _daily(spark, folder, lake, "r2")
+    states = {r.page: (r.state, r.label) for r in plans.page_states(spark, Layout(str(lake))).collect()}
+    assert states == {1: ("loaded", "r1"), 2: ("refused", "r2-attempt2")}
+    stored = spark.read.parquet(f"{lake}/metrics/run_id=r2-attempt2")
+    assert stored.filter("load = 'silver' AND metric = 'bad_postal'").first().value == 1
+    done = _daily(spark, folder, lake, "r2", on_fail="quarantine")
+    assert _cities(spark, done["silver"]) == dict.fromkeys("123", "ames")
+    assert done["silver"].merge.run_id == "r2-attempt3" and done["silver"].merge.previous == "r1"
+    with pytest.raises(ValueError, match="run r2 is finished"):
+        _daily(spark, folder, lake, "r2")
+    pages(3, [_record("5", postal_code="bad")])
+    with pytest.raises(QualityGateError):
+        _daily(spark, folder, lake, "r3")
+    done = _daily(spark, folder, lake, "r4", on_fail="quarantine")
+    assert _cities(spark, done["silver"]) == dict.fromkeys("123", "ames")
+    assert _daily(spark, folder, lake, "r5") == {}
+    assert [r.run_id for r in plans.finished_runs(spark, Layout(str(lake)))] == ["r1", "r2", "r4"]
+
+
+def test_a_full_run_is_repeated_too(spark, pages, tmp_path):
+    folder = pages(1, [_record("1", postal_code="bad")])
+    with pytest.raises(QualityGateError):
+        _run(spark, folder, tmp_path / "lake")
+    pages(1, [_record("1")])
+    done = _run(spark, folder, tmp_path / "lake")
+    assert done["gold"].path.endswith("run_id=r1-attempt2")
+
+
+def test_a_repaired_page_is_loaded_alone(spark, pages, tmp_path):
+    lake = tmp_path / "lake"
+    pages(1, [_record("1")])
+    folder = pages(3, [_record("3"), _record("2", city="newer")])
+    (tmp_path / "pages" / "page-2.json").write_text('[{"id": "2"}, {"id"')
+    with pytest.raises(plans.TruncatedLoadError, match="page 2"):
+        _daily(spark, folder, lake, "r1")
+    done = _daily(spark, folder, lake, "r1", skip_failed=True)
+    assert _cities(spark, done["silver"]) == {"1": "ames", "2": "newer", "3": "ames"}
+    assert done["bronze"].metrics["pages_left_out"] == 1
+    pages(2, [_record("2", city="older"), _record("9")])
+    again = _daily(spark, folder, lake, "r2")
+    landed = spark.read.parquet(again["landing"].path)
+    assert {r.page for r in landed.collect()} == {2}
+    assert set(_cities(spark, again["silver"])) == {"1", "2", "3", "9"}
+    states = {r.page: r.state for r in plans.page_states(spark, Layout(str(lake))).collect()}
+    assert states == dict.fromkeys((1, 2, 3), "loaded")
+
+
+def test_pages_behind_a_gap_wait_for_it(spark, pages, tmp_path):
+    lake = tmp_path / "lake"
+    pages(1, [_record("1")])
+    folder = pages(3, [_record("3")])
+    done = _daily(spark, folder, lake, "r1", allow_truncated=True)
+    assert set(_cities(spark, done["silver"])) == {"1"}
+    assert {r.page: r.state for r in plans.page_states(spark, Layout(str(lake))).collect()} == {1: "loaded", 3: "left"}
+    pages(2, [])
+    done = _daily(spark, folder, lake, "r2")
+    assert set(_cities(spark, done["silver"])) == {"1", "3"}
+
+
+def test_a_second_run_keeps_the_first_ones_rows(spark, pages, tmp_path):
+    """Without a stated base a run lies on the newest finished one, not on nothing."""
+    lake = tmp_path / "lake"
+    folder = pages(1, [_record(str(i)) for i in range(300)])
+    _run(spark, folder, lake, "r1", incremental=True)
+    folder = pages(1, [_record(f"x{i}") for i in range(5)])
+    done = _run(spark, folder, lake, "r2", incremental=True)
+    assert plans.read_silver(spark, done["silver"]).count() == 305
+    with pytest.raises(StaleBaseError, match="no finished incremental run"):
+        _run(spark, folder, lake, "r3", incremental=True, previous_run="r0")
+    done = _run(spark, folder, lake, "r3", incremental=True, fresh=True)
+    assert plans.read_silver(spark, done["silver"]).count() == 5
+
+
+def test_a_crash_between_silver_and_gold_loses_nothing(spark, pages, tmp_path, monkeypatch):
+    lake = tmp_path / "lake"
+    folder = pages(1, [_record("1"), _record("2")])
+    _daily(spark, folder, lake, "r1")
+    pages(2, [_record("2", city="Boone"), _record("3")])
+    from terrace.plans import loads
+
+    plain = loads.load_gold_changes
+
+    def lost(*a, **k):
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(loads, "load_gold_changes", lost)
+    with pytest.raises(RuntimeError, match="driver lost"):
+        _daily(spark, folder, lake, "r2")
+    monkeypatch.setattr(loads, "load_gold_changes", plain)
+    done = _daily(spark, folder, lake, "r2")
+    counts = {r.city: r.entity_count for r in plans.read_gold(spark, done["gold"]).collect()}
+    assert counts == {"ames": 2, "boone": 1}
+
+
+def test_gold_by_changes_equals_gold_at_once_and_reads_touched_buckets(spark, pages, tmp_path):
+    lake = tmp_path / "lake"
+    batches = [
+        [_record(str(i), city=f"c{i % 4}") for i in range(60)],
+        [_record("1", city="c9"), _record("2", phone=None), _record("70", state="OHIO"), _record("3")],
+        [_record("2", city="c1"), _record("70", postal_code="bad"), _record("5", name="Other", category=None)],
+    ]
+    for number, records in enumerate(batches, 1):
+        folder = pages(number, records)
+        done = _daily(spark, folder, lake, f"r{number}", on_fail="quarantine")
+        silver = plans.read_silver(spark, done["silver"])
+        at_once = silver.groupBy(*schemas.GOLD_DIMS).agg(F.count("id").alias("entity_count"))
+        by_changes = plans.read_gold(spark, done["gold"]).drop(schemas.GOLD_TS)
+        assert by_changes.exceptAll(at_once).isEmpty() and at_once.exceptAll(by_changes).isEmpty()
+    layer = plans.gold_layer(Layout(str(lake)))
+    # The last run brought three keys; its gold delta holds just the groups they left and entered.
+    assert layer.delta(spark, "r3").count() <= 6
+    assert not os.path.exists(lake / "gold")
+
+
+def test_totals_are_counted_from_stored_rows(spark, pages, tmp_path):
+    """A task that runs twice does not count twice."""
+    folder = pages(1, [_record("1", postal_code="bad"), _record("2", phone=None), _record("3")])
+    rows = sources.read_pages(spark, folder)
+    done = plans.run_loads(spark, rows, Layout(str(tmp_path / "lake")), "r1", sources.list_pages(spark, folder), on_fail="quarantine")
+    stage = str(tmp_path / "stage")
+    flags = {n: f"rule_{n}" for n in ("bad_postal", "no_contact", "postal_missing")}
+    frame = spark.createDataFrame([(True, False, False, "bad_postal"), (False, True, False, "no_contact"), (False, False, False, "accepted")],
+        "rule_bad_postal boolean, rule_no_contact boolean, rule_postal_missing boolean, verdict string")
+    frame.write.partitionBy("verdict").parquet(stage)
+    from terrace.plans import loads
+
+    counted = loads._staged_totals(spark, stage, flags)
+    assert counted == {k: done["silver"].metrics[k] for k in counted}
+    assert "Observation(f\"silver" not in open(loads.__file__).read()
+
+
+def test_published_gold_of_an_incremental_run(spark, pages, tmp_path):
+    lake = tmp_path / "lake"
+    folder = pages(1, [_record("1"), _record("2")])
+    _daily(spark, folder, lake, "d1", publish={"gold": "gold.daily_test"})
+    assert spark.sql("SELECT sum(entity_count) FROM gold.daily_test").first()[0] == 2
+    pages(2, [_record("3")])
+    _daily(spark, folder, lake, "d2", publish={"gold": "gold.daily_test"})
+    assert spark.sql("SELECT sum(entity_count) FROM gold.daily_test").first()[0] == 3
