@@ -152,10 +152,10 @@ _FEED_QUERIES = {
         phone IS NULL AND website_url IS NULL AS no_contact, postal_code IS NULL AS postal_missing FROM raw),
       months AS (SELECT run, count(*) FILTER (bad_postal) AS bad_postal, count(*) FILTER (no_contact) AS no_contact,
         count(*) FILTER (postal_missing) AS postal_missing, count(*) AS total FROM rules GROUP BY run),
-      totals AS (SELECT run, metric, CAST(value AS BIGINT) AS value FROM (UNPIVOT months
+      per_month AS (SELECT run, metric, CAST(value AS BIGINT) AS value FROM (UNPIVOT months
         ON bad_postal, no_contact, postal_missing, total INTO NAME metric VALUE value) t),
       held AS (SELECT *, coalesce(list(CAST(value AS DOUBLE)) OVER (PARTITION BY metric ORDER BY run
-        ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING), []) AS held FROM totals),
+        ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING), []) AS held FROM per_month),
       middle AS (SELECT *, list_median(held) AS median FROM held),
       spread AS (SELECT *, 1.4826 * list_median([abs(x - median) for x in held]) AS spread FROM middle),
       room AS (SELECT *, greatest(CAST(3 * spread AS DOUBLE), CAST(0.05 * abs(median) AS DOUBLE), CAST(5 AS DOUBLE)) AS room FROM spread)

@@ -21,7 +21,7 @@ def finished_runs(spark: SparkSession, layout: Layout) -> list[Row]:
     path = layout.layer("finished")
     if not exists(spark, path):
         return []
-    return spark.read.schema(FINISHED).parquet(f"{path}/run=*").orderBy("number", "run_id").collect()
+    return sorted(spark.read.schema(FINISHED).parquet(f"{path}/run=*").collect(), key=lambda r: (r.number, r.run_id))
 
 
 def next_attempt(spark: SparkSession, layout: Layout, run_id: str) -> str:
