@@ -51,9 +51,27 @@ def encoding(path: str):
     )
 
 
-def ids_of(encoder, text: str) -> list[int]:
-    """The text's ids; an added token that stands in the text is one id."""
-    return encoder.encode(text, allowed_special="all")
+@functools.cache
+def json_encoding(path: str):
+    """The tokenizer of the JSON file beside a rank file, as loaded; None if there is none."""
+    import os
+
+    from tokenizers import Tokenizer
+
+    whole = f"{os.path.splitext(path)[0]}.json"
+    return Tokenizer.from_file(whole) if os.path.exists(whole) else None
+
+
+def ids_of(encoder, text: str, path: str | None = None) -> list[int]:
+    """The text's ids; an added token that stands in the text is one id. The rank encoder gives
+    up on runs of a million blanks; the JSON vocabulary beside `path` then takes the text."""
+    try:
+        return encoder.encode(text, allowed_special="all")
+    except ValueError:
+        whole = json_encoding(path) if path else None
+        if whole is None:
+            raise
+        return whole.encode(text, add_special_tokens=False).ids
 
 
 def default_vocabulary() -> str:
@@ -78,7 +96,7 @@ def token_pieces(docs: DataFrame, vocabulary: str | None = None, limit: int = LI
         for batch in slices(batches):
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), texts_of(batch)):
-                ids = np.array([*ids_of(encoder, text), END_ID], "<u4")
+                ids = np.array([*ids_of(encoder, text, path), END_ID], "<u4")
                 for k, (start, length) in enumerate(cut(len(ids), limit)):
                     rows.append((doc_id, k, start, length, zlib.crc32(ids[start : start + length].tobytes())))
             types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())

@@ -180,6 +180,21 @@ def test_added_tokens_are_those_of_the_json_vocabulary_as_loaded(spark):
     assert sorted(map(tuple, rows)) == want
 
 
+def test_long_runs_of_blanks_have_the_ids_of_the_json_vocabulary(spark):
+    """One letter, a blank, a break or a tab a million times and more, and a text of 5 MB."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    loaded = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = [f"a{c * n}b" for c in " \n\t" for n in (1_000_000, 2_000_000)] + ["x" * 200_000, " \n" * 600_000, "word " * 1_000_000]
+    rows = packing.token_pieces(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    want = []
+    for k, text in enumerate(texts):
+        ids = [*loaded.encode(text, add_special_tokens=False).ids, 0]
+        want += [(k, n, start, size, zlib.crc32(np.array(ids[start : start + size], "<u4").tobytes())) for n, (start, size) in enumerate(packing.cut(len(ids)))]
+    assert sorted(map(tuple, rows)) == want
+
+
 def test_pieces_and_places(spark, tokenizer, odd, none):
     texts = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
     for docs in (odd, texts):
