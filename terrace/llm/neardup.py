@@ -10,7 +10,8 @@ Texts with equal words are one class from the start. Each class draws BANDS * RO
 consistent weighted samples; classes that agree in all samples of a band meet in a bucket.
 In a bucket every member is paired with a few leaders, those that meet most classes of other
 groups over all bands. A pair counts if its weighted Jaccard similarity, computed from both
-texts, is at least the threshold. Classes linked directly or over others are one group.
+texts, is at least the threshold. Classes linked directly or over others are one group;
+of the links a round finds only a spanning part is kept, and only that is labelled.
 Further rounds take new leaders where a bucket still holds several groups. After them all
 pairs of classes of different groups that are left in a bucket are looked at, block against
 block, so every pair that meets in a bucket is in one group or has been tried: by its weights,
@@ -233,13 +234,42 @@ def leaders_of(members: DataFrame, turn: int) -> DataFrame:
 
 
 def leader_pairs(members: DataFrame, leaders: DataFrame, threshold: float) -> DataFrame:
-    """(a, b): each member with the bucket's leaders of other labels whose weight allows the
-    threshold."""
+    """(a, b, low, high): each member b with the bucket's leaders a of other labels whose weight
+    allows the threshold; low and high are the same two in order, which occur once."""
     # A bucket may hold most classes: AQE splits that side of the join.
     pairs = members.join(leaders, ["band", "value"]).select("node", "weight", "label", F.explode("leaders").alias("leader"))
     near = F.least("weight", "leader.weight") >= F.lit(threshold - 1e-9) * F.greatest("weight", "leader.weight")
     pairs = pairs.filter((F.col("label") != F.col("leader.label")) & near)
-    return pairs.select(F.least("node", "leader.node").alias("a"), F.greatest("node", "leader.node").alias("b")).distinct()
+    both = pairs.groupBy(F.least("node", "leader.node").alias("low"), F.greatest("node", "leader.node").alias("high"))
+    return both.agg(F.min("leader.node").alias("a")).select("a", F.when(F.col("a") == F.col("low"), F.col("high")).otherwise(F.col("low")).alias("b"), "low", "high")
+
+
+def spanning(links: DataFrame) -> DataFrame:
+    """Links (a, b) that join what the given ones join, but fewer: each b is linked to the first
+    of its a only, and that to the others. A b has at most a leader for each part of each of its
+    buckets, and many b share them, so the links are about as many as the b."""
+    own = links.groupBy("b").agg(F.sort_array(F.collect_set("a")).alias("leaders"))
+    first = F.element_at("leaders", 1)
+    members = own.select(first.alias("a"), "b")
+    leaders = own.filter(F.size("leaders") > 1).select(first.alias("a"), F.explode(F.slice("leaders", 2, BANDS * LEADERS)).alias("b")).distinct()
+    # Leaders of one group are linked to each other in many ways; the same once more among them.
+    leaders = stored(leaders, "leader-links")
+    least = leaders.groupBy("b").agg(F.min("a").alias("least"))
+    others = leaders.join(least, "b").filter("a <> least").select(F.col("least").alias("a"), F.col("a").alias("b"))
+    return members.unionByName(least.select(F.col("least").alias("a"), "b")).unionByName(others.distinct())
+
+
+def relabelled(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """node, label after further links: only they are looked at, between the groups so far."""
+    if labels is None:
+        return components(links)
+    for side in ("a", "b"):
+        known = labels.select(F.col("node").alias(side), F.col("label").alias("group"))
+        links = links.join(known, side, "left").withColumn(side, F.coalesce("group", side)).drop("group")
+    merged = components(links.filter("a <> b").distinct())
+    new = merged.select(F.col("node").alias("label"), F.col("label").alias("group"))
+    moved = labels.join(new, "label", "left").select("node", F.coalesce("group", "label").alias("label"))
+    return stored(moved.unionByName(merged.join(labels, "node", "left_anti")), "labels")
 
 
 def fewest_agreeing(threshold: float, n: int = BANDS * ROWS) -> int:
@@ -372,7 +402,7 @@ def groups(docs: DataFrame, threshold: float = THRESHOLD, rounds: int = ROUNDS)
     # The text of one document of each class that meets another one.
     ones = members.groupBy("node").agg(F.any_value("one").alias("one")).select("node", "one.*")
     texts = stored(docs.join(ones, ["id", "key"]).select("node", "text").dropDuplicates(["node"]), "class-texts")
-    rest, tested, links, labels = members.drop("one").withColumn("label", F.col("node")), None, None, None
+    rest, tested, labels = members.drop("one").withColumn("label", F.col("node")), None, None
     for turn in range(rounds + 1):
         if not rest.limit(1).count():
             break
@@ -381,12 +411,12 @@ def groups(docs: DataFrame, threshold: float = THRESHOLD, rounds: int = ROUNDS)
         else:
             leaders = stored(leaders_of(rest, turn), "leaders")
             pairs = leader_pairs(rest, leaders, threshold)
-            pairs = stored(pairs.join(tested, ["a", "b"], "left_anti") if tested is not None else pairs, "pairs")
-            tested = pairs if tested is None else tested.unionByName(pairs)
-            found = stored(verified(pairs, texts, idf, threshold), "verified")
+            pairs = stored(pairs.join(tested, ["low", "high"], "left_anti") if tested is not None else pairs, "pairs")
+            met = pairs.select("low", "high")
+            tested = met if tested is None else tested.unionByName(met)
+            found = stored(spanning(verified(pairs.select("a", "b"), texts, idf, threshold)), "links")
         if found.limit(1).count():
-            links = found if links is None else links.unionByName(found)
-            labels = components(links)
+            labels = relabelled(labels, found)
         if turn < rounds:
             # Leaders have met their whole bucket.
             led = leaders.select("band", "value", F.explode("leaders.node").alias("node"))

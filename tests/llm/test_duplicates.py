@@ -251,6 +251,24 @@ def test_copies_that_are_close_to_their_original_only(spark):
     assert sum(got[k] != want[k] for k in want) <= 1  # none of the bands meets: 0.02 % of the pairs
 
 
+@pytest.mark.parametrize("n", [200, 800])
+def test_links_grow_with_the_copies(spark, monkeypatch, n):
+    """Of all pairs that reach the threshold under two links a copy are labelled."""
+    random = np.random.default_rng(13)
+    rows = list(enumerate(star(random, n, 3, "w")))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    counted, plain = [], neardup.components
+
+    def counting(links):
+        counted.append(links.count())
+        return plain(links)
+
+    monkeypatch.setattr(neardup, "components", counting)
+    got = dict(map(tuple, neardup.classes(docs).collect()))
+    assert sum(v != 0 for v in got.values()) <= 1
+    assert sum(counted) < 2 * n
+
+
 def test_every_pair_of_a_bucket_is_tried(spark, monkeypatch):
     """Without leaders, and with buckets of many blocks, the groups are those of brute force."""
     random = np.random.default_rng(12)
