@@ -8,7 +8,8 @@ shared q-grams are counted in diagonal bands that overlap by k; bands that reach
 are retained, and their regions are verified by banded alignment.
 
 For items too short for the bound to be positive, k is lowered until it is; an item shorter
-than q is compared as a whole word sequence. Items are taken in blocks of at most
+than q is compared as a whole word sequence, and each of its places that do not overlap is
+reported. Items are taken in blocks of at most
 `block_chars` characters, each block in one pass over the documents with its q-gram index
 broadcast; a single item must fit in memory.
 
@@ -38,6 +39,8 @@ BUDGET = 0.05
 BLOCK_CHARS = 4 << 20
 BASE = 0x2545F4914F6CDD1D
 FILTER_BITS = 22
+# Pairs of equal q-grams that are listed for a text; beyond, runs of them are counted.
+MOST_PAIRS = 1 << 18
 GAP = re.compile(r"[\W_]+")
 
 
@@ -96,6 +99,20 @@ class Index:
         at, first, count = at[count > 0], first[count > 0], count[count > 0]
         if not len(at):
             return []
+        pairs = self.bands(at, first, count) if count.sum() <= MOST_PAIRS else self.bands_of_runs(at, first, count)
+        out = []
+        for i, b in pairs:
+            w = int(self.edits[i]) + 1
+            low, high = b * w, (b + 2) * w - 1
+            if out and out[-1][0] == i and low <= out[-1][2] + 1:
+                out[-1] = (i, out[-1][1], high)
+            else:
+                out.append((i, low, high))
+        return out
+
+    def bands(self, at: np.ndarray, first: np.ndarray, count: np.ndarray) -> list[tuple[int, int]]:
+        """(item, band) of the bands that reach their bound, in order; `at` are the places of the
+        text's q-grams, `first` and `count` their postings."""
         posting = np.repeat(first - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
         item, diagonal = self.item[posting], np.repeat(at, count) - self.place[posting]
         # Bands of k + 1 diagonals, each with the k next ones: any k + 1 neighbours are
@@ -109,15 +126,40 @@ class Index:
         keys = np.unique(np.stack([item, band, place]), axis=1)
         cut = np.flatnonzero(np.concatenate([[True], (keys[:2, 1:] != keys[:2, :-1]).any(0)]))
         shared = np.diff(np.append(cut, keys.shape[1]))
-        hit = shared >= self.needed[keys[0, cut]]
+        return [tuple(x) for x in keys[:2, cut[shared >= self.needed[keys[0, cut]]]].T.tolist()]
+
+    def bands_of_runs(self, at: np.ndarray, first: np.ndarray, count: np.ndarray) -> list[tuple[int, int]]:
+        """As `bands`, for texts that repeat q-grams which an item repeats too, without a row for
+        each pair of places. Where a q-gram's next place in the text is at most a band's step
+        away it lies in every band between, so a run of such places is one range of bands."""
+        order = np.argsort(first, kind="stable")
+        at, first, count = at[order], first[order], count[order]
+        starts = np.flatnonzero(np.concatenate([[True], first[1:] != first[:-1]]))
+        shared: dict[int, tuple[int, np.ndarray]] = {}
+        longest = int(at.max()) + 1
+        for a, b in zip(starts, np.append(starts[1:], len(at))):
+            places = slice(first[a], first[a] + count[a])
+            own, text_places = self.item[places], np.sort(at[a:b])
+            for item in np.unique(own).tolist():
+                step = int(self.edits[item]) + 1
+                edges = np.flatnonzero(np.diff(text_places) > step)
+                low = text_places[np.concatenate([[0], edges + 1])]
+                high = text_places[np.concatenate([edges, [len(text_places) - 1]])]
+                if item not in shared:
+                    least = -len(self.items[item][1]) // step - 2
+                    shared[item] = least, np.zeros(longest // step - least + 3, np.int64)
+                least, change = shared[item]
+                for place in self.place[places][own == item].tolist():
+                    start, stop = (low - place) // step - 1, (high - place) // step
+                    # Runs next to each other may share a band; it counts once.
+                    start[1:] = np.maximum(start[1:], stop[:-1] + 1)
+                    kept = start <= stop
+                    np.add.at(change, start[kept] - least, 1)
+                    np.add.at(change, stop[kept] + 1 - least, -1)
         out = []
-        for i, b in keys[:2, cut[hit]].T.tolist():
-            w = int(self.edits[i]) + 1
-            low, high = b * w, (b + 2) * w - 1
-            if out and out[-1][0] == i and low <= out[-1][2] + 1:
-                out[-1] = (i, out[-1][1], high)
-            else:
-                out.append((i, low, high))
+        for item in sorted(shared):
+            least, change = shared[item]
+            out += [(item, int(b) + least) for b in np.flatnonzero(np.cumsum(change) >= self.needed[item])]
         return out
 
     def matches(self, text: str) -> list[tuple[int, int, int, int]]:
@@ -126,42 +168,56 @@ class Index:
         for i, low, high in self.candidates(text):
             item, k = self.items[i][1], int(self.edits[i])
             start, stop = max(0, low - k), min(len(text), high + len(item) + k)
-            best = aligned(item, text[start:stop], k)
+            best = aligned(item, text[start:stop], k, low - k - start, high + k - start)
             if best:
                 found.append((i, best[0], start + best[1], start + best[2]))
+        padded = f" {text} "
         for i in self.short:
-            at = f" {text} ".find(f" {self.items[i][1]} ")
-            if at >= 0:
-                found.append((i, 0, at, at + len(self.items[i][1])))
+            item = self.items[i][1]
+            at = padded.find(f" {item} ")
+            while at >= 0:
+                found.append((i, 0, at, at + len(item)))
+                at = padded.find(f" {item} ", at + len(item) + 1)
         return found
 
 
-def aligned(item: str, region: str, k: int) -> tuple[int, int, int] | None:
+def aligned(item: str, region: str, k: int, low: int | None = None, high: int | None = None) -> tuple[int, int, int] | None:
     """(edits, start, end) of the region's part with the fewest edits to the item, the
-    first among equals; None beyond k. The region is as wide as its band of diagonals, so
-    the whole table is the band."""
+    first among equals; None beyond k. Only cells on the diagonals from `low` to `high` (place in
+    the region minus place in the item) are filled, so the work is the item's length times
+    their number; all diagonals unless they are given."""
     at = region.find(item)
     if at >= 0:
         return 0, at, at + len(item)
     if not k or not region:
         return None
-    text = codes_of(region)
-    n = len(text)
-    column = np.arange(n + 1)
-    cost, begin = np.zeros(n + 1, np.int64), column.copy()
-    for row, code in enumerate(codes_of(item), 1):
-        # Cost first and the start of the part in the low bits, so that one minimum moves both.
-        key = cost * (n + 1) + begin
-        diagonal = key[:-1] + np.where(text == code, 0, n + 1)
-        new = key + (n + 1)
-        new[1:] = np.minimum(new[1:], diagonal)
+    text, codes = codes_of(region), codes_of(item)
+    m, n = len(codes), len(text)
+    low, high = -m if low is None else max(low, -m), n if high is None else min(high, n)
+    if low > high:
+        return None
+    width, unit, far = high - low + 1, n + 1, (m + n + 2) * (n + 1)
+    # Row i holds the columns i + low to i + high. Cost first and the start of the part in the
+    # low bits, so that one minimum moves both. The text is padded to slice every row alike.
+    padded = np.concatenate([np.full(max(0, -low), 1 << 40, np.uint64), text, np.full(m + width, 1 << 40, np.uint64)])
+    offset = low + max(0, -low)
+    steps = np.arange(width) * unit
+    column = low + np.arange(width)
+    key = np.where((column >= 0) & (column <= n), column, far)
+    for row, code in enumerate(codes, 1):
+        # One row down on the same diagonal is the next letter of both.
+        window = padded[row + offset - 1 : row + offset - 1 + width]
+        new = key + np.where(window == code, 0, unit)
+        new[:-1] = np.minimum(new[:-1], key[1:] + unit)
         # Steps along the text cost one each: a running minimum of cost minus column.
-        new = np.minimum.accumulate(new - column * (n + 1)) + column * (n + 1)
-        cost, begin = new // (n + 1), new % (n + 1)
-        if cost.min() > k:
+        new = np.minimum.accumulate(new - steps) + steps
+        column = row + low + np.arange(width)
+        key = np.where((column >= 0) & (column <= n), np.minimum(new, far), far)
+        if key.min() // unit > k:
             return None
-    end = int(cost.argmin())
-    return (int(cost[end]), int(begin[end]), end) if cost[end] <= k else None
+    best = key // unit
+    end = int(best.argmin())
+    return (int(best[end]), int(key[end] % unit), m + low + end) if best[end] <= k else None
 
 
 def indexes(benchmark: DataFrame, block_chars: int) -> Iterator[Broadcast]:

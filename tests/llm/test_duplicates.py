@@ -419,3 +419,64 @@ def test_digest_of_the_op5_query(spark):
     rows = texts_of(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
     expected = [(i, n, g, r, hashlib.sha256(k).hexdigest()) for i, n, g, r, k in kept_bytes(rows, 200)]
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(expected, key=repr)
+
+
+def test_runs_of_equal_grams_count_like_pairs():
+    random = np.random.default_rng(8)
+    for letters, n in (("ab", 400), ("a", 300), ("abcd ", 500)):
+        unit = "".join(random.choice(list(letters), 7))
+        items = [(k, unit * int(random.integers(8, 30)) + "".join(random.choice(list(letters), 20))) for k in range(4)]
+        index = decontam.Index(items)
+        text = decontam.normalised(unit * (n // 7) + "".join(random.choice(list("abcdef"), 60)) + unit * 5)
+        grams = decontam.gram_hashes(decontam.codes_of(text), index.q)
+        first = np.searchsorted(index.hashes, grams, "left")
+        count = np.searchsorted(index.hashes, grams, "right") - first
+        at = np.flatnonzero(count)
+        assert index.bands_of_runs(at, first[at], count[at]) == index.bands(at, first[at], count[at]) != []
+
+
+def test_repetitive_texts_and_long_items_take_little():
+    import resource
+    import time
+
+    used = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    start = time.perf_counter()
+    index = decontam.Index([(1, "ab " * 667), (2, "a" * 2_000)])
+    assert {m[0] for m in index.matches(decontam.normalised("ab " * 6_667))} == {0}
+    assert {m[0] for m in index.matches("a" * 20_000)} == {1}
+    assert time.perf_counter() - start < 10
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - used < 200_000
+    random = np.random.default_rng(9)
+    seconds = []
+    for m in (5_000, 40_000):
+        item = "".join(random.choice(list("abcdefgh "), m))
+        region = item[:100] + "x" + item[101 : m // 2] + item[m // 2 + 1 :]
+        start = time.perf_counter()
+        assert decontam.aligned(item, f"{'q' * 30}{region}{'z' * 30}", 20, 0, 60) == (2, 30, 30 + len(region))
+        seconds.append(time.perf_counter() - start)
+    # Eight times the item, not sixty-four times the work.
+    assert seconds[1] < 25 * seconds[0]
+
+
+def test_banded_alignment_equals_the_whole_table():
+    random = np.random.default_rng(10)
+    for _ in range(200):
+        item = "".join(random.choice(list("abc "), int(random.integers(1, 30))))
+        text = "".join(random.choice(list("abc "), int(random.integers(0, 40))))
+        k = int(random.integers(0, 8))
+        best = least_edits(item, text) if text else len(item)
+        got = decontam.aligned(item, text, k)
+        assert (got is None) == (best > k or not text)
+        if got:
+            assert got[0] == best and least_edits(item, text[got[1] : got[2]]) == best
+        # A part that starts on a diagonal of the band is found there.
+        if got:
+            assert decontam.aligned(item, text, k, got[1] - k, got[1] + k)[0] == best
+
+
+def test_every_place_of_a_short_item():
+    index = decontam.Index([(1, "fox"), (2, "a a")])
+    assert index.matches("a fox b fox c") == [(0, 0, 2, 5), (0, 0, 8, 11)]
+    assert index.matches("fox fox") == [(0, 0, 0, 3), (0, 0, 4, 7)]
+    assert index.matches("a a a a a") == [(1, 0, 0, 3), (1, 0, 4, 7)]
+    assert index.matches("foxes") == []
