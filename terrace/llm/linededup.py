@@ -1,17 +1,18 @@
-"""Line dedup: documents probe a sharded minimal perfect hash of the repeated lines.
-
-Every line of at least `min_chars` becomes a 128-bit hash of its key. Hashes found in at
-least `min_docs` documents are indexed: each shard holds a minimal perfect hash over its
-hashes (levels of bit arrays; a hash that is alone on its bit is placed, the others go to
-the next level) and, in the order of that hash, arrays of 64-bit fingerprints, document
-counts and largest ids. The line hashes of the documents are routed to the shards' arrays;
-texts are not. A shard is copied so often that no task gets more than about
-`probes_per_task` probes, however hot a line is.
-
-Defined results: a NULL or empty text is one empty line and becomes the empty text. A row
-without id holds a line like any other but keeps it only if no holder has an id. Repeated
-rows are documents of their own; rows that share the largest id all keep the line. Other
-columns are passed on as they are. An empty table gives no row.
+"""Line dedup: documents probe a sharded minimal perfect hash of all long lines.
+
+Every line of at least `min_chars` becomes a 128-bit hash of its key. All distinct hashes are
+indexed: each shard holds a minimal perfect hash over its hashes (levels of bit arrays; a hash
+that is alone on its bit is placed, the others go to the next level) and, in the order of that
+hash, arrays of 64-bit fingerprints, document counts and largest ids. The line hashes of the
+documents are routed to the shards' arrays, where the stored count says whether a line is repeated
+and the stored id whether this document keeps it; texts are not moved. A shard is copied so
+often that no task gets more than about `probes_per_task` probes: a hot line costs copies of its
+own shard only.
+
+Defined results: a NULL or empty text is one empty line and becomes the empty text. Rows of one
+id are one document: they count once, and all of them keep a line if theirs is the largest id.
+A row without id counts as no document; it loses a repeated line unless no holder has an id.
+Other columns are passed on as they are. An empty table gives no row.
 """
 
 from __future__ import annotations
@@ -129,7 +130,7 @@ def index_shard(rows: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([rows["shard"][:1].combine_chunks(), *(pa.array([a], pa.binary()) for a in arrays)], names)
 
 
-def answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def answers(batches: Iterator[pa.RecordBatch], min_docs: int) -> Iterator[pa.RecordBatch]:
     """Each shard's arrays, followed by the probes sent to it; yields the lines that go."""
     at, table = None, None
     for batch in batches:
@@ -142,7 +143,7 @@ def answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             part = batch.slice(start, stop - start)
             if not probe[start]:
-                sizes, bits, prints, _, last = (np.frombuffer(part.column(k)[0].as_py(), t) for k, t in zip(range(2, 7), ("i8", "u1", "u8", "i8", "i8")))
+                sizes, bits, prints, counts, last = (np.frombuffer(part.column(k)[0].as_py(), t) for k, t in zip(range(2, 7), ("i8", "u1", "u8", "i8", "i8")))
                 table = PerfectHash(sizes, np.unpackbits(bits, count=int(sizes.sum())).astype(bool))
                 at = (shards[start], salts[start])
             elif at == (shards[start], salts[start]):
@@ -150,6 +151,7 @@ def answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 place = table.places(h1, h2)
                 hit = place >= 0
                 hit[hit] = prints[place[hit]] == h2[hit]
+                hit[hit] = counts[place[hit]] >= min_docs
                 hit[hit] = last[place[hit]] != part.column(7).to_numpy(zero_copy_only=False)[hit]
                 out.append(part.select([7, 8, 9]).filter(pa.array(hit)))
         yield from out
@@ -158,24 +160,21 @@ def answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeated_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, keys_per_shard: int = 50_000, probes_per_task: int = 100_000) -> DataFrame:
     """id, key, lines: the numbers of the lines that each document loses."""
     lines = stored(line_hashes(docs, min_chars), "lines")
-    hot = stored(
-        lines.filter("first").groupBy("h1", "h2").agg(F.count("*").alias("n_docs"), F.max("id").alias("last")).filter(F.col("n_docs") >= min_docs),
-        "hot-lines",
-    )
-    n_keys, n_lines = hot.count(), lines.count()
-    shards = max(1, -(-n_keys // keys_per_shard))
-    shard = F.pmod(F.xxhash64("h1"), F.lit(shards)).cast("int")
-    hot = hot.withColumn("shard", shard)
-    hottest = hot.groupBy("shard").agg(F.sum("n_docs").alias("n")).agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
-    copies = max(1, -(-max(hottest, n_lines // shards) // probes_per_task))
-    index = hot.groupBy("shard").applyInArrow(index_shard, INDEX)
-    index = index.select("shard", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("salt"), *index.columns[1:])
+    documents = F.count_distinct(F.when(F.col("id") != NO_ID, F.col("id"))).alias("n_docs")
+    keys = stored(lines.filter("first").groupBy("h1", "h2").agg(documents, F.max("id").alias("last")), "line-keys")
+    shards = max(1, -(-keys.count() // keys_per_shard))
+    shard = F.pmod(F.xxhash64("h1"), F.lit(shards)).cast("int").alias("shard")
+    copies = lines.groupBy(shard).agg(F.ceil(F.count("*") / probes_per_task).cast("int").alias("copies"))
+    copies = stored(copies, "shard-copies")
+    index = keys.withColumn("shard", shard).groupBy("shard").applyInArrow(index_shard, INDEX).join(copies, "shard")
+    index = index.select("shard", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("salt"), "sizes", "bits", "prints", "counts", "last")
     # The salt goes by the row number of the line, its document and its hash, so it spreads
     # one hot line over all copies.
-    probes = lines.select(shard.alias("shard"), F.pmod(F.xxhash64("id", "key", "line"), F.lit(copies)).cast("int").alias("salt"), "id", "key", "line", "h1", "h2")
+    probes = lines.withColumn("shard", shard).join(copies, "shard")
+    probes = probes.select("shard", F.pmod(F.xxhash64("id", "key", "line"), F.col("copies")).cast("int").alias("salt"), "id", "key", "line", "h1", "h2")
     routed = index.unionByName(probes, allowMissingColumns=True).repartition("shard", "salt")
     routed = routed.sortWithinPartitions("shard", "salt", F.col("sizes").isNull())
-    gone = routed.mapInArrow(answers, "id long, key long, line int")
+    gone = routed.mapInArrow(lambda batches: answers(batches, min_docs), "id long, key long, line int")
     return gone.groupBy("id", "key").agg(F.collect_set("line").alias("lines"))
 
 
