@@ -2,7 +2,7 @@
 
 Training takes at most `max_toxic` confirmed toxic documents and at most `max_unlabelled`
 documents whose labels are not looked at, all outside the held-out fold and chosen by a
-hash of the id. Features are words and their prefixes, hashed. Those frequent in the toxic
+hash of the id; of an id's rows one is taken. Features are words and their prefixes, hashed. Those frequent in the toxic
 sample are candidates; those whose share there leads that in the unlabelled sample by some
 standard errors are kept. A
 linear model is trained on the class-prior-corrected risk
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from terrace.llm.common import fresh, held_out, slices, texts_of
+from terrace.llm.common import fresh, held_out, row_key, slices, stored, texts_of
 
 FOLDS, HELD_OUT, THRESHOLD = 4, 2, 0.3
 WORD = re.compile(r"[^\W\d_]+")
@@ -157,7 +157,10 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", prior: float
         return flat
     # Bounded by the two sample sizes, so it may be broadcast.
     sample = F.broadcast(_sample(docs, labels, label, max_toxic, max_unlabelled))
-    sampled = docs.join(sample, "doc_id").select("toxic", "text")
+    # An id may have many rows; the first by content stands for it, so that a sample has as
+    # many rows as ids.
+    one = F.min_by("text", row_key()).alias("text")
+    sampled = stored(docs.join(sample, "doc_id").groupBy("doc_id", "toxic").agg(one).select("toxic", "text"), "toxicity-sample")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
@@ -173,41 +176,52 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", prior: float
     wanted = np.array([r[0] for r in frequent], np.int64)
     shared = spark.sparkContext.broadcast(wanted)
 
-    def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup = Lookup(shared.value)
+        total, n = np.zeros((2, len(shared.value)), np.int64), np.zeros(2, np.int64)
         for batch in slices(batches):
-            places = [np.array(lookup.places(t), "<u2").tobytes() for t in texts_of(batch)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(places, pa.binary())], ["toxic", "places"])
-
-    assert candidates <= 1 << 16
-    rows = sampled.mapInArrow(present, "toxic boolean, places binary").collect()
-    by_class = {c: [np.frombuffer(bytes(r[1]), "<u2") for r in rows if r[0] is c] for c in (True, False)}
-    if not by_class[True] or not by_class[False]:
+            for toxic, text in zip(batch.column(0).to_pylist(), texts_of(batch)):
+                total[int(toxic), lookup.places(text)] += 1
+                n[int(toxic)] += 1
+        rows = [(bool(c), int(n[c]), total[c].astype("<i8").tobytes()) for c in (0, 1) if n[c]]
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.bool_(), pa.int64(), pa.binary()))], ["toxic", "n", "counts"])
+
+    n, counts = {True: 0, False: 0}, {c: np.zeros(len(wanted), np.int64) for c in (True, False)}
+    for toxic, own, held_by in sampled.mapInArrow(held, "toxic boolean, n long, counts binary").collect():  # two rows a task
+        n[toxic] += own
+        counts[toxic] += np.frombuffer(bytes(held_by), "<i8")
+    if not n[True] or not n[False]:
         return flat
-    shares, n = {}, {}
-    for c, own in by_class.items():
-        n[c] = len(own)
-        shares[c] = np.bincount(np.concatenate(own), minlength=len(wanted)) / n[c]
+    shares = {c: counts[c] / n[c] for c in n}
     error = sum(np.maximum(shares[c] * (1 - shares[c]), 1 / n[c]) / n[c] for c in (True, False))
     lead = (shares[True] - shares[False]) / np.sqrt(error)
     order = np.argsort(-lead, kind="stable")[:kept]
     best = np.sort(order[lead[order] >= least_lead])
     if not len(best):
         return flat
-    place = np.full(len(wanted), -1)
-    place[best] = np.arange(len(best))
+    chosen = wanted[best]
+
+    def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lookup = Lookup(chosen)
+        for batch in slices(batches):
+            places = [np.array(lookup.places(t), "<u2").tobytes() for t in texts_of(batch)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(places, pa.binary())], ["toxic", "places"])
+
+    # A row is two bytes for each of the kept features that it has. Sorted, as the training
+    # takes them in turn.
+    rows = sorted(sampled.mapInArrow(present, "toxic boolean, places binary").collect(), key=lambda r: bytes(r[1]))
 
-    def dense(own: list[np.ndarray]) -> np.ndarray:
+    def dense(toxic: bool) -> np.ndarray:
+        own = [np.frombuffer(bytes(r[1]), "<u2") for r in rows if r[0] is toxic]
         out = np.zeros((len(own), len(best)), np.float32)
         for k, x in enumerate(own):
-            x = place[x]
-            out[k, x[x >= 0]] = 1
+            out[k, x] = 1
         return out
 
-    toxic, unlabelled = dense(by_class[True]), dense(by_class[False])
+    toxic, unlabelled = dense(True), dense(False)
     weights = nnpu_weights(toxic, unlabelled, prior)
     scale, shift = calibration(toxic @ weights[:-1] + weights[-1], unlabelled @ weights[:-1] + weights[-1], prior)
-    return Model(wanted[best], weights[:-1] * scale, float(weights[-1] * scale + shift))
+    return Model(chosen, weights[:-1] * scale, float(weights[-1] * scale + shift))
 
 
 def with_scores(docs: DataFrame, model: Model, name: str) -> DataFrame:
