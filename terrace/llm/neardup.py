@@ -8,7 +8,7 @@ sampling and in verification alike.
 
 Texts with equal words are one class from the start. Each class draws BANDS * ROWS
 consistent weighted samples; classes that agree in all samples of a band meet in a bucket.
-In a bucket every member is paired with a few leaders, those that meet most classes of other
+In a bucket every member is paired with a leader, the one that meets most classes of other
 groups over all bands. A pair counts if its weighted Jaccard similarity, computed from both
 texts, is at least the threshold. Classes linked directly or over others are one group;
 of the links a round finds only a spanning part is kept, and only that is labelled.
@@ -41,7 +41,7 @@ from terrace.llm.common import ODD, code_points, code_values, mixed, powers, row
 from terrace.llm.components import components
 
 SHINGLE, THRESHOLD = 5, 0.8
-BANDS, ROWS, LEADERS, ROUNDS = 12, 3, 3, 3
+BANDS, ROWS, LEADERS, ROUNDS = 12, 3, 1, 3
 TABLE_BITS, IDF_SHARE = 20, 0.3
 WORD_BASE, SHINGLE_BASE = 0x8CB92BA72F3D8DD7, 0xA24BAED4963EE407
 TEXT_BASES = (0xC2B2AE3D27D4EB4F, 0x9FB21C651E98DF25)
