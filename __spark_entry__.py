@@ -106,6 +106,28 @@ def src_json_map(spark, sf_dir):
     return sources.map_json(events, "props", {"$['k']": "k", "$['absent']": "absent"}).drop("props")
 
 
+def src_json_rows(spark, sf_dir):
+    """Customers with their orders and lines as nested JSON, opened again into lines. Customers
+    without orders and orders without lines give a row each."""
+    read = lambda name, *columns: spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
+    lines = read("lineitem", "l_orderkey", "l_linenumber", "l_quantity", "l_returnflag").filter("l_linenumber > 1")
+    per_order = lines.groupBy("l_orderkey").agg(F.collect_list(F.struct(F.col("l_linenumber").alias("no"), F.col("l_quantity").alias("qty"), F.col("l_returnflag").alias("flag"))).alias("lines"))
+    orders = read("orders", "o_orderkey", "o_custkey", "o_orderstatus").join(per_order, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    order = F.struct(F.col("o_orderkey").alias("key"), F.struct(F.col("o_orderstatus").alias("code")).alias("status"), F.coalesce("lines", F.array()).alias("lines"))
+    per_customer = orders.groupBy("o_custkey").agg(F.collect_list(order).alias("orders"))
+    customers = read("customer", "c_custkey", "c_mktsegment").join(per_customer, F.col("c_custkey") == F.col("o_custkey"), "left")
+    pages = customers.select(F.to_json(F.struct(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("segment"), "orders")).alias("page"))
+    mapping = {
+        "$['id']": "id",
+        "$['orders'][*]['key']": "order_key",
+        "$['orders'][*]['status']['code']": "status",
+        "$['orders'][*]['lines'][*]['no']": "line",
+        "$['orders'][*]['lines'][*]['qty']": "qty",
+    }
+    rows = sources.map_json_rows(pages, "page", mapping, rest="rest").drop("page")
+    return rows.select("id", "order_key", "status", "line", F.col("qty").cast("double").alias("qty"), F.to_json("rest").alias("rest"))
+
+
 def src_typed_schema(spark, sf_dir):
     typed = schemas.struct_of(
         f"seq {schemas.ENTITY_FIELDS}", {f.name: f.dataType for f in schemas.ENTITY} | {"seq": LongType()}
@@ -307,6 +329,20 @@ def dq_gate_history(spark, sf_dir):
     return bounded.select("run", "metric", "value", "earlier", "median", "drifted")
 
 
+def dq_profile(spark, sf_dir):
+    """Column profiles of three runs by state, stored as sketches and merged without the rows;
+    `close` says whether the estimate of distinct values is within five percent."""
+    layout = Layout(scratch_dir(spark, "profiles"))
+    rows = op.parse_coords(order_feed(spark, sf_dir))
+    columns = ["seq", "id", "postal_code", "longitude"]
+    for part in range(3):
+        plans.store_profile(rows.filter(F.col("seq") % 3 == part), layout, f"r{part}", columns, ["state"])
+    merged = plans.profile_over_runs(spark, layout, ["r0", "r1", "r2"])
+    exact = rows.agg(*[F.count_distinct(c).alias(c) for c in columns]).unpivot([], columns, "column", "exact")
+    close = F.abs(F.col("distinct") - F.col("exact")) <= 0.05 * F.col("exact")
+    return merged.join(exact, "column").select("column", "rows", "nulls", "least", "greatest", close.alias("close"))
+
+
 def win_percent_of_partition(spark, sf_dir):
     return op.percent_of_group(gold(spark, sf_dir), ["state"], "entity_count")
 
@@ -462,6 +498,55 @@ def _three_runs(spark, sf_dir, label) -> sinks.BucketLayer:
     return plans.silver_layer(layout, SEEN_ENTITY)
 
 
+def flow_replay(spark, sf_dir):
+    """Two runs under patterns that few codes fulfil, and the quarantine replayed under the real
+    ones: as if these had held from the start."""
+    layout = Layout(scratch_dir(spark, "replay"))
+    half = _last_page(spark, sf_dir) // 2
+    strict = {country: "^[0-9]{5}$" for country in ("united states", "europe", "asia")}
+    for number, part in enumerate((F.col("page") <= half, F.col("page") > half), 1):
+        _put_pages(spark, sf_dir, f"{layout.root}/pages", part)
+        _load_new(spark, layout, f"r{number}", patterns=strict)
+    done = plans.replay_quarantine(spark, layout, "replay", POSTAL_US, entity=SEEN_ENTITY)
+    return plans.read_silver(spark, done["silver"], entity=SEEN_ENTITY).select(*FIELDS)
+
+
+def _typed_runs(spark, sf_dir) -> Layout:
+    """The feed in three runs whose columns differ: numbers become wider, one turns to text, one
+    comes and one goes."""
+    layout = Layout(scratch_dir(spark, "widened"))
+    raw, part = order_feed(spark, sf_dir), F.col("seq") % 3
+    seq, lat = F.col("seq"), F.col("latitude").try_cast("double")
+    runs = {
+        "r1": raw.filter(part == 0).select(seq.cast("int").alias("seq"), "state", lat.cast("int").alias("latitude"), "page"),
+        "r2": raw.filter(part == 1).select(seq.cast("long").alias("seq"), "state", lat.alias("latitude"), F.col("page").cast("string").alias("page")),
+        "r3": raw.filter(part == 2).select(seq.cast("int").alias("seq"), "state", "city", lat.cast("int").alias("latitude")),
+    }
+    for run_id, rows in runs.items():
+        sinks.write_layer(rows, layout.run("typed", run_id), by=["state"])
+    return layout
+
+
+def doc_schema_widened(spark, sf_dir):
+    """All runs under the schema that holds the values of each."""
+    return sources.read_runs(spark, _typed_runs(spark, sf_dir).layer("typed"), ["r1", "r2", "r3"])
+
+
+def doc_schema_drift(spark, sf_dir):
+    schemas_of = sources.run_schemas(spark, _typed_runs(spark, sf_dir).layer("typed"), ["r1", "r2", "r3"])
+    return sources.schema_drift(spark, schemas_of)
+
+
+def doc_postal_table(spark, sf_dir):
+    """Bad codes by a table of patterns that is derived from the regions."""
+    region = spark.read.parquet(f"{sf_dir}/region.parquet")
+    country = F.when(F.col("r_name") == "AMERICA", "united states").otherwise(F.lower("r_name"))
+    five = region.select(country.alias("country"), F.lit("^[0-9]{5}$").alias("pattern"), "r_regionkey")
+    nine = five.filter("r_regionkey % 2 = 1").withColumn("pattern", F.lit("^[0-9]{5}-[0-9]{4}$"))
+    table = five.unionByName(nine).filter("r_regionkey < 4").select("country", "pattern")
+    return op.invalid_postal_by_table(clean(spark, sf_dir), table).select("id", "country", "postal_code")
+
+
 def doc_changes(spark, sf_dir):
     """What the last of three runs inserted, updated and deleted in silver."""
     changes = _three_runs(spark, sf_dir, "changes").changes(spark, "r2", "r3", [c for c in FIELDS if c != "id"])
@@ -585,6 +670,7 @@ def queries() -> dict[str, Query]:
         "src_page_report": src_page_report,
         "src_page_files": src_page_files,
         "src_json_map": src_json_map,
+        "src_json_rows": src_json_rows,
         "src_typed_schema": src_typed_schema,
         "src_layer_scan": src_layer_scan,
         "stream_landing": stream_landing,
@@ -618,6 +704,7 @@ def queries() -> dict[str, Query]:
         "dq_gate_strict": dq_gate_strict,
         "dq_quarantine": dq_quarantine,
         "dq_gate_history": dq_gate_history,
+        "dq_profile": dq_profile,
         "win_percent_of_partition": win_percent_of_partition,
         "win_row_number": win_row_number,
         "win_top1": win_top1,
@@ -640,11 +727,15 @@ def queries() -> dict[str, Query]:
         "flow_second_entity": flow_second_entity,
         "flow_gold_delta": flow_gold_delta,
         "flow_rerun": flow_rerun,
+        "flow_replay": flow_replay,
         **{name: _sql_kpi(name) for name in KPI_SQL},
         "doc_upsert": doc_upsert,
         "doc_enforce_schema": doc_enforce_schema,
         "doc_incremental": doc_incremental,
         "doc_postal_by_country": doc_postal_by_country,
+        "doc_postal_table": doc_postal_table,
+        "doc_schema_widened": doc_schema_widened,
+        "doc_schema_drift": doc_schema_drift,
         "doc_changes": doc_changes,
         "doc_history": doc_history,
     } | (llm_registry.QUERIES if llm_registry else {})

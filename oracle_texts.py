@@ -147,6 +147,11 @@ _FEED_QUERIES = {
         AND bad_postal <= 100 AND no_contact <= 10000000 AS passed FROM metrics) t""",
     "dq_quarantine": f"""SELECT CASE WHEN bad_postal THEN 'bad_postal' ELSE 'no_contact' END AS verdict,
       {SILVER_COLUMNS} FROM flagged WHERE bad_postal OR no_contact""",
+    "dq_profile": " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", count(*) AS rows, count(*) - count({c}) AS nulls, CAST(min({c}) AS VARCHAR) AS least,
+        CAST(max({c}) AS VARCHAR) AS greatest, TRUE AS close FROM typed"""
+        for c in ("seq", "id", "postal_code", "longitude")
+    ),
     "dq_gate_history": f""", rules AS (SELECT strftime(seen_at, '%Y-%m') AS run,
         coalesce(lower(country) = 'united states' AND NOT regexp_matches(postal_code, '{POSTAL}'), FALSE) AS bad_postal,
         phone IS NULL AND website_url IS NULL AS no_contact, postal_code IS NULL AS postal_missing FROM raw),
@@ -182,9 +187,22 @@ _FEED_QUERIES = {
       FROM part WHERE NOT (lower(p_type) = 'economy' AND NOT regexp_matches(CAST(p_size AS VARCHAR), '^[1-3]?[0-9]$'))
       GROUP BY ALL""",
     "flow_gold_delta": f"SELECT {DIMS}, entity_count FROM accepted_gold",
+    "flow_replay": f"SELECT {SILVER_COLUMNS} FROM accepted",
     "flow_rerun": f"SELECT {SILVER_COLUMNS} FROM accepted",
     "stream_upsert": f"SELECT seq, {FIELDS}, {REST} FROM (SELECT *, row_number() OVER (PARTITION BY id"
     " ORDER BY seen_at DESC, seq DESC) AS rn FROM raw WHERE id IS NOT NULL) t WHERE rn = 1",
+    "doc_schema_widened": """SELECT CAST(seq AS BIGINT) AS seq, state, CASE WHEN seq % 3 = 1 THEN latitude ELSE
+        CAST(trunc(latitude) AS DOUBLE) END AS latitude, CASE WHEN seq % 3 < 2 THEN CAST(page AS VARCHAR) END AS page,
+      CASE WHEN seq % 3 = 2 THEN city END AS city, 'r' || CAST(seq % 3 + 1 AS VARCHAR) AS run_id FROM typed""",
+    "doc_schema_drift": """SELECT * FROM (VALUES ('r2', 'seq', 'widened', 'int', 'bigint'),
+        ('r2', 'latitude', 'widened', 'int', 'double'), ('r2', 'page', 'widened', 'bigint', 'string'),
+        ('r3', 'seq', 'narrowed', 'bigint', 'int'), ('r3', 'latitude', 'narrowed', 'double', 'int'),
+        ('r3', 'page', 'missing', 'string', NULL), ('r3', 'city', 'added', NULL, 'string'))
+      t("run", "column", change, "before", "after") WHERE (SELECT count(*) FROM raw) > 0""",
+    "doc_postal_table": """SELECT id, country, postal_code FROM clean JOIN region ON country =
+      CASE r_name WHEN 'AMERICA' THEN 'united states' ELSE lower(r_name) END
+      WHERE r_regionkey < 4 AND NOT regexp_matches(postal_code, '^[0-9]{5}$')
+      AND NOT (r_regionkey % 2 = 1 AND regexp_matches(postal_code, '^[0-9]{5}-[0-9]{4}$'))""",
     "doc_changes": f""", {_after_run(2)}, {_after_run(3)}
       SELECT * FROM (SELECT coalesce(b.id, a.id) AS id,
         CASE WHEN b.id IS NULL THEN 'inserted' WHEN a.id IS NULL THEN 'deleted' ELSE 'updated' END AS change,
@@ -222,3 +240,8 @@ _FEED_QUERIES = {
 TEXTS = {name: f"{FEED}\n{text}" for name, text in _FEED_QUERIES.items()}
 TEXTS["src_json_map"] = """SELECT event_id, event_type, json_extract_string(props, '$.k') AS k,
   CAST(NULL AS VARCHAR) AS absent FROM events"""
+TEXTS["src_json_rows"] = """SELECT CAST(c_custkey AS VARCHAR) AS id, CAST(o_orderkey AS VARCHAR) AS order_key,
+    o_orderstatus AS status, CAST(l_linenumber AS VARCHAR) AS line, CAST(l_quantity AS DOUBLE) AS qty,
+    CASE WHEN l_orderkey IS NOT NULL THEN '{"flag":"' || l_returnflag || '"}' END AS rest
+  FROM customer LEFT JOIN orders ON o_custkey = c_custkey
+  LEFT JOIN (SELECT * FROM lineitem WHERE l_linenumber > 1) l ON l_orderkey = o_orderkey"""

@@ -17,6 +17,8 @@ from terrace.operators.cleanse import (
 )
 from terrace.operators.dedupe import duplicate_keys, latest_per_key, upsert
 from terrace.operators.drift import DriftRule, with_bounds
+from terrace.operators.postal import breaks_pattern, invalid_postal_by_table, pattern_table, with_postal_pattern
+from terrace.operators.profile import column_sketches, merged_sketches, profile_of
 from terrace.operators.quality import (
     QualityGateError,
     check_gate,
@@ -34,8 +36,10 @@ from terrace.operators.rollup import rollup_count, signed_changes, sum_by
 __all__ = [
     "DriftRule",
     "QualityGateError",
+    "breaks_pattern",
     "cast_cols",
     "check_gate",
+    "column_sketches",
     "drop_null_key",
     "duplicate_keys",
     "enforce_schema",
@@ -44,12 +48,16 @@ __all__ = [
     "gate",
     "hash_col",
     "invalid_postal",
+    "invalid_postal_by_table",
     "latest_per_key",
     "lower_cols",
+    "merged_sketches",
     "missing_all",
     "number_rows",
     "parse_coords",
+    "pattern_table",
     "percent_of_group",
+    "profile_of",
     "project",
     "quality_metrics",
     "reconcile",
@@ -69,4 +77,5 @@ __all__ = [
     "upsert",
     "with_bounds",
     "with_group_total",
+    "with_postal_pattern",
 ]

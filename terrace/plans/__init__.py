@@ -28,6 +28,8 @@ from terrace.plans.loads import (
     run_loads,
     silver_layer,
 )
+from terrace.plans.profiles import profile_over_runs, store_profile
+from terrace.plans.replay import quarantined, replay_quarantine
 from terrace.plans.runs import finished_runs
 
 __all__ = [
@@ -53,13 +55,17 @@ __all__ = [
     "open_files",
     "page_states",
     "popular_categories",
+    "profile_over_runs",
+    "quarantined",
     "read_gold",
     "read_silver",
     "record_metrics",
     "refine",
+    "replay_quarantine",
     "run_loads",
     "share_within_state",
     "silver_layer",
     "states_for_category",
+    "store_profile",
     "total_by",
 ]

@@ -6,13 +6,14 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from terrace import schemas
 from terrace.functions import POSTAL_US, coordinate_malformed
 from terrace.operators import (
     QualityGateError,
+    breaks_pattern,
     cast_cols,
     check_gate,
     drop_null_key,
@@ -26,6 +27,7 @@ from terrace.operators import (
     rollup_count,
     signed_changes,
     stamp,
+    with_postal_pattern,
 )
 from terrace.operators.quality import DEFAULT_LIMITS
 from terrace.schemas import Entity, Layout
@@ -175,11 +177,19 @@ def _limits(limits: Mapping[str, int] | None, on_fail: str, known: Sequence[str]
     return limits
 
 
+def silver_rules(patterns: Mapping[str, str] | DataFrame, entity: Entity = ENTITY) -> dict[str, Column]:
+    """The row predicates of the silver checks. For a table of patterns (country, pattern) the
+    rows must have been given theirs by `with_postal_pattern`."""
+    if isinstance(patterns, DataFrame):
+        return entity_rules({}, entity.contact, entity.country, entity.postal) | {"bad_postal": breaks_pattern(entity.postal)}
+    return entity_rules(patterns, entity.contact, entity.country, entity.postal)
+
+
 def load_silver(
     bronze: DataFrame,
     layout: Layout,
     run_id: str,
-    patterns: Mapping[str, str] = POSTAL_US,
+    patterns: Mapping[str, str] | DataFrame = POSTAL_US,
     limits: Mapping[str, int] | None = None,
     on_fail: str = "raise",
     salt: str = "",
@@ -204,7 +214,8 @@ def load_silver(
     next to it; limits that are set still raise, and so does a total outside its `bounds`, which
     the earlier runs set (`bounds_for_next`).
 
-    Silver is the staged rows compacted into one sorted layer by the partition column. With
+    `patterns` are those of some countries, or a table (country, pattern) of any size, which is
+    joined. Silver is the staged rows compacted into one sorted layer by the partition column. With
     `incremental` it is a bucketed layer instead, to which the rows are added as a delta
     (the entity's recency, else the bronze stamp, says which row of a key is newer) on top of
     `previous_run`, or as the first run of a new layer. A key whose newest record is rejected
@@ -216,7 +227,7 @@ def load_silver(
         raise ValueError(f"rejected_updates must be remove or keep, not {rejected_updates}")
     spark = bronze.sparkSession
     clean = refine(bronze, entity)
-    rules = entity_rules(patterns, entity.contact, entity.country, entity.postal)
+    rules = silver_rules(patterns, entity)
     verdict = F.when(rules["no_contact"], "no_contact").otherwise(ACCEPTED)
     if on_fail == "quarantine":
         verdict = F.when(rules["bad_postal"], "bad_postal").otherwise(verdict)
@@ -231,7 +242,10 @@ def load_silver(
     check_gate(metrics, {k: v for k, v in limits.items() if k in metrics})
 
     flags = {n: f"rule_{n}" for n in rules}
-    newest = latest_per_key(clean, entity.key, recency).withColumns({"verdict": verdict} | {flags[n]: c for n, c in rules.items()})
+    newest = latest_per_key(clean, entity.key, recency)
+    if isinstance(patterns, DataFrame):
+        newest = with_postal_pattern(newest, patterns, entity.country)
+    newest = newest.withColumns({"verdict": verdict} | {flags[n]: c for n, c in rules.items()})
     stage = layout.run("staging", run_id)
     staged = stamp(mask(newest, salt, entity), schemas.SILVER_TS, ts)
     write_layer(staged.select(*entity.silver.names, *flags.values(), "verdict"), stage, by=["verdict"])
@@ -365,7 +379,7 @@ def run_loads(
     allow_unnumbered: bool = False,
     first_page: int = 1,
     skip_failed: bool = False,
-    patterns: Mapping[str, str] = POSTAL_US,
+    patterns: Mapping[str, str] | DataFrame = POSTAL_US,
     limits: Mapping[str, int] | None = None,
     on_fail: str = "raise",
     salt: str = "",
