@@ -1,7 +1,7 @@
 """Which runs of a lake are finished, and the attempts of a run.
 
 A run that stops leaves the folders of its attempt behind; the next attempt writes its own. Only
-the row that `finish_run` stores at the very end makes a run count, so a run that was stopped at
+the record that `finish_run` stores at the very end makes a run count, so a run that was stopped at
 any point can be repeated and nothing of it is read.
 """
 
@@ -10,23 +10,20 @@ from __future__ import annotations
 from pyspark.sql import Row, SparkSession
 
 from terrace.schemas import Layout
-from terrace.session import exists
+from terrace.session import exists, get_records, put_record
 from terrace.sinks import StaleBaseError
 
-FINISHED = "run_id string, label string, number int, previous string, incremental boolean"
+FINISHED = Row("run_id", "label", "number", "previous", "incremental")
 
 
 def finished_runs(spark: SparkSession, layout: Layout) -> list[Row]:
     """The finished runs of a lake, oldest first: one row a run."""
-    path = layout.layer("finished")
-    if not exists(spark, path):
-        return []
-    return sorted(spark.read.schema(FINISHED).parquet(f"{path}/run=*").collect(), key=lambda r: (r.number, r.run_id))
+    return sorted((FINISHED(*r) for r in get_records(spark, layout.layer("finished"))), key=lambda r: (r.number, r.run_id))
 
 
 def next_attempt(spark: SparkSession, layout: Layout, run_id: str) -> str:
     """The label of the folders of the run's next attempt: its id, then id-attempt2, ..."""
-    if exists(spark, f"{layout.layer('finished')}/run={run_id}"):
+    if exists(spark, f"{layout.layer('finished')}/{run_id}.json"):
         raise ValueError(f"run {run_id} is finished; a run id is used once")
     label, number = run_id, 1
     while exists(spark, layout.run("landing", label)) or exists(spark, layout.run("metrics", label)):
@@ -55,5 +52,4 @@ def base_run(spark: SparkSession, layout: Layout, previous_run: str | None, fres
 
 def finish_run(spark: SparkSession, layout: Layout, run_id: str, label: str, previous: str | None, incremental: bool) -> None:
     number = 1 + max((r.number for r in finished_runs(spark, layout)), default=0)
-    row = spark.createDataFrame([(run_id, label, number, previous, incremental)], FINISHED)
-    row.coalesce(1).write.parquet(f"{layout.layer('finished')}/run={run_id}")
+    put_record(spark, f"{layout.layer('finished')}/{run_id}.json", (run_id, label, number, previous, incremental))

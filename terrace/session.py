@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -64,6 +65,40 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(target)
 
 
+def put_record(spark: SparkSession, path: str, record: object) -> None:
+    """Store a small record of the driver's as a JSON file, complete or not at all; a path that is
+    there already is refused."""
+    files, target = _hadoop_path(spark, path)
+    if files.exists(target):
+        raise FileExistsError(path)
+    _, draft = _hadoop_path(spark, f"{path}.{uuid.uuid4().hex}.tmp")
+    stream = files.create(draft)
+    try:
+        stream.write(bytearray(json.dumps(record).encode()))
+    finally:
+        stream.close()
+    if not files.rename(draft, target):
+        raise FileExistsError(path)
+
+
+def get_record(spark: SparkSession, path: str) -> object:
+    files, target = _hadoop_path(spark, path)
+    stream = files.open(target)
+    try:
+        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def get_records(spark: SparkSession, folder: str) -> list:
+    """The records of a folder, in no order; none if it is not there."""
+    files, target = _hadoop_path(spark, folder)
+    if not files.exists(target):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(target)]
+    return [get_record(spark, f"{folder.rstrip('/')}/{name}") for name in names if name.endswith(".json")]
+
+
 @contextmanager
 def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
     """A session setting for the jobs within, put back afterwards."""

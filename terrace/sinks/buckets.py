@@ -32,13 +32,12 @@ from pyspark.sql.types import BooleanType, IntegerType, StructField, StructType
 
 from terrace.operators.changes import row_changes, row_history
 from terrace.operators.dedupe import latest_per_key
-from terrace.session import exists, scratch_dir, setting, stored_bytes
+from terrace.session import exists, get_record, get_records, put_record, remove, scratch_dir, setting, stored_bytes
 
 BUCKET, OF, GONE, RUN = "_bucket", "_of", "_gone", "_run"
 BASE, DELTA, EMPTY = "base", "delta", "empty"
-MANIFEST = "bucket int, of int, kind string, held_by string, n long, bytes long"
-ENTRY = Row(*[field.split()[0] for field in MANIFEST.split(", ")])
-RUNS = "run_id string, number int, previous string"
+ENTRY = Row("bucket", "of", "kind", "held_by", "n", "bytes")
+RUN_ROW = Row("run_id", "number", "previous")
 FOLD_SHARE = 0.5
 # More would make the pushed filter too deep for its readers.
 PROBED_KEYS = 200
@@ -84,13 +83,10 @@ class BucketLayer:
 
     def runs(self, spark: SparkSession) -> list[Row]:
         """The finished merges, oldest first."""
-        path = f"{self.root}/runs"
-        if not exists(spark, path):
-            return []
-        return sorted(spark.read.schema(RUNS).parquet(f"{path}/merged=*").collect(), key=lambda r: (r.number, r.run_id))
+        return sorted((RUN_ROW(*r) for r in get_records(spark, f"{self.root}/runs")), key=lambda r: (r.number, r.run_id))
 
     def entries(self, spark: SparkSession, run_id: str) -> list[Row]:
-        return spark.read.schema(MANIFEST).parquet(f"{self.root}/manifest/run_id={run_id}").collect()
+        return [ENTRY(*e) for e in get_record(spark, f"{self.root}/manifest/{run_id}.json")]
 
     def _base_run(self, runs: list[Row], run_id: str, previous: str | None, fresh: bool, branch: bool) -> str | None:
         known = [r.run_id for r in runs]
@@ -301,10 +297,10 @@ class BucketLayer:
             rows = self._folded(spark, rows, folded, run_id, number)
         taken = {(of, bucket) for bucket, of, *_ in rows}
         rows += [(bucket, of, EMPTY, run_id, 0, 0) for of, bucket in slots if not held and (of, bucket) not in taken]
-        spark.createDataFrame(rows, MANIFEST).coalesce(1).write.parquet(f"{self.root}/manifest/run_id={run_id}")
+        remove(spark, f"{self.root}/manifest/{run_id}.json")
+        put_record(spark, f"{self.root}/manifest/{run_id}.json", rows)
         # Last of all: a merge that was stopped before is not there.
-        done = spark.createDataFrame([(run_id, number, previous)], RUNS)
-        done.coalesce(1).write.parquet(f"{self.root}/runs/merged={run_id}")
+        put_record(spark, f"{self.root}/runs/{run_id}.json", (run_id, number, previous))
         return Merge(run_id, previous, touched, folded)
 
     def _full(self, rows: list[tuple], touched: Iterable[Slot]) -> list[Slot]:
