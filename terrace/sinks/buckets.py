@@ -42,6 +42,8 @@ FOLD_SHARE = 0.5
 # More would make the pushed filter too deep for its readers.
 PROBED_KEYS = 200
 MOST_DOUBLINGS = 4
+# Smaller buckets would be mostly footers and filters.
+LEAST_ROWS = 1_000
 Slot = tuple[int, int]
 
 
@@ -314,11 +316,13 @@ class BucketLayer:
         """The manifest rows with the slots made one base each, split where they are too large."""
         chosen = set(slots)
         own = [ENTRY(*r) for r in rows if (r[1], r[0]) in chosen]
-        size = defaultdict(int)
+        size, held = defaultdict(int), defaultdict(int)
         for e in own:
             size[e.of, e.bucket] += e.bytes
+            held[e.of, e.bucket] += e.n
         # Every doubling doubles the rows of the manifest, so a fold makes few of them.
-        split = {s: s[0] << min(_doublings(size[s], self.bucket_bytes), MOST_DOUBLINGS) for s in slots}
+        most = {s: min(MOST_DOUBLINGS, (held[s] // LEAST_ROWS).bit_length()) for s in slots}
+        split = {s: s[0] << min(_doublings(size[s], self.bucket_bytes), most[s]) for s in slots}
         kept = self._combined(self._scan(spark, own))
         kept = self._live(kept) if self.sums else kept.filter(~(F.col(GONE) & (F.col(RUN) <= number - self.keep_marks)))
         written = self._store(self._placed(kept, split), BASE, run_id)

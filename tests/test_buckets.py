@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from terrace import operators as op
 from terrace import schemas
-from terrace.sinks import BucketLayer, StaleBaseError
+from terrace.sinks import BucketLayer, StaleBaseError, buckets
 
 SCHEMA = schemas.struct_of("id state seen")
 
@@ -81,12 +81,13 @@ def test_a_merge_that_was_stopped_is_not_there(spark, tmp_path):
 
 
 @pytest.mark.parametrize("seed", [1])
-def test_merges_folds_and_splits_equal_the_upsert(spark, tmp_path, seed):
+def test_merges_folds_and_splits_equal_the_upsert(spark, tmp_path, monkeypatch, seed):
+    monkeypatch.setattr(buckets, "LEAST_ROWS", 150)
     draw = random.Random(seed)
     layer = layer_at(tmp_path, fold_after=2, bucket_bytes=9_000)
     newest, folds, widths = {}, 0, set()
     for number in range(1, 6):
-        batch = [(str(draw.randrange(900)), draw.choice(["a", "b", "bad"]), f"{draw.randrange(9999):04}") for _ in range(draw.choice([9, 400]))]
+        batch = [(str(draw.randrange(900)), draw.choice(["a", "b", "bad"]), f"{draw.randrange(9999):04}") for _ in range(draw.choice([9, 600]))]
         merge = layer.merge(rows(spark, *batch).repartition(3), f"r{number}", gone=is_bad())
         folds += len(merge.folded)
         widths |= {e.of for e in layer.entries(spark, f"r{number}")}
