@@ -10,6 +10,8 @@ form is taken again.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -49,11 +51,14 @@ def open_files(spark: SparkSession, path: str, layout: Layout) -> DataFrame:
     return list_page_files(spark, path).join(loaded, list(FILE), "left_anti")
 
 
-def _record(files: DataFrame, layout: Layout, run_id: str, label: str, part: str) -> None:
-    """`files` has state and reason."""
+def _record(files: DataFrame, layout: Layout, run_id: str, label: str, part: str) -> str:
+    """Store entries (`files` has state and reason) in a folder of their own; returns it. An
+    attempt that ends before it lands anything leaves its label to the next one."""
     rows = files.withColumns({"run_id": F.lit(run_id), "label": F.lit(label)})
     names = [field.split()[0] for field in LEDGER.split(", ")]
-    write_layer(stamp(rows, "at").select(*names).coalesce(8), f"{layout.layer('ledger')}/{part}={label}")
+    path = f"{layout.layer('ledger')}/{part}={label}-{uuid.uuid4().hex[:12]}"
+    write_layer(stamp(rows, "at").select(*names).coalesce(8), path)
+    return path
 
 
 def _outcome(files: DataFrame, landed: DataFrame, boundary: int, skip_failed: bool) -> DataFrame:
@@ -87,9 +92,8 @@ def load_new_pages(
     are merged by recency, so their order does not matter.
     """
     label = next_attempt(spark, layout, run_id)
-    folder = f"{layout.layer('ledger')}/seen={label}"
     seen = open_files(spark, path, layout).withColumns({"state": F.lit(SEEN), "reason": F.lit("")})
-    _record(seen, layout, run_id, label, "seen")
+    folder = _record(seen, layout, run_id, label, "seen")
     # From here on the files are those that were listed, also if more arrive.
     files = spark.read.schema(LEDGER).parquet(folder).select(*FILE, "page")
     names = [r.file for r in files.select("file").collect()]  # as many as Spark lists to read them

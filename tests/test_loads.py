@@ -371,7 +371,11 @@ def test_a_stopped_run_is_repeated_under_its_id_and_under_another(spark, pages,
     done = _daily(spark, folder, lake, "r4", on_fail="quarantine")
     assert _cities(spark, done["silver"]) == dict.fromkeys("123", "ames")
     assert _daily(spark, folder, lake, "r5") == {}
-    assert [r.run_id for r in plans.finished_runs(spark, Layout(str(lake)))] == ["r1", "r2", "r4"]
+    pages(4, [_record("6")])
+    with pytest.raises(ValueError, match="no such total"):
+        _daily(spark, folder, lake, "r5", limits={"none": 1})
+    assert set(_cities(spark, _daily(spark, folder, lake, "r5")["silver"])) == set("1236")
+    assert [r.run_id for r in plans.finished_runs(spark, Layout(str(lake)))] == ["r1", "r2", "r4", "r5"]
 
 
 def test_a_full_run_is_repeated_too(spark, pages, tmp_path):
