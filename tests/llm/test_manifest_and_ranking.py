@@ -6,15 +6,12 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
-import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from terrace.llm import lexical, merkle, projected, registry
 
-SF_DIR = "/root/testdata/sf0.01"
-
 # --- Merkle manifest ------------------------------------------------------------------
 
 
@@ -252,18 +249,3 @@ def test_few_leaves_are_opened_where_vectors_lie_in_groups():
 def test_quantiles():
     for share in (0.1, 0.5, 0.95):
         assert projected.chi_square_cdf(projected.chi_square_quantile(share)) == pytest.approx(share)
-
-
-# --- registered queries with a DuckDB text --------------------------------------------
-
-
-@pytest.mark.parametrize("name", ["op12_lexical", "op13_merkle"])
-def test_same_rows_as_the_text(spark, name):
-    con = duckdb.connect()
-    for table in ("documents", "benchmark"):
-        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
-    df = registry.QUERIES[name](spark, SF_DIR)
-    want = con.execute(registry.SQL[name])
-    columns = [d[0] for d in want.description]
-    assert sorted(columns) == sorted(df.columns)
-    assert sorted(map(tuple, df.select(columns).collect())) == sorted(want.fetchall())

@@ -96,7 +96,7 @@ def test_stages_take_odd_and_empty_tables(spark, odd, none):
 @pytest.mark.parametrize("name", sorted(registry.SQL))
 def test_same_rows_as_the_text(spark, name):
     duck = duckdb.connect()
-    for table in ("documents", "embeddings", "pages"):
+    for table in ("documents", "embeddings", "pages", "benchmark"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     df = registry.QUERIES[name](spark, SF)
     duck.execute(registry.SQL[name])
