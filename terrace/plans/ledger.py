@@ -53,11 +53,14 @@ def open_files(spark: SparkSession, path: str, layout: Layout) -> DataFrame:
 
 def _record(files: DataFrame, layout: Layout, run_id: str, label: str, part: str) -> str:
     """Store entries (`files` has state and reason) in a folder of their own; returns it. An
-    attempt that ends before it lands anything leaves its label to the next one."""
+    attempt that ends before it lands anything leaves its label to the next one.
+
+    The few files come of a shuffle: tasks that each took a share of all partitions would hold what
+    the join above needs once a partition."""
     rows = files.withColumns({"run_id": F.lit(run_id), "label": F.lit(label)})
     names = [field.split()[0] for field in LEDGER.split(", ")]
     path = f"{layout.layer('ledger')}/{part}={label}-{uuid.uuid4().hex[:12]}"
-    write_layer(stamp(rows, "at").select(*names).coalesce(8), path)
+    write_layer(stamp(rows, "at").select(*names).hint("rebalance"), path)
     return path
 
 

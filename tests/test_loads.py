@@ -1,6 +1,7 @@
 """The loads from page files to gold, and what stops them."""
 
 import glob
+import importlib
 import json
 import os
 
@@ -498,3 +499,25 @@ def test_published_gold_of_an_incremental_run(spark, pages, tmp_path):
     pages(2, [_record("3")])
     _daily(spark, folder, lake, "d2", publish={"gold": "gold.daily_test"})
     assert spark.sql("SELECT sum(entity_count) FROM gold.daily_test").first()[0] == 3
+
+
+def test_the_ledger_is_not_written_by_tasks_of_many_partitions(spark, tmp_path, monkeypatch):
+    """Such a task holds the table of the join with the loaded files once for each of them."""
+    ledger = importlib.import_module("terrace.plans.ledger")
+    plans_of, write = [], ledger.write_layer
+
+    def write_layer(rows, *args, **options):
+        plans_of.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        write(rows, *args, **options)
+
+    monkeypatch.setattr(ledger, "write_layer", write_layer)
+    layout = Layout(str(tmp_path / "lake"))
+    files = spark.range(0, 400, 1, 40).select(
+        F.format_string("file-%03d", "id").alias("file"), F.col("id").alias("length"),
+        F.current_timestamp().alias("modified"), F.col("id").alias("page"), F.lit("seen").alias("state"), F.lit("").alias("reason"),
+    )
+    path = ledger._record(files, layout, "r1", "r1", "seen")
+    assert len(plans_of) == 1 and "Repartition 8, false" not in plans_of[0]
+    assert len(glob.glob(f"{path}/*.parquet")) <= 8
+    stored = spark.read.schema(ledger.LEDGER).parquet(path)
+    assert sorted(r.page for r in stored.collect()) == list(range(400))
