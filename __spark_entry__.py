@@ -87,7 +87,7 @@ def _write_page_files(spark, sf_dir, label) -> str:
     """The whole feed as JSON page files under their page numbers, one folder each."""
     path = f"{scratch_dir(spark, label)}/pages"
     raw = order_feed(spark, sf_dir).select(*FIELDS, "page")
-    raw.hint("rebalance", "page").write.partitionBy("page").json(path)
+    sources.write_pages(raw, path)
     return path
 
 
@@ -443,7 +443,7 @@ SEEN_ENTITY = replace(schemas.Entity(), recency={"seen_at": TimestampNTZType(),
 def _put_pages(spark, sf_dir, pages, chosen, mode="append"):
     """The chosen pages of the feed as JSON page files, one folder a page."""
     raw = order_feed(spark, sf_dir).filter(chosen).select(*SEEN_ENTITY.fields, "seen_at", "seq", "page")
-    raw.hint("rebalance", "page").write.mode(mode).partitionBy("page").json(pages)
+    sources.write_pages(raw, pages, mode)
 
 
 def _load_new(spark, layout, run_id, **options):

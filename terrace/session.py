@@ -6,7 +6,7 @@ import json
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import ExitStack, contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -99,6 +99,25 @@ def get_records(spark: SparkSession, folder: str) -> list:
     return [get_record(spark, f"{folder.rstrip('/')}/{name}") for name in names if name.endswith(".json")]
 
 
+def _small_files(spark: SparkSession) -> dict[str, str]:
+    """Settings under which many small files are listed by some tasks a core instead of by a task
+    a folder (10,000 at most), and read in splits of hundreds of files instead of 32."""
+    return {
+        "spark.sql.sources.parallelPartitionDiscovery.parallelism": str(4 * spark.sparkContext.defaultParallelism),
+        "spark.sql.files.openCostInBytes": str(256 * 1024),
+    }
+
+
+@contextmanager
+def small_files(spark: SparkSession) -> Iterator[None]:
+    """Jobs within list and read many small files. Files are listed when a reader is made; the size
+    of the splits counts where its rows are used."""
+    with ExitStack() as held:
+        for name, value in _small_files(spark).items():
+            held.enter_context(setting(spark, name, value))
+        yield
+
+
 @contextmanager
 def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
     """A session setting for the jobs within, put back afterwards."""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from terrace.schemas import RAW
+from terrace.session import small_files
 
 PAGE = "page"
 FAILED = "page_failed"
@@ -16,6 +17,11 @@ _CORRUPT = "_corrupt_record"
 _PAGE_IN_FILE = r"page[-_=](\d+)[^/]*$"
 _PAGE_FOLDER = r".*/page=(\d+)/"
 
+_PLAIN_FILES = {
+    "fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem",
+    "fs.file.impl.disable.cache": "true",
+}
+
 
 def _page_of(path: Column) -> Column:
     in_file = F.regexp_extract(path, _PAGE_IN_FILE, 1).try_cast("long")
@@ -48,7 +54,17 @@ def read_pages(
     A JSON array is parsed by one task; large pages belong into the other form.
     """
     reader = spark.read.schema(_page_schema(fields)).option("columnNameOfCorruptRecord", _CORRUPT)
-    return _with_page(reader.option("multiLine", multi_line).json(path), fields)
+    with small_files(spark):
+        return _with_page(reader.option("multiLine", multi_line).json(path), fields)
+
+
+def write_pages(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Records as JSON page files, one object per line, in one folder per value of `page`.
+
+    On a local disk they have no checksum files beside them, as files of another program have none;
+    a page is small, and its checksum file would cost half as much again.
+    """
+    rows.hint("rebalance", PAGE).write.mode(mode).options(**_PLAIN_FILES).partitionBy(PAGE).json(path)
 
 
 def stream_pages(
@@ -61,7 +77,13 @@ def stream_pages(
     """As `read_pages`, as a stream of the files that arrive."""
     reader = spark.readStream.schema(_page_schema(fields)).option("columnNameOfCorruptRecord", _CORRUPT)
     reader = reader.options(**options)
-    return _with_page(reader.option("multiLine", multi_line).json(path), fields)
+    with small_files(spark):
+        return _with_page(reader.option("multiLine", multi_line).json(path), fields)
+
+
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    with small_files(spark):
+        return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
 
 
 def list_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -69,14 +91,12 @@ def list_pages(spark: SparkSession, path: str) -> DataFrame:
 
     Only the path column is read, never the content of a file.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.select(_page_of(F.col("path")).alias(PAGE), F.lit(False).alias(FAILED))
+    return _files(spark, path).select(_page_of(F.col("path")).alias(PAGE), F.lit(False).alias(FAILED))
 
 
 def list_page_files(spark: SparkSession, path: str) -> DataFrame:
     """file, length, modified and page of the files there; no content is read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.select(
+    return _files(spark, path).select(
         F.col("path").alias("file"), "length", F.col("modificationTime").alias("modified"), _page_of(F.col("path")).alias("page")
     )
 

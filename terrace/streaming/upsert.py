@@ -8,10 +8,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.operators import latest_per_key
-from terrace.session import scratch_dir
+from terrace.session import scratch_dir, setting, small_files
 from terrace.sinks import BucketLayer
 
 ARRIVED = "_arrived"
+# Keeps the state on the executors' disks, not on their heaps.
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def newest_of_stream(rows: DataFrame, layer: BucketLayer, redelivered_within: str) -> DataFrame:
@@ -58,7 +60,9 @@ def stream_upserts(
 
     stream = newest_of_stream(keyed, layer, redelivered_within)
     writer = stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
-    writer.foreachBatch(put).start().awaitTermination()
+    # The stream lists its files by the settings of the session that made it, while it runs.
+    with small_files(spark), setting(spark, "spark.sql.streaming.stateStore.providerClass", STATE_STORE):
+        writer.foreachBatch(put).start().awaitTermination()
     return merged
 
 

@@ -161,3 +161,16 @@ def test_a_repeated_batch_is_merged_once(spark, tmp_path, monkeypatch):
     stream_upserts(spark, rows(), layer, str(tmp_path / "c"), "s")
     assert [r.run_id for r in layer.runs(spark)] == ["s-000000000"]
     assert layer.read(spark).count() == 1
+
+
+def test_the_state_of_a_stream_does_not_lie_on_the_heap(spark, tmp_path):
+    schema = schemas.struct_of("id seen")
+    (tmp_path / "pages").mkdir()
+    (tmp_path / "pages" / "page-1.json").write_text("".join(f'{{"id": "{n % 7}", "seen": "{n}"}}\n' for n in range(100, 150)))
+    layer = BucketLayer(str(tmp_path / "layer"), schema, ("id",), ("seen",))
+    rows = stream_pages(spark, str(tmp_path / "pages"), schema, False).select(*schema.names)
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    stream_upserts(spark, rows, layer, str(tmp_path / "c"), "s")
+    assert list((tmp_path / "c" / "state").rglob("*.zip")), "no snapshot of RocksDB"
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before
+    assert sorted((r.id, r.seen) for r in layer.read(spark).collect()) == sorted((str(n % 7), str(n)) for n in range(143, 150))
