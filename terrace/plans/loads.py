@@ -33,7 +33,7 @@ from terrace.operators.quality import DEFAULT_LIMITS
 from terrace.schemas import Entity, Layout
 from terrace.plans.history import HistoryGate, bounds_for_next, check_drift
 from terrace.plans.runs import base_run, finish_run, next_attempt
-from terrace.session import remove
+from terrace.session import remove, small_files
 from terrace.sinks import BucketLayer, Merge, compact, create_namespaces, publish_table, write_layer
 from terrace.sinks.buckets import GONE, RUN
 from terrace.sources import page_boundary, read_layer
@@ -90,7 +90,8 @@ def load_landing(rows: DataFrame, layout: Layout, run_id: str, entity: Entity =
     """Store raw page records under the entity's column names, so that JSON is parsed once
     per run. Columns beside the entity's (page, page_failed, recency) are kept."""
     path = layout.run("landing", run_id)
-    write_layer(entity.renamed(rows), path)
+    with small_files(rows.sparkSession):
+        write_layer(entity.renamed(rows), path)
     return Load(path)
 
 

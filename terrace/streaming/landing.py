@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from terrace.schemas import RAW
+from terrace.session import small_files
 from terrace.sources.pages import stream_pages
 
 
@@ -31,13 +32,15 @@ def land_new_pages(
     rows = stream_pages(spark, pages, fields, multi_line, **reader_limit)
     writer = rows.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if run_id is None:
-        query, target = writer.format("parquet").option("path", landing).start(), landing
+        writer, target = writer.format("parquet").option("path", landing), landing
     else:
         target = f"{landing.rstrip('/')}/run_id={run_id}"
 
         def put(batch: DataFrame, number: int) -> None:
             batch.write.mode("overwrite").parquet(f"{target}/batch={number}")
 
-        query = writer.foreachBatch(put).start()
-    query.awaitTermination()
+        writer = writer.foreachBatch(put)
+    # The stream lists its files by the settings of the session that made it, while it runs.
+    with small_files(spark):
+        writer.start().awaitTermination()
     return target

@@ -3,6 +3,8 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from terrace import schemas, sources
 from terrace.sources.json_map import path_steps
@@ -171,3 +173,51 @@ def test_streamed_landing_takes_each_file_once(spark, folder, tmp_path):
     assert land() == ["a", "b"]
     _page(folder, 3, [_record("c"), _record("d")])
     assert land() == ["a", "b", "c", "d"]
+
+
+def _most_tasks(spark, group):
+    tracker = spark.sparkContext.statusTracker()
+    stages = [s for job in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(job).stageIds]
+    return max(tracker.getStageInfo(s).numTasks for s in stages if tracker.getStageInfo(s))
+
+
+def _many_pages(spark, path, number):
+    sources.write_pages(spark.range(number).select(F.col("id").cast("string").alias("id"), (F.col("id") + 1).alias("page")), path)
+
+
+def test_many_folders_are_listed_by_some_tasks_a_core(spark, tmp_path):
+    path, cores = str(tmp_path / "pages"), spark.sparkContext.defaultParallelism
+    number = 5 * cores
+    _many_pages(spark, path, number)
+    for name, read in (("read", lambda: sources.read_pages(spark, path, multi_line=False)), ("list", lambda: sources.list_pages(spark, path))):
+        spark.sparkContext.setJobGroup(f"{name}-pages", name)
+        try:
+            rows = read()
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert _most_tasks(spark, f"{name}-pages") <= 4 * cores
+        assert sorted(r.page for r in rows.select("page").collect()) == list(range(1, number + 1))
+    assert spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism") == "10000"
+
+
+def test_a_stream_of_many_folders_is_listed_by_some_tasks_a_core(spark, tmp_path, monkeypatch):
+    path, cores = str(tmp_path / "pages"), spark.sparkContext.defaultParallelism
+    _many_pages(spark, path, 5 * cores)
+    started, start = [], DataStreamWriter.start
+
+    def keep(self, *args, **options):
+        started.append(start(self, *args, **options))
+        return started[-1]
+
+    monkeypatch.setattr(DataStreamWriter, "start", keep)
+    landing = land_new_pages(spark, path, str(tmp_path / "landing"), str(tmp_path / "mark"), multi_line=False)
+    assert spark.read.parquet(landing).count() == 5 * cores
+    assert _most_tasks(spark, str(started[0].runId)) <= 4 * cores
+
+
+def test_page_files_stand_alone(spark, tmp_path):
+    path = tmp_path / "pages"
+    _many_pages(spark, str(path), 3)
+    assert [len(list((path / f"page={n}").iterdir())) for n in (1, 2, 3)] == [1, 1, 1]
+    rows = sources.read_pages(spark, str(path), multi_line=False)
+    assert sorted((r.id, r.page) for r in rows.collect()) == [("0", 1), ("1", 2), ("2", 3)]
