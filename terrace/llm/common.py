@@ -15,15 +15,26 @@ from terrace.session import scratch_dir
 
 # Texts are handled in slices of about this many bytes, so that a task's arrays stay small
 # however many rows an Arrow batch has. A longer text is a slice of its own.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
+# Rows of numbers and digests, and documents, that are worth a file of their own.
+FILE_ROWS, FILE_TEXTS = 50_000, 2_500
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def few_tasks(df: DataFrame, rows: int, a_task: int = FILE_ROWS) -> DataFrame:
+    """The same rows in at most a task for every `a_task` of `rows`, which is about how many there
+    are, or more. What follows the last shuffle is done by them. For few rows this saves most of
+    their cost: that of tasks and files, and on a local disk the processes that Hadoop starts
+    from an executor for each file, which weigh as much as the executor while they start."""
+    return df.coalesce(max(1, -(-rows // a_task)))
+
+
+def stored(df: DataFrame, label: str, rows: int | None = None, a_file: int = FILE_ROWS) -> DataFrame:
     """The rows written to the shared scratch folder and read back: a lost executor costs
-    no recomputation of what came before."""
+    no recomputation of what came before. With `rows`, about how many there are at most,
+    there are at most as many files as they fill."""
     path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    (df if rows is None else few_tasks(df, rows, a_file)).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -161,11 +161,11 @@ def repeated_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, keys
     """id, key, lines: the numbers of the lines that each document loses."""
     lines = stored(line_hashes(docs, min_chars), "lines")
     documents = F.count_distinct(F.when(F.col("id") != NO_ID, F.col("id"))).alias("n_docs")
-    keys = stored(lines.filter("first").groupBy("h1", "h2").agg(documents, F.max("id").alias("last")), "line-keys")
+    keys = stored(lines.filter("first").groupBy("h1", "h2").agg(documents, F.max("id").alias("last")), "line-keys", lines.count())
     shards = max(1, -(-keys.count() // keys_per_shard))
     shard = F.pmod(F.xxhash64("h1"), F.lit(shards)).cast("int").alias("shard")
     copies = lines.groupBy(shard).agg(F.ceil(F.count("*") / probes_per_task).cast("int").alias("copies"))
-    copies = stored(copies, "shard-copies")
+    copies = stored(copies, "shard-copies", shards)
     index = keys.withColumn("shard", shard).groupBy("shard").applyInArrow(index_shard, INDEX).join(copies, "shard")
     index = index.select("shard", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("salt"), "sizes", "bits", "prints", "counts", "last")
     # The salt goes by the row number of the line, its document and its hash, so it spreads

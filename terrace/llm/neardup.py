@@ -37,7 +37,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.common import ODD, code_points, code_values, mixed, powers, row_key, runs_of, slices, span_hashes, stored, texts_of
+from terrace.llm.common import FILE_TEXTS, ODD, code_points, code_values, few_tasks, mixed, powers, row_key, runs_of, slices, span_hashes, stored, texts_of
 from terrace.llm.components import components
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -244,32 +244,33 @@ def leader_pairs(members: DataFrame, leaders: DataFrame, threshold: float) -> Da
     return both.agg(F.min("leader.node").alias("a")).select("a", F.when(F.col("a") == F.col("low"), F.col("high")).otherwise(F.col("low")).alias("b"), "low", "high")
 
 
-def spanning(links: DataFrame) -> DataFrame:
+def spanning(links: DataFrame, rows: int | None = None) -> DataFrame:
     """Links (a, b) that join what the given ones join, but fewer: each b is linked to the first
     of its a only, and that to the others. A b has at most a leader for each part of each of its
-    buckets, and many b share them, so the links are about as many as the b."""
+    buckets, and many b share them, so the links are about as many as the b, of which there are at most `rows`."""
     own = links.groupBy("b").agg(F.sort_array(F.collect_set("a")).alias("leaders"))
     first = F.element_at("leaders", 1)
     members = own.select(first.alias("a"), "b")
     leaders = own.filter(F.size("leaders") > 1).select(first.alias("a"), F.explode(F.slice("leaders", 2, BANDS * LEADERS)).alias("b")).distinct()
     # Leaders of one group are linked to each other in many ways; the same once more among them.
-    leaders = stored(leaders, "leader-links")
+    leaders = stored(leaders, "leader-links", rows)
     least = leaders.groupBy("b").agg(F.min("a").alias("least"))
     others = leaders.join(least, "b").filter("a <> least").select(F.col("least").alias("a"), F.col("a").alias("b"))
     return members.unionByName(least.select(F.col("least").alias("a"), "b")).unionByName(others.distinct())
 
 
-def relabelled(labels: DataFrame | None, links: DataFrame) -> DataFrame:
-    """node, label after further links: only they are looked at, between the groups so far."""
+def relabelled(labels: DataFrame | None, links: DataFrame, rows: int | None = None) -> DataFrame:
+    """node, label after further links: only they are looked at, between the groups so far. There
+    are at most `rows` nodes, and links of about that number."""
     if labels is None:
         return components(links)
     for side in ("a", "b"):
         known = labels.select(F.col("node").alias(side), F.col("label").alias("group"))
         links = links.join(known, side, "left").withColumn(side, F.coalesce("group", side)).drop("group")
-    merged = components(links.filter("a <> b").distinct())
+    merged = components(stored(links.filter("a <> b").distinct(), "group-links", rows))
     new = merged.select(F.col("node").alias("label"), F.col("label").alias("group"))
     moved = labels.join(new, "label", "left").select("node", F.coalesce("group", "label").alias("label"))
-    return stored(moved.unionByName(merged.join(labels, "node", "left_anti")), "labels")
+    return stored(moved.unionByName(merged.join(labels, "node", "left_anti")), "labels", rows)
 
 
 def fewest_agreeing(threshold: float, n: int = BANDS * ROWS) -> int:
@@ -279,14 +280,15 @@ def fewest_agreeing(threshold: float, n: int = BANDS * ROWS) -> int:
     return int(np.searchsorted(below, MISSED, "right"))
 
 
-def remaining_links(members: DataFrame, signed: DataFrame, texts: DataFrame, idf: Broadcast, threshold: float) -> DataFrame:
+def remaining_links(members: DataFrame, signed: DataFrame, texts: DataFrame, idf: Broadcast, threshold: float, n_rows: int | None = None) -> DataFrame:
     """Links (a, b) that join what all pairs of members of a bucket with different labels
     join. A large bucket is cut into blocks and each block meets each: no task gets a whole
-    bucket, and pairs are compared where they meet instead of becoming rows."""
+    bucket, and pairs are compared where they meet instead of becoming rows. There are at most
+    `n_rows` members."""
     least = fewest_agreeing(threshold)
     own = signed.select("node", "samples").join(members.select("node").distinct(), "node").dropDuplicates(["node"]).join(texts, "node")
     rows = members.select("band", "value", "node", "label").join(own, "node")
-    rows = stored(rows, "remaining")
+    rows = stored(rows, "remaining", n_rows, FILE_TEXTS)
     blocks = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum(F.octet_length("text")) / BLOCK_BYTES)).cast("int")
     sizes = rows.groupBy("band", "value").agg(blocks.alias("blocks"))
     rows = rows.join(sizes, ["band", "value"]).withColumn("mine", F.pmod(F.xxhash64("node", "band"), F.col("blocks")).cast("int"))
@@ -398,32 +400,34 @@ def groups(docs: DataFrame, threshold: float = THRESHOLD, rounds: int = ROUNDS)
     )
     members = nodes.select("node", "one", "weight", F.posexplode("bands").alias("band", "value"))
     shared = members.groupBy("band", "value").agg(F.count("*").alias("n")).filter("n > 1").select("band", "value", (F.col("n") - 1).alias("others"))
-    members = stored(members.join(shared, ["band", "value"]), "buckets")
+    members = stored(members.join(shared, ["band", "value"]), "buckets", n_docs * BANDS)
+    # All that follows is about these members: their leaders, pairs, links and labels are no more.
+    n_rows = members.count()
     # The text of one document of each class that meets another one.
     ones = members.groupBy("node").agg(F.any_value("one").alias("one")).select("node", "one.*")
-    texts = stored(docs.join(ones, ["id", "key"]).select("node", "text").dropDuplicates(["node"]), "class-texts")
+    texts = stored(docs.join(ones, ["id", "key"]).select("node", "text").dropDuplicates(["node"]), "class-texts", min(n_rows, n_docs), FILE_TEXTS)
     rest, tested, labels = members.drop("one").withColumn("label", F.col("node")), None, None
     for turn in range(rounds + 1):
         if not rest.limit(1).count():
             break
         if turn == rounds:
-            found = stored(remaining_links(rest, signed, texts, idf, threshold), "verified")
+            found = stored(remaining_links(rest, signed, texts, idf, threshold, rest.count()), "verified")
         else:
-            leaders = stored(leaders_of(rest, turn), "leaders")
+            leaders = stored(leaders_of(rest, turn), "leaders", n_rows)
             pairs = leader_pairs(rest, leaders, threshold)
-            pairs = stored(pairs.join(tested, ["low", "high"], "left_anti") if tested is not None else pairs, "pairs")
+            pairs = stored(pairs.join(tested, ["low", "high"], "left_anti") if tested is not None else pairs, "pairs", n_rows)
             met = pairs.select("low", "high")
             tested = met if tested is None else tested.unionByName(met)
-            found = stored(spanning(verified(pairs.select("a", "b"), texts, idf, threshold)), "links")
+            found = stored(spanning(verified(pairs.select("a", "b"), texts, idf, threshold), n_rows), "links", n_rows)
         if found.limit(1).count():
-            labels = relabelled(labels, found)
+            labels = relabelled(labels, found, n_rows)
         if turn < rounds:
             # Leaders have met their whole bucket.
             led = leaders.select("band", "value", F.explode("leaders.node").alias("node"))
             rest = rest.join(led, ["band", "value", "node"], "left_anti").drop("others")
             if labels is not None:
                 rest = rest.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-            rest = stored(still_open(rest), "buckets")
+            rest = stored(still_open(rest), "buckets", n_rows)
     node = F.when(F.octet_length("node") > 0, F.col("node"))
     rows = signed.select("id", "key", node.alias("node"))
     if labels is None:
@@ -451,4 +455,5 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     joined = rows.join(kept.unionByName(wordless), ["id", "key"])
     # Rows equal in id and text are copies; texts without a word are not grouped.
     one = joined.filter("grouped").dropDuplicates(["id", "key"])
-    return one.unionByName(joined.filter("NOT grouped")).select("row.*")
+    rows = one.unionByName(joined.filter("NOT grouped")).select("row.*")
+    return few_tasks(rows, found.count(), FILE_TEXTS)

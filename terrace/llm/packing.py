@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrace.llm.common import slices, stored, texts_of
+from terrace.llm.common import few_tasks, slices, stored, texts_of
 
 LIMIT = 2048
 END_ID = 0
@@ -254,4 +254,4 @@ def pack(docs: DataFrame, vocabulary: str | None = None, limit: int = LIMIT) ->
     ranked = with_rank(pieces, int(counts.sum())).select(
         "doc_id", "piece", "start", "length", "ids_crc32", F.col("rank").cast("long").alias("rank")
     )
-    return ranked.mapInArrow(place, f"{PIECES}, sequence_id long, offset long")
+    return few_tasks(ranked, int(counts.sum())).mapInArrow(place, f"{PIECES}, sequence_id long, offset long")

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from terrace.llm.common import fresh, held_out, row_key, slices, stored, texts_of
+from terrace.llm.common import FILE_TEXTS, fresh, held_out, row_key, slices, stored, texts_of
 
 FOLDS, HELD_OUT, THRESHOLD = 4, 2, 0.3
 WORD = re.compile(r"[^\W\d_]+")
@@ -160,7 +160,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", prior: float
     # An id may have many rows; the first by content stands for it, so that a sample has as
     # many rows as ids.
     one = F.min_by("text", row_key()).alias("text")
-    sampled = stored(docs.join(sample, "doc_id").groupBy("doc_id", "toxic").agg(one).select("toxic", "text"), "toxicity-sample")
+    sampled = stored(docs.join(sample, "doc_id").groupBy("doc_id", "toxic").agg(one).select("toxic", "text"), "toxicity-sample", max_toxic + max_unlabelled, FILE_TEXTS)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()

@@ -7,8 +7,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from terrace.llm import decontam, linededup, neardup, registry, suffix
+from terrace.llm import common, decontam, linededup, neardup, registry, suffix
 from terrace.llm.components import components
+from terrace.session import setting
 
 SF = "/root/testdata/sf0.01"
 
@@ -299,6 +300,27 @@ def test_every_pair_of_a_bucket_is_tried(spark, monkeypatch):
         assert Counter((r.id, least[r.group]) for r in found) == want
 
 
+def test_few_rows_go_to_few_files(spark, monkeypatch, tmp_path):
+    """However many partitions the shuffles have; only what scans or compares texts writes more."""
+    random = np.random.default_rng(14)
+    rows = list(enumerate(t for k in range(3) for t in star(random, 60, 4, f"s{k}_")))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = Counter((d, c) for (d, _), c in zip(rows, brute_groups(rows)))
+    made = []
+
+    def scratch(_, label):
+        made.append((label, tmp_path / f"{len(made)}-{label}"))
+        return str(made[-1][1])
+
+    monkeypatch.setattr(common, "scratch_dir", scratch)
+    with setting(spark, "spark.sql.shuffle.partitions", "64"), setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+        assert Counter(map(tuple, neardup.classes(docs).collect())) == want
+        assert neardup.keep_one(docs).rdd.getNumPartitions() == 1
+    files = {(label, len(list(path.glob("part-*")))) for label, path in made if label not in ("signatures", "verified", "groups")}
+    assert {"buckets", "leaders", "pairs", "links", "labels"} <= {label for label, _ in files}
+    assert max(n for _, n in files) == 1
+
+
 def test_one_of_each_group_stays(spark, odd, none):
     kept = neardup.keep_one(odd)
     assert kept.columns == odd.columns
