@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
-from terrace.llm.common import ODD, mixed, row_key, slices, stored, texts_of
+from terrace.llm.common import FILE_TEXTS, ODD, few_tasks, mixed, row_key, slices, stored, texts_of
 
 BLANKS = " \t\n\v\f\r"
 NO_ID = -(1 << 63)
@@ -189,6 +189,7 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5)
     own = F.struct(*(F.col(f"`{c}`") for c in names)).alias("row")
     rows = docs.select(own, F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), row_key().alias("key"))
     joined = rows.join(gone, ["id", "key"], "left").select("row", "lines")
+    joined = few_tasks(joined, docs.count(), FILE_TEXTS)
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "row.text"):

@@ -316,7 +316,8 @@ def test_few_rows_go_to_few_files(spark, monkeypatch, tmp_path):
     with setting(spark, "spark.sql.shuffle.partitions", "64"), setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
         assert Counter(map(tuple, neardup.classes(docs).collect())) == want
         assert neardup.keep_one(docs).rdd.getNumPartitions() == 1
-    files = {(label, len(list(path.glob("part-*")))) for label, path in made if label not in ("signatures", "verified", "groups")}
+        assert linededup.drop_repeated_lines(docs).rdd.getNumPartitions() == 1
+    files = {(label, len(list(path.glob("part-*")))) for label, path in made if label not in ("signatures", "verified", "groups", "lines")}
     assert {"buckets", "leaders", "pairs", "links", "labels"} <= {label for label, _ in files}
     assert max(n for _, n in files) == 1
 
