@@ -139,7 +139,8 @@ def document_frequencies(docs: DataFrame, parts: int = 64) -> tuple[np.ndarray,
     # First few tasks' tables together, then all of them: no task gets every table.
     half = counted.repartition("part", F.spark_partition_id() % 16).mapInArrow(add, schema)
     out, n = np.zeros((parts, width // parts), np.int64), 0
-    for part, size, counts in half.repartition("part").mapInArrow(add, schema).collect():
+    # A few parts a task, however many partitions a shuffle has.
+    for part, size, counts in half.repartition("part").coalesce(parts // 4).mapInArrow(add, schema).collect():
         out[part] += np.frombuffer(counts, "<i8")
         n += size
     return out.ravel(), n
@@ -224,24 +225,28 @@ def leaders_of(members: DataFrame, turn: int) -> DataFrame:
     each part that member leads which meets most classes of other labels over all bands. The
     text that others were made from agrees with more of them than they do with each other."""
     nodes = members.groupBy("node").agg(
-        F.any_value("weight").alias("weight"), F.any_value("label").alias("label"), F.sum("others").alias("met"), F.collect_list(F.struct("band", "value")).alias("buckets")
+        F.any_value("weight").alias("weight"), F.any_value("label").alias("label"), F.sum("others").alias("met"), F.collect_list(F.struct("band", "value", "others")).alias("buckets")
     )
     scored = nodes.select("node", "weight", "label", "met", F.explode("buckets").alias("bucket")).select("bucket.*", "node", "weight", "label", "met")
     draw = F.xxhash64("node", "band", "value", F.lit(turn))
-    best = F.struct("met", draw.alias("draw"), "node", "weight", "label")
+    best = F.struct("met", draw.alias("draw"), "node", "weight", "label", "others")
     drawn = [F.max(F.when(F.pmod(draw, F.lit(LEADERS)) == k, best)) for k in range(LEADERS)]
     return scored.groupBy("band", "value").agg(F.array_compact(F.array(*drawn)).alias("leaders"))
 
 
 def leader_pairs(members: DataFrame, leaders: DataFrame, threshold: float) -> DataFrame:
-    """(a, b, low, high): each member b with the bucket's leaders a of other labels whose weight
-    allows the threshold; low and high are the same two in order, which occur once."""
+    """(a, b, low, high, salt): each member b with the bucket's leaders a of other labels whose weight
+    allows the threshold; low and high are the same two in order, which occur once. The others of
+    a bucket are dealt out by salt so that over all bands about PAIRS_PER_TASK pairs at most have
+    the same a and salt."""
     # A bucket may hold most classes: AQE splits that side of the join.
     pairs = members.join(leaders, ["band", "value"]).select("node", "weight", "label", F.explode("leaders").alias("leader"))
     near = F.least("weight", "leader.weight") >= F.lit(threshold - 1e-9) * F.greatest("weight", "leader.weight")
     pairs = pairs.filter((F.col("label") != F.col("leader.label")) & near)
     both = pairs.groupBy(F.least("node", "leader.node").alias("low"), F.greatest("node", "leader.node").alias("high"))
-    return both.agg(F.min("leader.node").alias("a")).select("a", F.when(F.col("a") == F.col("low"), F.col("high")).otherwise(F.col("low")).alias("b"), "low", "high")
+    salt = F.pmod(F.xxhash64("node"), F.ceil(F.col("leader.others") * BANDS / PAIRS_PER_TASK)).cast("int")
+    one = both.agg(F.min(F.struct("leader.node", salt.alias("salt"))).alias("one")).select(F.col("one.node").alias("a"), "low", "high", "one.salt")
+    return one.select("a", F.when(F.col("a") == F.col("low"), F.col("high")).otherwise(F.col("low")).alias("b"), "low", "high", "salt")
 
 
 def spanning(links: DataFrame, rows: int | None = None) -> DataFrame:
@@ -249,6 +254,8 @@ def spanning(links: DataFrame, rows: int | None = None) -> DataFrame:
     of its a only, and that to the others. A b has at most a leader for each part of each of its
     buckets, and many b share them, so the links are about as many as the b, of which there are at most `rows`."""
     own = links.groupBy("b").agg(F.sort_array(F.collect_set("a")).alias("leaders"))
+    # Both parts below read it: stored, the texts behind the links are compared once.
+    own = stored(own, "linked", rows)
     first = F.element_at("leaders", 1)
     members = own.select(first.alias("a"), "b")
     leaders = own.filter(F.size("leaders") > 1).select(first.alias("a"), F.explode(F.slice("leaders", 2, BANDS * LEADERS)).alias("b")).distinct()
@@ -353,12 +360,10 @@ def remaining_links(members: DataFrame, signed: DataFrame, texts: DataFrame, idf
 
 
 def verified(pairs: DataFrame, texts: DataFrame, idf: Broadcast, threshold: float) -> DataFrame:
-    """The pairs (a, b) that reach the threshold. Texts (node, text) of all b of an a go to
-    a's text; an a with many pairs is copied for every PAIRS_PER_TASK of them."""
-    copies = pairs.groupBy("a").agg(F.ceil(F.count("*") / PAIRS_PER_TASK).cast("int").alias("copies"))
-    salted = pairs.join(copies, "a").select("a", F.pmod(F.xxhash64("b"), F.col("copies")).cast("int").alias("salt"), F.col("b").alias("node"))
-    own = copies.select("a", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("salt"), F.col("a").alias("node"))
-    rows = salted.unionByName(own).join(texts, "node").select("a", "salt", "node", "text")
+    """The pairs (a, b, salt) that reach the threshold, as (a, b). Texts (node, text) of all b of an
+    a go to a's text, which is copied for each salt of its pairs."""
+    own = pairs.select("a", "salt").distinct().select("a", "salt", F.col("a").alias("node"))
+    rows = pairs.select("a", "salt", F.col("b").alias("node")).unionByName(own).join(texts, "node").select("a", "salt", "node", "text")
     rows = rows.repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("node") != F.col("a"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -411,14 +416,15 @@ def groups(docs: DataFrame, threshold: float = THRESHOLD, rounds: int = ROUNDS)
         if not rest.limit(1).count():
             break
         if turn == rounds:
-            found = stored(remaining_links(rest, signed, texts, idf, threshold, rest.count()), "verified")
+            left = rest.count()
+            found = stored(remaining_links(rest, signed, texts, idf, threshold, left).distinct(), "verified", left)
         else:
             leaders = stored(leaders_of(rest, turn), "leaders", n_rows)
             pairs = leader_pairs(rest, leaders, threshold)
             pairs = stored(pairs.join(tested, ["low", "high"], "left_anti") if tested is not None else pairs, "pairs", n_rows)
             met = pairs.select("low", "high")
             tested = met if tested is None else tested.unionByName(met)
-            found = stored(spanning(verified(pairs.select("a", "b"), texts, idf, threshold), n_rows), "links", n_rows)
+            found = stored(spanning(verified(pairs.select("a", "b", "salt"), texts, idf, threshold), n_rows), "links", n_rows)
         if found.limit(1).count():
             labels = relabelled(labels, found, n_rows)
         if turn < rounds:
@@ -427,7 +433,7 @@ def groups(docs: DataFrame, threshold: float = THRESHOLD, rounds: int = ROUNDS)
             rest = rest.join(led, ["band", "value", "node"], "left_anti").drop("others")
             if labels is not None:
                 rest = rest.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-            rest = stored(still_open(rest), "buckets", n_rows)
+            rest = stored(still_open(stored(rest, "unled", n_rows)), "buckets", n_rows)
     node = F.when(F.octet_length("node") > 0, F.col("node"))
     rows = signed.select("id", "key", node.alias("node"))
     if labels is None:
@@ -437,10 +443,12 @@ def groups(docs: DataFrame, threshold: float = THRESHOLD, rounds: int = ROUNDS)
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, class_id (the smallest doc_id of the group) of every document."""
-    rows = stored(groups(keyed(docs), threshold), "groups").withColumn("doc_id", F.when(F.col("id") != NO_ID, F.col("id")))
+    found = stored(groups(keyed(docs), threshold), "groups")
+    rows = found.withColumn("doc_id", F.when(F.col("id") != NO_ID, F.col("id")))
     least = rows.filter("group IS NOT NULL").groupBy("group").agg(F.min("doc_id").alias("class_id"))
     joined = rows.join(least, "group", "left")
-    return joined.select("doc_id", F.when(F.col("group").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
+    joined = joined.select("doc_id", F.when(F.col("group").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
+    return few_tasks(joined, found.count())
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

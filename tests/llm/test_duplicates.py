@@ -300,6 +300,38 @@ def test_every_pair_of_a_bucket_is_tried(spark, monkeypatch):
         assert Counter((r.id, least[r.group]) for r in found) == want
 
 
+def test_texts_of_a_pair_are_compared_once(spark, monkeypatch):
+    """The links of a round are read in several places; a leader's pairs are dealt to many tasks."""
+    random = np.random.default_rng(15)
+    rows = list(enumerate(t for k in range(2) for t in star(random, 80, 4, f"s{k}_")))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    made, linked, dealt, plain = spark.sparkContext.accumulator(0), [], [], neardup.verified
+
+    def counting(pairs, *rest):
+        dealt.append(pairs.groupBy("a", "salt").count().agg(F.max("count")).first()[0])
+        linked.append(plain(pairs, *rest).count())
+
+        def noted(batches):
+            for batch in batches:
+                made.add(batch.num_rows)
+                yield batch
+
+        return plain(pairs, *rest).mapInArrow(noted, "a binary, b binary")
+
+    monkeypatch.setattr(neardup, "verified", counting)
+    monkeypatch.setattr(neardup, "PAIRS_PER_TASK", 8)
+    got = Counter(map(tuple, neardup.classes(docs).collect()))
+    assert got == Counter((d, c) for (d, _), c in zip(rows, brute_groups(rows)))
+    assert made.value == sum(linked) > 150
+    assert max(dealt) <= 3 * neardup.PAIRS_PER_TASK
+
+
+def test_classes_of_few_rows_come_of_one_task(spark):
+    docs = spark.createDataFrame([(k, f"one {k // 2} two three four five six") for k in range(40)], "doc_id long, text string")
+    with setting(spark, "spark.sql.shuffle.partitions", "64"), setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+        assert neardup.classes(docs).rdd.getNumPartitions() == 1
+
+
 def test_few_rows_go_to_few_files(spark, monkeypatch, tmp_path):
     """However many partitions the shuffles have; only what scans or compares texts writes more."""
     random = np.random.default_rng(14)
