@@ -160,7 +160,7 @@ def stream_upsert(spark, sf_dir):
     last = _last_page(spark, sf_dir)
     for late, part in enumerate((F.col("page") > last // 2, F.col("page") <= last * 2 // 3)):
         _put_pages(spark, sf_dir, f"{work}/pages/delivery={late}", part)
-        rows = stream_pages(spark, f"{work}/pages", SEEN_ENTITY.read_fields, False, maxFilesPerTrigger=max(1, last // 3))
+        rows = stream_pages(spark, f"{work}/pages", SEEN_ENTITY.read_fields, False, f"{work}/checkpoint", maxFilesPerTrigger=max(1, last // 3))
         rows = rows.withColumns(recency_columns(layer)).select(*typed.names)
         stream_upserts(spark, rows, layer, f"{work}/checkpoint", "feed")
     return layer.read(spark).select("seq", *FIELDS)

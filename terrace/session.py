@@ -65,6 +65,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(target)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    files, target = _hadoop_path(spark, path)
+    files.mkdirs(target)
+
+
 def put_record(spark: SparkSession, path: str, record: object) -> None:
     """Store a small record of the driver's as a JSON file, complete or not at all; a path that is
     there already is refused."""

@@ -1,12 +1,15 @@
 """Page files, JSON paths and layer scans."""
 
+import gzip
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from terrace import schemas, sources
+from terrace.sources import files, pages
 from terrace.sources.json_map import path_steps
 from terrace.streaming import land_new_pages
 
@@ -221,3 +224,126 @@ def test_page_files_stand_alone(spark, tmp_path):
     assert [len(list((path / f"page={n}").iterdir())) for n in (1, 2, 3)] == [1, 1, 1]
     rows = sources.read_pages(spark, str(path), multi_line=False)
     assert sorted((r.id, r.page) for r in rows.collect()) == [("0", 1), ("1", 2), ("2", 3)]
+
+
+# --- many files ------------------------------------------------------------------------
+
+ODD_LINES = [
+    b'{"id": "1", "name": 2.50, "unknown": [1]}',
+    b"",
+    b"  \t",
+    b'\t {"id": {"a": [1, 2]}, "id2": 1}',
+    b'[{"id": "a"}, {"id": "b", "name": null}]',
+    b' [{"id": "c"}]',
+    b"[]",
+    b"[1]",
+    b"[null]",
+    b'[{"id": "d"}, {"id": ',
+    b'{"id": "e", ',
+    b'{"id": "f", "name": {"x": ',
+    b"null",
+    b"7",
+    b'"text"',
+    b"no json",
+    b"\x01",
+    b'{"id": "g"} and more',
+    '{"id": "\u00e9\u4e2d\U0001f600"}'.encode(),
+    b'{"id": "\xff\xfe"}',
+    b'{"_corrupt_record": "x", "id": "h"}',
+    b"{}",
+]
+
+
+def _as_spark(spark, path, fields):
+    reader = spark.read.schema(pages._page_schema(fields)).option("columnNameOfCorruptRecord", "_corrupt_record")
+    return pages._with_page(reader.json(path), fields)
+
+
+def _sorted(rows):
+    return sorted((tuple(r) for r in rows.collect()), key=repr)
+
+
+@pytest.mark.parametrize("end", [b"\n", b"\r\n", b"\r"])
+def test_lines_are_parsed_as_by_the_reader_of_files(spark, folder, end):
+    (folder / "page=1").mkdir(parents=True)
+    (folder / "page=2").mkdir()
+    (folder / "page=1" / "a.json").write_bytes(b"\xef\xbb\xbf" + end.join(ODD_LINES))
+    (folder / "page=2" / "b.json").write_bytes(end.join(ODD_LINES[::-1]) + end)
+    (folder / "page=2" / "c.json.gz").write_bytes(gzip.compress(end.join(ODD_LINES)))
+    (folder / "page=2" / "_left_out").write_bytes(ODD_LINES[0])
+    (folder / "page=2" / "empty").write_bytes(b"")
+    fields = schemas.struct_of("id name")
+    rows = sources.read_pages(spark, str(folder), fields, multi_line=False)
+    wanted = _as_spark(spark, str(folder), fields)
+    assert rows.schema == wanted.schema
+    assert _sorted(rows) == _sorted(wanted)
+    assert rows.filter("NOT page_failed").count() > 20 < rows.filter("page_failed").count()
+
+
+def test_the_driver_holds_no_page_file(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "pages")
+    _many_pages(spark, path, 7)
+    listed = sources.list_page_files(spark, path)
+
+    def held(*args, **options):
+        raise AssertionError("the files are listed on the driver")
+
+    rows = sources.read_pages(spark, path, multi_line=False)
+    monkeypatch.setattr(pages, "read_pages", held)
+    for found in (rows, sources.list_pages(spark, path), sources.read_page_files(spark, listed, multi_line=False)):
+        assert not [f for f in found.inputFiles() if "page=" in f]
+        assert sorted(r.page for r in found.select("page").collect()) == list(range(1, 8))
+
+
+def test_only_files_that_spark_reads_of_a_folder(spark, folder):
+    (folder / "in" / "page=7").mkdir(parents=True)
+    (folder / "page-1.json").write_text('{"id": "a"}\n')
+    (folder / "other").mkdir()
+    (folder / "other" / "page-2.json").write_text('{"id": "b"}\n')
+    (folder / "in" / "page=7" / "x.json").write_text('{"id": "c"}\n')
+    (folder / "in" / "page-3.json").write_text('{"id": "d"}\n')
+    fields = schemas.struct_of("id")
+    for path in (folder / "other", folder / "in"):
+        assert _sorted(sources.read_pages(spark, str(path), fields, False)) == _sorted(_as_spark(spark, str(path), fields))
+    assert {r.page for r in sources.list_pages(spark, str(folder)).collect()} == {1, 2, 3, 7}
+
+
+def test_each_line_lies_in_one_part(tmp_path):
+    draw, path = random.Random(3), tmp_path / "f"
+    for _ in range(150):
+        data = b"".join(draw.choice([b"a", b"bc", b"\n", b"\r", b"\r\n"]) for _ in range(draw.randrange(1, 30)))
+        path.write_bytes(data)
+        whole = [x for x in files._split(data) if x]
+        for size in (1, 2, 3, 7, 50):
+            parts = [files.lines_of(str(path), at, min(len(data), at + size)) for at in range(0, len(data), size)]
+            assert [x for part in parts for x in part if x] == whole, (data, size)
+
+
+def test_large_pages_are_read_in_parts(spark, folder, monkeypatch):
+    monkeypatch.setattr(files, "PART_BYTES", 100)
+    (folder / "page=1").mkdir(parents=True)
+    (folder / "page=1" / "x.json").write_text("".join(json.dumps({"id": str(n), "name": "n" * (n % 300)}) + "\n" for n in range(500)))
+    rows = sources.read_pages(spark, str(folder), schemas.struct_of("id name"), False)
+    assert sorted((int(r.id), len(r.name), r.page) for r in rows.collect()) == [(n, n % 300, 1) for n in range(500)]
+
+
+def test_page_folders_are_those_of_sparks_writer(spark, tmp_path):
+    values = [None, "", "a b", "x/y", "50%", "p=q", "{[^]}'\"", "\u00e9", "\t", "z"]
+    rows = spark.createDataFrame([(v, str(n), n if n % 2 else None) for n, v in enumerate(values * 3)], "page string, id string, n int")
+    ours, theirs = tmp_path / "ours", tmp_path / "theirs"
+    sources.write_pages(rows, str(ours))
+    sources.write_pages(rows, str(ours), "append")
+    rows.write.partitionBy("page").json(str(theirs))
+    content = lambda at, copies: {f.name: sorted("".join(x.read_text() for x in f.glob("part-*")).splitlines() * copies) for f in at.iterdir() if f.is_dir()}
+    assert content(ours, 1) == content(theirs, 2)
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        sources.write_pages(rows, str(ours))
+    # They are not made by Hadoop, whose writer numbers the files of a task.
+    assert not list(ours.rglob("*-c000*")) and not list(ours.glob("page=*/.*")) and not list(ours.glob("_staging*"))
+
+
+def test_a_failed_write_leaves_no_page(spark, tmp_path):
+    rows = spark.range(100).selectExpr("id + 1 AS page", "if(id = 77, raise_error('broken'), string(id)) AS id")
+    with pytest.raises(Exception, match="broken"):
+        sources.write_pages(rows, str(tmp_path / "pages"))
+    assert not list(tmp_path.rglob("page=*")) and not list(tmp_path.rglob("_staging*"))
