@@ -209,22 +209,17 @@ def lines_of(path: str, start: int, stop: int) -> list[bytes]:
 
 
 _QUOTED = r'"(?:[^"\\]|\\.)*"|\'(?:[^\'\\]|\\.)*\''
-_NAME = re.compile(rf"\s*({_QUOTED})\s*:\s*", re.S)
-_STRING = re.compile(_QUOTED, re.S)
+_FIELD = re.compile(rf"\s*({_QUOTED})\s*:\s*({_QUOTED}|[^\s,{{}}\[\]\"']+|(?=[\[{{]))\s*([,}}]?)", re.S)
 _NESTED = re.compile(rf"{_QUOTED}|[\[\]{{}}]", re.S)
-_SCALAR = re.compile(r"[^\s,\]}]+")
 _SPACE = re.compile(r"\s*")
-# A field with a value that is no string; of strings that look like one, too.
-_UNQUOTED = re.compile(rb"[\"']\s*:\s*[^\s\"'n]")
+# A field with a value that `from_json` may write otherwise: no string, whole number or literal. The
+# same within a string is found too.
+_REWRITTEN = re.compile(rb"[\"']\s*:\s*(?![\s\"']|null|true|false|(?:0|-?[1-9][0-9]*)\s*[,}])")
 # No JSON, and blank to `from_json`: a row of a broken line.
 _BROKEN = "\x01"
 
 
-def _value_end(text: str, at: int) -> int:
-    if text[at] in "\"'":
-        return _STRING.match(text, at).end()
-    if text[at] not in "[{":
-        return _SCALAR.match(text, at).end()
+def _nested_end(text: str, at: int) -> int:
     depth = 0
     for token in _NESTED.finditer(text, at):
         depth += {"[": 1, "{": 1, "]": -1, "}": -1}.get(token.group(), 0)
@@ -239,19 +234,29 @@ def _unquoted_fields(text: str, at: int) -> tuple[dict[str, str], int]:
     if text[at] != "{":
         raise ValueError(text)
     at = _SPACE.match(text, at + 1).end()
-    while text[at] != "}":
-        name = _NAME.match(text, at)
-        key = name[1] if name[1][0] == '"' else '"' + name[1][1:-1].replace('"', '\\"') + '"'
-        start, end = name.end(), _value_end(text, name.end())
-        found.pop(json.loads(key), None)  # of fields of one name the last counts
-        if text[start] not in "\"'":
-            found[json.loads(key)] = text[start:end]
-        at = _SPACE.match(text, end).end()
-        if text[at] == ",":
-            at = _SPACE.match(text, at + 1).end()
-        elif text[at] != "}":
+    if text[at] == "}":
+        return found, at + 1
+    while True:
+        field = _FIELD.match(text, at)
+        name, value, mark = field.groups()
+        at = field.end()
+        if not value:
+            at = _nested_end(text, field.end(2))
+            value = text[field.end(2) : at]
+            at = _SPACE.match(text, at).end() + 1
+            mark = text[at - 1]
+        if "\\" in name:
+            name = json.loads(name if name[0] == '"' else '"' + name[1:-1].replace('"', '\\"') + '"')
+        else:
+            name = name[1:-1]
+        if value[0] not in "\"'":
+            found[name] = value
+        elif name in found:  # of fields of one name the last counts
+            del found[name]
+        if mark == "}":
+            return found, at
+        if mark != ",":
             raise ValueError(text)
-    return found, at + 1
 
 
 def exact_texts(line: str) -> str | None:
@@ -288,9 +293,9 @@ def _texts(lines: list[bytes]) -> pa.Array:
 
 
 def _exact(lines: list[bytes], texts: pa.Array) -> pa.Array:
-    if not any(map(_UNQUOTED.search, lines)):
+    if not _REWRITTEN.search(b"\n".join(lines)):
         return pa.nulls(len(lines), pa.string())
-    return pa.array([exact_texts(t.as_py()) if _UNQUOTED.search(line) else None for line, t in zip(lines, texts)], pa.string())
+    return pa.array([exact_texts(t.as_py()) if _REWRITTEN.search(line) else None for line, t in zip(lines, texts)], pa.string())
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -6,6 +6,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from terrace.session import stored_bytes
+
 # The columns that the feed uses. A given schema spares a footer read per table.
 _TABLES = {
     "orders": "o_orderkey LONG, o_custkey LONG, o_orderdate TIMESTAMP_NTZ",
@@ -39,11 +41,18 @@ _RECORD = {
 }
 
 
+# A larger file of customers is not broadcast: Spark goes by the bytes of the file, which may hold
+# fifty times as many in rows, and the driver builds their table.
+_MOST_BROADCAST = 2 * 1024 * 1024
+
+
 def order_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw records with `seq` (unique), `page`, `page_failed` (never) and `seen_at`."""
     orders, customer, nation, region = (
         spark.read.schema(schema).parquet(f"{sf_dir}/{name}.parquet") for name, schema in _TABLES.items()
     )
+    if stored_bytes(spark, f"{sf_dir}/customer.parquet") > _MOST_BROADCAST:
+        customer = customer.hint("merge")
     return (
         orders.join(customer, orders.o_custkey == customer.c_custkey)
         .join(nation, customer.c_nationkey == nation.n_nationkey)

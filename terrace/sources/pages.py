@@ -155,7 +155,8 @@ def _note_files(spark: SparkSession, folder: str, log: str, most: int, noted: bo
         return False
     make_folder(spark, log)
     if noted:
-        files = files.join(spark.read.schema(_NOTE).parquet(log).select("file"), "file", "left_anti")
+        # Never a broadcast: paths are small as stored, and large in a table on the driver.
+        files = files.join(spark.read.schema(_NOTE).parquet(log).select("file").hint("merge"), "file", "left_anti")
     if not files.isEmpty():
         ordered = files.select("file", "length", "modified").repartition(1).sortWithinPartitions("modified", "file")
         ordered.write.mode("append").option("maxRecordsPerFile", most).parquet(log)

@@ -29,7 +29,7 @@ def land_new_pages(
     land once. `checkpoint` must be on shared storage.
     """
     reader_limit = {} if max_files_per_batch is None else {"maxFilesPerTrigger": max_files_per_batch}
-    rows = stream_pages(spark, pages, fields, multi_line, **reader_limit)
+    rows = stream_pages(spark, pages, fields, multi_line, checkpoint, **reader_limit)
     writer = rows.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if run_id is None:
         writer, target = writer.format("parquet").option("path", landing), landing

@@ -233,6 +233,15 @@ ODD_LINES = [
     b"",
     b"  \t",
     b'\t {"id": {"a": [1, 2]}, "id2": 1}',
+    b'{"id" : -0, "name":1e400}',
+    b'{"id":00, "name": 1.0}',
+    b'{"id": 12345678901234567890123, "name" : 1.50 }',
+    b"{'id': 1.10, 'na\\u006de': {'a' :  'x}', \"b\": [ 1.0 , null]}}",
+    b'{"id": 1.0, "id": "\\"id\\": 1.0", "name": false, "x": {}}',
+    b'{"id": "k", "name": NaN}',
+    b'{"id": 5 , "name": [ ] } ',
+    b'{"id": 1.0,}',
+    b'[{"id": 1.0, "name": {"z" :1}} , {"name": 2.0}, {}]',
     b'[{"id": "a"}, {"id": "b", "name": null}]',
     b' [{"id": "c"}]',
     b"[]",
@@ -347,3 +356,33 @@ def test_a_failed_write_leaves_no_page(spark, tmp_path):
     with pytest.raises(Exception, match="broken"):
         sources.write_pages(rows, str(tmp_path / "pages"))
     assert not list(tmp_path.rglob("page=*")) and not list(tmp_path.rglob("_staging*"))
+
+def _land(spark, tmp_path, **options):
+    path = land_new_pages(spark, str(tmp_path / "pages"), str(tmp_path / "landing"), str(tmp_path / "mark"), schemas.struct_of("id"), False, **options)
+    return sorted(int(r.id) for r in spark.read.parquet(path).select("id").collect())
+
+
+def test_a_landing_stream_notes_its_files_instead_of_holding_them(spark, tmp_path):
+    path = str(tmp_path / "pages")
+    _many_pages(spark, path, 5)
+    assert _land(spark, tmp_path, run_id="r1", max_files_per_batch=2) == list(range(5))
+    assert sorted(p.name for p in (tmp_path / "landing" / "run_id=r1").iterdir()) == ["batch=0", "batch=1", "batch=2"]
+    log = [f.read_text() for f in (tmp_path / "mark" / "sources" / "0").iterdir() if f.name.isdigit()]
+    assert log and not any("page=" in text for text in log)
+    rows = spark.createDataFrame([("7", 3), ("8", 9)], "id string, page long")
+    sources.write_pages(rows, path, "append")
+    assert _land(spark, tmp_path, run_id="r2") == [7, 8]
+    assert spark.read.parquet(str(tmp_path / "mark" / "page-files")).count() == 7
+    with pytest.raises(ValueError, match="another form"):
+        land_new_pages(spark, path, str(tmp_path / "landing"), str(tmp_path / "mark"))
+
+
+def test_a_checkpoint_without_notes_goes_on(spark, tmp_path):
+    path = str(tmp_path / "pages")
+    _many_pages(spark, path, 3)
+    rows = sources.stream_pages(spark, path, schemas.struct_of("id"), False)
+    writer = rows.writeStream.option("checkpointLocation", str(tmp_path / "mark")).trigger(availableNow=True)
+    writer.format("parquet").option("path", str(tmp_path / "landing")).start().awaitTermination()
+    sources.write_pages(spark.createDataFrame([("8", 9)], "id string, page long"), path, "append")
+    assert _land(spark, tmp_path) == [0, 1, 2, 8]
+    assert not (tmp_path / "mark" / "page-files").exists()
