@@ -22,7 +22,7 @@ from terrace.plans.runs import next_attempt
 from terrace.schemas import Entity, Layout
 from terrace.session import exists
 from terrace.sinks import write_layer
-from terrace.sources import list_page_files, read_pages
+from terrace.sources import list_page_files, read_page_files
 from terrace.sources.pages import FAILED, PAGE
 
 LEDGER = "file string, length long, modified timestamp, page long, state string, reason string, run_id string, label string, at timestamp"
@@ -48,7 +48,8 @@ def page_states(spark: SparkSession, layout: Layout) -> DataFrame:
 def open_files(spark: SparkSession, path: str, layout: Layout) -> DataFrame:
     """The page files (file, length, modified, page) that are not loaded as they are now."""
     loaded = ledger(spark, layout).filter(F.col("state") == LOADED).select(*FILE)
-    return list_page_files(spark, path).join(loaded, list(FILE), "left_anti")
+    # Never a broadcast: paths are small as stored, and large in a table on the driver.
+    return list_page_files(spark, path).join(loaded.hint("merge"), list(FILE), "left_anti")
 
 
 def _record(files: DataFrame, layout: Layout, run_id: str, label: str, part: str) -> str:
@@ -99,10 +100,9 @@ def load_new_pages(
     folder = _record(seen, layout, run_id, label, "seen")
     # From here on the files are those that were listed, also if more arrive.
     files = spark.read.schema(LEDGER).parquet(folder).select(*FILE, "page")
-    names = [r.file for r in files.select("file").collect()]  # as many as Spark lists to read them
-    if not names:
+    if files.isEmpty():
         return {}
-    rows = read_pages(spark, names, fields or entity.read_fields, multi_line)
+    rows = read_page_files(spark, files, fields or entity.read_fields, multi_line)
     known = ledger(spark, layout).filter(F.col("state") == LOADED).select("page").unionByName(files.select("page"))
     listed = known.select(F.col("page").alias(PAGE), F.lit(False).alias(FAILED))
     try:

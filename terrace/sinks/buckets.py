@@ -213,7 +213,8 @@ class BucketLayer:
                 rows = rows.filter(F.col(self.keys[0]).isin([r[0] for r in few]))
             else:
                 same = [F.col(f"rows.{k}").eqNullSafe(F.col(f"wanted.{k}")) for k in self.keys]
-                rows = rows.alias("rows").join(wanted.alias("wanted"), same, "left_semi")
+                # Many keys are not broadcast, however small they are as stored.
+                rows = rows.alias("rows").join(wanted.alias("wanted").hint("merge"), same, "left_semi")
             latest = latest_per_key(rows, self.keys, [*self.recency, RUN], ()) if not self.sums else self._combined(rows)
             latest.select(*names).write.parquet(path)
         return spark.read.schema(latest.select(*names).schema).parquet(path)

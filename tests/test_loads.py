@@ -521,3 +521,49 @@ def test_the_ledger_is_not_written_by_tasks_of_many_partitions(spark, tmp_path,
     assert len(glob.glob(f"{path}/*.parquet")) <= 8
     stored = spark.read.schema(ledger.LEDGER).parquet(path)
     assert sorted(r.page for r in stored.collect()) == list(range(400))
+
+
+def test_new_page_files_are_loaded_without_their_names_on_the_driver(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path / "pages")
+    rows = spark.createDataFrame([(*_record(str(n)).values(), n // 2 + 1) for n in range(12)], f"{' string, '.join(_record(''))} string, page long")
+    sources.write_pages(rows, folder)
+
+    def held(*args, **options):
+        raise AssertionError("the files are listed on the driver")
+
+    for module in ("terrace.plans.ledger", "terrace.sources.pages"):
+        monkeypatch.setattr(importlib.import_module(module), "read_pages", held, raising=False)
+    lake = Layout(str(tmp_path / "lake"))
+    done = plans.load_new_pages(spark, folder, lake, "r1", False)
+    assert plans.read_silver(spark, done["silver"]).count() == 12
+    assert plans.load_new_pages(spark, folder, lake, "r2", False) == {}
+    assert {(r.page, r.state) for r in plans.page_states(spark, lake).collect()} == {(p, "loaded") for p in range(1, 7)}
+
+
+def _joins(df):
+    return [w for w in df._jdf.queryExecution().sparkPlan().toString().split() if w.endswith("Join")]
+
+
+def test_paths_of_files_are_not_broadcast(spark, pages, tmp_path):
+    lake, folder = Layout(str(tmp_path / "lake")), pages(1, [_record("1")])
+    plans.load_new_pages(spark, folder, lake, "r1")
+    pages(2, [_record("2")])
+    found = plans.open_files(spark, folder, lake)
+    assert _joins(found) == ["SortMergeJoin"]
+    assert [r.page for r in found.collect()] == [2]
+
+
+def test_many_customers_are_not_broadcast(spark, tmp_path, monkeypatch):
+    feed = importlib.import_module("terrace.sources.order_feed")
+    for name, rows in {
+        "orders": "SELECT id AS o_orderkey, id % 3 AS o_custkey, timestamp_ntz'2020-01-01' AS o_orderdate FROM range(9)",
+        "customer": "SELECT id AS c_custkey, int(id) AS c_nationkey, 'x' AS c_mktsegment FROM range(2)",
+        "nation": "SELECT int(id) AS n_nationkey, 'n' AS n_name, 0 AS n_regionkey FROM range(2)",
+        "region": "SELECT 0 AS r_regionkey, 'r' AS r_name",
+    }.items():
+        spark.sql(rows).write.parquet(str(tmp_path / f"{name}.parquet"))
+    few = feed.order_feed(spark, str(tmp_path))
+    monkeypatch.setattr(feed, "_MOST_BROADCAST", 0)
+    many = feed.order_feed(spark, str(tmp_path))
+    assert "SortMergeJoin" in _joins(many) and "SortMergeJoin" not in _joins(few)
+    assert sorted(map(tuple, many.collect()), key=repr) == sorted(map(tuple, few.collect()), key=repr)
